@@ -62,3 +62,17 @@ PRODUCT_CATEGORIES = [
 PRODUCT_GROUP_PREFIXES = ["Entrée — ", "Premium — "]
 ORG_GROUP_PREFIXES = ["Groupe A — ", "Groupe B — "]
 SECTION_PREFIX = "Section "
+
+# Countries: code, name, continent.
+COUNTRIES = [
+    ("US", "États-Unis", "Amérique du Nord"), ("CA", "Canada", "Amérique du Nord"),
+    ("BE", "Belgique", "Europe"), ("NL", "Pays-Bas", "Europe"),
+    ("DE", "Allemagne", "Europe"), ("GB", "Royaume-Uni", "Europe"),
+    ("DK", "Danemark", "Europe"), ("FR", "France", "Europe"),
+    ("IT", "Italie", "Europe"), ("ES", "Espagne", "Europe"),
+    ("AU", "Australie", "Océanie"), ("CN", "Chine", "Asie"),
+    ("JP", "Japon", "Asie"), ("IN", "Inde", "Asie"),
+    ("BR", "Brésil", "Amérique du Sud"), ("ZA", "Afrique du Sud", "Afrique")]
+# Countries with a branch of the organisation.
+ORG_COUNTRIES = ["Siège USA", "Belgique", "Pays-Bas", "Allemagne", "Royaume-Uni", "Danemark",
+                 "France", "Italie", "Espagne", "Australie"]

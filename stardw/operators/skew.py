@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stardw.session import local_rows
+
 # A key is hot when it holds at least this share of the rows and at least this many of them.
 HOT_SHARE = 0.001
 HOT_MIN_ROWS = 1_000_000
@@ -22,9 +24,10 @@ MOST_SALTS = 4096
 def plan_size(df: DataFrame) -> int | None:
     """Size Catalyst expects of ``df``, in bytes: file sizes for a plain scan."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:
+        plan = df._jdf.queryExecution().optimizedPlan()
+    except AttributeError:  # a remote session shows no plan statistics
         return None
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -69,7 +72,7 @@ def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str, salts:
     schema = T.StructType([T.StructField(key, facts.schema[key].dataType),
                            T.StructField("_parts", T.IntegerType())])
     # At most HOT_MOST literal rows: Catalyst sees their size and broadcasts them.
-    parts = spark.createDataFrame(list(salts.items()), schema)
+    parts = local_rows(spark, list(salts.items()), schema)
     left = (facts.join(parts, key, "left")
             .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_parts")),
                                             F.lit(0)).cast("int"))
@@ -82,17 +85,16 @@ def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str, salts:
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, *, spread: Sequence[str],
-                how: str = "inner", hot: dict | None = None) -> DataFrame:
+                how: str = "inner", hot: Callable[[], dict] | None = None) -> DataFrame:
     """Join ``facts`` with a table that has one row per ``key``.
 
     A lookup below the session's broadcast limit is left to Catalyst, which broadcasts it. Beyond
-    the limit both sides are shuffled, and hot keys of ``facts`` are salted. ``hot`` may hold
-    hot keys found before; otherwise they are looked for only when they matter.
+    the limit both sides are shuffled, and hot keys of ``facts`` are salted. Hot keys are only
+    looked for when they matter, with ``hot`` where a source knows a shorter way to them.
     """
     if fits_broadcast(lookup):
         return facts.join(lookup, key, how)
-    if hot is None:
-        hot = hot_keys(facts, key)
-    if not hot:
+    found = hot_keys(facts, key) if hot is None else hot()
+    if not found:
         return facts.join(lookup, key, how)
-    return salted_join(facts, lookup, key, how, salts_for(hot), spread)
+    return salted_join(facts, lookup, key, how, salts_for(found), spread)

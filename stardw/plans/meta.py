@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stardw.functions import labels as L
 from stardw.schemas import schema_of
+from stardw.session import local_rows
 from stardw.sources.snapshots import Warehouse
 
 FACT_JOB = "fait_ventes"
@@ -45,7 +46,7 @@ class RunLog:
     def read(self) -> DataFrame:
         schema = schema_of("run_log")
         if not self._exists():
-            return self.spark.createDataFrame([], schema)
+            return local_rows(self.spark, [], schema)
         return self.spark.read.schema(schema).parquet(self.path)
 
     def _new_id(self) -> int:
@@ -70,8 +71,9 @@ class RunLog:
         row = (run.run_id, run.job_name, run.started_at, now(), status,
                run.rows_in if status == "SUCCESS" else None,
                run.rows_out if status == "SUCCESS" else None, error)
-        (self.spark.createDataFrame([row], schema_of("run_log")).coalesce(1)
-         .write.mode("append").parquet(self.path))
+        with self._lock:  # appends share one output folder
+            (local_rows(self.spark, [row], schema_of("run_log")).coalesce(1)
+             .write.mode("append").parquet(self.path))
 
     def latest(self, n: int = 20) -> DataFrame:
         """The last runs and how many second boundaries each crossed."""

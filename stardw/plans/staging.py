@@ -140,9 +140,9 @@ def order_lines(ops: OperationalSource, after: date | None = None,
     product = ops["produit"].select("produit_id", "fournisseur_id")
     line = ["commande_id", "numero_ligne"]
     rows = lookup_join(ops.order_lines(only), ops.orders(after, only), "commande_id",
-                       spread=["numero_ligne", "produit_id"])
-    rows = lookup_join(rows, product, "produit_id", spread=line)
-    rows = lookup_join(rows, client, "client_id", spread=line)
+                       spread=["numero_ligne", "produit_id"], hot=ops.hot_orders)
+    rows = lookup_join(rows, product, "produit_id", spread=line, hot=ops.hot_products)
+    rows = lookup_join(rows, client, "client_id", spread=line, hot=ops.hot_clients)
     return rows.select(*COLUMNS["lignes_commande"])
 
 

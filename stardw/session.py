@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _local_roots: dict[str, str] = {}
 
@@ -18,6 +22,8 @@ def build_session(app: str = "stardw", master: str | None = None, **conf) -> Spa
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # Call sites of Python column calls are only needed to debug; they slow plan building.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app)
@@ -58,3 +64,14 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType,
+               ) -> DataFrame:
+    """A few literal rows as part of the plan, so that Catalyst knows their size."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([row[i] for row in rows], type=field.type)
+               for i, field in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema)

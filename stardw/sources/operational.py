@@ -8,6 +8,11 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stardw.operators.skew import HOT_MIN_ROWS, hot_keys
+
+# Rough number of lines of an order, to tell heavy clients from their orders.
+LINES_PER_ORDER = 4
+
 
 class OperationalSource:
     """``source["client"]`` is the table ``client``.
@@ -18,6 +23,7 @@ class OperationalSource:
 
     def __init__(self, tables: Mapping[str, DataFrame] | Callable[[str], DataFrame]):
         self._tables = tables
+        self._hot: dict[str, dict] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if callable(self._tables):
@@ -36,9 +42,41 @@ class OperationalSource:
         rows = self["ligne_commande"]
         return rows if only is None else rows.filter(F.col("commande_id") == only)
 
+    def unnumbered_lines(self) -> DataFrame:
+        """Order lines for sums, where the line number may be left out."""
+        return self["ligne_commande"]
+
     def price_view(self, name: str = "v_prix_produit_a") -> DataFrame:
         """The view over the price windows, also registered under ``name``."""
         view = self["historique_prix"].select("produit_id", "date_debut", "date_fin", "cout",
                                               "prix_vente")
         view.createOrReplaceTempView(name)
         return view
+
+    # Keys that hold much of the order lines, each found by a pass over one stored column.
+
+    def _find_hot(self, what: str, find: Callable[[], dict]) -> dict:
+        if what not in self._hot:
+            self._hot[what] = find()
+        return self._hot[what]
+
+    def hot_orders(self) -> dict:
+        return self._find_hot("orders", lambda: hot_keys(self["ligne_commande"], "commande_id"))
+
+    def hot_products(self) -> dict:
+        return self._find_hot("products", lambda: hot_keys(self["ligne_commande"], "produit_id"))
+
+    def hot_clients(self) -> dict:
+        """Clients with many orders, and the clients of orders with many lines."""
+        def find() -> dict:
+            hot = {client: n * LINES_PER_ORDER for client, n in hot_keys(
+                self["commande"], "client_id",
+                min_rows=HOT_MIN_ROWS // LINES_PER_ORDER).items()}
+            large = self.hot_orders()
+            if large:
+                # One row per hot order.
+                owners = self["commande"].filter(F.col("commande_id").isin(list(large)))
+                for order, client in owners.select("commande_id", "client_id").collect():
+                    hot[client] = hot.get(client, 0) + large[order]
+            return hot
+        return self._find_hot("clients", find)

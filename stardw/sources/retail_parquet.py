@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stardw.functions import labels as L
 from stardw.operators.ranking import number_by_range, number_in_groups
-from stardw.operators.skew import hot_keys, lookup_join
+from stardw.operators.skew import hot_keys
+from stardw.session import local_rows
 from stardw.sources.operational import OperationalSource
 
 # A list of labels up to this length is numbered on the driver and travels with the plan.
@@ -49,13 +50,19 @@ class RetailParquet(OperationalSource):
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
+        self._built: dict[str, DataFrame] = {}
         super().__init__(self._build)
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._raw[name]
 
     def _build(self, name: str) -> DataFrame:
-        return getattr(self, f"_{name}")()
+        if name not in self._built:
+            self._built[name] = getattr(self, f"_{name}")()
+        return self._built[name]
 
     def _once(self, what: str, find):
         """Small facts about the tables, found once per session."""
@@ -72,7 +79,7 @@ class RetailParquet(OperationalSource):
             .limit(MOST_LABELS + 1).collect()])
         if len(values) <= MOST_LABELS:
             rows = [(i, v) for i, v in enumerate(sorted(values), start=1)]
-            return self.spark.createDataFrame(rows, f"{id_name} int, {name} string")
+            return local_rows(self.spark, rows, f"{id_name} int, {name} string")
         return number_by_range(distinct, [], [name], id_name)
 
     # --- geography ---------------------------------------------------------------------------
@@ -96,7 +103,7 @@ class RetailParquet(OperationalSource):
 
     def _ville(self):
         number = F.col("region_id") * 2 + F.col("k")
-        return (self._region()
+        return (self["region"]
                 .withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
                 .select(number.alias("ville_id"),
                         F.concat(F.lit("V"), _text(number)).alias("nom_ville"),
@@ -115,7 +122,7 @@ class RetailParquet(OperationalSource):
                            _pad(1 + key % 28, 2)).cast("date")
         return (self.raw("customer")
                 .withColumnRenamed("c_mktsegment", "nom_groupe_client")
-                .join(self._groupe_client(), "nom_groupe_client")
+                .join(self["groupe_client"], "nom_groupe_client")
                 .select(
                     key.alias("client_id"), F.lit("Client").alias("nom"),
                     F.col("c_name").alias("prenom"),
@@ -149,7 +156,7 @@ class RetailParquet(OperationalSource):
         return self._numbered_labels("part", "p_type", "ligne_produit_id", "nom_ligne_produit")
 
     def _categorie_produit(self):
-        return (self._ligne_produit()
+        return (self["ligne_produit"]
                 .withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(3))))
                 .select((F.col("ligne_produit_id") * 4 + F.col("k"))
                         .alias("categorie_produit_id"),
@@ -159,7 +166,7 @@ class RetailParquet(OperationalSource):
     def _groupe_produit(self):
         entry, premium = L.PRODUCT_GROUP_PREFIXES
         prefix = F.when(F.col("k") == 0, entry).otherwise(premium)
-        return (self._categorie_produit()
+        return (self["categorie_produit"]
                 .withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
                 .select((F.col("categorie_produit_id") * 2 + F.col("k"))
                         .alias("groupe_produit_id"),
@@ -173,7 +180,7 @@ class RetailParquet(OperationalSource):
                  + F.when(F.col("p_retailprice") >= 950, 1).otherwise(0))
         return (self.raw("part")
                 .withColumnRenamed("p_type", "nom_ligne_produit")
-                .join(self._ligne_produit(), "nom_ligne_produit")
+                .join(self["ligne_produit"], "nom_ligne_produit")
                 .select(key.alias("produit_id"),
                         F.concat("p_name", F.lit(" "), _text(key)).alias("nom_produit"),
                         group.alias("groupe_produit_id"),
@@ -212,27 +219,27 @@ class RetailParquet(OperationalSource):
             F.col("r_regionkey").alias("org_pays_id"), F.col("r_name").alias("nom_org_pays"))
 
     def _org_compagnie(self):
-        return self._org_pays().select(
+        return self["org_pays"].select(
             F.col("org_pays_id").alias("org_compagnie_id"),
             F.concat(F.lit("Compagnie "), "nom_org_pays").alias("nom_org_compagnie"),
             "org_pays_id")
 
     def _org_departement(self):
         names = F.array(*[F.lit(d) for d in L.DEPARTMENTS])
-        return (self._org_compagnie()
+        return (self["org_compagnie"]
                 .select("org_compagnie_id", F.posexplode(names).alias("k", "nom"))
                 .select((F.col("org_compagnie_id") * 6 + F.col("k")).alias("org_departement_id"),
                         F.col("nom").alias("nom_org_departement"), "org_compagnie_id"))
 
     def _org_section(self):
-        return self._org_departement().select(
+        return self["org_departement"].select(
             F.col("org_departement_id").alias("org_section_id"),
             F.concat(F.lit(L.SECTION_PREFIX), "nom_org_departement").alias("nom_org_section"),
             "org_departement_id")
 
     def _org_groupe(self):
         prefixes = F.array(*[F.lit(p) for p in L.ORG_GROUP_PREFIXES])
-        return (self._org_section()
+        return (self["org_section"]
                 .select("org_section_id", "nom_org_section",
                         F.posexplode(prefixes).alias("k", "prefixe"))
                 .select((F.col("org_section_id") * 2 + F.col("k")).alias("org_groupe_id"),
@@ -262,7 +269,7 @@ class RetailParquet(OperationalSource):
 
     def _contrat_employe(self):
         e, k = F.col("employe_id"), F.col("w.k")
-        return (self._employe()
+        return (self["employe"]
                 .filter(e % 7 != 0)
                 .withColumn("w", F.explode(_windows(
                     (0, "1995-01-01", "1996-12-31", "CDD"),
@@ -277,8 +284,8 @@ class RetailParquet(OperationalSource):
 
     def _canal_vente(self):
         """The channels in which there are orders."""
-        channels = self.spark.createDataFrame(
-            L.CHANNELS, "canal_id long, code_canal string, nom_canal string")
+        channels = local_rows(
+            self.spark, L.CHANNELS, "canal_id long, code_canal string, nom_canal string")
         used = self.raw("orders").select((1 + F.col("o_orderkey") % 3).alias("canal_id"))
         return used.distinct().join(channels, "canal_id").select(
             "canal_id", "code_canal", "nom_canal")
@@ -300,10 +307,14 @@ class RetailParquet(OperationalSource):
     def _commande(self):
         return self.orders()
 
-    def hot_orders(self) -> list:
-        """Orders with so many lines that one task should not number them."""
-        return self._once("hot orders",
-                          lambda: list(hot_keys(self.raw("lineitem"), "l_orderkey")))
+    def _find_hot(self, what: str, find) -> dict:
+        return self._once(f"hot {what}", find)
+
+    def hot_orders(self) -> dict:
+        return self._find_hot("orders", lambda: hot_keys(self.raw("lineitem"), "l_orderkey"))
+
+    def hot_products(self) -> dict:
+        return self._find_hot("products", lambda: hot_keys(self.raw("lineitem"), "l_partkey"))
 
     def order_lines(self, only: int | None = None) -> DataFrame:
         """Order lines, renumbered per order since the stored line numbers repeat."""
@@ -311,7 +322,7 @@ class RetailParquet(OperationalSource):
         if only is not None:
             raw = raw.filter(F.col("l_orderkey") == only)
         numbered = number_in_groups(raw, "l_orderkey", LINE_ORDER, "numero_ligne",
-                                    self.hot_orders())
+                                    list(self.hot_orders()))
         return numbered.select(
             F.col("l_orderkey").alias("commande_id"),
             F.col("numero_ligne").cast("int").alias("numero_ligne"),

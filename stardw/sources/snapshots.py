@@ -13,6 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from stardw.session import local_rows
+
 
 class Warehouse:
     """``warehouse["dim_client"]`` is the published table."""
@@ -102,7 +104,7 @@ class Warehouse:
             return self.spark.read.schema(schema).parquet(f"{base}/{entry['lot']}")
         part, parts = entry["partition"], entry["parts"]
         if not parts:
-            return self.spark.createDataFrame([], schema)
+            return local_rows(self.spark, [], schema)
         paths = [f"{base}/{lot}/{part}={value}" for value, lot in sorted(parts.items())]
         return (self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
                 .select(*schema.names))
