@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 def insert_if_absent(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """``table`` with the ``rows`` whose key it does not hold; one of equal new keys is kept."""
-    fresh = rows.join(table.select(*key), list(key), "left_anti").dropDuplicates(list(key))
+    # One row per new key before the join, so a key with many copies is one row of it.
+    fresh = rows.dropDuplicates(list(key)).join(table.select(*key), list(key), "left_anti")
     return table.unionByName(fresh.select(*table.columns))
 
 

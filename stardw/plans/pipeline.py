@@ -14,7 +14,7 @@ from stardw.operators import fact
 from stardw.operators.scd import scd1_reload, scd2_merge
 from stardw.plans import dimensions as D
 from stardw.plans import meta, staging
-from stardw.schemas import DDL, conform, schema_of
+from stardw.schemas import conform, schema_of
 from stardw.session import cut_lineage, local_rows
 from stardw.sources.operational import OperationalSource
 from stardw.sources.snapshots import Warehouse, replace_parts
@@ -135,7 +135,8 @@ def _check_dates(lines: DataFrame, dates: DataFrame) -> None:
                          f"from {outside['d']}")
 
 
-def fact_entry(warehouse: Warehouse, lines: DataFrame, dims, published: dict | None) -> tuple:
+def fact_entry(warehouse: Warehouse, lines: DataFrame, dims, published: dict | None,
+               table: str = meta.FACT_JOB) -> tuple:
     """Entry of the fact with ``lines`` added or replaced, and the number of rows they gave.
 
     A first load writes the fact rows once. A later load writes them apart, then rewrites only
@@ -143,35 +144,35 @@ def fact_entry(warehouse: Warehouse, lines: DataFrame, dims, published: dict | N
     """
     fresh = conform(fact.build_fact(lines, dims), "fait_ventes")
     if published is None or not published["parts"]:
-        entry = warehouse.write("fait_ventes", fresh, fact.PARTITION)
-        return entry, warehouse.open("fait_ventes", entry).count()
+        entry = warehouse.write(table, fresh, fact.PARTITION)
+        return entry, warehouse.open(table, entry).count()
     fresh = cut_lineage(fresh, "fact")
     rows = fresh.count()
     if not rows:
         return published, 0
-    existing = warehouse.open("fait_ventes", published)
+    existing = warehouse.open(table, published)
     touched = fact.touched_months(existing, fresh)
     months = existing.filter(F.col(fact.PARTITION).isin(touched))
-    entry = warehouse.write("fait_ventes", fact.upsert(months, fresh), fact.PARTITION)
+    entry = warehouse.write(table, fact.upsert(months, fresh), fact.PARTITION)
     return replace_parts(published, entry, touched), rows
 
 
 def load_fact(warehouse: Warehouse, log: meta.RunLog, lines: DataFrame, entries: dict,
-              job: str = meta.FACT_JOB) -> dict:
+              table: str = meta.FACT_JOB) -> dict:
     """Entries of the fact and of its high-water mark, unpublished."""
     dims = {d: warehouse.open(d, entries[d]) for d in fact.LOOKUPS}
-    with log.run(job) as run:
+    with log.run(table) as run:
         run.rows_in = lines.count()
         dates = warehouse.open("dim_date", entries["dim_date"])
         _check_dates(lines, dates.select("date_complete"))
         entry, run.rows_out = fact_entry(warehouse, lines, dims,
-                                         warehouse.manifest().get("fait_ventes"))
+                                         warehouse.manifest().get(table), table)
         marks = (warehouse["watermark"] if "watermark" in warehouse
                  else local_rows(warehouse.spark, [], schema_of("watermark")))
         highest = lines.agg(F.max("date_commande").alias("jour"))
         mark_entry = warehouse.write("watermark", conform(
-            meta.merged_watermark(marks, job, highest, meta.now()), "watermark").coalesce(1))
-    return {"fait_ventes": entry, "watermark": mark_entry}
+            meta.merged_watermark(marks, table, highest, meta.now()), "watermark").coalesce(1))
+    return {table: entry, "watermark": mark_entry}
 
 
 def run(ops: OperationalSource, warehouse: Warehouse, as_of: date, *,
@@ -212,7 +213,7 @@ def wipe(warehouse: Warehouse) -> None:
     spark = warehouse.spark
     maps = {f"cles_{dim}": local_rows(spark, [], f"{natural} bigint, {cle} bigint")
             for dim, (_, natural, cle) in D.OVERWRITTEN.items()}
-    empty = {t: local_rows(spark, [], schema_of(t)) for t in DDL if t != "run_log"}
+    empty = {t: local_rows(spark, [], schema_of(t)) for t in [*D.TABLES, "watermark"]}
     warehouse.commit({
         t: warehouse.write(t, df, fact.PARTITION if t == "fait_ventes" else None)
         for t, df in {**empty, **maps}.items()})

@@ -39,6 +39,11 @@ DDL = {
                    "pct_remise decimal(5,4), montant_brut decimal(14,2), "
                    "montant_remise decimal(14,2), montant_net decimal(14,2), "
                    "montant_cout decimal(14,2), montant_marge decimal(14,2), mois_cle int",
+    "lignes_commande": "commande_id bigint, numero_ligne int, date_commande date, "
+                       "client_id bigint, employe_id bigint, canal_id bigint, "
+                       "produit_id bigint, fournisseur_id bigint, cli_ville_id bigint, "
+                       "quantite decimal(12,3), prix_unitaire decimal(12,2), "
+                       "cout_unitaire decimal(12,2), pct_remise decimal(5,4)",
     "watermark": "job_name string, last_value timestamp_ntz, updated_at timestamp_ntz",
     "run_log": "run_id bigint, job_name string, started_at timestamp_ntz, "
                "ended_at timestamp_ntz, status string, rows_in bigint, rows_out bigint, "
