@@ -20,7 +20,7 @@ from stardw.functions import labels as L
 from stardw.operators import fact, keys, quality, scd, tables
 from stardw.plans import analytics, dimensions, meta, pipeline, pricing, staging, verify
 from stardw.schemas import conform
-from stardw.session import scratch_dir
+from stardw.session import cut_lineage, scratch_dir
 from stardw.sources.delimited import bulk_lines
 from stardw.sources.operational import OperationalSource
 from stardw.sources.retail_parquet import RetailParquet
@@ -94,20 +94,29 @@ def second_employees(ops: OperationalSource) -> OperationalSource:
                  .withColumn("salaire", raised))
 
 
+def _two_loads(versions: Callable[[int], DataFrame], natural: str, cle: str, first: date,
+               second: date) -> DataFrame:
+    """The history after two loads. What each load stages and leaves is written, as the pipeline
+    does, so that the second starts from a stored history."""
+    before = cut_lineage(scd.scd2_merge(
+        None, cut_lineage(versions(1), "lot1"), natural, cle, first), cle)
+    return scd.scd2_merge(before, cut_lineage(versions(2), "lot2"), natural, cle, second,
+                          cut=cut_lineage)
+
+
 def client_history(ops: OperationalSource, first: date, second: date) -> DataFrame:
-    before = scd.scd2_merge(None, dimensions.client_versions(
-        staging.clients(first_clients(ops)), first), "client_id", "cle_client", first)
-    return scd.scd2_merge(before, dimensions.client_versions(
-        staging.clients(second_clients(ops)), second), "client_id", "cle_client", second)
+    def versions(load: int) -> DataFrame:
+        arrived, day = (first_clients(ops), first) if load == 1 else (second_clients(ops), second)
+        return dimensions.client_versions(staging.clients(arrived), day)
+    return _two_loads(versions, "client_id", "cle_client", first, second)
 
 
 def employee_history(ops: OperationalSource, first: date, second: date) -> DataFrame:
-    before = scd.scd2_merge(None, dimensions.employee_versions(
-        staging.employees(first_employees(ops), first), first),
-        "employe_id", "cle_employe", first)
-    return scd.scd2_merge(before, dimensions.employee_versions(
-        staging.employees(second_employees(ops), second), second),
-        "employe_id", "cle_employe", second)
+    def versions(load: int) -> DataFrame:
+        arrived, day = ((first_employees(ops), first) if load == 1
+                        else (second_employees(ops), second))
+        return dimensions.employee_versions(staging.employees(arrived, day), day)
+    return _two_loads(versions, "employe_id", "cle_employe", first, second)
 
 
 # --- queries of the operational tables -----------------------------------------------------------

@@ -22,6 +22,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     # --- files -------------------------------------------------------------------------------
 
@@ -97,7 +98,14 @@ class Warehouse:
                 "parts": {n.split("=")[1]: lot for n in names}}
 
     def open(self, table: str, entry: dict) -> DataFrame:
-        """The DataFrame of an entry, published or not."""
+        """The DataFrame of an entry, published or not. Written folders never change, so their
+        files are listed once."""
+        known = json.dumps([table, entry], sort_keys=True)
+        if known not in self._opened:
+            self._opened[known] = self._open(table, entry)
+        return self._opened[known]
+
+    def _open(self, table: str, entry: dict) -> DataFrame:
         base = f"{self.root}/{table}"
         schema = T.StructType.fromJson(entry["schema"])
         if "partition" not in entry:
