@@ -31,26 +31,22 @@ def scd2_changes(current: DataFrame, staged: DataFrame, natural_key: str, cle: s
     A vanished natural key keeps its current version.
     """
     attributes = [c for c in staged.columns if c not in (natural_key, "hash_ligne")]
-    day = F.lit(as_of)
     c, s = current.alias("c"), staged.alias("s")
     present = F.col(f"c.{cle}").isNotNull()
     arrived = F.col("s.hash_ligne").isNotNull()
     changed = present & arrived & (F.col("c.hash_ligne") != F.col("s.hash_ligne"))
     opened = arrived & (~present | changed)
 
-    kept = F.struct(
-        F.col(f"c.{cle}").alias(cle), F.col(f"c.{natural_key}").alias(natural_key),
-        *[F.col(f"c.{a}").alias(a) for a in attributes],
-        F.col("c.effectif_du").alias("effectif_du"),
-        F.when(changed, day).otherwise(F.col("c.effectif_au")).alias("effectif_au"),
-        (~changed).alias("est_courant"),
-        F.col("c.hash_ligne").alias("hash_ligne"))
-    added = F.struct(
-        F.lit(None).cast(current.schema[cle].dataType).alias(cle),
-        F.col(f"s.{natural_key}").alias(natural_key),
-        *[F.col(f"s.{a}").alias(a) for a in attributes],
-        day.alias("effectif_du"), F.lit(None).cast("date").alias("effectif_au"),
-        F.lit(True).alias("est_courant"), F.col("s.hash_ligne").alias("hash_ligne"))
+    closing = f"case when c.hash_ligne <> s.hash_ligne then date'{as_of}' else c.effectif_au end"
+    kept = F.expr(f"struct(c.{cle}, c.{natural_key}, "
+                  + "".join(f"c.{a}, " for a in attributes)
+                  + f"c.effectif_du, {closing} as effectif_au, "
+                  "coalesce(c.hash_ligne = s.hash_ligne, true) as est_courant, c.hash_ligne)")
+    key_type = current.schema[cle].dataType.simpleString()
+    added = F.expr(f"struct(cast(null as {key_type}) as {cle}, s.{natural_key}, "
+                   + "".join(f"s.{a}, " for a in attributes)
+                   + f"date'{as_of}' as effectif_du, cast(null as date) as effectif_au, "
+                   "true as est_courant, s.hash_ligne)")
     versions = F.array_compact(F.array(F.when(present, kept), F.when(opened, added)))
     return (c.join(s, F.col(f"c.{natural_key}") == F.col(f"s.{natural_key}"), "full_outer")
             .select(F.inline(versions)))

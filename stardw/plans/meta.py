@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import threading
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -34,25 +35,29 @@ class Run:
 
 
 class RunLog:
-    """Appended to on its own, so a failed load leaves its trace. One driver writes at a time."""
+    """One small file per run, apart from the manifest, so a failed load leaves its trace.
+
+    One driver writes at a time; a second one would fail on a run number that is taken.
+    """
 
     def __init__(self, warehouse: Warehouse):
         self.spark: SparkSession = warehouse.spark
+        self.warehouse = warehouse
         self.path = f"{warehouse.root}/_run_log"
         self._lock = threading.Lock()
         self._next: int | None = None
-        self._exists = lambda: bool(warehouse._list(self.path))
 
     def read(self) -> DataFrame:
         schema = schema_of("run_log")
-        if not self._exists():
+        if not self.warehouse._list(self.path):
             return local_rows(self.spark, [], schema)
-        return self.spark.read.schema(schema).parquet(self.path)
+        return self.spark.read.schema(schema).json(self.path)
 
     def _new_id(self) -> int:
         with self._lock:
             if self._next is None:
-                self._next = (self.read().agg(F.max("run_id")).first()[0] or 0) + 1
+                names = self.warehouse._list(self.path)
+                self._next = 1 + max((int(n.split(".")[0]) for n in names), default=0)
             run_id, self._next = self._next, self._next + 1
             return run_id
 
@@ -68,12 +73,12 @@ class RunLog:
         self._append(run, "SUCCESS", None)
 
     def _append(self, run: Run, status: str, error: str | None) -> None:
-        row = (run.run_id, run.job_name, run.started_at, now(), status,
-               run.rows_in if status == "SUCCESS" else None,
-               run.rows_out if status == "SUCCESS" else None, error)
-        with self._lock:  # appends share one output folder
-            (local_rows(self.spark, [row], schema_of("run_log")).coalesce(1)
-             .write.mode("append").parquet(self.path))
+        done = status == "SUCCESS"
+        self.warehouse._publish_text(f"{self.path}/{run.run_id:012d}.json", json.dumps({
+            "run_id": run.run_id, "job_name": run.job_name,
+            "started_at": run.started_at.isoformat(), "ended_at": now().isoformat(),
+            "status": status, "rows_in": run.rows_in if done else None,
+            "rows_out": run.rows_out if done else None, "error_msg": error}))
 
     def latest(self, n: int = 20) -> DataFrame:
         """The last runs and how many second boundaries each crossed."""

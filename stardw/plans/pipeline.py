@@ -20,7 +20,7 @@ from stardw.sources.operational import OperationalSource
 from stardw.sources.snapshots import Warehouse, replace_parts
 
 # Jobs launched side by side; each is a Spark job of its own.
-PARALLEL_JOBS = 4
+PARALLEL_JOBS = 8
 
 
 def _side_by_side(spark: SparkSession, work: dict) -> dict:

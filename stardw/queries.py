@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,16 +55,16 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
 
 def portable(df: DataFrame) -> DataFrame:
     """Plain types, which two engines can compare: bigint, double, text, boolean, date."""
-    def plain(field: T.StructField) -> Column:
-        col = F.col(field.name)
-        if isinstance(field.dataType, T.DecimalType | T.FloatType):
-            col = col.cast("double")
-        elif isinstance(field.dataType, T.ByteType | T.ShortType | T.IntegerType):
-            col = col.cast("bigint")
-        elif isinstance(field.dataType, T.TimestampType | T.TimestampNTZType):
-            col = col.cast("string")
-        return col.alias(field.name)
-    return df.select(*[plain(f) for f in df.schema])
+    def plain(field: T.StructField) -> str:
+        kind = field.dataType
+        if isinstance(kind, T.DecimalType | T.FloatType):
+            return f"cast({field.name} as double) {field.name}"
+        if isinstance(kind, T.ByteType | T.ShortType | T.IntegerType):
+            return f"cast({field.name} as bigint) {field.name}"
+        if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+            return f"cast({field.name} as string) {field.name}"
+        return field.name
+    return df.selectExpr(*[plain(f) for f in df.schema])
 
 
 # --- arrivals: the tables as a first and a second load find them ---------------------------------
@@ -387,9 +387,9 @@ OF_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
 def _rounded(df: DataFrame) -> DataFrame:
     """Doubles that come out of floating-point sums, to the digits that do not depend on the
     order of summation."""
-    return df.select(*[
-        F.round(F.col(f.name), 4).alias(f.name) if isinstance(f.dataType, T.DoubleType)
-        else F.col(f.name) for f in df.schema])
+    return df.selectExpr(*[
+        f"round({f.name}, 4) {f.name}" if isinstance(f.dataType, T.DoubleType) else f.name
+        for f in df.schema])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _HISTORY = "effectif_du date, effectif_au date, est_courant boolean, hash_ligne string"
@@ -56,5 +55,5 @@ def schema_of(table: str) -> T.StructType:
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """The declared columns in their declared order and types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema_of(table)])
+    """The declared columns in their declared order and types; a value that does not fit fails."""
+    return df.to(schema_of(table))
