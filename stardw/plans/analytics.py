@@ -16,12 +16,15 @@ from stardw.functions import labels as L
 from stardw.operators.fact import LINE_KEY
 from stardw.operators.ranking import number_by_range
 from stardw.operators.skew import fits_broadcast, lookup_join
+from stardw.session import cut_lineage
 
 Tables = Mapping[str, DataFrame]
 
 # Up to this many aggregated rows, a ranking is one window; beyond, a distributed sort.
 MOST_RANKED_AT_ONCE = 1_000_000
 
+ALL_LINES = "*"
+
 
 def _sum(column: str, name: str) -> Column:
     return F.sum(column).alias(name)
@@ -70,13 +73,17 @@ def declining_products(dw: Tables, top: int = 20) -> DataFrame:
 
 def marginal_products(dw: Tables, country: str, year: int,
                       threshold: str = "0.001") -> DataFrame:
-    """Q3. Products below a share of the revenue of a country in a year."""
+    """Q3. Products below a share of the revenue of a country in a year.
+
+    The sums per product are written, as both the total and the shares are taken from them.
+    """
     places = dw["dim_geographie"].filter(F.col("nom_pays") == country).select(
         F.col("cle_geographie").alias("cle_geographie_client"))
     days = dw["dim_date"].filter(F.col("annee") == year).select("cle_date")
-    per_product = (_of_year(dw["fait_ventes"], year)
-                   .join(places, "cle_geographie_client").join(days, "cle_date")
-                   .groupBy("cle_produit").agg(_sum("montant_net", "ca")))
+    per_product = cut_lineage(
+        _of_year(dw["fait_ventes"], year)
+        .join(places, "cle_geographie_client").join(days, "cle_date")
+        .groupBy("cle_produit").agg(_sum("montant_net", "ca")), "q3")
     total = F.nullif(per_product.agg(F.sum("ca")).scalar(), F.lit(0))
     return (per_product.withColumn("total", total)
             .filter(F.col("ca") / F.col("total") < F.expr(f"{threshold}BD"))
@@ -245,30 +252,29 @@ def eta_squared(dw: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("montant_net").alias("s"),
         (F.var_pop(F.col("montant_net").cast("double")) * F.count(F.lit(1))).alias("q"))
 
-    # One row per level of each variable, and the one of all cells (variable NULL).
-    sets = cells.groupingSets([[v] for v in variables] + [[]], *variables).agg(
-        F.grouping_id().alias("g"), F.sum("n").alias("n"),
-        F.sum("s").cast("double").alias("s"), F.sum("q").alias("q"),
-        # Of each cell: n * mean^2, to move the deviations to the common mean.
-        F.sum(F.col("s").cast("double") * (F.col("s").cast("double") / F.col("n"))).alias("m"))
+    # One row per level of each variable, and one for all lines. The squared deviations of
+    # parts with sums s and counts n from their common mean are sum(s^2 / n) - S^2 / N.
+    square = F.col("s").cast("double") * F.col("s").cast("double") / F.col("n")
+    levels = cells.withColumn("m", square).groupingSets(
+        [[v] for v in variables] + [[]], *variables).agg(
+            F.grouping_id().alias("g"), F.sum("n").alias("n"), F.sum("s").alias("s"),
+            (F.sum("q") + F.sum("m")).alias("squares"))
     everything = 2 ** len(variables) - 1
-    which = None
+    which = F.when(F.col("g") == everything, F.lit(ALL_LINES))
     for i, name in enumerate(variables):
-        alone = everything - 2 ** (len(variables) - 1 - i)
-        which = (F if which is None else which).when(F.col("g") == alone, F.lit(name))
-    total = sets.filter(F.col("g") == everything).select(
-        (F.col("s") / F.col("n")).alias("mean"),
-        # Squared deviations of all lines from the overall mean.
-        (F.col("q") + F.col("m") - F.col("s") * F.col("s") / F.col("n")).alias("st"))
-    mean = total.select("mean").scalar()
-    spread = total.select("st").scalar()
-    levels = sets.filter(F.col("g") != everything).select(
-        which.alias("variable"),
-        (F.col("n") * F.pow(F.col("s") / F.col("n") - mean, F.lit(2))).alias("between"))
-    return (levels.groupBy("variable")
-            .agg((F.sum("between")).alias("ss"))
-            .select("variable",
-                    F.round(F.col("ss") / F.nullif(spread, F.lit(0.0)), 4).alias("eta_carre"))
+        which = which.when(F.col("g") == everything - 2 ** (len(variables) - 1 - i), F.lit(name))
+    per_variable = (levels.withColumn("m", square).groupBy(which.alias("variable"))
+                    .agg(F.sum("m").alias("m"), F.sum("squares").alias("squares")))
+    # Eight rows from here on.
+    is_total = F.col("variable") == ALL_LINES
+    everywhere = Window.partitionBy()
+    base = F.max(F.when(is_total, F.col("m"))).over(everywhere)
+    squares = F.max(F.when(is_total, F.col("squares"))).over(everywhere)
+    return (per_variable
+            .select("variable", F.round((F.col("m") - base)
+                                        / F.nullif(squares - base, F.lit(0.0)), 4)
+                    .alias("eta_carre"))
+            .filter(~is_total)
             .orderBy(F.desc_nulls_last("eta_carre"), "variable"))
 
 

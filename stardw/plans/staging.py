@@ -138,11 +138,13 @@ def order_lines(ops: OperationalSource, after: date | None = None,
     """
     client = ops["client"].select("client_id", F.col("ville_id").alias("cli_ville_id"))
     product = ops["produit"].select("produit_id", "fournisseur_id")
-    line = ["commande_id", "numero_ligne"]
-    rows = lookup_join(ops.order_lines(only), ops.orders(after, only), "commande_id",
+    # The client's place joins the orders, of which there are fewer than lines.
+    orders = lookup_join(ops.orders(after, only), client, "client_id", spread=["commande_id"],
+                         hot=ops.hot_clients)
+    rows = lookup_join(ops.order_lines(only), orders, "commande_id",
                        spread=["numero_ligne", "produit_id"], hot=ops.hot_orders)
-    rows = lookup_join(rows, product, "produit_id", spread=line, hot=ops.hot_products)
-    rows = lookup_join(rows, client, "client_id", spread=line, hot=ops.hot_clients)
+    rows = lookup_join(rows, product, "produit_id", spread=["commande_id", "numero_ligne"],
+                       hot=ops.hot_products)
     return rows.select(*COLUMNS["lignes_commande"])
 
 

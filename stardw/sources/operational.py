@@ -8,10 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stardw.operators.skew import HOT_MIN_ROWS, hot_keys
-
-# Rough number of lines of an order, to tell heavy clients from their orders.
-LINES_PER_ORDER = 4
+from stardw.operators.skew import hot_keys
 
 
 class OperationalSource:
@@ -53,7 +50,7 @@ class OperationalSource:
         view.createOrReplaceTempView(name)
         return view
 
-    # Keys that hold much of the order lines, each found by a pass over one stored column.
+    # Keys that hold many lines or orders, each found by a pass over one stored column.
 
     def _find_hot(self, what: str, find: Callable[[], dict]) -> dict:
         if what not in self._hot:
@@ -67,16 +64,4 @@ class OperationalSource:
         return self._find_hot("products", lambda: hot_keys(self["ligne_commande"], "produit_id"))
 
     def hot_clients(self) -> dict:
-        """Clients with many orders, and the clients of orders with many lines."""
-        def find() -> dict:
-            hot = {client: n * LINES_PER_ORDER for client, n in hot_keys(
-                self["commande"], "client_id",
-                min_rows=HOT_MIN_ROWS // LINES_PER_ORDER).items()}
-            large = self.hot_orders()
-            if large:
-                # One row per hot order.
-                owners = self["commande"].filter(F.col("commande_id").isin(list(large)))
-                for order, client in owners.select("commande_id", "client_id").collect():
-                    hot[client] = hot.get(client, 0) + large[order]
-            return hot
-        return self._find_hot("clients", find)
+        return self._find_hot("clients", lambda: hot_keys(self["commande"], "client_id"))
