@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stardw.functions import exprs as E
-from stardw.operators.skew import lookup_join
+from stardw.operators.skew import hot_keys, lookup_join
 
 LINE_KEY = ["commande_id", "numero_ligne"]
 MEASURES = ["montant_brut", "montant_remise", "montant_net", "montant_cout", "montant_marge"]
@@ -43,7 +43,10 @@ def resolve_keys(lines: DataFrame, dims: Mapping[str, DataFrame], how: str = "in
     """Add the six looked-up keys; small dimensions first, so that they filter early."""
     rows = lines
     for dim, spec in LOOKUPS.items():
-        rows = lookup_join(rows, _lookup(dims[dim], *spec), spec[0], spread=LINE_KEY, how=how)
+        column = spec[0]
+        # Hot keys are looked for in the lines alone, which needs one column and no join.
+        rows = lookup_join(rows, _lookup(dims[dim], *spec), column, spread=LINE_KEY, how=how,
+                           hot=lambda column=column: hot_keys(lines, column))
     return rows
 
 
@@ -78,9 +81,16 @@ def reject_report(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def touched_months(existing: DataFrame, fresh: DataFrame) -> list[int]:
-    """Months that a reload changes: those of the fresh rows, and those of rows they replace."""
+    """Months that a reload changes: those of the fresh rows, and those of rows they replace.
+
+    The rows replaced are looked for between the lowest and highest order number that arrived.
+    Fact files are sorted by order number, so the scan skips the files of other orders.
+    """
     keys = fresh.select(*LINE_KEY)
-    moved = existing.select(*LINE_KEY, PARTITION).join(keys, LINE_KEY, "left_semi")
+    low, high = fresh.agg(F.min("commande_id"), F.max("commande_id")).first()
+    moved = (existing.select(*LINE_KEY, PARTITION)
+             .filter(F.col("commande_id").between(low, high))
+             .join(keys, LINE_KEY, "left_semi"))
     months = moved.select(PARTITION).union(fresh.select(PARTITION)).distinct()
     # As many values as the calendar has months.
     return sorted(r[0] for r in months.collect())

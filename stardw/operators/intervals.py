@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from stardw.operators.skew import lookup_join
 
 def window_at(rows: DataFrame, windows: DataFrame, key: str, day: str, *, start: str, end: str,
               first_by: Sequence[str], values: Sequence[str], spread: Sequence[str],
-              closed: bool = True) -> DataFrame:
+              closed: bool = True, hot: Callable[[], dict] | None = None) -> DataFrame:
     """Add ``values`` of the first window of ``key`` that contains ``day``; NULL without one.
 
     Windows are [start, end] or, with ``closed=False``, [start, end); a NULL end is open.
@@ -37,7 +37,7 @@ def window_at(rows: DataFrame, windows: DataFrame, key: str, day: str, *, start:
         before_end = F.col(day) <= w[end] if closed else F.col(day) < w[end]
         return (w[start] <= F.col(day)) & (w[end].isNull() | before_end)
 
-    joined = lookup_join(rows, gathered, key, spread=spread, how="left")
+    joined = lookup_join(rows, gathered, key, spread=spread, how="left", hot=hot)
     hit = F.get(F.filter("_windows", holds), F.lit(0))
     return (joined.withColumn("_hit", hit)
             .select(*rows.columns, *[F.col(f"_hit.{v}").alias(v) for v in values]))

@@ -17,8 +17,6 @@ HOT_MIN_ROWS = 1_000_000
 # below HOT_SHARE.
 HOT_TRACKED = 20_000
 HOT_MOST = int(1 / HOT_SHARE)
-# Copies of the lookup row of one hot key, at most.
-MOST_SALTS = 4096
 
 
 def plan_size(df: DataFrame) -> int | None:
@@ -56,8 +54,9 @@ def hot_keys(df: DataFrame, key: str, *, share: float = HOT_SHARE,
 
 
 def salts_for(hot: dict, rows_per_part: int = HOT_MIN_ROWS) -> dict:
-    return {key: max(2, min(MOST_SALTS, -(-count // rows_per_part)))
-            for key, count in hot.items()}
+    """Tasks to spread each hot key over. Together these are at most rows / rows_per_part, and
+    one more per hot key."""
+    return {key: max(2, -(-count // rows_per_part)) for key, count in hot.items()}
 
 
 def salted_join(facts: DataFrame, lookup: DataFrame, key: str, how: str, salts: dict,

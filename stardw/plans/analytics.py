@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stardw.functions import labels as L
 from stardw.operators.fact import LINE_KEY
 from stardw.operators.ranking import number_by_range
-from stardw.operators.skew import fits_broadcast, lookup_join
+from stardw.operators.skew import fits_broadcast, hot_keys, lookup_join
 from stardw.session import cut_lineage
 
 Tables = Mapping[str, DataFrame]
@@ -241,11 +241,13 @@ def eta_squared(dw: Tables) -> DataFrame:
         "cle_produit", F.col("nom_ligne_produit").alias("ligne_produit"),
         F.col("nom_categorie_produit").alias("categorie_produit"))
     channels = dw["dim_canal"].select("cle_canal", F.col("code_canal").alias("canal"))
-    lines = (dw["fait_ventes"].join(employees, "cle_employe")
-             .join(places, "cle_geographie_client").join(channels, "cle_canal"))
-    lines = lookup_join(lines, products, "cle_produit", spread=LINE_KEY)
-    lines = lookup_join(lines, dw["dim_client"].select("cle_client", "groupe_client"),
-                        "cle_client", spread=LINE_KEY)
+    clients = dw["dim_client"].select("cle_client", "groupe_client")
+    lines = sales = dw["fait_ventes"]
+    for dim, key in [(channels, "cle_canal"), (places, "cle_geographie_client"),
+                     (employees, "cle_employe"), (products, "cle_produit"),
+                     (clients, "cle_client")]:
+        lines = lookup_join(lines, dim, key, spread=LINE_KEY,
+                            hot=lambda key=key: hot_keys(sales, key))
     variables = ["ligne_produit", "categorie_produit", "groupe_client", "canal", "sexe_emp",
                  "tranche_salaire_emp", "pays_client"]
     cells = lines.groupBy(*variables).agg(

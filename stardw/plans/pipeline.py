@@ -144,7 +144,7 @@ def fact_entry(warehouse: Warehouse, lines: DataFrame, dims, published: dict | N
     """
     fresh = conform(fact.build_fact(lines, dims), "fait_ventes")
     if published is None or not published["parts"]:
-        entry = warehouse.write(table, fresh, fact.PARTITION)
+        entry = warehouse.write(table, fresh, fact.PARTITION, fact.LINE_KEY[0])
         return entry, warehouse.open(table, entry).count()
     fresh = cut_lineage(fresh, "fact")
     rows = fresh.count()
@@ -153,7 +153,8 @@ def fact_entry(warehouse: Warehouse, lines: DataFrame, dims, published: dict | N
     existing = warehouse.open(table, published)
     touched = fact.touched_months(existing, fresh)
     months = existing.filter(F.col(fact.PARTITION).isin(touched))
-    entry = warehouse.write(table, fact.upsert(months, fresh), fact.PARTITION)
+    entry = warehouse.write(table, fact.upsert(months, fresh), fact.PARTITION,
+                            fact.LINE_KEY[0])
     return replace_parts(published, entry, touched), rows
 
 
@@ -190,7 +191,8 @@ def run(ops: OperationalSource, warehouse: Warehouse, as_of: date, *,
     entries = load_dimensions(warehouse, log, staged, as_of, span)
     entries.update(load_fact(warehouse, log, staged["lignes_commande"], entries))
     with log.run("publication") as published:
-        warehouse.commit(entries)
+        # The staging tables of the last run stay readable until they expire.
+        warehouse.commit({**entries, "staging": staged.entries})
         published.rows_in = published.rows_out = warehouse["fait_ventes"].count()
 
 

@@ -23,7 +23,7 @@ def price_at_date(ops: OperationalSource) -> DataFrame:
     """Cost and price of each line's product on the order day; a default outside all windows."""
     found = window_at(dated_lines(ops), ops["historique_prix"], "produit_id", "date_commande",
                       start="date_debut", end="date_fin", first_by=["date_debut", "prix_id"],
-                      values=["cout", "prix_vente"], spread=LINE_KEY)
+                      values=["cout", "prix_vente"], spread=LINE_KEY, hot=ops.hot_products)
     money = "decimal(12,2)"
     return found.withColumns({
         "cout": F.coalesce("cout", F.lit(L.DEFAULT_COST).cast(money)),
@@ -34,7 +34,7 @@ def discount_at_date(ops: OperationalSource) -> DataFrame:
     """Discount of each line's product on the order day: the first stored one, or none."""
     found = window_at(dated_lines(ops), ops["remise_produit"], "produit_id", "date_commande",
                       start="date_debut", end="date_fin", first_by=["remise_id"],
-                      values=["pct_remise"], spread=LINE_KEY)
+                      values=["pct_remise"], spread=LINE_KEY, hot=ops.hot_products)
     return found.withColumn("pct_remise", F.coalesce(
         "pct_remise", F.lit(0).cast("decimal(5,4)")))
 

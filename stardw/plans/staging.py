@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stardw.functions import exprs as E
-from stardw.operators.skew import lookup_join
+from stardw.operators.skew import hot_keys, lookup_join
+from stardw.session import cut_lineage
 from stardw.sources.operational import OperationalSource
 
 # Columns of each staging table, in their fixed order.
@@ -63,8 +64,10 @@ def products(ops: OperationalSource) -> DataFrame:
             .join(ops["ligne_produit"], "ligne_produit_id")
             .select("groupe_produit_id", "nom_groupe_produit", "nom_categorie_produit",
                     "nom_ligne_produit"))
+    # Written, so that Catalyst knows its size: estimates of joins are far too large.
+    tree = cut_lineage(tree, "arbre")
     supplier = ops["fournisseur"].select("fournisseur_id", "nom_fournisseur")
-    rows = ops["produit"].join(tree, "groupe_produit_id")
+    rows = lookup_join(ops["produit"], tree, "groupe_produit_id", spread=["produit_id"])
     rows = lookup_join(rows, supplier, "fournisseur_id", spread=["produit_id"])
     return (rows.withColumn("fournisseur_id_naturel", F.col("fournisseur_id"))
             .select(*COLUMNS["produit_full"]))
@@ -75,11 +78,12 @@ def clients(ops: OperationalSource) -> DataFrame:
     cards = ops["carte_fidelite"].select("client_id", "carte_fidelite_id")
     groups = ops["groupe_client"].select(
         "groupe_client_id", F.col("nom_groupe_client").alias("groupe_client"))
-    places = geography(ops).select("ville_id", "nom_ville", "nom_pays", "nom_continent")
-    return (ops["client"]
-            .join(groups, "groupe_client_id", "left")
-            .join(cards, "client_id", "left")
-            .join(places, "ville_id")
+    places = cut_lineage(
+        geography(ops).select("ville_id", "nom_ville", "nom_pays", "nom_continent"), "lieux")
+    rows = ops["client"].join(groups, "groupe_client_id", "left").join(
+        cards, "client_id", "left")
+    return (lookup_join(rows, places, "ville_id", spread=["client_id"],
+                        hot=lambda: hot_keys(ops["client"], "ville_id"))
             .withColumn("nom_complet", E.full_name(F.col("nom"), F.col("prenom")))
             .withColumn("a_carte_fidelite", F.col("carte_fidelite_id").isNotNull())
             .select(*COLUMNS["client_full"]))

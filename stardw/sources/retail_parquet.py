@@ -118,8 +118,8 @@ class RetailParquet(OperationalSource):
 
     def _client(self):
         key = F.col("c_custkey")
-        born = F.concat_ws("-", _text(1940 + key % 60), _pad(1 + key % 12, 2),
-                           _pad(1 + key % 28, 2)).cast("date")
+        born = F.make_date(*[part.cast("int") for part in (
+            1940 + key % 60, 1 + key % 12, 1 + key % 28)])
         return (self.raw("customer")
                 .withColumnRenamed("c_mktsegment", "nom_groupe_client")
                 .join(self["groupe_client"], "nom_groupe_client")
@@ -337,7 +337,7 @@ class RetailParquet(OperationalSource):
     def _line_values() -> list[Column]:
         # Unit price in whole cents, in integers: doubles would round differently elsewhere.
         cents = (F.col("l_extendedprice").cast("decimal(12,2)") * 100).cast("bigint")
-        quantity = F.col("l_quantity").cast("bigint")
+        quantity = F.nullif(F.col("l_quantity").cast("bigint"), F.lit(0))
         price = (F.call_function("div", cents - cents % quantity, quantity)
                  * F.expr("0.01BD")).cast("decimal(12,2)")
         return [

@@ -75,6 +75,39 @@ class Warehouse:
         text = json.dumps({**self.manifest(), **entries}, sort_keys=True)
         self._publish_text(f"{self.root}/_manifest/{following:010d}.json", text)
 
+    def expire(self, keep: int = 7) -> list[str]:
+        """Delete the folders that the last ``keep`` manifests do not name, and older manifests.
+
+        Not to be called while a load or a reader of an older manifest is at work.
+        """
+        versions = self._versions()
+        named: set[str] = set()
+
+        def collect(value) -> None:
+            if isinstance(value, dict):
+                for v in value.values():
+                    collect(v)
+            elif isinstance(value, str) and value.startswith("lot="):
+                named.add(value)
+
+        for version in versions[-keep:]:
+            collect(json.loads(self._read_text(f"{self.root}/_manifest/{version}")))
+        gone = []
+        for table in self._list(self.root):
+            if table.startswith("_"):
+                continue
+            inner = [f"{table}/{n}" for n in self._list(f"{self.root}/{table}")]
+            if table == "staging":
+                inner = [f"{t}/{n}" for t in inner for n in self._list(f"{self.root}/{t}")]
+            gone += [p for p in inner if p.split("/")[-1].startswith("lot=")
+                     and p.split("/")[-1] not in named]
+        gone += [f"_manifest/{v}" for v in versions[:-keep]]
+        for path in gone:
+            fs, at = self._fs(f"{self.root}/{path}")
+            fs.delete(at, True)
+        self._opened.clear()
+        return gone
+
     def __contains__(self, table: str) -> bool:
         return table in self.manifest()
 
@@ -83,8 +116,10 @@ class Warehouse:
 
     # --- tables ------------------------------------------------------------------------------
 
-    def write(self, table: str, df: DataFrame, partition: str | None = None) -> dict:
-        """Write a new folder for ``table`` and give its entry, still unpublished."""
+    def write(self, table: str, df: DataFrame, partition: str | None = None,
+              order: str | None = None) -> dict:
+        """Write a new folder for ``table`` and give its entry, still unpublished. Files of a
+        partitioned table may be sorted by ``order``, for scans that seek its values."""
         lot = f"lot={uuid.uuid4().hex[:12]}"
         path = f"{self.root}/{table}/{lot}"
         entry = {"schema": df.schema.jsonValue()}
@@ -92,7 +127,9 @@ class Warehouse:
             df.write.mode("error").parquet(path)
             return {**entry, "lot": lot}
         # Rebalancing splits a month that is too large for one task and joins small ones.
-        df.hint("rebalance", partition).write.mode("error").partitionBy(partition).parquet(path)
+        spread = df.hint("rebalance", partition).sortWithinPartitions(
+            *[partition, *([order] if order else [])])
+        spread.write.mode("error").partitionBy(partition).parquet(path)
         names = [n for n in self._list(path) if n.startswith(f"{partition}=")]
         return {**entry, "partition": partition,
                 "parts": {n.split("=")[1]: lot for n in names}}

@@ -227,3 +227,16 @@ def test_run_log_of_a_failure(spark, store):
     assert rows[1].rows_in is None and "absent" in rows[1].error_msg
     assert meta.RunLog(store)._new_id() == 3 and "run_log" in DDL
     assert local_rows(spark, [], "a int").count() == 0
+
+
+def test_expired_folders_go_and_published_ones_stay(spark, store):
+    ops = retail.source(spark)
+    for day in (AS_OF, LATER, date(2002, 2, 28)):
+        pipeline.run(ops, store, day)
+    before, products = facts(store), store.manifest()["dim_produit"]["lot"]
+    gone = store.expire(keep=1)
+    assert any(p.startswith("dim_produit/") for p in gone)
+    assert any(p.startswith("staging/client_full/") for p in gone)
+    assert store._list(f"{store.root}/dim_produit") == [products]
+    assert facts(store) == before and store["dim_client"].count() >= 3
+    assert pipeline.Staged(store, store.manifest()["staging"])["canal"].count() == 2
