@@ -289,7 +289,7 @@ def fact_reload_idempotent(ops: OperationalSource, dw: Warehouse) -> DataFrame:
     """The fact per day after the later orders have come again with one more unit a line, twice."""
     again = staging.order_lines(ops, after=INCREMENT_AFTER).withColumn(
         "quantite", (F.col("quantite") + 1).cast("decimal(12,3)"))
-    fresh = fact.build_fact(again, {d: dw[d] for d in fact.LOOKUPS})
+    fresh = cut_lineage(fact.build_fact(again, {d: dw[d] for d in fact.LOOKUPS}), "reprise")
     loaded = fact.upsert(fact.upsert(dw["fait_ventes"], fresh), fresh)
     return loaded.groupBy("cle_date").agg(
         F.count(F.lit(1)).alias("nb_lignes"), F.sum("quantite").alias("quantite"),
@@ -309,12 +309,14 @@ def single_order_trace(ops: OperationalSource, dw: Warehouse) -> DataFrame:
 
 
 def stream_fact_load(ops: OperationalSource, dw: Warehouse) -> DataFrame:
-    """The fact per month when its lines arrive as a stream of files."""
+    """The fact per month when its lines arrive as a stream of files, earlier orders first."""
     spark = dw.spark
     table = f"fait_flux_{uuid.uuid4().hex[:8]}"
     landing = scratch_dir(spark, "arrivee")
-    conform(staging.order_lines(ops), "lignes_commande").write.parquet(landing)
-    # Few batches, so that a replay over months already loaded takes place.
+    (conform(staging.order_lines(ops), "lignes_commande")
+     .repartitionByRange("date_commande", "commande_id", "numero_ligne")
+     .write.parquet(landing))
+    # Three batches or so: each adds to months that an earlier one has begun.
     stream = fact_stream.read_lines(spark, landing, files_per_batch=max(
         1, -(-len(dw._list(landing)) // 3)))
     query = fact_stream.load_available(stream, dw, scratch_dir(spark, "flux"), table)

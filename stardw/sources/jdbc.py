@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 
 from stardw.sources.operational import OperationalSource
@@ -37,6 +35,7 @@ class JdbcSource(OperationalSource):
                  partitions: int = 64, **properties: str):
         self.spark, self.url, self.schema = spark, url, schema
         self.partitions, self.properties = partitions, properties
+        self._seen: dict[str, DataFrame] = {}
         super().__init__(self._read)
 
     def _bounds(self, table: str) -> tuple[int, int] | None:
@@ -50,6 +49,11 @@ class JdbcSource(OperationalSource):
         return None if low is None else (int(low), int(high))
 
     def _read(self, table: str) -> DataFrame:
+        if table not in self._seen:
+            self._seen[table] = self._load(table)
+        return self._seen[table]
+
+    def _load(self, table: str) -> DataFrame:
         options = read_options(self.url, table, self.schema, bounds=self._bounds(table),
                                partitions=self.partitions)
         return (self.spark.read.format("jdbc").options(**self.properties)
@@ -60,9 +64,6 @@ class JdbcSource(OperationalSource):
         return (self.spark.read.format("jdbc").options(**self.properties)
                 .option("url", self.url).option("query", sql).load())
 
-    def orders(self, after: date | None = None, only: int | None = None) -> DataFrame:
-        return super().orders(after, only)
-
 
 def write_options(url: str, table: str, schema: str = "dw", *, batch: int = 10_000,
                   writers: int = 16) -> dict[str, str]:
