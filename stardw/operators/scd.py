@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stardw.operators.keys import assign_keys, extend_key_map, highest_key
@@ -60,25 +60,32 @@ def scd2_first(staged: DataFrame, natural_key: str, cle: str, as_of: date) -> Da
         "est_courant": F.lit(True)}), staged, natural_key, cle)
 
 
+def scd2_step(current: DataFrame, staged: DataFrame, natural_key: str, cle: str, as_of: date,
+              after: Column, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """What the current versions become: kept, closed, and opened with the keys ``after``.
+
+    ``cut`` may write the compared rows and read them back, so that numbering the opened versions
+    does not join again.
+    """
+    changes = scd2_changes(current, staged, natural_key, cle, as_of)
+    if cut is not None:
+        changes = cut(changes)
+    opened = assign_keys(changes.filter(F.col(cle).isNull()).drop(cle), natural_key, cle, after)
+    return _columns(changes.filter(F.col(cle).isNotNull()), staged, natural_key, cle).unionByName(
+        _columns(opened, staged, natural_key, cle))
+
+
 def scd2_merge(history: DataFrame | None, staged: DataFrame, natural_key: str, cle: str,
                as_of: date, cut: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """The history after the staged rows have arrived.
+    """The whole history after the staged rows have arrived.
 
-    ``staged`` carries ``hash_ligne`` over the compared attributes. Closed versions pass by the
-    join. ``cut`` may write the compared rows and read them back, so that numbering the opened
-    versions does not join again.
+    ``staged`` carries ``hash_ligne`` over the compared attributes. Closed versions pass by.
     """
     if history is None:
         return scd2_first(staged, natural_key, cle, as_of)
-    changes = scd2_changes(history.filter("est_courant"), staged, natural_key, cle, as_of)
-    if cut is not None:
-        changes = cut(changes)
-    opened = assign_keys(changes.filter(F.col(cle).isNull()).drop(cle), natural_key, cle,
-                         highest_key(history, cle))
-    return (_columns(history.filter("not est_courant"), staged, natural_key, cle)
-            .unionByName(_columns(changes.filter(F.col(cle).isNotNull()), staged,
-                                  natural_key, cle))
-            .unionByName(_columns(opened, staged, natural_key, cle)))
+    step = scd2_step(history.filter("est_courant"), staged, natural_key, cle, as_of,
+                     highest_key(history, cle), cut)
+    return _columns(history.filter("not est_courant"), staged, natural_key, cle).unionByName(step)
 
 
 def _columns(rows: DataFrame, staged: DataFrame, natural_key: str, cle: str) -> DataFrame:

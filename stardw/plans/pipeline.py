@@ -11,16 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stardw.operators import fact
-from stardw.operators.scd import scd1_reload, scd2_merge
+from stardw.operators.keys import highest_key
+from stardw.operators.scd import scd1_reload, scd2_first, scd2_step
 from stardw.plans import dimensions as D
 from stardw.plans import meta, staging
 from stardw.schemas import conform, schema_of
 from stardw.session import cut_lineage, local_rows
 from stardw.sources.operational import OperationalSource
-from stardw.sources.snapshots import Warehouse, replace_parts
+from stardw.sources.snapshots import Warehouse, add_parts, replace_parts
 
 # Jobs launched side by side; each is a Spark job of its own.
 PARALLEL_JOBS = 8
+# Part of a history: its current or its closed versions.
+VERSION_PART = "est_courant"
 
 
 def _side_by_side(spark: SparkSession, work: dict) -> dict:
@@ -91,16 +94,25 @@ def _overwritten_entries(warehouse: Warehouse, run: meta.Run, dim: str,
 
 def _historised_entries(warehouse: Warehouse, run: meta.Run, dim: str, staged: Staged,
                         as_of: date) -> dict:
+    """Current versions are compared and written anew; closed ones are only added to."""
     table, natural, cle = D.HISTORISED[dim]
-    history = warehouse[dim] if dim in warehouse else None
     versions = D.VERSIONS[dim](staged[table], as_of)
-    merged = scd2_merge(history, versions, natural, cle, as_of,
-                        cut=lambda df: cut_lineage(df, dim))
-    entry = warehouse.write(dim, conform(merged, dim))
+    known = warehouse.manifest().get(dim)
+    if known is None:
+        first = scd2_first(versions, natural, cle, as_of)
+        entry = warehouse.write(dim, conform(first, dim), VERSION_PART)
+        before = 0
+    else:
+        history = warehouse.open(dim, known)
+        current = history.filter("est_courant")
+        step = scd2_step(current, versions, natural, cle, as_of, highest_key(history, cle),
+                         cut=lambda df: cut_lineage(df, dim))
+        entry = warehouse.write(dim, conform(step, dim), VERSION_PART)
+        before = current.count()
     run.rows_in = staged[table].count()
-    before = 0 if history is None else history.count()
+    # Each opened version is one row more.
     run.rows_out = warehouse.open(dim, entry).count() - before
-    return {dim: entry}
+    return {dim: entry if known is None else add_parts(known, entry, "false")}
 
 
 def load_dimensions(warehouse: Warehouse, log: meta.RunLog, staged: Staged, as_of: date,
@@ -216,9 +228,9 @@ def wipe(warehouse: Warehouse) -> None:
     maps = {f"cles_{dim}": local_rows(spark, [], f"{natural} bigint, {cle} bigint")
             for dim, (_, natural, cle) in D.OVERWRITTEN.items()}
     empty = {t: local_rows(spark, [], schema_of(t)) for t in [*D.TABLES, "watermark"]}
-    warehouse.commit({
-        t: warehouse.write(t, df, fact.PARTITION if t == "fait_ventes" else None)
-        for t, df in {**empty, **maps}.items()})
+    parts = {"fait_ventes": fact.PARTITION, **dict.fromkeys(D.HISTORISED, VERSION_PART)}
+    warehouse.commit({t: warehouse.write(t, df, parts.get(t))
+                      for t, df in {**empty, **maps}.items()})
 
 
 def create_views(warehouse: Warehouse, prefix: str = "") -> None:

@@ -38,17 +38,20 @@ QUESTION_COUNTRY = "NATION_3"
 QUESTION_YEAR = 1998
 QUESTION_GROUP = "Premium — LARGE-1"
 
+SOURCE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+
 _warehouses: dict[tuple, Warehouse] = {}
 _loading = threading.Lock()
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse loaded from the tables in ``folder``."""
-    known = (spark.sparkContext.applicationId, folder.rstrip("/"))
+    source = RetailParquet(spark, folder)
+    known = source.state(*SOURCE_TABLES)
     with _loading:
         if known not in _warehouses:
             made = Warehouse(spark, scratch_dir(spark, "entrepot"))
-            pipeline.run(RetailParquet(spark, folder), made, FIRST_LOAD)
+            pipeline.run(source, made, FIRST_LOAD)
             _warehouses[known] = made
         return _warehouses[known]
 

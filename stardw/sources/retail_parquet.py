@@ -64,9 +64,20 @@ class RetailParquet(OperationalSource):
             self._built[name] = getattr(self, f"_{name}")()
         return self._built[name]
 
-    def _once(self, what: str, find):
-        """Small facts about the tables, found once per session."""
-        known = (self.spark.sparkContext.applicationId, self.folder, what)
+    def state(self, *tables: str) -> tuple:
+        """Size and age of the files of tables, to tell when they have been written anew."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        found = []
+        for table in tables:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{table}.parquet")
+            fs = path.getFileSystem(conf)
+            found.append((table, fs.getContentSummary(path).getLength(),
+                          fs.getFileStatus(path).getModificationTime()))
+        return (self.spark.sparkContext.applicationId, self.folder, *found)
+
+    def _once(self, table: str, what: str, find):
+        """Small facts about a table, found once per session and state of its files."""
+        known = (*self.state(table), what)
         if known not in _facts_known:
             _facts_known[known] = find()
         return _facts_known[known]
@@ -74,7 +85,7 @@ class RetailParquet(OperationalSource):
     def _numbered_labels(self, table: str, column: str, id_name: str, name: str) -> DataFrame:
         """The distinct values of a label column, numbered from 1 in their order."""
         distinct = self.raw(table).select(F.col(column).alias(name)).distinct()
-        values = self._once(f"{table}.{column}", lambda: [
+        values = self._once(table, column, lambda: [
             r[0] for r in distinct.filter(F.col(name).isNotNull())
             .limit(MOST_LABELS + 1).collect()])
         if len(values) <= MOST_LABELS:
@@ -308,7 +319,7 @@ class RetailParquet(OperationalSource):
         return self.orders()
 
     def _find_hot(self, what: str, find) -> dict:
-        return self._once(f"hot {what}", find)
+        return self._once("orders" if what == "clients" else "lineitem", f"hot {what}", find)
 
     def hot_orders(self) -> dict:
         return self._find_hot("orders", lambda: hot_keys(self.raw("lineitem"), "l_orderkey"))

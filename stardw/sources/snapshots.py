@@ -1,8 +1,9 @@
 """Tables as written folders, published together by one small manifest.
 
 A load writes new folders and then publishes a manifest that names them, so readers see all of a
-load or none of it, and no job overwrites what it reads. Only the fact is partitioned: its
-manifest entry names one folder per month, and a reload replaces the months it touches.
+load or none of it, and no job overwrites what it reads. The entry of a partitioned table names
+the folders of each part: a reload of the fact replaces the months it touches, and a load of a
+dimension with history replaces the current versions and adds to the closed ones.
 """
 
 from __future__ import annotations
@@ -85,7 +86,9 @@ class Warehouse:
 
         def collect(value) -> None:
             if isinstance(value, dict):
-                for v in value.values():
+                value = list(value.values())
+            if isinstance(value, list):
+                for v in value:
                     collect(v)
             elif isinstance(value, str) and value.startswith("lot="):
                 named.add(value)
@@ -118,21 +121,23 @@ class Warehouse:
 
     def write(self, table: str, df: DataFrame, partition: str | None = None,
               order: str | None = None) -> dict:
-        """Write a new folder for ``table`` and give its entry, still unpublished. Files of a
-        partitioned table may be sorted by ``order``, for scans that seek its values."""
+        """Write a new folder for ``table`` and give its entry, still unpublished.
+
+        With ``order``, rows are brought together by part and sorted, for tables of many parts.
+        """
         lot = f"lot={uuid.uuid4().hex[:12]}"
         path = f"{self.root}/{table}/{lot}"
         entry = {"schema": df.schema.jsonValue()}
         if partition is None:
             df.write.mode("error").parquet(path)
             return {**entry, "lot": lot}
-        # Rebalancing splits a month that is too large for one task and joins small ones.
-        spread = df.hint("rebalance", partition).sortWithinPartitions(
-            *[partition, *([order] if order else [])])
-        spread.write.mode("error").partitionBy(partition).parquet(path)
+        if order is not None:
+            # Rebalancing splits a part that is too large for one task and joins small ones.
+            df = df.hint("rebalance", partition).sortWithinPartitions(partition, order)
+        df.write.mode("error").partitionBy(partition).parquet(path)
         names = [n for n in self._list(path) if n.startswith(f"{partition}=")]
         return {**entry, "partition": partition,
-                "parts": {n.split("=")[1]: lot for n in names}}
+                "parts": {n.split("=")[1]: [lot] for n in names}}
 
     def open(self, table: str, entry: dict) -> DataFrame:
         """The DataFrame of an entry, published or not. Written folders never change, so their
@@ -150,7 +155,8 @@ class Warehouse:
         part, parts = entry["partition"], entry["parts"]
         if not parts:
             return local_rows(self.spark, [], schema)
-        paths = [f"{base}/{lot}/{part}={value}" for value, lot in sorted(parts.items())]
+        paths = [f"{base}/{lot}/{part}={value}" for value, lots in sorted(parts.items())
+                 for lot in lots]
         return (self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
                 .select(*schema.names))
 
@@ -158,5 +164,11 @@ class Warehouse:
 def replace_parts(old: dict, new: dict, touched: list) -> dict:
     """Entry in which the touched parts are those of ``new``, the others those of ``old``."""
     gone = {str(t) for t in touched}
-    kept = {value: lot for value, lot in old["parts"].items() if value not in gone}
+    kept = {value: lots for value, lots in old["parts"].items() if value not in gone}
     return {**new, "parts": {**kept, **new["parts"]}}
+
+
+def add_parts(old: dict, new: dict, part: str) -> dict:
+    """Entry of ``new`` in which ``part`` also keeps the folders it has in ``old``."""
+    lots = [*old["parts"].get(part, []), *new["parts"].get(part, [])]
+    return {**new, "parts": {**new["parts"], **({part: lots} if lots else {})}}

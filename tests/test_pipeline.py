@@ -240,3 +240,24 @@ def test_expired_folders_go_and_published_ones_stay(spark, store):
     assert store._list(f"{store.root}/dim_produit") == [products]
     assert facts(store) == before and store["dim_client"].count() >= 3
     assert pipeline.Staged(store, store.manifest()["staging"])["canal"].count() == 2
+
+
+def test_closed_versions_are_added_to_and_never_rewritten(spark, store):
+    rows = retail.base_rows()
+
+    def moved(group):
+        return retail.source(spark, client=[
+            (*c[:5], group, *c[6:]) if c[0] == 100 else c for c in rows["client"]])
+
+    lots = []
+    for day, group in [(AS_OF, 1), (LATER, 2), (date(2002, 2, 28), 1)]:
+        pipeline.run(moved(group), store, day)
+        lots.append(store.manifest()["dim_client"]["parts"].get("false", []))
+    assert [len(x) for x in lots] == [0, 1, 2] and lots[2][0] == lots[1][0]
+    versions = store["dim_client"].filter("client_id = 100").orderBy("cle_client").collect()
+    assert [v.groupe_client for v in versions] == ["Bronze", "Or", "Bronze"]
+    assert [v.est_courant for v in versions] == [False, False, True]
+    assert quality.history_faults(store["dim_client"], "client_id", "cle_client").filter(
+        "nb_lignes > 0").count() == 0
+    plan = store["dim_client"].filter("est_courant")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(est_courant" in plan
