@@ -92,7 +92,7 @@ def measures(qty: Column, price: Column, cost: Column, rate: Column) -> dict[str
     return {name: col.cast("decimal(14,2)").alias(name) for name, col in exact.items()}
 
 
-def card_number(number: Column, prefix: str = "OSC") -> Column:
+def card_number(number: Column, prefix: str = L.CARD_PREFIX) -> Column:
     """Loyalty card number: prefix and eight digits."""
     return F.format_string(f"{prefix}-%08d", number)
 

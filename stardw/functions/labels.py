@@ -39,6 +39,9 @@ DATE_DIM_END = date(2003, 12, 31)
 WITH_DISCOUNT = "avec_remise"
 WITHOUT_DISCOUNT = "sans_remise"
 
+# Loyalty card number: this prefix, a dash and eight digits.
+CARD_PREFIX = "OSC"
+
 # Longest full name kept.
 FULL_NAME_LENGTH = 160
 

@@ -13,10 +13,11 @@ from stardw.session import local_rows
 # A key is hot when it holds at least this share of the rows and at least this many of them.
 HOT_SHARE = 0.001
 HOT_MIN_ROWS = 1_000_000
-# Counters of the frequent-items sketch. Its error is a small multiple of rows / TRACKED, far
-# below HOT_SHARE.
-HOT_TRACKED = 20_000
+# Counters of a frequent-items sketch. Its error is a small multiple of rows / HOT_TRACKED, below
+# HOT_SHARE. Sketches of the tasks are merged in groups first, so that no task merges them all.
+HOT_TRACKED = 10_000
 HOT_MOST = int(1 / HOT_SHARE)
+SKETCH_GROUPS = 256
 
 
 def plan_size(df: DataFrame) -> int | None:
@@ -43,11 +44,18 @@ def hot_keys(df: DataFrame, key: str, *, share: float = HOT_SHARE,
 
     One pass over one column with a mergeable sketch, no shuffle of the keys. At most 1/share
     keys can qualify, so the answer is small whatever the data. It only steers how a join is
-    spread: results do not depend on it.
+    spread: results do not depend on it. Keys below the bounds are left to adaptive execution.
     """
-    found = df.agg(
+    sketches = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_part")).agg(
         F.count(F.col(key)).alias("n"),
-        F.expr(f"approx_top_k({key}, {HOT_MOST}, {HOT_TRACKED})").alias("top")).first()
+        F.expr(f"approx_top_k_accumulate({key}, {HOT_TRACKED})").alias("sketch"))
+    # Grouped, for no row rather than an empty sketch when there are no keys.
+    found = sketches.filter("n > 0").groupBy(F.lit(1)).agg(
+        F.sum("n").alias("n"),
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {HOT_TRACKED}), {HOT_MOST})")
+        .alias("top")).first()
+    if found is None:
+        return {}
     floor = max(min_rows, share * found["n"])
     return {item["item"]: item["count"] for item in found["top"]
             if item["item"] is not None and item["count"] >= floor}

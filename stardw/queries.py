@@ -265,6 +265,7 @@ def dq_scd2(ops: OperationalSource) -> DataFrame:
             ("client", client_history(ops, FIRST_LOAD, SECOND_LOAD), "client_id", "cle_client"),
             ("employe", employee_history(ops, FIRST_LOAD, SECOND_LOAD), "employe_id",
              "cle_employe")]:
+        history = cut_lineage(history, "versions")
         faults = quality.history_faults(history, natural, cle)
         versions = history.agg(F.count(F.lit(1)).alias("nb_lignes")).select(
             F.lit("versions").alias("controle"), "nb_lignes")

@@ -10,10 +10,11 @@ from stardw.schemas import DDL
 from stardw.session import cut_lineage
 from stardw.sources.snapshots import Warehouse
 
+
 def read_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """A stream over the parquet files that arrive in ``folder``."""
-    return (spark.readStream.schema(DDL["lignes_commande"]).option("maxFilesPerTrigger", files_per_batch)
-            .parquet(folder))
+    return (spark.readStream.schema(DDL["lignes_commande"])
+            .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
 
 
 def load_available(lines: DataFrame, warehouse: Warehouse, checkpoint: str,

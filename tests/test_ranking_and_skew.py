@@ -52,6 +52,10 @@ def test_hot_keys_finds_heavy_keys_only(spark):
     hot = skew.hot_keys(rows, "k", min_rows=1000)
     assert list(hot) == [5] and 9_000 <= hot[5] <= 11_000
     assert skew.hot_keys(rows, "k") == {}
+    assert skew.hot_keys(rows.limit(0), "k", min_rows=1) == {}
+    assert skew.hot_keys(spark.sql("select cast(null as bigint) k"), "k", min_rows=1) == {}
+    mixed = rows.unionByName(spark.range(500).select(F.lit(None).cast("bigint").alias("k")))
+    assert list(skew.hot_keys(mixed, "k", min_rows=1000)) == [5]
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
