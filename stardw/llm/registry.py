@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from stardw.llm import decontaminate
+from stardw.llm import decontaminate, quality_rules
 
-_MODULES = [decontaminate]
+_MODULES = [quality_rules, decontaminate]
 
 
 def queries() -> dict:
