@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from stardw.llm import decontaminate, quality_rules
+from stardw.llm import (chat_format, decontaminate, html_extract, jaccard_join, mixing,
+                        quality_rules, suffix_dedup, token_counts, weak_labels)
 
-_MODULES = [quality_rules, decontaminate]
+_MODULES = [suffix_dedup, quality_rules, token_counts, weak_labels, jaccard_join, html_extract,
+            chat_format, decontaminate, mixing]
 
 
 def queries() -> dict:
