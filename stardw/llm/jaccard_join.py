@@ -116,7 +116,7 @@ def cells(own: np.ndarray, percent: int) -> np.ndarray:
         part = part[order]
         heads = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
         values = np.add.reduceat(mix(own ^ _SEED)[order], heads)
-        out.append(mix(values + part[heads] * _ALL + np.uint64(c + 1) * _SEED))
+        out.append(mix(values + part[heads] * _ALL + np.uint64((c + 1) * int(_SEED) % 2 ** 64)))
         whole &= len(heads) > most_apart(len(own), percent)
     if not whole:
         out.append(mix(own ^ _ALL))
@@ -459,9 +459,9 @@ p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b USING
 e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
   WHERE 100 * i >= 85 * (a.n + b.n - i)),
 l AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
-r AS (SELECT doc_id, doc_id AS at FROM w UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.at)
+r AS (SELECT doc_id, doc_id AS z FROM w UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.z)
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
 FROM w LEFT JOIN n USING (doc_id)
-JOIN (SELECT doc_id, min(at) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
+JOIN (SELECT doc_id, min(z) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
 """}
 QUERIES = {"op5_jaccard_join": op5_jaccard_join}
