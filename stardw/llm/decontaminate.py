@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stardw.llm.cluster import prepare
+from stardw.llm.frames import narrowed, others, widened
 from stardw.llm.words import ALNUM, Words, blocks, covered, windows, words_of
 
 WINDOW = 10
@@ -189,7 +190,7 @@ def matches(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, text: st
     items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
-    out = docs.select(*[c for c in docs.columns if c not in RESULTS],
+    out = docs.select(*others(docs, RESULTS),
                       *[F.lit(None).cast(t).alias(c) for c, t in RESULTS.items()])
     for part in range(parts):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
@@ -201,7 +202,8 @@ def matches(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, text: st
 
 def remove(docs: DataFrame, items: DataFrame, *, window: int = WINDOW) -> DataFrame:
     """``docs`` without the documents that hold a window of any item."""
-    return matches(docs, items, window=window).filter("n_hit = 0").select(*docs.columns)
+    found = matches(narrowed(docs, "text"), items, window=window)
+    return widened(found.filter("n_hit = 0"), docs, "text")
 
 
 def op8_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stardw.llm.cluster import prepare
+from stardw.llm.frames import others
 from stardw.llm.words import blocks
 
 # Element names by their role on a page.
@@ -256,7 +257,7 @@ def _extractor(column: str):
 def extract(pages: DataFrame, *, column: str = "html") -> DataFrame:
     """``pages`` without the markup, with ``text`` and ``n_chars``."""
     prepare(pages.sparkSession)
-    kept = [c for c in pages.columns if c not in (column, "text", "n_chars")]
+    kept = others(pages, (column, "text", "n_chars"))
     rows = pages.select(*kept, F.col(column).cast("string").alias(column))
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != column]
     return rows.mapInArrow(_extractor(column), ", ".join([*types, "text string", "n_chars long"]))

@@ -1,25 +1,29 @@
 """Exact similarity join of documents by the Jaccard distance of their shingle sets.
 
-Two texts link when ``100 * |x ∩ y| >= percent * |x ∪ y|``, that is, at a distance of at most
-``eps = 1 - percent / 100``. Jaccard distance is a metric, and the join works by regions of it:
-
-1. *Coarse regions.* Unrelated texts share no shingle and lie at distance 1 from each other and
-   from every pivot, so pivots of the whole space separate nothing. The shingles are therefore
-   cut by a hash into parts, more of them than a linked pair can differ in. Then a linked pair
-   agrees entirely on some part: there it is at distance 0. Every part value that occurs is a
-   pivot of its part's space and the documents with that value are its cell. Cells that share
-   documents form a region, so a linked pair always lies in one region. Where a document fills too
-   few parts for the argument to hold, each of its shingles is a cell.
-2. *Voronoi recursion.* In a region the distances to pivots do differ. A region too heavy for one
-   task takes some of its documents as pivots; each document goes home to the nearest and is a
-   guest of every pivot at most ``2 * eps`` further away (the triangle inequality: a partner of a
-   document at home there can't be further). Regions are split so until they are light. One that
-   pivots don't divide is joined in blocks, each pair of blocks a task.
-3. *Light regions* are joined in one task the same way, down to leaves whose pairs are counted by
-   a product of incidence matrices. All links are checked on the whole sets.
-
-Only sets that are distinct, and share a cell with another, are ever shipped: copies collapse by
-the digest of their set first. Components come from the links by ``graph.connected``.
+Two texts link when ``100 * |x ∩ y| >= percent * |x ∪ y|``. Jaccard distance is a metric, and the
+join works by pivots and regions, in three spaces that get finer:
+
+1. *Part spaces.* Unrelated texts share no shingle and lie at distance 1 from each other and from
+   every pivot, so pivots of the whole space separate nothing. The shingles are therefore cut by a
+   hash into parts, more of them than a linked pair can differ in. Then a linked pair agrees
+   entirely on some part: there it is at distance 0. Every part value that occurs is a pivot and
+   the documents with that value are its *cell*. Where a document fills too few parts for the
+   argument to hold, each of its shingles is a cell. Cells with the same members are one.
+2. *Count space.* The counts of a set's shingles in ``BUCKETS`` hash buckets, under the L1 metric,
+   map it to a point such that two sets differ at least by the distance of their points. In each
+   cell, documents whose points are near enough for a link are tied, and whatever is tied through
+   any cells is a *region*: a linked pair always lies in one.
+3. *The sets themselves.* In each region the pairs are checked on the whole sets.
+
+In the last two spaces a cell or region that is too heavy for one task takes some of its members
+as pivots. Each member goes home to the nearest pivot and is a guest of every pivot that a partner
+may have as home: by the triangle inequality, one at most twice the greatest distance of a link
+further away. These Voronoi regions are divided again until they are light. One that pivots don't
+divide is joined in blocks, each pair of blocks a task. Inside a task the same is done down to
+leaves, whose pairs are compared at once.
+
+Copies collapse by the digest of their set first, and only sets with a partner in some cell are
+shipped. Components come from the links by ``graph.connected``.
 
 Null, empty and word-free texts have an empty set and link with nothing. Texts with fewer words
 than a shingle have their whole sequence as one. Documents without id get the least id of their
@@ -39,6 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stardw.llm.cluster import prepare
+from stardw.llm.frames import narrowed, others, widened
 from stardw.llm.graph import connected
 from stardw.llm.words import blocks, mix, windows, words_of
 from stardw.session import cut_lineage
@@ -49,16 +54,19 @@ WORDS, PERCENT = 4, 85
 CLASS_RATIO = 1.5
 # Parts beyond what a linked pair can differ in, as some stay empty.
 SPARE = 1.15
-# Shingles a task holds of one region, and pivots of a heavier one.
+# Shingles a task holds of one region, points it holds of one cell, and pivots of a heavier one.
 HEAVY = 2_000_000
+HEAVY_CELL = 20_000
 PIVOTS = 16
 LEVELS = 4
 LEAF = 48
+BUCKETS = 256
 # Cells gathered in a task before they are sent on.
 FLUSH = 1 << 20
 
 _SEED = np.uint64(0xA0761D6478BD642F)
 _ALL = np.uint64(0xE7037ED1A0B428DB)
+_POINT = np.uint64(0x589965CC75374CC3)
 
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
@@ -123,37 +131,31 @@ def cells(own: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _bound(cell: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each cell once, with its least owner; the other owners are tied to it by cells of their own.
-
-    So a cell of very many documents sends one row from each task.
-    """
-    order = np.lexsort((owner, cell))
-    cell, owner = cell[order], owner[order]
-    fresh = np.concatenate(([True], cell[1:] != cell[:-1]))
-    pivot = owner[fresh][np.cumsum(fresh) - 1]
-    tied = ~fresh & (owner != pivot)
-    pairs = np.unique(np.stack((pivot[tied], owner[tied])), axis=1)
-    bond = mix(mix(pairs[0].view(np.uint64)) + pairs[1].view(np.uint64) * _ALL)
-    return (np.concatenate((cell[fresh], bond, bond)),
-            np.concatenate((owner[fresh], pairs[0], pairs[1])))
+def point(own: np.ndarray) -> bytes:
+    """The set in count space. Counts stop at 255, which only brings points nearer."""
+    bucket = mix(own ^ _POINT) >> np.uint64(56)
+    return np.minimum(np.bincount(bucket.astype(np.int64), minlength=BUCKETS), 255).astype(
+        np.uint8).tobytes()
 
 
 def _celler(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
+        seen: set[int] = set()
 
         def flush() -> pa.RecordBatch:
-            cell, owner = _bound(*(np.concatenate(p) for p in zip(*held)))
+            cell, owner = (np.concatenate(p) for p in zip(*held))
             held.clear()
             return pa.RecordBatch.from_arrays(
                 [pa.array(cell.view(np.int64)), pa.array(owner)], names=["cell", "node"])
 
         for batch in blocks(batches):
             for own in shingle_sets(batch.column("text"), words):
-                if len(own):
+                name = node(digest(own)) if len(own) else None
+                if name is not None and name not in seen:  # copies of the task count once
+                    seen.add(name)
                     found = cells(own, percent)
-                    held.append((found, np.full(len(found), node(digest(own)))))
+                    held.append((found, np.full(len(found), name)))
                     n += len(found)
             if n >= FLUSH:
                 yield flush()
@@ -172,8 +174,9 @@ def _keyer(words: int):
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n in kept], pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(keys, pa.binary()),
-                 pa.array([node(k) if k else None for k in keys], pa.int64())],
-                names=[*kept, "n_shingles", "_key", "_node"])
+                 pa.array([node(k) if k else None for k in keys], pa.int64()),
+                 pa.array([point(s) if len(s) else None for s in sets], pa.binary())],
+                names=[*kept, "n_shingles", "_key", "_node", "_point"])
     return run
 
 
@@ -193,7 +196,7 @@ def _setter(words: int):
                  pa.array([r[1] for r in fresh], pa.binary()),
                  pa.array([len(r[2]) for r in fresh], pa.int64()),
                  pa.array([r[2].tobytes() for r in fresh], pa.binary())],
-                names=["region", "key", "n", "shingles"])
+                names=["region", "key", "n", "content"])
     return run
 
 
@@ -229,138 +232,227 @@ def shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return np.rint(incidence(a) @ incidence(b).T).astype(np.int64)
 
 
-def distances(sets: list[np.ndarray], pivots: list[np.ndarray]) -> np.ndarray:
-    size, of = np.array([len(s) for s in sets]), np.array([len(p) for p in pivots])
-    common = np.concatenate([shared(pivots, sets[i:i + LEAF]).T for i in range(0, len(sets), LEAF)])
-    return 1 - common / (size[:, None] + of[None, :] - common)
+class Space:
+    """Members of a region with their sizes; near pairs are those that may link."""
+
+    def __init__(self, percent: int, content: list[bytes], size: list[int]):
+        self.percent, self.size = percent, np.array(size, np.int64)
+        self.items = self.load(content)
+
+    def linked_sizes(self, a: list[int], b: list[int]) -> bool:
+        """Whether sizes of two lists, each in order of size, leave room for a link."""
+        return (100 * self.size[b[-1]] >= self.percent * self.size[a[0]]
+                and 100 * self.size[a[-1]] >= self.percent * self.size[b[0]])
+
+
+class Sets(Space):
+    """Whole sets at their Jaccard distance."""
+
+    def load(self, content: list[bytes]) -> list[np.ndarray]:
+        return [np.frombuffer(c, np.uint64) for c in content]
+
+    def _union(self, a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        common = shared([self.items[i] for i in a], [self.items[i] for i in b])
+        return common, self.size[a][:, None] + self.size[b][None, :] - common
+
+    def far(self, members: list[int], pivots: list[int]) -> np.ndarray:
+        parts = [self._union(members[i:i + LEAF], pivots) for i in range(0, len(members), LEAF)]
+        return np.concatenate([1 - common / union for common, union in parts])
+
+    def near(self, a: list[int], b: list[int]) -> np.ndarray:
+        common, union = self._union(a, b)
+        return 100 * common >= self.percent * union
+
+    def reach(self, members: list[int]) -> np.ndarray:
+        """The greatest distance of a link."""
+        return np.full(len(members), 1 - self.percent / 100)
+
+
+class Points(Space):
+    """Sets as points of count space. |x Δ y| is at least the L1 distance, and of a linked pair at
+    most ``(1 - t) / (1 + t)`` times the sum of the sizes."""
+
+    def load(self, content: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(content), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+
+    def _l1(self, a: list[int], b: list[int]) -> np.ndarray:
+        return np.abs(self.items[a][:, None, :] - self.items[b][None, :, :]).sum(
+            axis=2, dtype=np.int64)
 
+    def far(self, members: list[int], pivots: list[int]) -> np.ndarray:
+        return np.concatenate([self._l1(members[i:i + LEAF], pivots)
+                               for i in range(0, len(members), LEAF)])
 
-def link_blocks(a: list[int], b: list[int], sets: list[np.ndarray], percent: int,
-                forest: Forest) -> None:
-    """Tie the linked pairs of two lists of members, leaf by leaf."""
-    size = np.array([len(s) for s in sets])
-    # In order of size, blocks whose sizes are too far apart hold no link.
-    a, b = (sorted(x, key=lambda i: size[i]) for x in (a, b))
+    def near(self, a: list[int], b: list[int]) -> np.ndarray:
+        t = self.percent
+        sizes = self.size[a][:, None] + self.size[b][None, :]
+        return (100 + t) * self._l1(a, b) <= (100 - t) * sizes
+
+    def reach(self, members: list[int]) -> np.ndarray:
+        t = self.percent / 100
+        return (1 - t) / (1 + t) * (1 + 1 / t) * self.size[members]
+
+
+SPACES = {"sets": Sets, "points": Points}
+
+
+def link_blocks(a: list[int], b: list[int], space: Space, forest: Forest) -> None:
+    """Tie the near pairs of two lists of members, leaf by leaf."""
+    # In order of size, leaves whose sizes are too far apart hold no link.
+    same = a is b
+    a, b = (sorted(x, key=lambda i: space.size[i]) for x in (a, b))
     for i in range(0, len(a), LEAF):
         left = a[i:i + LEAF]
-        for j in range(0, len(b), LEAF):
+        for j in range(i if same else 0, len(b), LEAF):
             right = b[j:j + LEAF]
-            if (100 * size[right[-1]] < percent * size[left[0]]
-                    or 100 * size[left[-1]] < percent * size[right[0]]):
-                continue
-            common = shared([sets[k] for k in left], [sets[k] for k in right])
-            union = size[left][:, None] + size[right][None, :] - common
-            for x, y in np.argwhere(100 * common >= percent * union).tolist():
-                forest.tie(left[x], right[y])
+            if space.linked_sizes(left, right):
+                for x, y in np.argwhere(space.near(left, right)).tolist():
+                    forest.tie(left[x], right[y])
 
 
-def homes(far: np.ndarray, eps: float) -> list[np.ndarray]:
-    """Members of each pivot's region: those at home, and guests up to 2 eps further away."""
-    reach = far.min(axis=1) + 2 * eps + 1e-9
-    return [np.flatnonzero(far[:, p] <= reach) for p in range(far.shape[1])]
+def homes(far: np.ndarray, reach: np.ndarray) -> list[np.ndarray]:
+    """Members of each pivot's region: those at home, and guests up to twice their reach away."""
+    most = far.min(axis=1) + 2 * reach + 1e-9
+    return [np.flatnonzero(far[:, p] <= most) for p in range(far.shape[1])]
 
 
-def link_region(members: list[int], sets: list[np.ndarray], percent: int, forest: Forest,
-                level: int = 0) -> None:
-    """Tie all linked pairs among the members of a region that fits the task."""
-    if len(members) > 4 * LEAF and level < LEVELS:
+def link_region(members: list[int], space: Space, forest: Forest, level: int = 0) -> None:
+    """Tie all near pairs among the members of a region that fits the task."""
+    if len(members) > 8 * LEAF and level < LEVELS:
         step = len(members) // PIVOTS
-        far = distances([sets[i] for i in members], [sets[members[p * step]] for p in range(PIVOTS)])
-        split = homes(far, 1 - percent / 100)
+        pivots = [members[p * step] for p in range(PIVOTS)]
+        split = homes(space.far(members, pivots), space.reach(members))
         if sum(len(s) ** 2 for s in split) < 0.5 * len(members) ** 2:
             for own in split:
                 if len(own) > 1:
-                    link_region([members[i] for i in own], sets, percent, forest, level + 1)
+                    link_region([members[i] for i in own], space, forest, level + 1)
             return
-    link_blocks(members, members, sets, percent, forest)
+    link_blocks(members, members, space, forest)
 
 
-def _joiner(percent: int, two: bool):
-    """Links of each region as pairs (first of the component, member). ``two``: a region has two
+def _joiner(kind: str, percent: int, two: bool):
+    """Ties of each region as pairs (first of the component, member). ``two``: a region has two
     blocks, ``side`` 0 and 1, and only pairs across them, or within if there is one, count."""
-    def solve(rows: list[dict]) -> list[tuple[bytes, bytes]]:
-        sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
+    def solve(rows: list[dict]) -> list[tuple]:
+        space = SPACES[kind](percent, [r["content"] for r in rows], [r["n"] for r in rows])
         forest = Forest(len(rows))
-        sides = [[i for i, r in enumerate(rows) if not two or r["side"] == s] for s in (0, 1)]
-        if two and all(sides):
-            link_blocks(*sides, sets, percent, forest)
+        sides = [[i for i, r in enumerate(rows) if two and r["side"] == s] for s in (0, 1)]
+        if all(sides):
+            link_blocks(*sides, space, forest)
         else:
-            link_region(list(range(len(rows))), sets, percent, forest)
+            link_region(list(range(len(rows))), space, forest)
         return [(rows[forest.root(i)]["key"], r["key"]) for i, r in enumerate(rows)
                 if forest.root(i) != i]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(pairs) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"])
         held: list[dict] = []
         for batch in batches:
-            pairs = []
+            key, pairs = batch.schema.field("key").type, []
             for row in batch.to_pylist():
                 if held and row["region"] != held[0]["region"]:
                     pairs += solve(held)
                     held = []
                 held.append(row)
-            yield made(pairs)
+            yield _pairs(pairs, key)
         if held:
-            yield made(solve(held))
+            yield _pairs(solve(held), key)
     return run
 
 
-def _diviser(level: int, eps: float):
+def _pairs(pairs: list[tuple], key: pa.DataType) -> pa.RecordBatch:
+    pairs = list(dict.fromkeys(pairs))
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], key) for k in (0, 1)],
+                                      names=["a", "b"])
+
+
+def _diviser(kind: str, percent: int, level: int):
+    """Rows of a (region, salt) come with its pivots first; every other row goes to its regions."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "shingles"):
-            rows = batch.to_pylist()
-            out = []
-            for row in rows:
-                own = np.frombuffer(row["shingles"], np.uint64)
-                pivots = [np.frombuffer(p["shingles"], np.uint64) for p in row["pivots"]]
-                for p, at_home in enumerate(homes(distances([own], pivots), eps)):
-                    if len(at_home):
-                        name = f"{row['region']} {level} {p}".encode()
-                        out.append({"region": node(hashlib.blake2b(name, digest_size=8).digest()),
-                                    "key": row["key"], "n": row["n"], "shingles": row["shingles"],
-                                    "parent": row["region"]})
-            yield pa.RecordBatch.from_pylist(out, schema=_DIVIDED)
+        pivots: list[dict] = []
+        for batch in batches:
+            for part in range(0, batch.num_rows, LEAF):
+                rows, out = batch.slice(part, LEAF).to_pylist(), []
+                waiting: list[dict] = []
+
+                def place() -> None:
+                    if waiting:
+                        both = pivots + waiting
+                        space = SPACES[kind](percent, [r["content"] for r in both],
+                                             [r["n"] for r in both])
+                        own = list(range(len(pivots), len(both)))
+                        split = homes(space.far(own, list(range(len(pivots)))), space.reach(own))
+                        for p, at in enumerate(split):
+                            name = f"{waiting[0]['region']} {level} {p}".encode()
+                            region = node(hashlib.blake2b(name, digest_size=8).digest())
+                            out.extend(waiting[i] | {"region": region,
+                                                     "parent": waiting[i]["region"]} for i in at)
+                        waiting.clear()
+                for row in rows:
+                    if row["pivot"] == 0:
+                        if pivots and (pivots[0]["region"], pivots[0]["salt"]) != (
+                                row["region"], row["salt"]) or waiting:
+                            place()
+                            pivots.clear()
+                        pivots.append(row)
+                    else:
+                        waiting.append(row)
+                place()
+                yield pa.RecordBatch.from_pylist(out, schema=pa.schema(
+                    [batch.schema.field(c) for c in _MEMBER] + [("parent", pa.int64())]))
     return run
 
 
-_DIVIDED = pa.schema([("region", pa.int64()), ("key", pa.binary()), ("n", pa.int64()),
-                      ("shingles", pa.binary()), ("parent", pa.int64())])
-_MEMBER = ["region", "key", "n", "shingles"]
+_MEMBER = ["region", "key", "n", "content"]
+
 
+def _divided(big: DataFrame, weight: DataFrame, kind: str, percent: int, level: int,
+             heavy: int) -> DataFrame:
+    """Members of heavy regions in the regions of pivots, with the ``parent`` region."""
+    big = big.join(weight.select("region", F.ceil(F.col("weight") / heavy).cast("int").alias("salts")),
+                   "region")
+    # One pivot of each hash bucket: at most PIVOTS of a region, whatever its size.
+    drawn = F.xxhash64(F.lit(level), "key")
+    pivots = (big.groupBy("region", "salts", F.pmod(drawn, F.lit(PIVOTS)).alias("bucket"))
+              .agg(F.min(F.struct(drawn.alias("h"), "key", "n", "content")).alias("p"))
+              .select("region", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+                      "p.key", "p.n", "p.content", F.lit(0).alias("pivot")))
+    rows = big.select("region", F.pmod(F.xxhash64("key"), F.col("salts")).cast("int").alias("salt"),
+                      "key", "n", "content", F.lit(1).alias("pivot"))
+    key = dict(big.dtypes)["key"]
+    return (rows.unionByName(pivots).repartition("region", "salt")
+            .sortWithinPartitions("region", "salt", "pivot")
+            .mapInArrow(_diviser(kind, percent, level),
+                        f"region long, key {key}, n long, content binary, parent long"))
 
-def region_links(members: DataFrame, percent: int, heavy: int = HEAVY) -> DataFrame:
-    """Links inside all regions, heavy ones divided first; pairs ``a``, ``b`` of keys."""
+
+def region_links(members: DataFrame, kind: str, percent: int, heavy: int, weigh: str | None,
+                 ) -> DataFrame:
+    """Near pairs ``a``, ``b`` of keys inside all regions, heavy ones divided first.
+
+    A region weighs the sum of the column ``weigh``, or as many as it has members.
+    """
+    weigh = weigh or F.lit(1)
     links = []
-    eps = 1 - percent / 100
     rest = members
     for level in range(LEVELS + 1):
-        weight = rest.groupBy("region").agg(F.sum("n").alias("weight"))
+        weight = rest.groupBy("region").agg(F.sum(weigh).alias("weight"))
         weight = cut_lineage(weight.filter(F.col("weight") > heavy), "heavy")
         if weight.isEmpty():
-            links.append(_joined(rest, percent, two=False))
+            links.append(_joined(rest, kind, percent, two=False))
             break
-        links.append(_joined(rest.join(weight, "region", "left_anti"), percent, two=False))
-        big = rest.join(weight, "region")
+        links.append(_joined(rest.join(weight, "region", "left_anti"), kind, percent, two=False))
+        big = rest.join(weight.select("region"), "region", "left_semi")
         if level == LEVELS:
-            links.append(_in_blocks(big, percent, heavy))
+            links.append(_in_blocks(big, kind, percent, heavy, weigh))
             break
-        # One pivot of each hash bucket: at most PIVOTS of a region, whatever its size.
-        drawn = F.xxhash64(F.lit(level), "key")
-        pivots = (big.groupBy("region", F.pmod(drawn, F.lit(PIVOTS)).alias("bucket"))
-                  .agg(F.min(F.struct(drawn.alias("h"), "shingles")).alias("pivot"))
-                  .groupBy("region").agg(F.collect_list("pivot").alias("pivots")))
-        divided = cut_lineage(big.join(pivots, "region").mapInArrow(
-            _diviser(level, eps), "region long, key binary, n long, shingles binary, parent long"),
-            "regions")
+        divided = cut_lineage(_divided(big, weight, kind, percent, level, heavy), "regions")
         # Regions that the pivots don't divide are joined in blocks.
-        parts = divided.groupBy("parent", "region").agg(F.sum("n").alias("n"))
-        stuck = (parts.groupBy("parent").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
+        parts = divided.groupBy("parent", "region").agg(F.sum(weigh).alias("w"))
+        stuck = (parts.groupBy("parent").agg(F.max("w").alias("most"), F.sum("w").alias("all"))
                  .join(weight.withColumnRenamed("region", "parent"), "parent")
                  .filter("most > 0.8 * weight OR all > 4 * weight"))
         stuck = cut_lineage(stuck.select(F.col("parent").alias("region")), "stuck")
-        links.append(_in_blocks(big.join(stuck, "region", "left_semi"), percent, heavy))
+        links.append(_in_blocks(big.join(stuck, "region", "left_semi"), kind, percent, heavy, weigh))
         rest = divided.join(stuck.withColumnRenamed("region", "parent"), "parent", "left_anti")
         rest = rest.select(*_MEMBER)
     out = links[0]
@@ -369,49 +461,62 @@ def region_links(members: DataFrame, percent: int, heavy: int = HEAVY) -> DataFr
     return out
 
 
-def _joined(members: DataFrame, percent: int, two: bool) -> DataFrame:
+def _joined(members: DataFrame, kind: str, percent: int, two: bool) -> DataFrame:
     rows = members.repartition("region").sortWithinPartitions("region")
-    return rows.mapInArrow(_joiner(percent, two), "a binary, b binary")
+    key = dict(members.dtypes)["key"]
+    return rows.mapInArrow(_joiner(kind, percent, two), f"a {key}, b {key}")
 
 
-def _in_blocks(big: DataFrame, percent: int, heavy: int) -> DataFrame:
+def _in_blocks(big: DataFrame, kind: str, percent: int, heavy: int, weigh: str) -> DataFrame:
     """Every pair of blocks of a region as a task of its own, each block half as heavy."""
-    weight = big.groupBy("region").agg(F.ceil(2 * F.sum("n") / heavy).cast("int").alias("blocks"))
+    weight = big.groupBy("region").agg(
+        F.ceil(2 * F.sum(weigh) / heavy).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     rows = (big.select(*_MEMBER).join(weight, "region").withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    rows = rows.select(F.xxhash64("region", low, high).alias("region"), "key", "n", "shingles",
+    rows = rows.select(F.xxhash64("region", low, high).alias("region"), "key", "n", "content",
                        (F.col("own") > F.col("other")).cast("int").alias("side"))
-    return _joined(rows, percent, two=True)
+    return _joined(rows, kind, percent, two=True)
 
 
 def components(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, text: str = "text",
-               id_column: str = "doc_id", heavy: int = HEAVY) -> DataFrame:
+               id_column: str = "doc_id", heavy: int = HEAVY, heavy_cell: int = HEAVY_CELL,
+               ) -> DataFrame:
     """``docs`` without the text, with ``n_shingles``, ``component_id`` (the least id of the
     component) and ``_text`` (digest of the text) and ``_component`` (its name)."""
     prepare(docs.sparkSession)
-    own = ("n_shingles", "component_id", "_key", "_node", "_text", "_component", text)
-    rows = docs.select(*[c for c in docs.columns if c not in own],
+    own = ("n_shingles", "component_id", "_key", "_node", "_point", "_text", "_component", text)
+    rows = docs.select(*others(docs, own),
                        F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))).alias("_text"),
                        F.col(text).cast("string").alias("text"))
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text"]
     base = cut_lineage(rows.mapInArrow(_keyer(words), ", ".join(
-        [*types, "n_shingles long", "_key binary", "_node long"])), "sets")
+        [*types, "n_shingles long", "_key binary", "_node long", "_point binary"])), "sets")
 
+    # Cells of one document go; those of the same documents are one.
     found = rows.select("text").mapInArrow(_celler(words, percent), "cell long, node long")
-    pivot = F.min("node").over(Window.partitionBy("cell"))
-    bonds = (found.withColumn("pivot", pivot).filter("node != pivot")
-             .select(F.col("node").alias("a"), F.col("pivot").alias("b")))
-    regions = connected(bonds).select(F.col("node").alias("_node"), F.col("label").alias("region"))
+    own = Window.partitionBy("cell")
+    held = (found.withColumns({"low": F.min("node").over(own), "high": F.max("node").over(own),
+                               "all": F.bit_xor(F.xxhash64("node")).over(own)})
+            .filter("low != high")
+            .select(F.xxhash64("all", "low", "high").alias("region"), F.col("node").alias("_node"))
+            .distinct())
+    points = base.filter("_key IS NOT NULL").select(
+        "_node", F.col("n_shingles").alias("n"), F.col("_point").alias("content"))
+    points = points.dropDuplicates(["_node", "n", "content"])
+    held = cut_lineage(held.join(points, "_node").withColumnRenamed("_node", "key")
+                       .select(*_MEMBER), "cells")
+    near = region_links(held, "points", percent, heavy_cell, None)
+    regions = connected(near).select(F.col("node").alias("_node"), F.col("label").alias("region"))
 
     # One text of each distinct set that shares a region.
     chosen = (base.join(regions, "_node").groupBy("_key")
               .agg(F.min("_text").alias("_text"), F.min("region").alias("region")).drop("_key"))
     members = (rows.select("_text", "text").join(chosen, "_text").select("region", "text")
-               .mapInArrow(_setter(words), "region long, key binary, n long, shingles binary"))
+               .mapInArrow(_setter(words), "region long, key binary, n long, content binary"))
     members = cut_lineage(members, "members")
-    labels = connected(region_links(members, percent, heavy))
+    labels = connected(region_links(members, "sets", percent, heavy, "n"))
 
     keys = base.filter("_key IS NOT NULL").groupBy("_key").agg(F.min(id_column).alias("least"))
     keys = (keys.join(labels.withColumnRenamed("node", "_key"), "_key", "left")
@@ -422,23 +527,25 @@ def components(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, t
     return (base.join(keys, "_key", "left")
             .withColumn("component_id", F.when(F.col("_key").isNull(), F.col(id_column))
                         .otherwise(F.col("component_id")))
-            .drop("_key", "_node"))
+            .drop("_key", "_node", "_point"))
 
 
 def one_of_each(docs: DataFrame, *, words: int, percent: int, id_column: str = "doc_id",
                 ) -> DataFrame:
     """``docs`` with one row of each component: that of the least id. Texts without words stay."""
-    found = components(docs.select(id_column, "text"), words=words, percent=percent)
+    rows = narrowed(docs, id_column, "text")
+    found = components(rows.select(id_column, "text"), words=words, percent=percent)
     same = F.col(id_column).eqNullSafe(F.col("component_id"))
     first = (found.filter(F.col("_component").isNotNull() & same).groupBy("_component")
              .agg(F.min(F.struct("_text", id_column)).alias("first"))
              .select(F.col("first._text").alias("_text"), F.col(f"first.{id_column}").alias("_id")))
-    keyed = docs.withColumn("_text", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    keyed = rows.withColumn("_text", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     kept = keyed.join(first, (keyed["_text"] == first["_text"])
                       & keyed[id_column].eqNullSafe(first["_id"])).select(keyed["*"])
     wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return (kept.filter(~wordless).dropDuplicates(["_text", id_column])
-            .union(keyed.filter(wordless)).select(*docs.columns))
+    out = (kept.filter(~wordless).dropDuplicates(["_text", id_column])
+           .union(keyed.filter(wordless)))
+    return widened(out, docs, id_column, "text")
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stardw.llm.frames import others
 from stardw.session import cut_lineage, local_rows
 
 MOST_PATTERNS = 100_000
@@ -122,14 +123,15 @@ def mix(docs: DataFrame, *, sources: str = "sources", text: str = "text", id_col
         weights: Sequence[int] = WEIGHTS, share_percent: int = SHARE_PERCENT,
         times: int = MOST_TIMES, buckets: int = BUCKETS, seed: int = SEED,
         most_patterns: int = MOST_PATTERNS) -> DataFrame:
-    """``docs`` without the text, with ``size``, ``taken`` and the ``wanted`` and ``source_size``
-    of each of its sources, as maps; ``sources`` is an array of source names, null included."""
+    """``docs`` without the text, with ``size``, ``taken`` and ``of``: the name, wanted words and
+    size of each of its sources; ``sources`` is an array of source names, null included."""
     spark = docs.sparkSession
-    clash = {"size", "taken", "wanted", "source_size", "pattern", "bucket", text}
+    clash = {"size", "taken", "of", "pattern", "bucket", "times", "rest", "last", "over",
+             "last_words", text}
     pattern = F.array_sort(F.array_distinct(F.coalesce(F.col(sources), F.array().cast(
         "array<string>"))))
     sized = cut_lineage(docs.select(
-        *[c for c in docs.columns if c not in clash], pattern.alias("pattern"),
+        *others(docs, clash), pattern.alias("pattern"),
         F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
         .alias("size"),
         F.pmod(F.xxhash64(F.col(id_column), F.lit(seed)), F.lit(buckets)).alias("bucket")), "sizes")

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stardw.llm.cluster import prepare
+from stardw.llm.frames import narrowed, others, widened
 from stardw.llm.vocabularies import Vocabulary
 from stardw.llm.words import NOT_SPACE, blocks, covered, mix, windows, words_of
 from stardw.session import cut_lineage
@@ -142,7 +143,7 @@ def measures(docs: DataFrame, vocabularies: list[Vocabulary], *, text: str = "te
     sent = docs.sparkSession.sparkContext.broadcast(vocabularies)
     own = [f"{m}_{i}" for i in range(len(vocabularies)) for m in ("n_tokens", *METRICS)]
     clash = {*COUNTS, *own, "group", "length", "_coded", "_script", text}
-    kept = [c for c in docs.columns if c not in clash]
+    kept = others(docs, clash)
     code = F.col(lang) if lang in docs.columns else F.lit(None).cast("string")
     code = F.when(code.rlike("^[a-z]{2}$"), code)
     rows = docs.select(*kept, code.alias("group"), code.isNotNull().alias("_coded"),
@@ -199,6 +200,12 @@ def judge(docs: DataFrame, *, vocabularies: list[Vocabulary] | None = None, text
                     for end in ("low", "high")]))
 
 
+def keep(docs: DataFrame, **rules) -> DataFrame:
+    """``docs`` without the documents that the rules reject."""
+    judged = judge(narrowed(docs, "text", "lang"), keep_text=True, **rules)
+    return widened(judged.filter("kept"), docs, "text", "lang")
+
+
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
     return judge(docs).select("doc_id", *COUNTS, "base_failed", "kept",

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stardw.llm.cluster import prepare
+from stardw.llm.frames import narrowed, others, widened
 from stardw.llm.words import blocks, covered, mix, windows, words_of
 from stardw.session import cut_lineage
 
@@ -342,7 +343,7 @@ def find(docs: DataFrame, *, text: str = "text", id_column: str = "doc_id",
     ``copies`` (rows with the same text), the spans ``repeated`` and ``cut`` as [start, end …]
     in words, and how many words these hold."""
     own = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(*[c for c in docs.columns if c not in (*_CLASH, text)],
+    rows = docs.select(*others(docs, (*_CLASH, text)),
                        F.unhex(F.md5(own)).alias("_text"),
                        F.regexp_count(own, F.lit(WORD)).cast("long").alias("n_words"))
     copies = (rows.filter(F.col("n_words") >= min_words).groupBy("_text")
@@ -395,17 +396,18 @@ def remove(docs: DataFrame, *, id_column: str = "doc_id", min_words: int = MIN_W
     # One row for each text and id; the rows of one id have the same spans.
     cuts = (found.filter("n_cut > 0").select("_text", F.col(id_column).alias("_id"), "cut")
             .dropDuplicates(["_text", "_id"]))
-    keyed = docs.withColumn("_text", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    keyed = narrowed(docs, id_column, "text").withColumn(
+        "_text", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     rows = keyed.join(cuts, (keyed["_text"] == cuts["_text"])
                       & keyed[id_column].eqNullSafe(cuts["_id"]), "left").select(
-        *[keyed[c] for c in docs.columns], cuts["cut"])
+        keyed[id_column], keyed["text"], keyed["_rest"], cuts["cut"])
     done = rows.mapInArrow(_cutter, rows.schema)
     empty = F.col("cut").isNotNull() & ~F.coalesce(
         F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    done = done.filter(~empty).drop("cut")
+    done = widened(done.filter(~empty), docs, id_column, "text")
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done.select(*docs.columns)
+    return done
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stardw.llm.cluster import prepare
+from stardw.llm.frames import others
 from stardw.llm.vocabularies import Vocabulary
 from stardw.llm.words import blocks
 from stardw.session import scratch_dir
@@ -71,7 +72,7 @@ def keyed(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with the text as it goes to the tokenizer and its ``digest``."""
     own = F.coalesce(F.col(text).cast("string"), F.lit(""))
     clash = {"digest", "n_bytes", "n_tokens", text}
-    return docs.select(*[c for c in docs.columns if c not in clash], own.alias("text"),
+    return docs.select(*others(docs, clash), own.alias("text"),
                        F.unhex(F.sha2(own, 256)).alias("digest"))
 
 

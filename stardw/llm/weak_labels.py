@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stardw.llm.cluster import prepare
+from stardw.llm.frames import others
 from stardw.llm.quality_rules import _per_row, _seen_before, base_counts
 from stardw.llm.words import blocks, mix, raw_bytes, words_of
 from stardw.session import cut_lineage
@@ -197,8 +198,7 @@ def judge(docs: DataFrame, *, text: str = "text", bits: int = BITS, sample: int
     spark = docs.sparkSession
     prepare(spark)
     own = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    keyed = docs.select(*[c for c in docs.columns if c not in (
-        text, "score", "weak_label", "kept")], own.alias("text"))
+    keyed = docs.select(*others(docs, (text, "score", "weak_label", "kept")), own.alias("text"))
     voted = cut_lineage(keyed.select("text", F.xxhash64("text").alias("hash")).mapInArrow(
         _voter, "votes binary, hash long"), "votes")
     counted = voted.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()
