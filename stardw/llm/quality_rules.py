@@ -3,15 +3,15 @@
 A vocabulary cuts prose of a language into pieces in much the same way: so many characters a
 token, so few single bytes, so much variety among the tokens. Text that is cut far otherwise is
 rarely prose. The three measures are taken of every whole text. Bands are Tukey fences over all
-documents of the same language (two-letter code, else the script most of its letters are of) and
-the same length by powers of two, since variety grows with length. There are at most 676 codes,
+documents of the same language (two-letter code, else the script most of its letters are of), for
+variety also of the same length by powers of two. There are at most 676 codes,
 the scripts of ``SCRIPTS`` and 40 lengths, so the table of bands has a bound and is broadcast.
 
 The base rules reject texts of under ``MIN_WORDS`` words, or with more than half of the words in
 3-word windows that come twice.
 
-Null and empty texts have no words and fail the base rules. A group of under ``LEAST`` documents
-is judged by the bands of its length over all languages. Equal rows get equal results, an empty
+Null and empty texts have no words and fail the base rules. The variety of a language's texts of
+one length is judged by that of all languages if they are under ``LEAST``. Equal rows get equal results, an empty
 table an empty one; columns of the input with the name of a result are replaced.
 """
 
@@ -39,6 +39,8 @@ REACH = {"chars_per_token": (3.0, 6.0), "byte_share": (6.0, 3.0), "entropy": (3.
 # The band of a measure is at least this wide on either side of the quartiles, in its own unit.
 LEAST_WIDTH = {"chars_per_token": 0.25, "byte_share": 0.02, "entropy": 0.5}
 METRICS = tuple(LEAST_WIDTH)
+# Variety grows with the length of a text; the other measures hardly do.
+BY_LENGTH = ("entropy",)
 
 # First and last code point of letters, by script.
 SCRIPTS = {
@@ -160,21 +162,26 @@ def measures(docs: DataFrame, vocabularies: list[Vocabulary], *, text: str = "te
 
 def bands(measured: DataFrame, n: int, *, least: int = LEAST, reach: dict = REACH) -> DataFrame:
     """Fences of each measure by (group, length), from all documents."""
-    def quartiles(*keys):
+    def quartiles(metrics, *keys):
         return measured.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[
             F.percentile_approx(f"{m}_{i}", [0.25, 0.75], 1000).alias(f"{m}_{i}")
-            for i in range(n) for m in METRICS])
-    own = quartiles("group", "length").alias("own")
-    any_ = quartiles("length").alias("any")
+            for i in range(n) for m in metrics])
+    flat = [m for m in METRICS if m not in BY_LENGTH]
+    own = quartiles(BY_LENGTH, "group", "length").alias("own")
+    any_ = quartiles(BY_LENGTH, "length").alias("any")
+    all_ = quartiles(flat, "group").alias("all")
     fences = []
     for i in range(n):
         for m in METRICS:
-            q = F.when(F.col("own.n") >= least, F.col(f"own.{m}_{i}")).otherwise(
-                F.col(f"any.{m}_{i}"))
+            q = F.col(f"all.{m}_{i}")
+            if m in BY_LENGTH:
+                q = F.when(F.col("own.n") >= least, F.col(f"own.{m}_{i}")).otherwise(
+                    F.col(f"any.{m}_{i}"))
             low, high = (F.greatest(r * (q[1] - q[0]), F.lit(LEAST_WIDTH[m])) for r in reach[m])
             fences += [(q[0] - low).alias(f"{m}_{i}_low"), (q[1] + high).alias(f"{m}_{i}_high")]
-    return own.join(any_, F.col("own.length") == F.col("any.length")).select(
-        F.col("own.group"), F.col("own.length"), *fences)
+    return (own.join(any_, F.col("own.length") == F.col("any.length"))
+            .join(all_, F.col("own.group") == F.col("all.group"))
+            .select(F.col("own.group"), F.col("own.length"), *fences))
 
 
 def judge(docs: DataFrame, *, vocabularies: list[Vocabulary] | None = None, text: str = "text",

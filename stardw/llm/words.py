@@ -132,12 +132,13 @@ def windows(h: np.ndarray, size: int) -> np.ndarray:
         for k in range(1, size):
             out += h[k:k + n] * _WINDOW[k]
         return mix(out)
-    power = np.full(len(h), _STEP)
-    power[0] = 1
-    power = np.multiply.accumulate(power)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * power, dtype=np.uint64)))
-    # Shift every window to the same power: multiply by what is missing up to the last.
-    return mix((sums[size:] - sums[:n]) * power[n - 1::-1][:n])
+    def powers(base: int) -> np.ndarray:
+        out = np.full(len(h), base, np.uint64)
+        out[0] = 1
+        return np.multiply.accumulate(out)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * powers(int(_STEP)), dtype=np.uint64)))
+    # Every window as if it were the first.
+    return mix((sums[size:] - sums[:n]) * powers(pow(int(_STEP), -1, 1 << 64))[:n])
 
 
 def covered(start: np.ndarray, size: int | np.ndarray, n: int) -> np.ndarray:

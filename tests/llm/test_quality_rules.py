@@ -47,7 +47,7 @@ def test_measures():
     assert found["n_tokens"] == [len(ids), 0] and found["chars_per_token"][0] == len(text) / len(ids)
     assert found["entropy"][0] == pytest.approx(-sum(
         n / len(ids) * np.log2(n / len(ids)) for n in share.values()))
-    assert found["byte_share"][0] == 4 / len(ids) and found["byte_share"][1] == 0
+    assert found["byte_share"][0] == 7 / len(ids) and found["byte_share"][1] == 0
     assert Q.script_of("Привет мир abc") == "Cyrillic" and Q.script_of("12") == "Other"
 
 
