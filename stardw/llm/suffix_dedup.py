@@ -12,6 +12,7 @@ A passage counts when at least ``MIN_WORDS`` consecutive words come twice, in tw
    suffixes that share the right part stand in one run of the array; those that also share the
    left part hold the same window. So matches are extended both ways, and found exactly, not only
    between neighbours.
+   A suffix answers for the windows of which it is the least.
 4. Windows that recur are joined to passages. Of each recurring window the first by (digest of the
    text, place) stays; the others may be cut.
 
@@ -49,12 +50,14 @@ _STEP = np.uint64(0x9E6C63D0876A9A47)
 _CLASH = ("_text", "_node", "n_words", "n_repeated", "n_cut", "copies", "repeated", "cut")
 
 
-def minimisers(grams: np.ndarray, left: np.ndarray, min_words: int, gram: int) -> np.ndarray:
-    """Places of the least gram of every window; the leftmost of equal ones."""
+def minimisers(grams: np.ndarray, left: np.ndarray, min_words: int, gram: int,
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the least gram of every window (the leftmost of equal ones), with the first and
+    the last window of which each is the least. Windows between these are its own too."""
     n = min_words - gram + 1
     starts = np.flatnonzero(left >= min_words)
     if not len(starts):
-        return starts
+        return starts, starts, starts
     best, reach = np.arange(len(grams)), 1
 
     def least(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -63,7 +66,9 @@ def minimisers(grams: np.ndarray, left: np.ndarray, min_words: int, gram: int) -
         best = least(best[:len(best) - reach], best[reach:])
         reach *= 2
     # The window is two overlapping stretches of ``reach`` starts.
-    return np.unique(least(best[starts], best[starts + n - reach]))
+    at, first, times = np.unique(least(best[starts], best[starts + n - reach]),
+                                 return_index=True, return_counts=True)
+    return at, starts[first], starts[first + times - 1]
 
 
 def _node(keys: pa.Array) -> np.ndarray:
@@ -87,7 +92,7 @@ def _header(min_words: int, gram: int):
             batch = _fresh(batch, seen)
             words = words_of(batch.column("text"))
             grams = windows(words.hashes(), gram)
-            at = minimisers(grams, words.left, min_words, gram)
+            at, _, _ = minimisers(grams, words.left, min_words, gram)
             row = words.row[at]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(grams[at].view(np.int64)), pa.array(_node(batch.column("_text"))[row]),
@@ -109,11 +114,14 @@ def _surrounder(min_words: int, gram: int):
             words = words_of(batch.column("text"))
             h = words.hashes()
             grams, left = windows(h, gram), words.left
+            known, first, last = minimisers(grams, left, min_words, gram)
             marks = batch.column("marks")
             n = np.diff(marks.offsets.to_numpy())
             row = np.repeat(np.arange(batch.num_rows), n)
             pos = marks.flatten().field("pos").to_numpy().astype(np.int64)
             at = words.first[row] + pos
+            own_windows = np.searchsorted(known, at)
+            low, high = at - last[own_windows], at - first[own_windows]
             short = np.concatenate((np.zeros(before, np.uint32), (h >> np.uint64(32)).astype(np.uint32),
                                     np.zeros(after, np.uint32)))
             n_left, n_right = np.minimum(pos, before), np.minimum(left[at], after)
@@ -128,15 +136,15 @@ def _surrounder(min_words: int, gram: int):
                     [None, pa.py_buffer(a.astype(">u4").tobytes())]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(grams[at].view(np.int64)), batch.column("_text").take(pa.array(row)),
-                 pa.array(pos.astype(np.int32)), pa.array(n_left.astype(np.int32)),
-                 pa.array(n_right.astype(np.int32)), binary(own), binary(back),
+                 pa.array(pos.astype(np.int32)), pa.array(low.astype(np.int32)),
+                 pa.array(high.astype(np.int32)), binary(own), binary(back),
                  marks.flatten().field("n").cast(pa.int64())],
-                names=["gram", "key", "pos", "n_left", "n_right", "own", "back", "n"])
+                names=["gram", "key", "pos", "low", "high", "own", "back", "n"])
     return run
 
 
-_SUFFIX = ("gram long, key binary, pos int, n_left int, n_right int, own binary, back binary, "
-           "n long")
+# ``low`` to ``high``: how many words before the suffix the windows begin of which it is the least.
+_SUFFIX = "gram long, key binary, pos int, low int, high int, own binary, back binary, n long"
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -172,7 +180,7 @@ def compare_suffixes(batch: pa.RecordBatch, min_words: int, gram: int) -> pa.Rec
     batch, rank = batch.take(pa.array(first)), rank[first]
     heads = batch.column("gram").to_numpy()
     own, back = _matrix(batch.column("own"), after), _matrix(batch.column("back"), before)
-    n_left, n_right = (batch.column(c).to_numpy() for c in ("n_left", "n_right"))
+    low_o, high_o = (batch.column(c).to_numpy() for c in ("low", "high"))
     differ = own[1:] != own[:-1]
     shared = np.where(differ.any(axis=1), differ.argmax(axis=1), after)
     shared[heads[1:] != heads[:-1]] = 0
@@ -182,7 +190,7 @@ def compare_suffixes(batch: pa.RecordBatch, min_words: int, gram: int) -> pa.Rec
     far, near = np.full(n, -1), np.full(n, before + 1)
     cut_far, cut_near = far.copy(), near.copy()
     for o, left in enumerate(_left_hash(back)):
-        at = np.flatnonzero((n_left >= o) & (n_right >= min_words - o))
+        at = np.flatnonzero((low_o <= o) & (o <= high_o))
         run = np.cumsum(shared < min_words - o)[at].astype(np.uint64)
         key = mix(run * _STEP + left[at])
         order = np.lexsort((rank[at], key))
@@ -243,7 +251,7 @@ def _windower(min_words: int, gram: int):
             for part in range(0, batch.num_rows, 1000):
                 b = batch.slice(part, 1000)
                 own, back = _matrix(b.column("own"), after), _matrix(b.column("back"), before)
-                n_left, n_right = (b.column(c).to_numpy() for c in ("n_left", "n_right"))
+                low, high = (b.column(c).to_numpy() for c in ("low", "high"))
                 head = b.column("gram").to_numpy().view(np.uint64)
                 right = [None] * (after + 1)
                 right[0] = mix(head)
@@ -251,7 +259,7 @@ def _windower(min_words: int, gram: int):
                     right[k + 1] = mix(right[k] * _STEP + own[:, k].astype(np.uint64) + np.uint64(1))
                 out = []
                 for o, left in enumerate(_left_hash(back)):
-                    at = np.flatnonzero((n_left >= o) & (n_right >= min_words - o))
+                    at = np.flatnonzero((low <= o) & (o <= high))
                     win = mix(right[min_words - o][at] + left[at] * _STEP + np.uint64(o))
                     out.append((win.view(np.int64), at, np.full(len(at), o, np.int32)))
                 win, at, o = (np.concatenate(x) for x in zip(*out))
@@ -264,9 +272,10 @@ def _windower(min_words: int, gram: int):
 
 def _hot_passages(suffixes: DataFrame, min_words: int, gram: int) -> DataFrame:
     wins = suffixes.mapInArrow(_windower(min_words, gram), "win long, key binary, pos int, o int")
-    wins = wins.distinct()
-    first = wins.groupBy("win").agg(F.count(F.lit(1)).alias("n"),
-                                    F.min(F.struct("key", "pos")).alias("first")).filter("n > 1")
+    # A text that several tasks hold has the same place in each.
+    place = F.struct("key", "pos")
+    first = wins.groupBy("win").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = first.filter("first != last").drop("last")
     cut = F.when(F.struct("key", "pos") != F.col("first"), F.col("o"))
     found = wins.join(first, "win").groupBy("key", "pos").agg(
         F.min("o").alias("near"), F.max("o").alias("far"),
