@@ -396,27 +396,29 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove(docs: DataFrame, *, id_column: str = "doc_id", min_words: int = MIN_WORDS,
            gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """``docs`` with repeated passages cut from all places but one, and ``n_chars`` after that.
+    """``docs`` with repeated passages cut from all places but one.
 
-    A text of which nothing is left goes.
+    A text that is cut has its ``n_chars`` counted anew; one of which nothing is left goes.
     """
+    needed = [id_column, "text", *[c for c in docs.columns if c == "n_chars"]]
     found = find(docs.select(id_column, "text"), id_column=id_column, min_words=min_words,
                  gram=gram, hot=hot)
     # One row for each text and id; the rows of one id have the same spans.
     cuts = (found.filter("n_cut > 0").select("_text", F.col(id_column).alias("_id"), "cut")
             .dropDuplicates(["_text", "_id"]))
-    keyed = narrowed(docs, id_column, "text").withColumn(
+    keyed = narrowed(docs, *needed).withColumn(
         "_text", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     rows = keyed.join(cuts, (keyed["_text"] == cuts["_text"])
                       & keyed[id_column].eqNullSafe(cuts["_id"]), "left").select(
-        keyed[id_column], keyed["text"], keyed["_rest"], cuts["cut"])
+        *[keyed[c] for c in (*needed, "_rest")], cuts["cut"])
     done = rows.mapInArrow(_cutter, rows.schema)
     empty = F.col("cut").isNotNull() & ~F.coalesce(
         F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    done = widened(done.filter(~empty), docs, id_column, "text")
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done
+    if "n_chars" in needed:
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        done = done.withColumn("n_chars", F.when(F.col("cut").isNull(), F.col("n_chars"))
+                               .otherwise(counted))
+    return widened(done.filter(~empty), docs, *needed)
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
