@@ -13,7 +13,9 @@
 from __future__ import annotations
 
 import argparse
+import json
 from datetime import UTC, date, datetime
+from pathlib import Path
 
 from stardw.operators import quality
 from stardw.plans import analytics, meta, pipeline, verify
@@ -27,6 +29,8 @@ def parser() -> argparse.ArgumentParser:
     made = argparse.ArgumentParser("stardw", description=__doc__,
                                    formatter_class=argparse.RawDescriptionHelpFormatter)
     made.add_argument("--warehouse", required=True, help="folder of the warehouse")
+    made.add_argument("--properties", type=Path, help="JSON file with what the database driver "
+                      "needs: user, password, driver")
     made.add_argument("--master", help="Spark master, where spark-submit does not set it")
     commands = made.add_subparsers(dest="command", required=True)
 
@@ -60,10 +64,12 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(master=args.master)
     warehouse = Warehouse(spark, args.warehouse)
+    # In a file, so that no password stands in a URL or on the command line.
+    properties = json.loads(args.properties.read_text()) if args.properties else {}
 
     def source():
         return (RetailParquet(spark, args.parquet) if args.parquet
-                else JdbcSource(spark, args.jdbc))
+                else JdbcSource(spark, args.jdbc, **properties))
 
     match args.command:
         case "load":
@@ -82,7 +88,7 @@ def main(argv: list[str] | None = None) -> None:
         case "log":
             meta.RunLog(warehouse).latest(args.last).show(args.last, truncate=False)
         case "push":
-            push(warehouse, args.jdbc)
+            push(warehouse, args.jdbc, **properties)
         case "wipe":
             pipeline.wipe(warehouse)
         case "expire":

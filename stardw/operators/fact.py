@@ -80,14 +80,14 @@ def reject_report(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
             .groupBy("dimension").agg(F.count(F.lit(1)).alias("nb_lignes")))
 
 
-def touched_months(existing: DataFrame, fresh: DataFrame) -> list[int]:
-    """Months that a reload changes: those of the fresh rows, and those of rows they replace.
+def touched_months(existing: DataFrame, fresh: DataFrame, keys: DataFrame) -> list[int]:
+    """Months that a reload changes: those of the fresh rows, and those of rows that go.
 
-    The rows replaced are looked for between the lowest and highest order number that arrived.
-    Fact files are sorted by order number, so the scan skips the files of other orders.
+    ``keys`` are the lines that arrived, whether they gave a row or not. Their old rows are looked
+    for between the lowest and highest order number. Row groups are sorted by order number, so the
+    scan skips those of other orders.
     """
-    keys = fresh.select(*LINE_KEY)
-    low, high = fresh.agg(F.min("commande_id"), F.max("commande_id")).first()
+    low, high = keys.agg(F.min("commande_id"), F.max("commande_id")).first()
     moved = (existing.select(*LINE_KEY, PARTITION)
              .filter(F.col("commande_id").between(low, high))
              .join(keys, LINE_KEY, "left_semi"))
@@ -96,7 +96,10 @@ def touched_months(existing: DataFrame, fresh: DataFrame) -> list[int]:
     return sorted(r[0] for r in months.collect())
 
 
-def upsert(existing: DataFrame, fresh: DataFrame) -> DataFrame:
-    """``existing`` with every line of ``fresh`` added or replaced."""
-    kept = existing.join(fresh.select(*LINE_KEY), LINE_KEY, "left_anti")
+def upsert(existing: DataFrame, fresh: DataFrame, keys: DataFrame) -> DataFrame:
+    """``existing`` without the lines of ``keys``, and with every row of ``fresh``.
+
+    ``keys`` are all lines that arrived: one that no longer finds its dimensions leaves the fact.
+    """
+    kept = existing.join(keys.select(*LINE_KEY), LINE_KEY, "left_anti")
     return kept.select(*fresh.columns).unionByName(fresh)

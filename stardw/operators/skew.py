@@ -10,13 +10,14 @@ from pyspark.sql import types as T
 
 from stardw.session import local_rows
 
-# A key is hot when it holds at least this share of the rows and at least this many of them.
-HOT_SHARE = 0.001
+# A key is hot when it holds more rows than a task should sort, whatever the size of the table.
 HOT_MIN_ROWS = 1_000_000
-# Counters of a frequent-items sketch. Its error is a small multiple of rows / HOT_TRACKED, below
-# HOT_SHARE. Sketches of the tasks are merged in groups first, so that no task merges them all.
-HOT_TRACKED = 10_000
-HOT_MOST = int(1 / HOT_SHARE)
+# Counters of a frequent-items sketch. It finds every key with more than a small multiple of
+# rows / HOT_TRACKED; keys between that and HOT_MIN_ROWS, which a very large table may have, still
+# make tasks of a few million rows, which spill but end. Sketches of the tasks are merged in groups
+# first, so that no task merges them all.
+HOT_TRACKED = 100_000
+HOT_MOST = 50_000
 SKETCH_GROUPS = 256
 
 
@@ -38,14 +39,14 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= size <= int(limit)
 
 
-def hot_keys(df: DataFrame, key: str, *, share: float = HOT_SHARE,
-             min_rows: int = HOT_MIN_ROWS) -> dict:
-    """Keys that hold at least ``share`` of the rows, with their approximate row counts.
+def hot_keys(df: DataFrame, key: str, *, min_rows: int | None = None) -> dict:
+    """Keys that hold at least ``min_rows`` rows, with their approximate row counts.
 
-    One pass over one column with a mergeable sketch, no shuffle of the keys. At most 1/share
-    keys can qualify, so the answer is small whatever the data. It only steers how a join is
-    spread: results do not depend on it. Keys below the bounds are left to adaptive execution.
+    One pass over one column with a mergeable sketch, no shuffle of the keys. The answer has at
+    most ``HOT_MOST`` keys. It only steers how a join is spread: results do not depend on it. Keys
+    below the bound are left to adaptive execution.
     """
+    min_rows = HOT_MIN_ROWS if min_rows is None else min_rows
     sketches = df.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("_part")).agg(
         F.count(F.col(key)).alias("n"),
         F.expr(f"approx_top_k_accumulate({key}, {HOT_TRACKED})").alias("sketch"))
@@ -56,14 +57,14 @@ def hot_keys(df: DataFrame, key: str, *, share: float = HOT_SHARE,
         .alias("top")).first()
     if found is None:
         return {}
-    floor = max(min_rows, share * found["n"])
     return {item["item"]: item["count"] for item in found["top"]
-            if item["item"] is not None and item["count"] >= floor}
+            if item["item"] is not None and item["count"] >= min_rows}
 
 
-def salts_for(hot: dict, rows_per_part: int = HOT_MIN_ROWS) -> dict:
+def salts_for(hot: dict, rows_per_part: int | None = None) -> dict:
     """Tasks to spread each hot key over. Together these are at most rows / rows_per_part, and
     one more per hot key."""
+    rows_per_part = rows_per_part or HOT_MIN_ROWS
     return {key: max(2, -(-count // rows_per_part)) for key, count in hot.items()}
 
 

@@ -29,7 +29,7 @@ BLOCKS = {
     "ops_groupe_client": """
         select row_number() over (order by c_mktsegment) groupe_client_id,
                c_mktsegment nom_groupe_client
-        from (select distinct c_mktsegment from customer) x""",
+        from (select distinct c_mktsegment from customer where c_mktsegment is not null) x""",
     "ops_client": """
         select c_custkey client_id, 'Client' nom, c_name prenom,
                case when c_custkey % 11 = 0 then null when c_custkey % 2 = 0 then 'F'
@@ -41,7 +41,7 @@ BLOCKS = {
                     end groupe_client_id,
                c_nationkey * 4 + c_custkey % 4 ville_id, c_custkey % 20 <> 0 actif,
                cast(date '1995-01-01' + cast(c_custkey % 1000 as int) as timestamp) maj_le
-        from customer join ops_groupe_client g on g.nom_groupe_client = c_mktsegment""",
+        from customer left join ops_groupe_client g on g.nom_groupe_client = c_mktsegment""",
     "ops_carte_fidelite": """
         select c_custkey carte_fidelite_id, c_custkey client_id
         from customer where c_custkey % 4 = 0""",
@@ -50,7 +50,7 @@ BLOCKS = {
         from supplier""",
     "ops_ligne_produit": """
         select row_number() over (order by p_type) ligne_produit_id, p_type nom_ligne_produit
-        from (select distinct p_type from part) x""",
+        from (select distinct p_type from part where p_type is not null) x""",
     "ops_categorie_produit": """
         select ligne_produit_id * 4 + k categorie_produit_id,
                nom_ligne_produit || '-' || k nom_categorie_produit, ligne_produit_id
@@ -67,7 +67,7 @@ BLOCKS = {
                  + case when p_retailprice >= 950 then 1 else 0 end groupe_produit_id,
                p_partkey % (select count(*) from supplier) fournisseur_id,
                p_partkey % 50 <> 0 actif
-        from part join ops_ligne_produit l on l.nom_ligne_produit = p_type""",
+        from part left join ops_ligne_produit l on l.nom_ligne_produit = p_type""",
     "ops_historique_prix": """
         select p_partkey * 3 + k prix_id, p_partkey produit_id, cast(d0 as date) date_debut,
                cast(d1 as date) date_fin,
@@ -108,7 +108,8 @@ BLOCKS = {
                ((e % 5) * 6 + case when e % 10 < 8 then 0 else 2 end) * 2
                  + case when e % 3 = 0 then 0 else 1 end org_groupe_id,
                cast(date '1995-01-01' + cast(e % 1000 as int) as timestamp) maj_le
-        from (select distinct o_orderkey % 70 e from orders) x""",
+        from (select distinct o_orderkey % (select 70 + count(*) // 20000 from orders) e
+              from orders) x""",
     "ops_contrat_employe": """
         select employe_id * 3 + k contrat_id, employe_id, cast(d0 as date) date_debut,
                cast(d1 as date) date_fin, ty type_contrat
@@ -124,7 +125,8 @@ BLOCKS = {
         where canal_id in (select 1 + o_orderkey % 3 from orders)""",
     "ops_commande": """
         select o_orderkey commande_id, cast(o_orderdate as date) date_commande,
-               o_custkey client_id, o_orderkey % 70 employe_id, 1 + o_orderkey % 3 canal_id
+               o_custkey client_id,
+               o_orderkey % (select 70 + count(*) // 20000 from orders) employe_id, 1 + o_orderkey % 3 canal_id
         from orders""",
     "ops_ligne_commande": """
         select commande_id, numero_ligne, produit_id, quantite, prix_unitaire,
@@ -170,9 +172,9 @@ BLOCKS.update({
     "stg_produit": """
         select produit_id, nom_produit, nom_groupe_produit, nom_categorie_produit,
                nom_ligne_produit, fournisseur_id fournisseur_id_naturel, nom_fournisseur, actif
-        from ops_produit join ops_groupe_produit using (groupe_produit_id)
-        join ops_categorie_produit using (categorie_produit_id)
-        join ops_ligne_produit using (ligne_produit_id)
+        from ops_produit left join ops_groupe_produit using (groupe_produit_id)
+        left join ops_categorie_produit using (categorie_produit_id)
+        left join ops_ligne_produit using (ligne_produit_id)
         join ops_fournisseur using (fournisseur_id)""",
     "stg_lignes": """
         select o.commande_id, l.numero_ligne, o.date_commande, o.client_id, o.employe_id,
@@ -509,6 +511,32 @@ QUERIES = {
           select commande_id, cast(sum(quantite * prix_unitaire
                    * (cast(1 as decimal(5,4)) - pct_remise)) as decimal(14,2)) total
           from ops_ligne_commande group by commande_id) t on t.commande_id = c.commande_id""",
+    "order_total_batch": """
+        select c.commande_id, case when c.commande_id % 5 = 0
+                 then cast(coalesce(t.total, 0) as double) else 0.0::double end montant_total
+        from ops_commande c left join (
+          select commande_id, cast(sum(quantite * prix_unitaire
+                   * (cast(1 as decimal(5,4)) - pct_remise)) as decimal(14,2)) total
+          from ops_ligne_commande group by commande_id) t on t.commande_id = c.commande_id""",
+    "sql_brackets": f"""
+        select 'age' genre, {_age('date_naissance', '2001-12-31')} tranche, count(*) nb
+        from ops_client group by all
+        union all
+        select 'salaire', {SALARY}, count(*) from ops_employe group by all""",
+    "dim_date_growth": """
+        select 0 etape, year(d) annee, count(*) nb_jours from (
+          select unnest(generate_series(date_trunc('year', min(date_commande)),
+                        date_trunc('year', max(date_commande)) + interval 1 year - interval 1 day,
+                        interval 1 day)) d
+          from ops_commande where date_commande <= date '1996-06-30') x group by all
+        union all
+        select 1, year(d), count(*) from (
+          select unnest(generate_series(date_trunc('year', min(date_commande)),
+                        date_trunc('year', max(date_commande)) + interval 1 year - interval 1 day,
+                        interval 1 day)) d
+          from ops_commande where date_commande <= date '1996-06-30') x group by all
+        union all
+        select 2, annee, count(*) from d_date group by all""",
     "sales_staff_semi": """
         select employe_id, count(*) nb_commandes from ops_commande
         where employe_id in (
@@ -604,7 +632,8 @@ QUERIES = {
                cast(sum(cast(q * prix_unitaire * (cast(1 as decimal(5,4)) - pct_remise)
                              as decimal(14,2))) as double) montant_net
         from (select *, cast(quantite + case when date_commande > date '1998-06-30' then 1
-                                             else 0 end as decimal(12,3)) q from fait) x
+                                             else 0 end as decimal(12,3)) q from fait
+              where not (date_commande > date '1998-06-30' and produit_id % 50 = 0)) x
         group by cle_date""",
     "watermark_after_load": """
         select 'fait_ventes' job_name, max(date_commande) last_value from stg_lignes""",
@@ -744,6 +773,15 @@ QUERIES = {
         select round(f.m, 4) "ca_moy_F", round(h.m, 4) "ca_moy_M", f.n "n_F", h.n "n_M",
                round((f.m - h.m) / sqrt(f.v / f.n + h.v / h.n), 4) welch_t
         from (select * from a where sexe = 'F') f, (select * from a where sexe = 'M') h""",
+    "wipe_and_reload": " union all ".join(
+        f"select '{t}' table_name, {0 if step == 1 else 1} * count(*) nb, {step} etape from {block}"
+        for step in (0, 1, 2) for t, (block, _, _) in _DIM_COUNTS.items()),
+    "last_runs": " union all ".join(
+        [f"select '{t}' job_name, 'SUCCESS' status, count(*) rows_in, count(*) rows_out from {b}"
+         for t, (b, _, _) in _DIM_COUNTS.items() if t != "fait_ventes"]
+        + ["select 'fait_ventes', 'SUCCESS', (select count(*) from stg_lignes), count(*) from fait",
+           "select 'staging', 'SUCCESS', count(*), count(*) from stg_lignes",
+           "select 'publication', 'SUCCESS', count(*), count(*) from fait"]),
     "verify_row_counts": " union all ".join(
         f"select '{t}' table_name, count(*) nb from {block}"
         for t, (block, _, _) in _DIM_COUNTS.items()),

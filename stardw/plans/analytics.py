@@ -15,14 +15,11 @@ from pyspark.sql import functions as F
 from stardw.functions import labels as L
 from stardw.operators.fact import LINE_KEY
 from stardw.operators.ranking import number_by_range
-from stardw.operators.skew import fits_broadcast, hot_keys, lookup_join
+from stardw.operators.skew import hot_keys, lookup_join
 from stardw.session import cut_lineage
 
 Tables = Mapping[str, DataFrame]
 
-# Up to this many aggregated rows, a ranking is one window; beyond, a distributed sort.
-MOST_RANKED_AT_ONCE = 1_000_000
-
 ALL_LINES = "*"
 
 
@@ -100,8 +97,7 @@ def group_margin(dw: Tables, group: str | None = None) -> DataFrame:
         products = products.filter(F.col("nom_groupe_produit") == group)
     sums = [_sum(c, c) for c in ("montant_net", "montant_cout", "montant_marge")]
     sales = dw["fait_ventes"].join(dw["dim_date"].select("cle_date", "annee"), "cle_date")
-    if not fits_broadcast(products):
-        sales = sales.groupBy("cle_produit", "annee").agg(*sums)
+    sales = sales.groupBy("cle_produit", "annee").agg(*sums)
     return (sales.join(products, "cle_produit")
             .groupBy("nom_groupe_produit", "annee")
             .agg(_sum("montant_net", "ca"), _sum("montant_cout", "cout_marchandises"),
@@ -156,14 +152,10 @@ def sales_rep_ranks(dw: Tables) -> DataFrame:
     ranks = {"rang_pays": "org_pays", "rang_sexe": "sexe", "rang_age": "tranche_age",
              "rang_salaire": "tranche_salaire"}
     best_first = [F.desc("ca"), F.asc("employe_id")]
-    if _current(dw["dim_employe"]).count() <= MOST_RANKED_AT_ONCE:
-        ranked = base.withColumns({
-            rank: F.row_number().over(Window.partitionBy(by).orderBy(*best_first))
-            for rank, by in ranks.items()})
-    else:
-        ranked = base
-        for rank, by in ranks.items():
-            ranked = number_by_range(ranked, [by], best_first, rank)
+    # By distributed sorts: a gender is half of the staff, too many for the window of one task.
+    ranked = base
+    for rank, by in ranks.items():
+        ranked = number_by_range(ranked, [by], best_first, rank)
     return ranked.orderBy(*best_first)
 
 

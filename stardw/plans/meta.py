@@ -17,6 +17,7 @@ from stardw.session import local_rows
 from stardw.sources.snapshots import Warehouse
 
 FACT_JOB = "fait_ventes"
+RUNNING = "RUNNING"
 
 
 def now() -> datetime:
@@ -35,13 +36,14 @@ class Run:
 
 
 class RunLog:
-    """One small file per run, apart from the manifest, so a failed load leaves its trace.
+    """Small files apart from the manifest: one when a run starts, one when it ends.
 
-    One driver writes at a time; a second one would fail on a run number that is taken.
+    A load that fails leaves its trace, and one whose driver dies stays RUNNING. One driver writes at a time; a second one would fail on a run number that is taken.
     """
 
-    def __init__(self, warehouse: Warehouse):
+    def __init__(self, warehouse: Warehouse, prefix: str = ""):
         self.spark: SparkSession = warehouse.spark
+        self.prefix = prefix
         self.warehouse = warehouse
         self.path = f"{warehouse.root}/_run_log"
         self._lock = threading.Lock()
@@ -49,22 +51,29 @@ class RunLog:
 
     def read(self) -> DataFrame:
         schema = schema_of("run_log")
-        if not self.warehouse._list(self.path):
+        if not self._names():
             return local_rows(self.spark, [], schema)
-        return self.spark.read.schema(schema).json(self.path)
+        rows = self.spark.read.schema(schema).json(f"{self.path}/*.json")
+        # The end of a run counts, and its start only while there is no end.
+        last = F.max_by(F.struct(*schema.names), F.col("status") != RUNNING)
+        return rows.groupBy("run_id").agg(last.alias("r")).select("r.*")
+
+    def _names(self) -> list[str]:
+        """Files of runs; what a crash has left of one being written doesn't count."""
+        return [n for n in self.warehouse._list(self.path) if n.endswith(".json")]
 
     def _new_id(self) -> int:
         with self._lock:
             if self._next is None:
-                names = self.warehouse._list(self.path)
-                self._next = 1 + max((int(n.split(".")[0]) for n in names), default=0)
+                self._next = 1 + max((int(n.split(".")[0]) for n in self._names()), default=0)
             run_id, self._next = self._next, self._next + 1
             return run_id
 
     @contextmanager
     def run(self, job: str):
-        """Open a run, let the caller set its counts, close it as SUCCESS or FAIL."""
-        run = Run(self._new_id(), job, now())
+        """Open a run as RUNNING, let the caller set its counts, close it as SUCCESS or FAIL."""
+        run = Run(self._new_id(), self.prefix + job, now())
+        self._append(run, RUNNING, None)
         try:
             yield run
         except Exception as problem:
@@ -74,9 +83,12 @@ class RunLog:
 
     def _append(self, run: Run, status: str, error: str | None) -> None:
         done = status == "SUCCESS"
-        self.warehouse._publish_text(f"{self.path}/{run.run_id:012d}.json", json.dumps({
+        ended = status != RUNNING
+        name = f"{run.run_id:012d}{'' if ended else '.start'}.json"
+        self.warehouse._publish_text(f"{self.path}/{name}", json.dumps({
             "run_id": run.run_id, "job_name": run.job_name,
-            "started_at": run.started_at.isoformat(), "ended_at": now().isoformat(),
+            "started_at": run.started_at.isoformat(),
+            "ended_at": now().isoformat() if ended else None,
             "status": status, "rows_in": run.rows_in if done else None,
             "rows_out": run.rows_out if done else None, "error_msg": error}))
 

@@ -24,6 +24,8 @@ from stardw.sources.snapshots import Warehouse, add_parts, replace_parts
 PARALLEL_JOBS = 8
 # Part of a history: its current or its closed versions.
 VERSION_PART = "est_courant"
+# Folders of closed versions beyond which they are written as one.
+MOST_LOTS = 16
 
 
 def _side_by_side(spark: SparkSession, work: dict) -> dict:
@@ -58,17 +60,33 @@ def stage(warehouse: Warehouse, tables: dict[str, DataFrame]) -> Staged:
         warehouse.spark, {t: write(t, df) for t, df in tables.items()}))
 
 
-def _date_entry(warehouse: Warehouse, run: meta.Run, lines: DataFrame,
+def date_entry(warehouse: Warehouse, run: meta.Run, lines: DataFrame,
                 span: tuple[date, date] | None) -> dict:
-    """The date dimension, built once: a filled one is left as it is."""
+    """The date dimension, grown by whole years when orders come from outside it.
+
+    Days it has stay as they are; a dimension that covers the orders is left alone.
+    """
     run.rows_in = run.rows_out = 0
     known = warehouse.manifest().get("dim_date")
-    if known is not None and not warehouse.open("dim_date", known).isEmpty():
-        return known
-    if span is None:
-        days = D.date_attributes(D.whole_years(lines, "date_commande"), "jour")
+    dates = warehouse.open("dim_date", known) if known is not None else None
+    if dates is not None and dates.isEmpty():
+        known = dates = None
+    if dates is None and span is not None:
+        dates = conform(D.date_dimension(warehouse.spark, *span), "dim_date")
+    ordered = lines.select(F.col("date_commande").alias("jour"))
+    if dates is None:
+        days = D.date_attributes(D.whole_years(ordered, "jour"), "jour")
     else:
-        days = D.date_dimension(warehouse.spark, *span)
+        low, high = dates.agg(F.min("date_complete"), F.max("date_complete")).first()
+        if ordered.filter(~F.col("jour").between(low, high)).isEmpty():
+            if known is not None:
+                return known
+            days = dates
+        else:
+            # From the first to the last day of both, so that no year between is left out.
+            both = ordered.union(dates.select("date_complete"))
+            grown = conform(D.date_attributes(D.whole_years(both, "jour"), "jour"), "dim_date")
+            days = dates.unionByName(grown.join(dates.select("cle_date"), "cle_date", "left_anti"))
     entry = warehouse.write("dim_date", conform(days, "dim_date"))
     run.rows_in = run.rows_out = warehouse.open("dim_date", entry).count()
     return entry
@@ -112,7 +130,14 @@ def _historised_entries(warehouse: Warehouse, run: meta.Run, dim: str, staged: S
     run.rows_in = staged[table].count()
     # Each opened version is one row more.
     run.rows_out = warehouse.open(dim, entry).count() - before
-    return {dim: entry if known is None else add_parts(known, entry, "false")}
+    if known is not None:
+        entry = add_parts(known, entry, "false")
+        if len(entry["parts"].get("false", [])) > MOST_LOTS:
+            # The folders of closed versions become one again.
+            closed = warehouse.open(dim, entry).filter(~F.col("est_courant"))
+            whole = warehouse.write(dim, closed, VERSION_PART)
+            entry = {**entry, "parts": {**entry["parts"], **whole["parts"]}}
+    return {dim: entry}
 
 
 def load_dimensions(warehouse: Warehouse, log: meta.RunLog, staged: Staged, as_of: date,
@@ -124,7 +149,7 @@ def load_dimensions(warehouse: Warehouse, log: meta.RunLog, staged: Staged, as_o
                 return build(run)
         return do
 
-    work = {"dim_date": job("dim_date", lambda run: {"dim_date": _date_entry(
+    work = {"dim_date": job("dim_date", lambda run: {"dim_date": date_entry(
         warehouse, run, staged["lignes_commande"], span)})}
     for dim in D.OVERWRITTEN:
         work[dim] = job(dim, lambda run, dim=dim: _overwritten_entries(
@@ -152,7 +177,7 @@ def fact_entry(warehouse: Warehouse, lines: DataFrame, dims, published: dict | N
     """Entry of the fact with ``lines`` added or replaced, and the number of rows they gave.
 
     A first load writes the fact rows once. A later load writes them apart, then rewrites only
-    the months they touch.
+    the months they touch. A line that came before and finds its dimensions no longer goes.
     """
     fresh = conform(fact.build_fact(lines, dims), "fait_ventes")
     if published is None or not published["parts"]:
@@ -160,12 +185,13 @@ def fact_entry(warehouse: Warehouse, lines: DataFrame, dims, published: dict | N
         return entry, warehouse.open(table, entry).count()
     fresh = cut_lineage(fresh, "fact")
     rows = fresh.count()
-    if not rows:
+    keys = lines.select(*fact.LINE_KEY)
+    if keys.isEmpty():
         return published, 0
     existing = warehouse.open(table, published)
-    touched = fact.touched_months(existing, fresh)
+    touched = fact.touched_months(existing, fresh, keys)
     months = existing.filter(F.col(fact.PARTITION).isin(touched))
-    entry = warehouse.write(table, fact.upsert(months, fresh), fact.PARTITION,
+    entry = warehouse.write(table, fact.upsert(months, fresh, keys), fact.PARTITION,
                             fact.LINE_KEY[0])
     return replace_parts(published, entry, touched), rows
 
@@ -193,9 +219,11 @@ def run(ops: OperationalSource, warehouse: Warehouse, as_of: date, *,
     """Stage, load the dimensions side by side, load the fact, publish everything at once.
 
     Only orders after the high-water mark are staged. ``span`` sets the days of the date
-    dimension on the first load; by default it covers the years of the staged orders.
+    dimension on the first load; by default it covers the years of the staged orders. A load that
+    another one overtakes fails when it publishes, and publishes nothing.
     """
     log = meta.RunLog(warehouse)
+    base = warehouse.version()
     after = meta.effective_watermark(meta.watermark(warehouse), lookback_days)
     with log.run("staging") as staging_run:
         staged = stage(warehouse, staging.all_tables(ops, as_of, after))
@@ -204,7 +232,7 @@ def run(ops: OperationalSource, warehouse: Warehouse, as_of: date, *,
     entries.update(load_fact(warehouse, log, staged["lignes_commande"], entries))
     with log.run("publication") as published:
         # The staging tables of the last run stay readable until they expire.
-        warehouse.commit({**entries, "staging": staged.entries})
+        warehouse.commit({**entries, "staging": staged.entries}, base)
         published.rows_in = published.rows_out = warehouse["fait_ventes"].count()
 
 
@@ -212,14 +240,23 @@ def run_single_order(ops: OperationalSource, warehouse: Warehouse, as_of: date,
                      commande_id: int | None = None) -> DataFrame:
     """Fact rows of one order, by default the lowest, for following a line from end to end.
 
-    They come from freshly staged tables and the published keys; nothing is published and the
-    high-water mark stays.
+    All tables are staged afresh and the dimensions loaded from them, with the published keys as a
+    start, so a client who joined today is found. Nothing is published and the high-water mark
+    stays; the steps leave their rows in the run log.
     """
     if commande_id is None:
         commande_id = staging.first_order(ops)
-    lines = staging.order_lines(ops, only=commande_id)
-    dims = {d: warehouse[d] for d in fact.LOOKUPS}
-    return conform(fact.build_fact(lines, dims), "fait_ventes")
+    log = meta.RunLog(warehouse, f"commande {commande_id}: ")
+    with log.run("staging") as staging_run:
+        staged = stage(warehouse, staging.all_tables(ops, as_of, only=commande_id))
+        lines = staged["lignes_commande"]
+        staging_run.rows_in = staging_run.rows_out = lines.count()
+    entries = load_dimensions(warehouse, log, staged, as_of)
+    dims = {d: warehouse.open(d, entries[d]) for d in fact.LOOKUPS}
+    with log.run(meta.FACT_JOB) as run:
+        rows = cut_lineage(conform(fact.build_fact(lines, dims), "fait_ventes"), "commande")
+        run.rows_in, run.rows_out = staging_run.rows_out, rows.count()
+    return rows
 
 
 def wipe(warehouse: Warehouse) -> None:

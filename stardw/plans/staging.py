@@ -67,8 +67,11 @@ def products(ops: OperationalSource) -> DataFrame:
     # Written, so that Catalyst knows its size: estimates of joins are far too large.
     tree = cut_lineage(tree, "arbre")
     supplier = ops["fournisseur"].select("fournisseur_id", "nom_fournisseur")
-    rows = lookup_join(ops["produit"], tree, "groupe_produit_id", spread=["produit_id"])
-    rows = lookup_join(rows, supplier, "fournisseur_id", spread=["produit_id"])
+    # A product without a line has no group; it stays, as do clients without one.
+    rows = lookup_join(ops["produit"], tree, "groupe_produit_id", spread=["produit_id"],
+                       how="left")
+    rows = lookup_join(rows, supplier, "fournisseur_id", spread=["produit_id"],
+                       hot=lambda: hot_keys(ops["produit"], "fournisseur_id"))
     return (rows.withColumn("fournisseur_id_naturel", F.col("fournisseur_id"))
             .select(*COLUMNS["produit_full"]))
 
@@ -142,13 +145,18 @@ def order_lines(ops: OperationalSource, after: date | None = None,
     """
     client = ops["client"].select("client_id", F.col("ville_id").alias("cli_ville_id"))
     product = ops["produit"].select("produit_id", "fournisseur_id")
+    # One order has no key worth a pass over the table; an increment is searched by itself.
+    def hot(found, rows, key):
+        return dict if only is not None else found if after is None else (
+            lambda: hot_keys(rows, key))
     # The client's place joins the orders, of which there are fewer than lines.
-    orders = lookup_join(ops.orders(after, only), client, "client_id", spread=["commande_id"],
-                         hot=ops.hot_clients)
-    rows = lookup_join(ops.order_lines(only), orders, "commande_id",
-                       spread=["numero_ligne", "produit_id"], hot=ops.hot_orders)
+    wanted, lines = ops.orders(after, only), ops.order_lines(after, only)
+    orders = lookup_join(wanted, client, "client_id", spread=["commande_id"],
+                         hot=hot(ops.hot_clients, wanted, "client_id"))
+    rows = lookup_join(lines, orders, "commande_id", spread=["numero_ligne", "produit_id"],
+                       hot=hot(ops.hot_orders, lines, "commande_id"))
     rows = lookup_join(rows, product, "produit_id", spread=["commande_id", "numero_ligne"],
-                       hot=ops.hot_products)
+                       hot=hot(ops.hot_products, lines, "produit_id"))
     return rows.select(*COLUMNS["lignes_commande"])
 
 

@@ -34,6 +34,7 @@ SECOND_LOAD = date(2002, 1, 31)
 EARLY_LOAD = date(1996, 1, 1)
 LATE_LOAD = date(1998, 6, 30)
 INCREMENT_AFTER = date(1998, 6, 30)
+GROWTH_UNTIL = date(1996, 6, 30)
 QUESTION_COUNTRY = "NATION_3"
 QUESTION_YEAR = 1998
 QUESTION_GROUP = "Premium — LARGE-1"
@@ -290,16 +291,72 @@ def fact_rejects(ops: OperationalSource, dw: Warehouse) -> DataFrame:
 
 
 def fact_reload_idempotent(ops: OperationalSource, dw: Warehouse) -> DataFrame:
-    """The fact per day after the later orders have come again with one more unit a line, twice."""
-    again = staging.order_lines(ops, after=INCREMENT_AFTER).withColumn(
-        "quantite", (F.col("quantite") + 1).cast("decimal(12,3)"))
-    fresh = cut_lineage(fact.build_fact(again, {d: dw[d] for d in fact.LOOKUPS}), "reprise")
-    loaded = fact.upsert(fact.upsert(dw["fait_ventes"], fresh), fresh)
+    """The fact per day after the later orders have come again with one more unit a line, twice,
+    and inactive products have left their dimension: the lines of these go."""
+    again = cut_lineage(staging.order_lines(ops, after=INCREMENT_AFTER).withColumn(
+        "quantite", (F.col("quantite") + 1).cast("decimal(12,3)")), "reprise")
+    dims = {d: dw[d] for d in fact.LOOKUPS}
+    dims["dim_produit"] = dims["dim_produit"].filter("actif")
+    fresh = cut_lineage(fact.build_fact(again, dims), "reprise")
+    loaded = fact.upsert(fact.upsert(dw["fait_ventes"], fresh, again), fresh, again)
     return loaded.groupBy("cle_date").agg(
         F.count(F.lit(1)).alias("nb_lignes"), F.sum("quantite").alias("quantite"),
         F.sum("montant_net").alias("montant_net"))
 
 
+def order_total_batch(ops: OperationalSource) -> DataFrame:
+    """Order totals recomputed for every fifth order; the others keep none."""
+    batch = ops["commande"].filter("commande_id % 5 = 0").select("commande_id")
+    return tables.order_totals(ops["commande"], ops.unnumbered_lines(), batch).select(
+        "commande_id", "montant_total")
+
+
+def sql_brackets(ops: OperationalSource) -> DataFrame:
+    """Clients and employees by bracket, by the functions registered for SQL."""
+    E.register_sql_functions(SparkSession.active())
+    ages = ops["client"].groupBy(F.expr(f"fn_tranche_age(date_naissance, date'{FIRST_LOAD}')")
+                                 .alias("tranche")).agg(F.count(F.lit(1)).alias("nb"))
+    pays = ops["employe"].groupBy(F.expr("fn_tranche_salaire(salaire)").alias("tranche")).agg(
+        F.count(F.lit(1)).alias("nb"))
+    return ages.select(F.lit("age").alias("genre"), "tranche", "nb").unionByName(
+        pays.select(F.lit("salaire").alias("genre"), "tranche", "nb"))
+
+
+def last_runs(dw: Warehouse) -> DataFrame:
+    """The runs of the load with their rows, without numbers and times."""
+    jobs = [*dimensions.TABLES, "staging", "publication"]
+    return (meta.RunLog(dw).latest(1000).filter(F.col("job_name").isin(jobs))
+            .select("job_name", "status", "rows_in", "rows_out"))
+
+
+def wipe_and_reload(ops: OperationalSource) -> DataFrame:
+    """Rows per table after a load, after a wipe, and after another load."""
+    spark = SparkSession.active()
+    made = Warehouse(spark, scratch_dir(spark, "vide"))
+    found = []
+    for step, act in enumerate((lambda: pipeline.run(ops, made, FIRST_LOAD),
+                                lambda: pipeline.wipe(made),
+                                lambda: pipeline.run(ops, made, FIRST_LOAD))):
+        act()
+        found.append(verify.row_counts(made).withColumn("etape", F.lit(step)))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def dim_date_growth(ops: OperationalSource) -> DataFrame:
+    """Days per year after a load of the earlier orders, one that adds nothing, one of all."""
+    spark = SparkSession.active()
+    made = Warehouse(spark, scratch_dir(spark, "dates"))
+    log = meta.RunLog(made)
+    early = ops.orders().filter(F.col("date_commande") <= F.lit(GROWTH_UNTIL))
+    found = []
+    for step, orders in enumerate((early, early, ops.orders())):
+        with log.run("dim_date") as run:
+            made.commit({"dim_date": pipeline.date_entry(made, run, orders, None)})
+        found.append(made["dim_date"].groupBy("annee").agg(
+            F.count(F.lit(1)).alias("nb_jours")).withColumn("etape", F.lit(step)))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def watermark_after_load(ops: OperationalSource, dw: Warehouse) -> DataFrame:
     """The mark after the load, and what a later load without new orders makes of it."""
     marks = dw["watermark"].filter(F.col("job_name") == meta.FACT_JOB)
@@ -353,6 +410,10 @@ OF_SOURCE: dict[str, Callable[[OperationalSource], DataFrame]] = {
     "discount_at_date": pricing.discount_at_date,
     "order_total_rollup": lambda ops: tables.order_totals(
         ops["commande"], ops.unnumbered_lines()).select("commande_id", "montant_total"),
+    "order_total_batch": order_total_batch,
+    "sql_brackets": sql_brackets,
+    "wipe_and_reload": wipe_and_reload,
+    "dim_date_growth": dim_date_growth,
     "sales_staff_semi": sales_staff_semi,
     "insert_if_absent": insert_absent_clients,
     "org_tree_expand": org_tree_expand,
@@ -383,6 +444,7 @@ OF_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "q3_marginal_products": lambda dw: analytics.marginal_products(
         dw, QUESTION_COUNTRY, QUESTION_YEAR),
     "q4_group_margin": lambda dw: analytics.group_margin(dw, QUESTION_GROUP),
+    "last_runs": last_runs,
     "verify_row_counts": verify.row_counts,
     "verify_contracts": verify.contracts,
     "verify_top_reps": verify.top_reps,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 
 from stardw.sources.operational import OperationalSource
@@ -19,8 +21,10 @@ PUSH_ORDER = ["dim_date", "dim_canal", "dim_geographie", "dim_fournisseur", "dim
 
 def read_options(url: str, table: str, schema: str = "ops", *,
                  bounds: tuple[int, int] | None = None, partitions: int = 64,
-                 fetch_size: int = 10_000) -> dict[str, str]:
-    options = {"url": url, "dbtable": f"{schema}.{table}", "fetchsize": str(fetch_size),
+                 fetch_size: int = 10_000, query: str | None = None) -> dict[str, str]:
+    """Options to read a table, or the rows of it that ``query`` gives."""
+    options = {"url": url, "dbtable": f"({query}) t" if query else f"{schema}.{table}",
+               "fetchsize": str(fetch_size),
                "pushDownPredicate": "true", "pushDownAggregate": "true"}
     if bounds is not None and table in SPLIT_BY:
         options.update(partitionColumn=SPLIT_BY[table], lowerBound=str(bounds[0]),
@@ -38,14 +42,15 @@ class JdbcSource(OperationalSource):
         self._seen: dict[str, DataFrame] = {}
         super().__init__(self._read)
 
-    def _bounds(self, table: str) -> tuple[int, int] | None:
+    def _bounds(self, table: str, of: str | None = None) -> tuple[int, int] | None:
         key = SPLIT_BY.get(table)
         if key is None:
             return None
+        of = f"({of}) t" if of else f"{self.schema}.{table}"
         low, high = (self.spark.read.format("jdbc").options(**self.properties)
                      .option("url", self.url)
                      .option("query", f"select min({key}) a, max({key}) b "
-                                      f"from {self.schema}.{table}").load().first())
+                                      f"from {of}").load().first())
         return None if low is None else (int(low), int(high))
 
     def _read(self, table: str) -> DataFrame:
@@ -59,10 +64,22 @@ class JdbcSource(OperationalSource):
         return (self.spark.read.format("jdbc").options(**self.properties)
                 .options(**options).load())
 
-    def query(self, sql: str) -> DataFrame:
-        """Rows of a query that the database runs."""
+    def order_lines(self, after: date | None = None, only: int | None = None) -> DataFrame:
+        """The database chooses the lines of an increment, so that only these travel."""
+        if after is None or only is not None:
+            return super().order_lines(after, only)
+        sql = later_lines(self.schema, after)
+        options = read_options(self.url, "ligne_commande", self.schema, query=sql,
+                               bounds=self._bounds("ligne_commande", sql),
+                               partitions=self.partitions)
         return (self.spark.read.format("jdbc").options(**self.properties)
-                .option("url", self.url).option("query", sql).load())
+                .options(**options).load())
+
+
+def later_lines(schema: str, after: date) -> str:
+    """SQL for the lines of orders dated strictly later."""
+    return (f"select l.* from {schema}.ligne_commande l join {schema}.commande c "
+            f"on c.commande_id = l.commande_id where c.date_commande > date '{after}'")
 
 
 def write_options(url: str, table: str, schema: str = "dw", *, batch: int = 10_000,

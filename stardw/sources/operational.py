@@ -35,9 +35,13 @@ class OperationalSource:
             rows = rows.filter(F.col("commande_id") == only)
         return rows
 
-    def order_lines(self, only: int | None = None) -> DataFrame:
+    def order_lines(self, after: date | None = None, only: int | None = None) -> DataFrame:
         rows = self["ligne_commande"]
-        return rows if only is None else rows.filter(F.col("commande_id") == only)
+        if only is not None:
+            return rows.filter(F.col("commande_id") == only)
+        if after is not None:
+            return rows.join(self.orders(after).select("commande_id"), "commande_id", "left_semi")
+        return rows
 
     def unnumbered_lines(self) -> DataFrame:
         """Order lines for sums, where the line number may be left out."""

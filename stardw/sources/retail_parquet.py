@@ -17,8 +17,9 @@ from stardw.operators.skew import hot_keys
 from stardw.session import local_rows
 from stardw.sources.operational import OperationalSource
 
-# A list of labels up to this length is numbered on the driver and travels with the plan.
-MOST_LABELS = 10_000
+# Employees: at least so many, and one more for every so many orders.
+LEAST_EMPLOYEES = 70
+ORDERS_PER_EMPLOYEE = 20_000
 
 _facts_known: dict[tuple, object] = {}
 
@@ -83,15 +84,12 @@ class RetailParquet(OperationalSource):
         return _facts_known[known]
 
     def _numbered_labels(self, table: str, column: str, id_name: str, name: str) -> DataFrame:
-        """The distinct values of a label column, numbered from 1 in their order."""
-        distinct = self.raw(table).select(F.col(column).alias(name)).distinct()
-        values = self._once(table, column, lambda: [
-            r[0] for r in distinct.filter(F.col(name).isNotNull())
-            .limit(MOST_LABELS + 1).collect()])
-        if len(values) <= MOST_LABELS:
-            rows = [(i, v) for i, v in enumerate(sorted(values), start=1)]
-            return local_rows(self.spark, rows, f"{id_name} int, {name} string")
-        return number_by_range(distinct, [], [name], id_name)
+        """The distinct values of a label column, numbered from 1 in their order. No value: none."""
+        distinct = (self.raw(table).select(F.col(column).alias(name))
+                    .filter(F.col(name).isNotNull()).distinct())
+        numbered = self._once(table, column, lambda: number_by_range(
+            distinct, [], [name], id_name))
+        return numbered.select(F.col(id_name).cast("int").alias(id_name), name)
 
     # --- geography ---------------------------------------------------------------------------
 
@@ -133,7 +131,7 @@ class RetailParquet(OperationalSource):
             1940 + key % 60, 1 + key % 12, 1 + key % 28)])
         return (self.raw("customer")
                 .withColumnRenamed("c_mktsegment", "nom_groupe_client")
-                .join(self["groupe_client"], "nom_groupe_client")
+                .join(self["groupe_client"], "nom_groupe_client", "left")
                 .select(
                     key.alias("client_id"), F.lit("Client").alias("nom"),
                     F.col("c_name").alias("prenom"),
@@ -191,7 +189,7 @@ class RetailParquet(OperationalSource):
                  + F.when(F.col("p_retailprice") >= 950, 1).otherwise(0))
         return (self.raw("part")
                 .withColumnRenamed("p_type", "nom_ligne_produit")
-                .join(self["ligne_produit"], "nom_ligne_produit")
+                .join(self["ligne_produit"], "nom_ligne_produit", "left")
                 .select(key.alias("produit_id"),
                         F.concat("p_name", F.lit(" "), _text(key)).alias("nom_produit"),
                         group.alias("groupe_produit_id"),
@@ -262,9 +260,8 @@ class RetailParquet(OperationalSource):
         department = F.when(e % 10 < 8, L.DEPARTMENTS.index("Ventes")).otherwise(
             L.DEPARTMENTS.index("Finance"))
         group = ((e % 5) * 6 + department) * 2 + F.when(e % 3 == 0, 0).otherwise(1)
-        # 70 employees at most, by the modulus.
         return (self.raw("orders")
-                .select((F.col("o_orderkey") % 70).alias("employe_id")).distinct()
+                .select(self._taken_by().alias("employe_id")).distinct()
                 .select(e, F.lit("Emp").alias("nom"),
                         F.concat(F.lit("E"), _text(e)).alias("prenom"),
                         F.when(e % 2 == 0, "F").otherwise("M").alias("sexe"),
@@ -278,6 +275,12 @@ class RetailParquet(OperationalSource):
                         group.cast("int").alias("org_groupe_id"),
                         self._stamp(e).alias("maj_le")))
 
+    def _taken_by(self) -> Column:
+        """The employee of an order. The staff grows with the orders, in steps."""
+        orders = self.raw("orders").agg(F.count(F.lit(1)).alias("n")).scalar()
+        return F.col("o_orderkey") % (LEAST_EMPLOYEES + F.call_function(
+            "div", orders, F.lit(ORDERS_PER_EMPLOYEE).cast("long")))
+
     def _contrat_employe(self):
         e, k = F.col("employe_id"), F.col("w.k")
         return (self["employe"]
@@ -301,7 +304,7 @@ class RetailParquet(OperationalSource):
         return used.distinct().join(channels, "canal_id").select(
             "canal_id", "code_canal", "nom_canal")
 
-    def orders(self, after: date | None = None, only: int | None = None) -> DataFrame:
+    def _wanted_orders(self, after: date | None, only: int | None) -> DataFrame:
         raw = self.raw("orders")
         if after is not None:
             # As a bound on the stored timestamp, so that it reaches the scan.
@@ -309,10 +312,13 @@ class RetailParquet(OperationalSource):
             raw = raw.filter(F.col("o_orderdate") >= following)
         if only is not None:
             raw = raw.filter(F.col("o_orderkey") == only)
+        return raw
+
+    def orders(self, after: date | None = None, only: int | None = None) -> DataFrame:
         key = F.col("o_orderkey")
-        return raw.select(
+        return self._wanted_orders(after, only).select(
             key.alias("commande_id"), F.col("o_orderdate").cast("date").alias("date_commande"),
-            F.col("o_custkey").alias("client_id"), (key % 70).alias("employe_id"),
+            F.col("o_custkey").alias("client_id"), self._taken_by().alias("employe_id"),
             (1 + key % 3).alias("canal_id"))
 
     def _commande(self):
@@ -327,13 +333,22 @@ class RetailParquet(OperationalSource):
     def hot_products(self) -> dict:
         return self._find_hot("products", lambda: hot_keys(self.raw("lineitem"), "l_partkey"))
 
-    def order_lines(self, only: int | None = None) -> DataFrame:
-        """Order lines, renumbered per order since the stored line numbers repeat."""
+    def order_lines(self, after: date | None = None, only: int | None = None) -> DataFrame:
+        """Order lines, renumbered per order since the stored line numbers repeat.
+
+        Lines of other orders than those asked for leave before any is sorted or numbered.
+        """
         raw = self.raw("lineitem").select("l_orderkey", *LINE_ORDER)
         if only is not None:
-            raw = raw.filter(F.col("l_orderkey") == only)
-        numbered = number_in_groups(raw, "l_orderkey", LINE_ORDER, "numero_ligne",
-                                    list(self.hot_orders()))
+            raw, hot = raw.filter(F.col("l_orderkey") == only), []
+        elif after is not None:
+            wanted = self._wanted_orders(after, None)
+            raw = raw.join(wanted.select(F.col("o_orderkey").alias("l_orderkey")),
+                           "l_orderkey", "left_semi")
+            hot = list(hot_keys(raw, "l_orderkey"))
+        else:
+            hot = list(self.hot_orders())
+        numbered = number_in_groups(raw, "l_orderkey", LINE_ORDER, "numero_ligne", hot)
         return numbered.select(
             F.col("l_orderkey").alias("commande_id"),
             F.col("numero_ligne").cast("int").alias("numero_ligne"),

@@ -72,14 +72,47 @@ def reference_tables(spark: SparkSession, company_prefix: str = "Compagnie ",
     }
 
 
-UNIQUE = {"continent": "nom_continent", "pays": "code_pays", "canal_vente": "code_canal",
-          "org_pays": "nom_org_pays", "ligne_produit": "nom_ligne_produit",
-          "groupe_client": "nom_groupe_client"}
+# What tells the rows of a table apart: names, and the parent where names repeat below others.
+# Parents come before their children.
+UNIQUE = {"continent": ["nom_continent"], "pays": ["code_pays"], "canal_vente": ["code_canal"],
+          "org_pays": ["nom_org_pays"], "org_compagnie": ["nom_org_compagnie", "org_pays_id"],
+          "org_departement": ["nom_org_departement", "org_compagnie_id"],
+          "org_section": ["nom_org_section", "org_departement_id"],
+          "org_groupe": ["nom_org_groupe", "org_section_id"],
+          "ligne_produit": ["nom_ligne_produit"],
+          "categorie_produit": ["nom_categorie_produit", "ligne_produit_id"],
+          "groupe_produit": ["nom_groupe_produit", "categorie_produit_id"],
+          "groupe_client": ["nom_groupe_client"]}
+PARENT = {"pays": "continent", "org_compagnie": "org_pays", "org_departement": "org_compagnie",
+          "org_section": "org_departement", "org_groupe": "org_section",
+          "categorie_produit": "ligne_produit", "groupe_produit": "categorie_produit"}
+IDS = {"canal_vente": "canal_id"}
 
 
 def seed(spark: SparkSession, stored: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """``stored`` with the missing reference rows; rows that are there stay as they are."""
-    fresh = reference_tables(spark)
-    return {name: insert_if_absent(stored[name], rows, [UNIQUE[name]])
-            if name in stored and name in UNIQUE else stored.get(name, rows)
-            for name, rows in fresh.items()}
+    """``stored`` with the missing reference rows; rows that are there stay as they are.
+
+    New rows are numbered after the highest stored id, and refer to the id that their parent has
+    in the store, found by its name. Sizes are those of the literal lists.
+    """
+    fresh, out = reference_tables(spark), {}
+    final: dict[str, DataFrame] = {}  # id in the lists -> id in the store
+    for name, unique in UNIQUE.items():
+        rows, own = fresh[name], IDS.get(name, f"{name}_id")
+        if parent := PARENT.get(name):
+            up = IDS.get(parent, f"{parent}_id")
+            rows = (rows.withColumnRenamed(up, "_listed").join(final[parent], "_listed")
+                    .withColumnRenamed("_final", up).drop("_listed").select(*fresh[name].columns))
+        if name in stored:
+            kept = stored[name]
+            highest = kept.agg(F.coalesce(F.max(own), F.lit(0)).alias("n")).scalar()
+            number = F.row_number().over(Window.orderBy(own)) + highest
+            new = rows.join(kept.select(*unique), unique, "left_anti")
+            new = new.withColumn(own, number.cast(kept.schema[own].dataType))
+            out[name] = insert_if_absent(kept, new.select(*rows.columns), unique)
+        else:
+            out[name] = rows
+        final[name] = rows.select(F.col(own).alias("_listed"), *unique).join(
+            out[name].select(F.col(own).alias("_final"), *unique), unique).select(
+            "_listed", "_final")
+    return out

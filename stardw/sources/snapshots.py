@@ -69,10 +69,21 @@ class Warehouse:
             return {}
         return json.loads(self._read_text(f"{self.root}/_manifest/{versions[-1]}"))
 
-    def commit(self, entries: dict) -> None:
-        """Publish new entries; tables that are not named keep theirs."""
+    def version(self) -> int:
+        """Number of the newest manifest, 0 if there is none."""
         versions = self._versions()
-        following = int(versions[-1].split(".")[0]) + 1 if versions else 1
+        return int(versions[-1].split(".")[0]) if versions else 0
+
+    def commit(self, entries: dict, base: int | None = None) -> None:
+        """Publish new entries; tables that are not named keep theirs.
+
+        ``base`` is the version the entries were made from. If it is no longer the newest, another
+        load has published meanwhile, and this one must start again.
+        """
+        newest = self.version()
+        if base is not None and base != newest:
+            raise RuntimeError(f"version {newest} was published since version {base} was read")
+        following = newest + 1
         text = json.dumps({**self.manifest(), **entries}, sort_keys=True)
         self._publish_text(f"{self.root}/_manifest/{following:010d}.json", text)
 

@@ -65,12 +65,6 @@ def test_group_margin_of_a_large_product_dimension(spark, dw):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
-def test_ranks_of_many_employees(dw, monkeypatch):
-    plain = [tuple(r) for r in analytics.sales_rep_ranks(dw).collect()]
-    monkeypatch.setattr(analytics, "MOST_RANKED_AT_ONCE", 0)
-    assert [tuple(r) for r in analytics.sales_rep_ranks(dw).collect()] == plain
-
-
 def employees(spark, versions):
     """(key, id, sex, current, revenue per order …)"""
     facts = [(k, i * 10 + j, retail.D(ca)) for i, (k, _, _, _, *cas) in enumerate(versions)

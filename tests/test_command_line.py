@@ -13,7 +13,7 @@ def test_load_and_ask(spark, capsys):
     command.main([*root, "order", "--parquet", TESTDATA, "--id", "5"])
     assert "montant_marge" in capsys.readouterr().out
     command.main([*root, "log", "--last", "3"])
-    assert "publication" in capsys.readouterr().out
+    assert "commande 5: fait_ventes" in capsys.readouterr().out
     command.main([*root, "verify"])
     assert "fait_ventes(commande_id, numero_ligne)" in capsys.readouterr().out
     command.main([*root, "wipe"])

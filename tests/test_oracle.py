@@ -8,10 +8,11 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import TESTDATA
+from stardw import oracle, queries
 
 TABLES = "region nation customer supplier part orders lineitem".split()
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+SQL = oracle.statements()
+QUERIES = queries.queries()
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +39,7 @@ def table(rows, names):
 
 def test_every_query_has_a_counterpart():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -144,16 +144,84 @@ def test_keys_survive_a_product_that_vanishes_and_returns(spark, store):
     assert {r.produit_id: r.cle_produit for r in store["dim_produit"].collect()} == keys
 
 
-def test_dates_outside_the_dimension_stop_the_load(spark, store):
+def test_the_date_dimension_grows_by_whole_years(spark, store):
+    rows = retail.base_rows()
+    early = [o for o in rows["commande"] if o[1] < date(1999, 6, 1)]
+    pipeline.run(with_orders(spark, early, rows["ligne_commande"]), store, AS_OF)
+    before = {tuple(r) for r in store["dim_date"].collect()}
+    pipeline.run(retail.source(spark), store, AS_OF)
+    after = {tuple(r) for r in store["dim_date"].collect()}
+    assert before < after and len(lines_of(store)) == 5
+    years = {r.annee: r["count"] for r in store["dim_date"].groupBy("annee").count().collect()}
+    assert years == {1998: 365, 1999: 365, 2000: 366}
+    # With a span of its own it starts there, and still takes in all orders.
+    whole = Warehouse(spark, scratch_dir(spark, "whole"))
+    pipeline.run(retail.source(spark), whole, AS_OF, span=(date(1999, 1, 1), date(1999, 12, 31)))
+    assert lines_of(whole) == lines_of(store)
+
+
+def test_orders_without_a_date_stop_the_load(spark, store):
+    rows = retail.base_rows()
+    orders = [(o[0], None, *o[2:]) if o[0] == 1 else o for o in rows["commande"]]
+    source = with_orders(spark, orders, rows["ligne_commande"])
+    source.orders = lambda after=None, only=None: source["commande"]
+    source.order_lines = lambda after=None, only=None: source["ligne_commande"]
     with pytest.raises(ValueError, match="outside the date dimension"):
-        pipeline.run(retail.source(spark), store, AS_OF,
-                     span=(date(1999, 1, 1), date(1999, 12, 31)))
+        pipeline.run(source, store, AS_OF)
     assert store.manifest() == {}
     failed = meta.RunLog(store).read().filter("status = 'FAIL'").collect()
     assert [r.job_name for r in failed] == ["fait_ventes"]
     assert "outside" in failed[0].error_msg and failed[0].rows_in is None
 
 
+def test_a_load_that_was_overtaken_publishes_nothing(spark, store):
+    def loaded(n):
+        return {f"t{n}": store.write(f"t{n}", spark.range(n).toDF("x"))}
+    store.commit(loaded(1), base=0)
+    base = store.version()
+    store.commit(loaded(2), base)
+    with pytest.raises(RuntimeError, match="published since"):
+        store.commit(loaded(3), base)
+    assert set(store.manifest()) == {"t1", "t2"}
+
+
+def test_reload_drops_lines_that_no_longer_resolve(spark, store):
+    ops = retail.source(spark)
+    pipeline.run(ops, store, AS_OF)
+    entries = store.manifest()
+    dims = {d: store[d] for d in pipeline.fact.LOOKUPS}
+    gone = store["dim_produit"].filter("produit_id <> 10")
+    dims["dim_produit"] = gone
+    staged = conform(staging.order_lines(ops), "lignes_commande")
+    lost = {(r.commande_id, r.numero_ligne) for r in staged.filter("produit_id = 10").collect()}
+    assert lost
+    entry, n = pipeline.fact_entry(store, staged, dims, entries["fait_ventes"])
+    left = {(r.commande_id, r.numero_ligne) for r in store.open("fait_ventes", entry).collect()}
+    assert n == len(left) == 5 - len(lost) and not left & lost
+
+
+def test_closed_versions_become_one_folder_again(spark, store, monkeypatch):
+    monkeypatch.setattr(pipeline, "MOST_LOTS", 2)
+    rows = retail.base_rows()
+    for month in range(1, 6):
+        pipeline.run(retail.source(spark, client=[
+            (*c[:5], 1 + month % 2, *c[6:]) if c[0] == 100 else c for c in rows["client"]]),
+            store, date(2002, month, 1))
+    assert len(store.manifest()["dim_client"]["parts"]["false"]) <= 2
+    versions = store["dim_client"].filter("client_id = 100").collect()
+    assert len(versions) == 5 and sum(v.est_courant for v in versions) == 1
+
+
+def test_single_order_run_sees_todays_clients(spark, store):
+    rows = retail.base_rows()
+    pipeline.run(retail.source(spark, client=[c for c in rows["client"] if c[0] != 100]), store, AS_OF)
+    one = pipeline.run_single_order(retail.source(spark), store, AS_OF)
+    wanted = {o[0] for o in rows["commande"] if o[0] == 1}
+    assert {r.commande_id for r in one.collect()} == wanted
+    log = [r.job_name for r in meta.RunLog(store).latest(100).collect()]
+    assert "commande 1: fait_ventes" in log and "commande 1: dim_client" in log
+
+
 def test_single_order_run_leaves_everything_as_it_is(spark, store):
     ops = retail.source(spark)
     pipeline.run(ops, store, AS_OF)
@@ -226,6 +294,13 @@ def test_run_log_of_a_failure(spark, store):
     assert [(r.run_id, r.status) for r in rows] == [(2, "SUCCESS"), (1, "FAIL")]
     assert rows[1].rows_in is None and "absent" in rows[1].error_msg
     assert meta.RunLog(store)._new_id() == 3 and "run_log" in DDL
+    # A driver that died leaves its run open, and a file half written that doesn't count.
+    stopped = log.run("arrêt")
+    stopped.__enter__()
+    fs, at = store._fs(f"{log.path}/000000000009.json.abc.draft")
+    fs.create(at, False).close()
+    assert [(r.job_name, r.status) for r in log.latest(1).collect()] == [("arrêt", "RUNNING")]
+    assert meta.RunLog(store)._new_id() == 4
     assert local_rows(spark, [], "a int").count() == 0
 
 

@@ -48,6 +48,44 @@ def test_seeding_again_adds_nothing(spark):
     assert groups["Or"] == "gardé" and len(groups) == 5
 
 
+def test_seeding_a_partly_filled_store(spark):
+    stored = {
+        "continent": local_rows(spark, [(1, "Europe"), (9, "Atlantide")],
+                                "continent_id int, nom_continent string"),
+        "org_compagnie": local_rows(spark, [(4, "Compagnie X", 1)],
+                                    "org_compagnie_id int, nom_org_compagnie string, org_pays_id int")}
+    made = {name: [r.asDict() for r in df.collect()] for name, df in seed.seed(spark, stored).items()}
+    ids = [r["continent_id"] for r in made["continent"]]
+    assert len(set(ids)) == len(ids) and {1, 9} <= set(ids)
+    names = {r["nom_continent"]: r["continent_id"] for r in made["continent"]}
+    assert names["Europe"] == 1 and min(i for n, i in names.items() if n not in ("Europe", "Atlantide")) == 10
+    france = next(r for r in made["pays"] if r["nom_pays"] == "France")
+    assert france["continent_id"] == 1
+    assert all(r["continent_id"] in ids for r in made["pays"])
+    assert len(made["org_compagnie"]) == 11
+    companies = {r["org_compagnie_id"] for r in made["org_compagnie"]}
+    assert {r["org_compagnie_id"] for r in made["org_departement"]} <= companies
+    assert len(made["org_departement"]) == 60 and len(made["org_groupe"]) == 120
+
+
+def test_null_labels_keep_their_rows(spark, tmp_path):
+    import duckdb
+    from stardw.plans import staging
+    from stardw.sources.retail_parquet import RetailParquet
+    con = duckdb.connect()
+    changed = {"customer": "* replace (case when c_custkey = 3 then null else c_mktsegment end as c_mktsegment)",
+               "part": "* replace (case when p_partkey = 7 then null else p_type end as p_type)"}
+    for name in "region nation customer supplier part orders lineitem".split():
+        con.execute(f"copy (select {changed.get(name, '*')} from '/root/testdata/sf0.001/{name}.parquet') "
+                    f"to '{tmp_path}/{name}.parquet'")
+    plain, ops = RetailParquet(spark, "/root/testdata/sf0.001"), RetailParquet(spark, str(tmp_path))
+    for build in (staging.clients, staging.products, staging.order_lines):
+        assert build(ops).count() == build(plain).count()
+    assert staging.clients(ops).filter("client_id = 3").first().groupe_client is None
+    same = [tuple(r) for r in plain["groupe_client"].orderBy("groupe_client_id").collect()]
+    assert [tuple(r) for r in ops["groupe_client"].orderBy("groupe_client_id").collect()] == same
+
+
 def test_insert_if_absent(spark):
     table = local_rows(spark, [(1, "a")], "k int, v string")
     rows = local_rows(spark, [(1, "b"), (2, "c"), (2, "c")], "k int, v string")

@@ -40,6 +40,8 @@ def test_order_lines_after_and_only(spark):
     after = staging.order_lines(ops, after=date(1999, 1, 1)).collect()
     assert sorted(r.commande_id for r in after) == [3, 4]
     assert staging.order_lines(ops, after=date(2000, 12, 31)).count() == 0
+    plan = staging.order_lines(ops, after=date(1999, 1, 1))._jdf.queryExecution().toString()
+    assert "LeftSemi" in plan
     assert {r.commande_id for r in staging.order_lines(ops, only=1).collect()} == {1}
     assert staging.first_order(ops) == 1
 
