@@ -36,7 +36,8 @@ def connected(links: DataFrame) -> DataFrame:
                  .union(least.select("a", F.col("m").alias("b"))))
         links, new = checked(small)
         if new == state:
-            return (links.select(a.alias("node"), b.alias("label"))
-                    .union(links.select(b.alias("node"), b.alias("label")).distinct()))
+            labels = (links.select(a.alias("node"), b.alias("label"))
+                      .union(links.select(b.alias("node"), b.alias("label")).distinct()))
+            return cut_lineage(labels, "components")
         state = new
     raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")

@@ -45,6 +45,8 @@ GRAM = 8
 HOT = 100_000
 # Suffixes of a task that are compared at once; runs of one head stay together.
 RUN_ROWS = 20_000
+# Suffixes with their words that are made at once.
+OUT_ROWS = 4_096
 
 _STEP = np.uint64(0x9E6C63D0876A9A47)
 _CLASH = ("_text", "_node", "n_words", "n_repeated", "n_cut", "copies", "repeated", "cut")
@@ -117,32 +119,37 @@ def _surrounder(min_words: int, gram: int):
             known, first, last = minimisers(grams, left, min_words, gram)
             marks = batch.column("marks")
             n = np.diff(marks.offsets.to_numpy())
-            row = np.repeat(np.arange(batch.num_rows), n)
-            pos = marks.flatten().field("pos").to_numpy().astype(np.int64)
-            at = words.first[row] + pos
-            own_windows = np.searchsorted(known, at)
-            low, high = at - last[own_windows], at - first[own_windows]
+            rows = np.repeat(np.arange(batch.num_rows), n)
+            places = marks.flatten().field("pos").to_numpy().astype(np.int64)
+            times = marks.flatten().field("n").cast(pa.int64())
             short = np.concatenate((np.zeros(before, np.uint32), (h >> np.uint64(32)).astype(np.uint32),
                                     np.zeros(after, np.uint32)))
-            n_left, n_right = np.minimum(pos, before), np.minimum(left[at], after)
-            own = short[(at + before)[:, None] + np.arange(after)]
-            own[np.arange(after) >= n_right[:, None]] = 0
-            back = short[(at + before - 1)[:, None] - np.arange(before)]
-            back[np.arange(before) >= n_left[:, None]] = 0
-
-            def binary(a: np.ndarray) -> pa.Array:
-                return pa.FixedSizeBinaryArray.from_buffers(
-                    pa.binary(a.shape[1] * 4), len(a),
-                    [None, pa.py_buffer(a.astype(">u4").tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[at].view(np.int64)), batch.column("_text").take(pa.array(row)),
-                 pa.array(pos.astype(np.int32)), pa.array(low.astype(np.int32)),
-                 pa.array(high.astype(np.int32)), binary(own), binary(back),
-                 marks.flatten().field("n").cast(pa.int64())],
-                names=["gram", "key", "pos", "low", "high", "own", "back", "n"])
+            # In parts: a repetitive text has a suffix at every word.
+            for part in range(0, len(places), OUT_ROWS):
+                row, pos = rows[part:part + OUT_ROWS], places[part:part + OUT_ROWS]
+                at = words.first[row] + pos
+                own_windows = np.searchsorted(known, at)
+                low, high = at - last[own_windows], at - first[own_windows]
+                n_left, n_right = np.minimum(pos, before), np.minimum(left[at], after)
+                own = short[(at + before)[:, None] + np.arange(after)]
+                own[np.arange(after) >= n_right[:, None]] = 0
+                back = short[(at + before - 1)[:, None] - np.arange(before)]
+                back[np.arange(before) >= n_left[:, None]] = 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(grams[at].view(np.int64)), batch.column("_text").take(pa.array(row)),
+                     pa.array(pos.astype(np.int32)), pa.array(low.astype(np.int32)),
+                     pa.array(high.astype(np.int32)), _binary(own), _binary(back),
+                     times.slice(part, OUT_ROWS)],
+                    names=["gram", "key", "pos", "low", "high", "own", "back", "n"])
     return run
 
 
+def _binary(a: np.ndarray) -> pa.Array:
+    return pa.FixedSizeBinaryArray.from_buffers(
+        pa.binary(a.shape[1] * 4), len(a),
+        [None, pa.py_buffer(a.astype(">u4").tobytes())]).cast(pa.binary())
+
+
 # ``low`` to ``high``: how many words before the suffix the windows begin of which it is the least.
 _SUFFIX = "gram long, key binary, pos int, low int, high int, own binary, back binary, n long"
 
@@ -272,10 +279,12 @@ def _windower(min_words: int, gram: int):
 
 def _hot_passages(suffixes: DataFrame, min_words: int, gram: int) -> DataFrame:
     wins = suffixes.mapInArrow(_windower(min_words, gram), "win long, key binary, pos int, o int")
+    # Written, so that the join below has nothing between it and its shuffles and can be split.
+    wins = cut_lineage(wins, "windows")
     # A text that several tasks hold has the same place in each.
     place = F.struct("key", "pos")
     first = wins.groupBy("win").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.filter("first != last").drop("last")
+    first = cut_lineage(first.filter("first != last").drop("last"), "first-windows")
     cut = F.when(F.struct("key", "pos") != F.col("first"), F.col("o"))
     found = wins.join(first, "win").groupBy("key", "pos").agg(
         F.min("o").alias("near"), F.max("o").alias("far"),

@@ -25,7 +25,7 @@ from stardw.llm.cluster import prepare
 from stardw.llm.frames import others
 from stardw.llm.vocabularies import Vocabulary
 from stardw.llm.words import blocks
-from stardw.session import scratch_dir
+from stardw.session import cut_lineage, scratch_dir
 
 VOCABULARY = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -95,8 +95,9 @@ def count_tokens(docs: DataFrame, cache: str, vocabulary: Vocabulary, *, text: s
     """``docs`` without the text, with ``n_bytes`` and ``n_tokens`` of it."""
     fill(docs, cache, vocabulary, text=text)
     rows = keyed(docs, text).drop("text")
-    # A left join of two shuffled sides: adaptive execution splits the rows of a frequent text.
     known = stored(docs.sparkSession, cache, vocabulary.digest)
+    known = cut_lineage(known.join(rows.select("digest"), "digest", "left_semi"), "counts")
+    # A left join of two shuffled sides: adaptive execution splits the rows of a frequent text.
     return rows.join(known, "digest", "left").drop("digest")
 
 
