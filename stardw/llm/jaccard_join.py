@@ -9,8 +9,9 @@ join works by pivots and regions, in three spaces that get finer:
    entirely on some part: there it is at distance 0. Every part value that occurs is a pivot and
    the documents with that value are its *cell*. Where a document fills too few parts for the
    argument to hold, each of its shingles is a cell. Cells with the same members are one.
-2. *Count space.* The counts of a set's shingles in ``BUCKETS`` hash buckets, under the L1 metric,
-   map it to a point such that two sets differ at least by the distance of their points. In each
+2. *Count space.* The counts of a set's shingles in hash buckets, more for larger sets, are a point
+   under the L1 metric; two sets differ at least by the distance of their points, also when
+   neighbouring buckets are taken together to compare points of two widths. In each
    cell, documents whose points are near enough for a link are tied, and whatever is tied through
    any cells is a *region*: a linked pair always lies in one.
 3. *The sets themselves.* In each region the pairs are checked on the whole sets.
@@ -60,7 +61,10 @@ HEAVY_CELL = 20_000
 PIVOTS = 16
 LEVELS = 4
 LEAF = 48
-BUCKETS = 256
+# Buckets of count space, for sets of up to so many shingles. Some six shingles a bucket keep
+# unrelated sets further apart than linked ones.
+BUCKETS = ((1_500, 256), (6_000, 1024), (2**62, 4096))
+LEAST_BUCKETS = BUCKETS[0][1]
 # Cells gathered in a task before they are sent on.
 FLUSH = 1 << 20
 
@@ -133,8 +137,9 @@ def cells(own: np.ndarray, percent: int) -> np.ndarray:
 
 def point(own: np.ndarray) -> bytes:
     """The set in count space. Counts stop at 255, which only brings points nearer."""
-    bucket = mix(own ^ _POINT) >> np.uint64(56)
-    return np.minimum(np.bincount(bucket.astype(np.int64), minlength=BUCKETS), 255).astype(
+    width = next(w for most, w in BUCKETS if len(own) <= most)
+    bucket = mix(own ^ _POINT) >> np.uint64(65 - width.bit_length())
+    return np.minimum(np.bincount(bucket.astype(np.int64), minlength=width), 255).astype(
         np.uint8).tobytes()
 
 
@@ -219,17 +224,18 @@ class Forest:
 
 
 def shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Common shingles of every pair of two short lists, by a product of incidence matrices."""
-    ids = np.unique(np.concatenate(a))
-
-    def incidence(sets: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(sets), len(ids)), np.float32)
-        for i, own in enumerate(sets):
-            at = np.searchsorted(ids, own)
-            at[at == len(ids)] = 0
-            out[i, at[ids[at] == own]] = 1
-        return out
-    return np.rint(incidence(a) @ incidence(b).T).astype(np.int64)
+    """Common shingles of every pair of two short lists. Each set of ``a`` is looked up in all
+    shingles of ``b`` at once, so the memory is that of the sets, however long they are."""
+    order = np.argsort(shingles := np.concatenate(b), kind="stable")
+    shingles = shingles[order]
+    owner = np.repeat(np.arange(len(b)), [len(s) for s in b])[order]
+    out = np.zeros((len(a), len(b)), np.int64)
+    for i, own in enumerate(a):
+        low = np.searchsorted(shingles, own, "left")
+        n = np.searchsorted(shingles, own, "right") - low
+        at = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out[i] = np.bincount(owner[at], minlength=len(b))
+    return out
 
 
 class Space:
@@ -272,21 +278,23 @@ class Points(Space):
     """Sets as points of count space. |x Δ y| is at least the L1 distance, and of a linked pair at
     most ``(1 - t) / (1 + t)`` times the sum of the sizes."""
 
-    def load(self, content: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(content), np.uint8).reshape(-1, BUCKETS).astype(np.int16)
+    def load(self, content: list[bytes]) -> list[np.ndarray]:
+        return [np.frombuffer(c, np.uint8) for c in content]
 
-    def _l1(self, a: list[int], b: list[int]) -> np.ndarray:
-        return np.abs(self.items[a][:, None, :] - self.items[b][None, :, :]).sum(
-            axis=2, dtype=np.int64)
+    def _l1(self, a: list[int], b: list[int], width: int) -> np.ndarray:
+        a, b = (np.stack([self.items[i].reshape(width, -1).sum(axis=1, dtype=np.int32) for i in x])
+                for x in (a, b))
+        return np.stack([np.abs(b - own).sum(axis=1, dtype=np.int64) for own in a])
 
     def far(self, members: list[int], pivots: list[int]) -> np.ndarray:
-        return np.concatenate([self._l1(members[i:i + LEAF], pivots)
-                               for i in range(0, len(members), LEAF)])
+        # All in one width, so that the triangle inequality holds among them.
+        return self._l1(members, pivots, LEAST_BUCKETS)
 
     def near(self, a: list[int], b: list[int]) -> np.ndarray:
         t = self.percent
         sizes = self.size[a][:, None] + self.size[b][None, :]
-        return (100 + t) * self._l1(a, b) <= (100 - t) * sizes
+        width = min(len(self.items[i]) for i in (*a, *b))
+        return (100 + t) * self._l1(a, b, width) <= (100 - t) * sizes
 
     def reach(self, members: list[int]) -> np.ndarray:
         t = self.percent / 100

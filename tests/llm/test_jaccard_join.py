@@ -106,6 +106,19 @@ def test_cells_hold_every_linked_pair():
                 assert len(np.intersect1d(J.cells(own, 85), J.cells(other, 85)))
 
 
+def test_points_differ_less_than_sets():
+    rng = np.random.default_rng(8)
+    for n, m in ((40, 60), (1400, 1600), (3000, 7000), (7000, 7000), (800, 9000)):
+        pool = rng.integers(0, 2**62, n + m, dtype=np.uint64)
+        a, b = np.unique(pool[:n]), np.unique(pool[n // 2:n // 2 + m])
+        space = J.Points(80, [J.point(a), J.point(b)], [len(a), len(b)])
+        for width in (256, min(len(i) for i in space.items)):
+            assert space._l1([0], [1], width)[0, 0] <= len(np.setxor1d(a, b))
+    sets = [np.unique(rng.integers(0, 2**62, 9000, dtype=np.uint64)) for _ in range(3)]
+    space = J.Points(80, [J.point(s) for s in sets], [9000] * 3)
+    assert (space.near([0, 1, 2], [0, 1, 2]) == np.eye(3, dtype=bool)).all()
+
+
 def test_components_of_chains_and_stars(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     found = {r.node: r.label for r in connected(spark.createDataFrame(pairs, "a long, b long")).collect()}
