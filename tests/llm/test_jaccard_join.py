@@ -18,8 +18,8 @@ def shingles(text, n):
     return frozenset(tuple(words[i:i + n]) for i in range(len(words) - n + 1))
 
 
-def brute(rows, n, percent):
-    """(id, set size, least id of the component) of each row."""
+def roots(rows, n, percent):
+    """The sets of the rows, and the first row of each row's component."""
     sets = [shingles(t, n) for _, t in rows]
     label = list(range(len(rows)))
 
@@ -33,9 +33,15 @@ def brute(rows, n, percent):
             if common and 100 * common >= percent * len(sets[i] | sets[j]):
                 a, b = sorted((root(i), root(j)))
                 label[b] = a
+    return sets, [root(i) for i in range(len(rows))]
+
+
+def brute(rows, n, percent):
+    """(id, set size, least id of the component) of each row."""
+    sets, first = roots(rows, n, percent)
     out = []
     for i, (own, _) in enumerate(rows):
-        ids = [k for j, (k, _) in enumerate(rows) if root(j) == root(i) and k is not None]
+        ids = [k for j, (k, _) in enumerate(rows) if first[j] == first[i] and k is not None]
         out.append((own, len(sets[i]), own if not sets[i] else min(ids, default=None)))
     return out
 
@@ -85,12 +91,11 @@ def test_one_of_each_group_stays(docs):
     kept = J.one_of_each(docs, words=5, percent=80)
     assert kept.schema == docs.schema
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
-    groups = set()
-    for (own, n, least), (_, text) in zip(brute(rows, 5, 80), rows):
-        groups.add((least, n > 0) if n else object())
+    sets, first = roots(rows, 5, 80)
+    groups = {r for own, r in zip(sets, first) if own}
     without = sum(not shingles(t, 5) for _, t in rows)
     found = [tuple(r) for r in kept.select("doc_id", "text").collect()]
-    assert len([t for _, t in found if shingles(t, 5)]) == len({g for g in groups if isinstance(g, tuple)})
+    assert len([t for _, t in found if shingles(t, 5)]) == len(groups)
     assert len([t for _, t in found if not shingles(t, 5)]) == without
 
 
