@@ -32,7 +32,7 @@ from stardw.llm.words import blocks, mix, raw_bytes, words_of
 from stardw.session import cut_lineage
 
 BITS = 15
-SAMPLE = 4_000
+SAMPLE = 3_000
 SAMPLE_BYTES = 32_768
 ROUNDS, EPOCHS, RATE, DECAY = 200, 80, 0.5, 1e-5
 
@@ -147,22 +147,23 @@ SCALE = 20.0
 def fit(texts: pa.Array, good: np.ndarray, bits: int, epochs: int = EPOCHS) -> np.ndarray:
     """Weights of a logistic scorer, by gradient steps over the whole sample."""
     stats = np.concatenate([statistics(texts.slice(i, 50)) for i in range(0, len(texts), 50)])
-    cells, values, rows = [], [], []
+    cells, values, sizes = [], [], []
     size = 1 << bits
     for r in range(len(texts)):
         grams, _, steps = features(texts.slice(r, 1), stats[r:r + 1], bits)
         x = np.bincount(grams, minlength=size) * (SCALE / max(len(grams), 1))
         np.add.at(x, steps[0], 1.0)
         at = np.flatnonzero(x)
-        cells.append(at)
-        values.append(x[at])
-        rows.append(np.full(len(at), r))
-    cells, values, rows = (np.concatenate(p) for p in (cells, values, rows))
+        cells.append(at.astype(np.int32))
+        values.append(x[at].astype(np.float32))
+        sizes.append(len(at))
+    cells, values = np.concatenate(cells), np.concatenate(values)
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     weights, squares = np.zeros(size + 1), np.full(size + 1, 1e-6)
     for _ in range(epochs):
-        z = np.bincount(rows, values * weights[cells], len(texts)) + weights[-1]
+        z = np.add.reduceat(values * weights[cells], starts) + weights[-1]
         error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - good) / len(texts)
-        slope = np.append(np.bincount(cells, values * error[rows], size), error.sum())
+        slope = np.append(np.bincount(cells, values * np.repeat(error, sizes), size), error.sum())
         slope += DECAY * weights
         squares += slope ** 2
         weights -= RATE * slope / np.sqrt(squares)
