@@ -2,17 +2,27 @@
 
 A vocabulary cuts prose of a language into pieces in much the same way: so many characters a
 token, so few single bytes, so much variety among the tokens. Text that is cut far otherwise is
-rarely prose. The three measures are taken of every whole text. Bands are Tukey fences over all
-documents of the same language (two-letter code, else the script most of its letters are of), for
-variety also of the same length by powers of two. There are at most 676 codes,
-the scripts of ``SCRIPTS`` and 40 lengths, so the table of bands has a bound and is broadcast.
+rarely prose. The three measures are taken of every whole text. Bands are fences of the same
+language (two-letter code, else the script most of its letters are of), for variety also of the
+same length by powers of two. There are at most 676 codes, the scripts of ``SCRIPTS`` and 40
+lengths, so the table of bands has a bound; it is made on the driver and broadcast.
+
+Fences lie about the shortest interval that holds half of the votes, which junk below half doesn't
+move to itself. A text has one vote in a language, however often it is copied. If there is a column
+``source``, a source has at most half as many votes as all others of the language together, where
+those come to ``LEAST`` texts. An interval narrower than is typical of the languages, or over
+``WIDEST`` times as wide, takes that width about its middle. Only votes are bounded so: every
+document is judged.
 
 The base rules reject texts of under ``MIN_WORDS`` words, or with more than half of the words in
 3-word windows that come twice.
 
-Null and empty texts have no words and fail the base rules. The variety of a language's texts of
-one length is judged by that of all languages if they are under ``LEAST``. Equal rows get equal results, an empty
-table an empty one; columns of the input with the name of a result are replaced.
+Null and empty texts have no words and fail the base rules. A language of under ``LEAST`` distinct
+texts is judged by the fences of all others together, or, if its middle is outside them (another
+script), about its own middle; the variety of under ``LEAST`` texts of one length by that of all
+languages. Junk that is most of a language and has no source to tell it by is taken for the
+language. Equal rows get equal results, an empty table an empty one; columns of the input with the
+name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -28,17 +38,22 @@ from stardw.llm.cluster import prepare
 from stardw.llm.frames import narrowed, others, widened
 from stardw.llm.vocabularies import Vocabulary
 from stardw.llm.words import NOT_SPACE, blocks, covered, mix, windows, words_of
-from stardw.session import cut_lineage
+from stardw.session import cut_lineage, local_rows
 
 VOCABULARIES = ("piece_bpe_32k.model",)
 MIN_WORDS = 50
 LEAST = 100
-# Fences lie this many interquartile ranges below and above the quartiles. Short pieces, single
+# Fences lie this many widths of the shortest half below and above it. Short pieces, single
 # bytes and little variety speak against a text; their opposites only when they are extreme.
 REACH = {"chars_per_token": (3.0, 6.0), "byte_share": (6.0, 3.0), "entropy": (3.0, 6.0)}
-# The band of a measure is at least this wide on either side of the quartiles, in its own unit.
+# The band of a measure is at least this wide on either side of that half, in its own unit.
 LEAST_WIDTH = {"chars_per_token": 0.25, "byte_share": 0.02, "entropy": 0.5}
 METRICS = tuple(LEAST_WIDTH)
+# Votes are counted in steps of this size. A half is at most so many times as wide as is typical.
+STEP = {"chars_per_token": 0.01, "byte_share": 0.001, "entropy": 0.01}
+WIDEST = 2.0
+# Quantiles that the shortest half is sought among, and the weight of a full vote.
+GRID, VOTE = 40, 1000
 # Variety grows with the length of a text; the other measures hardly do.
 BY_LENGTH = ("entropy",)
 
@@ -144,11 +159,12 @@ def measures(docs: DataFrame, vocabularies: list[Vocabulary], *, text: str = "te
     prepare(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(vocabularies)
     own = [f"{m}_{i}" for i in range(len(vocabularies)) for m in ("n_tokens", *METRICS)]
-    clash = {*COUNTS, *own, "group", "length", "_coded", "_script", text}
+    clash = {*COUNTS, *own, "group", "length", "_coded", "_script", "_digest", text}
     kept = others(docs, clash)
     code = F.col(lang) if lang in docs.columns else F.lit(None).cast("string")
     code = F.when(code.rlike("^[a-z]{2}$"), code)
     rows = docs.select(*kept, code.alias("group"), code.isNotNull().alias("_coded"),
+                       F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_digest"),
                        F.col(text).cast("string").alias(text))
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema
              if f.name != "_coded" and (keep_text or f.name != text)]
@@ -160,28 +176,75 @@ def measures(docs: DataFrame, vocabularies: list[Vocabulary], *, text: str = "te
             .withColumn("length", length).drop("_script"))
 
 
+def _votes(texts: DataFrame, metric: str, measure: str, keys: tuple[str, ...], least: int) -> dict:
+    """By ``keys``: how many texts, and the quantiles of ``measure`` over their votes."""
+    step = STEP[metric]
+    tally = texts.groupBy(*keys, "source", F.round(F.col(measure) / step).cast("long").alias(
+        "bin")).agg(F.count(F.lit(1)).alias("n"))
+    own = tally.groupBy(*keys, "source").agg(F.sum("n").alias("of_source"))
+    all_ = own.groupBy(*keys).agg(F.sum("of_source").alias("of_all"))
+    rest = F.col("of_all") - F.col("of_source")
+    share = F.when(rest >= least, F.least(F.lit(1.0), rest / (2 * F.col("of_source")))).otherwise(1.0)
+    own = own.join(all_, [*keys]).withColumn("share", share) if keys else \
+        own.crossJoin(all_).withColumn("share", share)
+    votes = F.greatest(F.lit(1), F.round(F.col("share") * VOTE * F.col("n"))).cast("long")
+    tally = tally.join(own, [*keys, "source"]).withColumn("votes", votes)
+    grid = ", ".join(str(i / GRID) for i in range(GRID + 1))
+    found = tally.groupBy(*keys).agg(
+        F.sum("n").alias("n"), F.expr(f"percentile(bin, array({grid}), votes)").alias("q"))
+    return {tuple(r[k] for k in keys): (r["n"], np.array(r["q"]) * step)
+            for r in found.collect() if r["q"]}
+
+
+def shortest_half(q: np.ndarray) -> tuple[float, float]:
+    """The narrowest interval between quantiles that holds half; of equal ones the middle one."""
+    half = GRID // 2
+    width = np.round(q[half:] - q[:-half], 9)
+    at = min(range(half + 1), key=lambda i: (width[i], abs(i - half // 2)))
+    return float(q[at]), float(q[at + half])
+
+
 def bands(measured: DataFrame, n: int, *, least: int = LEAST, reach: dict = REACH) -> DataFrame:
-    """Fences of each measure by (group, length), from all documents."""
-    def quartiles(metrics, *keys):
-        return measured.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[
-            F.percentile_approx(f"{m}_{i}", [0.25, 0.75], 1000).alias(f"{m}_{i}")
-            for i in range(n) for m in metrics])
-    flat = [m for m in METRICS if m not in BY_LENGTH]
-    own = quartiles(BY_LENGTH, "group", "length").alias("own")
-    any_ = quartiles(BY_LENGTH, "length").alias("any")
-    all_ = quartiles(flat, "group").alias("all")
-    fences = []
+    """Fences of each measure by (group, length), from the distinct texts of all documents."""
+    names = [f"{m}_{i}" for i in range(n) for m in METRICS]
+    source = F.col("source").cast("string") if "source" in measured.columns else F.lit("")
+    texts = cut_lineage(measured.select(
+        "group", "length", "_digest", F.coalesce(source, F.lit("")).alias("source"), *names)
+        .groupBy("group", "_digest").agg(
+            F.min("source").alias("source"),
+            *[F.min(c).alias(c) for c in ("length", *names)]), "distinct-measures")
+    cells = [tuple(r) for r in texts.select("group", "length").distinct().collect()]
+    fences: dict[tuple, list[float]] = {c: [] for c in cells}
     for i in range(n):
         for m in METRICS:
-            q = F.col(f"all.{m}_{i}")
-            if m in BY_LENGTH:
-                q = F.when(F.col("own.n") >= least, F.col(f"own.{m}_{i}")).otherwise(
-                    F.col(f"any.{m}_{i}"))
-            low, high = (F.greatest(r * (q[1] - q[0]), F.lit(LEAST_WIDTH[m])) for r in reach[m])
-            fences += [(q[0] - low).alias(f"{m}_{i}_low"), (q[1] + high).alias(f"{m}_{i}_high")]
-    return (own.join(any_, F.col("own.length") == F.col("any.length"))
-            .join(all_, F.col("own.group") == F.col("all.group"))
-            .select(F.col("own.group"), F.col("own.length"), *fences))
+            by_length = m in BY_LENGTH
+            own = _votes(texts, m, f"{m}_{i}", ("group", "length") if by_length else ("group",), least)
+            any_ = _votes(texts, m, f"{m}_{i}", ("length",) if by_length else (), least)
+            halves = {k: shortest_half(q) for k, (_, q) in own.items()}
+            large = [k for k, (times, _) in own.items() if times >= least]
+            typical = float(np.median([halves[k][1] - halves[k][0] for k in large])) if large else 0.0
+
+            def about(half: tuple[float, float]) -> tuple[float, float]:
+                middle, width = sum(half) / 2, half[1] - half[0]
+                if large:
+                    width = min(max(width, typical), max(WIDEST * typical, LEAST_WIDTH[m]))
+                low, high = (max(r * width, LEAST_WIDTH[m]) for r in reach[m])
+                return middle - width / 2 - low, middle + width / 2 + high
+            known = [about(halves[k]) for k in large]
+            for group, length in cells:
+                key = (group, length) if by_length else (group,)
+                if key in large:
+                    band = about(halves[key])
+                elif by_length or not large:
+                    band = about(shortest_half(any_[key[1:]][1]))
+                else:
+                    band = min(b[0] for b in known), max(b[1] for b in known)
+                    if not band[0] <= sum(halves[key]) / 2 <= band[1]:
+                        band = about(halves[key])
+                fences[group, length] += band
+    types = ", ".join(f"{c}_{end} double" for c in names for end in ("low", "high"))
+    return local_rows(measured.sparkSession, [(*c, *f) for c, f in sorted(fences.items())],
+                      f"`group` string, length int, {types}")
 
 
 def judge(docs: DataFrame, *, vocabularies: list[Vocabulary] | None = None, text: str = "text",
@@ -204,17 +267,19 @@ def judge(docs: DataFrame, *, vocabularies: list[Vocabulary] | None = None, text
             .withColumn("base_failed", failed)
             .withColumn("kept", ~failed & F.coalesce(inside, F.lit(False)))
             .drop(*[f"{m}_{i}_{end}" for i in range(n) for m in METRICS
-                    for end in ("low", "high")]))
+                    for end in ("low", "high")], "_digest"))
 
 
 def keep(docs: DataFrame, **rules) -> DataFrame:
     """``docs`` without the documents that the rules reject."""
-    judged = judge(narrowed(docs, "text", "lang"), keep_text=True, **rules)
-    return widened(judged.filter("kept"), docs, "text", "lang")
+    needed = [c for c in ("text", "lang", "source") if c in docs.columns]
+    judged = judge(narrowed(docs, *needed), keep_text=True, **rules)
+    return widened(judged.filter("kept"), docs, *needed)
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "doc_id", "lang", "source", "text")
     return judge(docs).select("doc_id", *COUNTS, "base_failed", "kept",
                               "group", *[F.col(f"{m}_0").alias(m) for m in METRICS])
 

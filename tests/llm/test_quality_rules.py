@@ -73,3 +73,56 @@ def test_keep_returns_the_columns_of_documents(docs, nothing):  # noqa: F811
     assert kept.schema == docs.schema
     assert {tuple(r) for r in kept.collect()} <= {tuple(r) for r in docs.collect()}
     assert Q.keep(nothing).count() == 0
+
+
+def junk(rng: random.Random) -> str:
+    return " ".join(f"{rng.choice('qxzjkvw')}{rng.randint(10**6, 10**7)}#%&" for _ in range(90))
+
+
+def kept_of(spark, rows):
+    schema = "doc_id long, text string, lang string, source string"
+    kept = {r.doc_id: r.kept for r in Q.judge(spark.createDataFrame(rows, schema)).collect()}
+    assert len(kept) == len(rows)
+    return kept
+
+
+def clean_rows(rng):
+    """400 texts of one language and 120 of another, by four sources."""
+    return [(i, prose(rng, rng.randint(70, 120)), "en" if i < 400 else "fr", f"s{i % 4}")
+            for i in range(520)]
+
+
+def test_copies_have_one_vote(spark):
+    rng = random.Random(5)
+    rows = clean_rows(rng)
+    # A third of all rows are copies of one text, in the smaller language.
+    copied = " ".join(rng.choice(["understanding", "international", "government"]) + f" {w}"
+                      for w in prose(rng, 70).split())
+    rows += [(1000 + i, copied, "fr", "s9") for i in range(270)]
+    kept = kept_of(spark, rows)
+    assert sum(kept[i] for i in range(400, 520)) >= 118 and sum(kept[i] for i in range(400)) >= 396
+    assert len({kept[i] for i in kept if i >= 1000}) == 1
+
+
+@pytest.mark.parametrize("lang", ["en", "fr"])
+def test_a_junk_source_does_not_move_the_bands(spark, lang):
+    rng = random.Random(6)
+    rows = clean_rows(rng) + [(1000 + i, junk(rng), lang, "hot") for i in range(270)]
+    kept = kept_of(spark, rows)
+    assert sum(kept[i] for i in range(520)) >= 513
+    assert not any(kept[i] for i in kept if i >= 1000)
+
+
+def test_a_small_language_is_judged_by_the_others(spark):
+    rng = random.Random(8)
+    rows = [*clean_rows(rng), *[(2000 + i, prose(rng, 90), "de", "s1") for i in range(20)],
+            *[(3000 + i, junk(rng), "de", "s2") for i in range(10)]]
+    kept = kept_of(spark, rows)
+    assert sum(kept[2000 + i] for i in range(20)) >= 19
+    assert not any(kept[3000 + i] for i in range(10))
+
+
+def test_shortest_half():
+    q = np.concatenate([np.zeros(12), np.linspace(5, 6, 29)])
+    low, high = Q.shortest_half(q)
+    assert 5 <= low < high <= 6
