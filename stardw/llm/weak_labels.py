@@ -4,15 +4,18 @@
 2. Expectation-maximisation estimates how often each labeller votes what on good and on bad texts
    (they are taken as independent given the truth). It needs no texts, only how often each pattern
    of votes occurs: at most ``3 ** labellers`` rows, counted over all documents.
-3. The posterior of its pattern labels each document of a bounded sample (``SAMPLE`` rows, those of
-   the least text hash among texts of up to ``SAMPLE_BYTES``) and a logistic scorer over hashed features is fitted to them: byte
-   trigrams, and the steps of the statistics the labellers look at.
+3. The posterior of its pattern labels each text of a bounded sample, and a logistic scorer over
+   hashed features is fitted to them: byte trigrams, and the steps of the statistics the labellers
+   look at. The sample are the ``SAMPLE`` distinct texts of least hash, of any length, each whole
+   and once, however often it is copied. Their features are made in the tasks. The driver holds
+   those of the first texts by hash that come to ``SAMPLE_CELLS`` features: all of them, unless
+   texts of over about 20 KB prevail; of the longest possible texts at least 488.
 4. The scorer judges all documents. It carries what the labellers agree on over to texts on which
    they are silent.
 
 Null and empty texts have no features but the bias and the steps of their zero counts. Equal rows
 get equal scores; an empty table gives an empty result, and a table on which the labellers never
-disagree gets the prior. Columns of the input with the name of a result are replaced.
+disagree gets the prior. So does every text if ``sample`` is 0. Columns of the input with the name of a result are replaced.
 """
 
 from __future__ import annotations
@@ -32,8 +35,9 @@ from stardw.llm.words import blocks, mix, raw_bytes, words_of
 from stardw.session import cut_lineage
 
 BITS = 15
-SAMPLE = 3_000
-SAMPLE_BYTES = 32_768
+SAMPLE = 4_000
+SAMPLE_CELLS = 16_000_000
+FIT_CELLS = 1_000_000
 ROUNDS, EPOCHS, RATE, DECAY = 200, 80, 0.5, 1e-5
 
 # Fixed values, for each statistic: bad below, good from, good up to, bad above.
@@ -144,27 +148,37 @@ def scores(texts: pa.Array, stats: np.ndarray, weights: np.ndarray, bits: int) -
 SCALE = 20.0
 
 
-def fit(texts: pa.Array, good: np.ndarray, bits: int, epochs: int = EPOCHS) -> np.ndarray:
-    """Weights of a logistic scorer, by gradient steps over the whole sample."""
-    stats = np.concatenate([statistics(texts.slice(i, 50)) for i in range(0, len(texts), 50)])
-    cells, values, sizes = [], [], []
+def _cells(grams: np.ndarray, steps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The features of one text that are not 0, and their values."""
+    x = np.bincount(grams, minlength=1 << bits) * (SCALE / max(len(grams), 1))
+    np.add.at(x, steps, 1.0)
+    at = np.flatnonzero(x)
+    return at.astype(np.int32), x[at].astype(np.float32)
+
+
+def fit(cells: np.ndarray, values: np.ndarray, sizes: np.ndarray, good: np.ndarray, bits: int,
+        epochs: int = EPOCHS) -> np.ndarray:
+    """Weights of a logistic scorer, by gradient steps over the whole sample.
+
+    ``cells`` and ``values`` are the features of all texts end to end, ``sizes`` of each text.
+    """
     size = 1 << bits
-    for r in range(len(texts)):
-        grams, _, steps = features(texts.slice(r, 1), stats[r:r + 1], bits)
-        x = np.bincount(grams, minlength=size) * (SCALE / max(len(grams), 1))
-        np.add.at(x, steps[0], 1.0)
-        at = np.flatnonzero(x)
-        cells.append(at.astype(np.int32))
-        values.append(x[at].astype(np.float32))
-        sizes.append(len(at))
-    cells, values = np.concatenate(cells), np.concatenate(values)
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    ends = np.cumsum(sizes)
+    parts, at = [], 0  # texts at a time, so that what is worked out for them has a bound
+    while at < len(sizes):
+        before = ends[at] - sizes[at]
+        to = max(at + 1, int(np.searchsorted(ends, before + FIT_CELLS, "right")))
+        parts.append((slice(at, to), slice(before, ends[to - 1]),
+                      np.cumsum(sizes[at:to]) - sizes[at:to]))
+        at = to
     weights, squares = np.zeros(size + 1), np.full(size + 1, 1e-6)
     for _ in range(epochs):
-        z = np.add.reduceat(values * weights[cells], starts) + weights[-1]
-        error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - good) / len(texts)
-        slope = np.append(np.bincount(cells, values * np.repeat(error, sizes), size), error.sum())
-        slope += DECAY * weights
+        slope = DECAY * weights
+        for texts, span, starts in parts:
+            z = np.add.reduceat(values[span] * weights[cells[span]], starts) + weights[-1]
+            error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - good[texts]) / len(sizes)
+            slope[:-1] += np.bincount(cells[span], values[span] * np.repeat(error, sizes[texts]), size)
+            slope[-1] += error.sum()
         squares += slope ** 2
         weights -= RATE * slope / np.sqrt(squares)
     return weights
@@ -177,6 +191,54 @@ def _voter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                       pa.binary()), batch.column("hash")], names=["votes", "hash"])
 
 
+def _sampler(bits: int):
+    """Features of each text of a task, once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in blocks(batches):
+            new = [i for i, h in enumerate(batch.column("hash").to_pylist())
+                   if h not in seen and not seen.add(h)]
+            if not new:
+                continue
+            batch = batch.take(pa.array(new))
+            texts = batch.column("text")
+            stats = statistics(texts)
+            for r in range(len(texts)):
+                grams, _, steps = features(texts.slice(r, 1), stats[r:r + 1], bits)
+                cells, values = _cells(grams, steps[0], bits)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("hash").slice(r, 1), pa.array([len(cells)], pa.int64()),
+                     pa.array([cells.tobytes()], pa.binary()),
+                     pa.array([values.tobytes()], pa.binary())],
+                    names=["hash", "size", "cells", "values"])
+    return run
+
+
+def _fitted(keyed: DataFrame, voted: DataFrame, labels: Labels, bits: int, sample: int) -> np.ndarray:
+    """Weights from the sample of distinct texts."""
+    least = voted.groupBy("hash").agg(F.min("votes").alias("votes")).orderBy("hash").limit(
+        sample).collect()
+    if not least:
+        return np.append(np.zeros(1 << bits), np.log(labels.prior) - np.log1p(-labels.prior))
+    known = {r["hash"]: np.array(list(r["votes"]), np.int64) - 1 for r in least}
+    rows = keyed.select("text", F.xxhash64("text").alias("hash")).filter(F.col("hash") <= max(known))
+    made = cut_lineage(rows.mapInArrow(
+        _sampler(bits), "hash long, size long, cells binary, values binary"), "sample")
+    taken, total = [], 0
+    for r in made.groupBy("hash").agg(F.max("size").alias("size")).orderBy("hash").collect():
+        total += r["size"]
+        if taken and total > SAMPLE_CELLS:
+            break
+        taken.append(r["hash"])
+    found = {r["hash"]: (np.frombuffer(r["cells"], np.int32), np.frombuffer(r["values"], np.float32))
+             for r in made.filter(F.col("hash") <= taken[-1]).dropDuplicates(["hash"])
+             .drop("size").toLocalIterator()}
+    cells, values = (np.concatenate([found[h][i] for h in taken]) for i in (0, 1))
+    sizes = np.array([len(found[h][0]) for h in taken])
+    found.clear()
+    return fit(cells, values, sizes, labels.posterior(np.stack([known[h] for h in taken])), bits)
+
+
 def _scorer(sent, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, labels = sent.value
@@ -210,14 +272,7 @@ def judge(docs: DataFrame, *, text: str = "text", bits: int = BITS, sample: int
     times = np.array([r["n"] for r in counted], float)
     labels = expectation_maximisation(patterns, times)
 
-    # The rows of the least hash: the share that gives twice the sample, then exactly that many.
-    hash_ = F.xxhash64("text")
-    limit = min(1.0, 2 * sample / times.sum()) * 2.0 ** 64 - 2.0 ** 63
-    rows = keyed.select("text").filter(F.octet_length("text") <= SAMPLE_BYTES).filter(hash_ <= int(min(limit, 2 ** 63 - 1)))
-    rows = rows.withColumn("hash", hash_).orderBy("hash").limit(sample).select("text").collect()
-    texts = pa.array([r["text"] for r in rows], pa.large_string())
-    stats = np.concatenate([statistics(texts.slice(i, 50)) for i in range(0, len(texts), 50)])
-    weights = fit(texts, labels.posterior(votes(stats)), bits)
+    weights = _fitted(keyed, voted, labels, bits, sample)
     sent = spark.sparkContext.broadcast((weights, labels))
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema if f.name != "text"]
     return (keyed.mapInArrow(_scorer(sent, bits), ", ".join([*types, "score double", "weak_label double"]))

@@ -46,3 +46,43 @@ def test_edge_rows(docs, nothing):  # noqa: F811
     assert all(0 <= r.score <= 1 for r in found.collect())
     assert W.judge(nothing).count() == 0
     assert sorted(map(str, W.judge(docs).collect())) == sorted(map(str, found.collect()))
+
+
+def good_and_bad(rng, n):
+    rows = [(i, prose(rng, rng.randint(80, 200))) for i in range(n)]
+    return rows + [(1000 + i, " ".join(f"{w}{rng.choice(['###', '$$$', '|'])}"
+                                       for w in prose(rng, 90).split())) for i in range(n // 3)]
+
+
+def test_copies_take_one_place_of_the_sample(spark):
+    rows = good_and_bad(random.Random(3), 120)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")  # noqa: F811
+    # The text of least hash, which is first in every sample.
+    first = docs.orderBy(W.F.xxhash64("text")).first().text
+    copies = [(5000 + i, first) for i in range(500)]
+    sizes = []
+    real, W.fit = W.fit, lambda c, v, sizes_, *a: (sizes.append(len(sizes_)), real(c, v, sizes_, *a))[1]
+    try:
+        found = {r.doc_id: r for r in W.judge(
+            spark.createDataFrame(rows + copies, "doc_id long, text string"), sample=100).collect()}
+    finally:
+        W.fit = real
+    assert sizes == [100]
+    assert np.mean([found[i].kept == (i < 1000) for i in found if i < 5000]) > 0.97
+
+
+def test_long_texts_are_learnt_from(spark):
+    rng = random.Random(4)
+    def many_words():
+        return " ".join(w + "".join(rng.choices("aeioulnrst", k=4)) for w in prose(rng, 6000).split(" "))
+    rows = [(i, many_words()) for i in range(12)]
+    rows += [(1000 + i, " ".join(f"{w}###" for w in many_words().split())) for i in range(6)]
+    assert min(len(t) for _, t in rows) > 32_768
+    found = W.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == 18 and all(r.kept == (r.doc_id < 1000) for r in found)
+
+
+def test_an_empty_sample_gives_the_prior(spark):
+    rows = good_and_bad(random.Random(5), 30)
+    found = W.judge(spark.createDataFrame(rows, "doc_id long, text string"), sample=0).collect()
+    assert len({r.score for r in found}) == 1 and 0 < found[0].score < 1
