@@ -5,9 +5,13 @@ to the parent, half to the next, and a third of the depth's share beyond. A cont
 are discounted by the share of its letters that stand in links. The container with the most
 points is the article; its siblings stay when they score near it or are plain prose themselves.
 
-Elements that are never article text (navigation, forms, scripts, …) and those whose class or id
-names such a part are left out, at any depth. Within a block white space is one space; blocks are
-joined in page order by line feeds.
+Elements that are never article text (navigation, scripts, …) are left out, at any depth. A form,
+or an element whose class, id or role names a part beside the article, is left out if it holds
+under half of the page's points; the page's own container holds more and only scores lower, and so
+does a form that wraps the page. A word of the article as a whole class or id ("post tag-legal")
+overrules the others, and "has-sidebar" or "tag-legal" tell of something else than the element. If
+all text would go, these elements stay. Within a block white space is one space; blocks are joined
+in page order by line feeds.
 
 Each page is parsed alone with bounded state, in one pass over its tags, so malformed or very long
 pages neither fail nor grow beyond their own size. Null, empty and text-free pages have an empty
@@ -36,7 +40,7 @@ nav ol p pre search section summary table tbody td tfoot th thead tr ul caption"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 SKIPPED = frozenset("""head script style noscript template iframe svg math canvas object audio video
-nav footer aside form button select textarea input label menu dialog search title""".split())
+nav footer aside button select textarea input label menu dialog search title""".split())
 PARAGRAPHS = frozenset("p pre td li dd blockquote h1 h2 h3 h4 h5 h6 figcaption".split())
 # Closed by the start of another of the same group, up to the container that holds both.
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"),
@@ -52,6 +56,15 @@ topbar toolbar comment comments commentlist disqus discussion replies reply resp
 share sharing social related recommended recommendations trending popular tags tagcloud author-box
 skip search searchbox form hidden print-only copyright legal disclaimer outbrain taboola""".split())
 ARTICLE = frozenset("article main content post entry story body text articlebody".split())
+# First parts of a class that tell what the element has or is filed under, not what it is.
+TELLS = frozenset("has with no without not hide show tag category cat type format layout is".split())
+# Of a heading these words say what it is.
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+HEADS = frozenset("header masthead".split())
+# "entry-header" is the head of the entry, not of the page.
+HEADED = frozenset("article entry post story".split())
+# An element beside the article holds less than this share of the points; others score so much lower.
+MINOR, LOWERED = 0.5, 0.75
 
 _TAG = re.compile(r"<(?:!--(.*?)(?:-->|\Z)|!\[CDATA\[(.*?)(?:\]\]>|\Z)|[!?][^>]*>|"
                   r"(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.DOTALL)
@@ -62,24 +75,39 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "beside", "named", "points", "letters", "linked", "depth", "link")
+    __slots__ = ("tag", "parent", "beside", "named", "points", "letters", "linked", "depth", "link",
+                 "suspect", "weight")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.link = tag == "a" or (parent.link if parent else False)
         self.points, self.letters, self.linked = 0.0, 0, 0
-        names: set[str] = set()
+        self.weight = 0.0
+        whole: set[str] = set()
+        parts: set[str] = set()
+        headed = False
         if attributes:
             for found in _LABEL.finditer(attributes):
-                label = (found[1] or found[2] or found[3] or "").lower()
-                names.update(label.split(), re.split(r"[\s_-]+", label))
-        self.named = bool(names & ARTICLE) or tag in ("article", "main")
+                for label in (found[1] or found[2] or found[3] or "").lower().split():
+                    whole.add(label)
+                    split = re.split(r"[_-]+", label)
+                    if len(split) == 1 or split[0] not in TELLS:
+                        if HEADED & set(split) and HEADS & set(split):
+                            headed = True
+                            split = set(split) - HEADS
+                        parts.update(split)
+        self.named = bool((whole | parts) & ARTICLE) and not headed or tag in ("article", "main")
+        beside = (whole | parts) & BESIDE
+        if tag in HEADING:
+            beside -= HEADS
+        self.suspect = tag == "form" or (bool(beside) and not whole & ARTICLE and tag not in (
+            "html", "body", "article", "main"))
         inside = parent is not None and parent.beside
         self.beside = inside or tag in SKIPPED or (
             tag not in ("html", "body", "article", "main")
-            and (bool(names & BESIDE) or bool(attributes and _HIDDEN.search(attributes)))
-        ) or (tag == "header" and not self.within_article())
+            and bool(attributes and _HIDDEN.search(attributes))
+        ) or (tag == "header" and not headed and not self.within_article())
 
     def within_article(self) -> bool:
         at = self.parent
@@ -90,31 +118,25 @@ class Node:
         return False
 
 
-def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
-    """Elements in page order, and the blocks of text with the block element each stands in."""
+Pieces = list[tuple[Node, str]]
+
+
+def parse(page: str) -> tuple[list[Node], list[tuple[Node, Pieces]]]:
+    """Elements in page order, and the blocks: the block element each stands in, and its pieces
+    of text with their elements."""
     root = at = Node("html", None)
     nodes, texts = [root], []
-    piece: list[str] = []
+    pieces: Pieces = []
     holder = root
 
     def end_block() -> None:
-        text = _SPACE.sub(" ", html.unescape("".join(piece))).strip()
-        piece.clear()
-        if text:
-            texts.append((holder, text))
+        if pieces:
+            texts.append((holder, pieces.copy()))
+            pieces.clear()
 
     def add(text: str) -> None:
         if not at.beside and text:
-            piece.append(text)
-            if not text.isspace():
-                n = len(text.strip())
-                up = at
-                while up and up.tag not in BLOCKS:
-                    up = up.parent
-                up = up or root
-                up.letters += n
-                if at.link:
-                    up.linked += n
+            pieces.append((at, text))
 
     pos, size = 0, len(page)
     while pos < size:
@@ -194,11 +216,57 @@ def _inside(node: Node | None, top: Node) -> bool:
     return node is top
 
 
+def _text(pieces: Pieces) -> str:
+    return _SPACE.sub(" ", html.unescape("".join([t for _, t in pieces]))).strip()
+
+
+def _points(text: str) -> float:
+    return 1 + text.count(",") + text.count("،") + text.count("、") + min(len(text) / 100, 3.0)
+
+
+def _without_minor_parts(nodes: list[Node], blocks_: list[tuple[Node, Pieces]],
+                         ) -> list[tuple[Node, Pieces]]:
+    """The blocks outside suspect elements of a minor share of the points; marks those elements."""
+    total = 0.0
+    for _, pieces in blocks_:
+        text = _text(pieces)
+        if text:
+            points, size = _points(text), sum(len(t) for _, t in pieces)
+            total += points
+            for node, piece in pieces:
+                node.weight += points * len(piece) / size
+    for node in reversed(nodes):
+        if node.parent:
+            node.parent.weight += node.weight
+    minor = {nodes[0]: False}
+    for node in nodes[1:]:
+        minor[node] = minor[node.parent] or node.suspect and node.weight < MINOR * total
+    left = [(holder, [p for p in pieces if not minor[p[0]]]) for holder, pieces in blocks_]
+    if not any(_text(pieces) for _, pieces in left):
+        return blocks_
+    for node in nodes:
+        node.beside = node.beside or minor[node]
+    return left
+
+
 def main_text(page: str) -> str:
     """The text of the best container of ``page`` and of the siblings that belong to it."""
-    nodes, texts = parse(page)
+    nodes, blocks_ = parse(page)
+    if any(node.suspect for node in nodes):
+        blocks_ = _without_minor_parts(nodes, blocks_)
+    texts = [(holder, text) for holder, pieces in blocks_ if (text := _text(pieces))]
+    for _, pieces in blocks_:
+        for at, text in pieces:
+            if not text.isspace():
+                n, up = len(text.strip()), at
+                while up and up.tag not in BLOCKS:
+                    up = up.parent
+                up = up or nodes[0]
+                up.letters += n
+                if at.link:
+                    up.linked += n
     for holder, text in texts:
-        points = 1 + text.count(",") + text.count("،") + text.count("、") + min(len(text) / 100, 3.0)
+        points = _points(text)
         up, step = holder.parent if holder.tag in PARAGRAPHS and holder.parent else holder, 0
         while up:
             up.points += points / (1, 2)[step] if step < 2 else points / (3 * step)
@@ -212,7 +280,8 @@ def main_text(page: str) -> str:
         return 1 - node.linked / node.letters if node.letters else 1.0
 
     def score(node: Node) -> float:
-        return (node.points + (25 if node.named else 0)) * plain(node)
+        lowered = LOWERED if node.suspect and node.tag != "form" else 1.0
+        return (node.points + (25 if node.named else 0)) * plain(node) * lowered
 
     scored = [n for n in nodes if n.points and not n.beside]
     if not scored:

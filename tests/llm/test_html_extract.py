@@ -42,3 +42,34 @@ def test_edge_rows(spark):
     found = sorted((r.page_id or 0, r.n_chars) for r in extract(pages).collect())
     assert found == [(0, 0), (1, 1), (1, 1), (2, 4), (3, 999_999)]
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("wrapper", [
+    "div class='content has-sidebar'", "div class='post type-post tag-legal'",
+    "div id='main' class='with-comments'", "div class='rail'", "div class='social wide'",
+    "div class='page-notice'", "div class='tags'", "form id='aspnetForm'", "form class='form'"])
+def test_wrappers_of_the_article_stay(wrapper):
+    tag = wrapper.split()[0]
+    page = f"""<body><div class='nav-menu'><a href=1>One</a></div><{wrapper}>
+      <header class='entry-header'><h1 class='entry-header'>Title</h1></header><p>{LONG * 2}</p>
+      <div class='share-buttons'><p>Share</p></div><p>{LONG}</p></{tag}>
+      <div class='comments'><p>{LONG}</p></div></body>"""
+    line = LONG.strip()
+    assert main_text(page) == "\n".join(["Title", f"{line} {line}", line])
+
+
+@pytest.mark.parametrize("wrapper", ["div class='content has-sidebar'", "div class='wide with-comments'"])
+def test_an_article_shorter_than_its_comments_stays(wrapper):
+    page = f"""<body><{wrapper}><h1>Title</h1><p>{LONG * 2}</p><p>{LONG}</p></div>
+      <div class='comments'>{f"<p>{LONG}</p>" * 3}</div></body>"""
+    assert main_text(page).startswith("Title\n" + LONG.strip())
+
+
+def test_a_page_of_parts_beside_has_text():
+    page = "".join(f"<div class='{c}'><p>{LONG}</p></div>" for c in ("rail", "notice", "tags"))
+    assert LONG.strip() in main_text(page)
+
+
+def test_inline_parts_beside_go():
+    page = f"<div class=post><p>{LONG * 2}<span class='share'>Share this</span> end</p><p>{LONG}</p></div>"
+    assert "Share" not in main_text(page) and "end\n" in main_text(page)
