@@ -6,6 +6,7 @@
     verify  row counts, contracts, best sales staff and the quality reports
     log     the last runs
     push    copy the published tables to a database
+    compact write the months anew that small loads have left in many folders
     wipe    publish every table empty
     expire  delete folders that recent publications do not name
 """
@@ -20,6 +21,7 @@ from pathlib import Path
 from stardw.operators import quality
 from stardw.plans import analytics, meta, pipeline, verify
 from stardw.session import build_session
+from stardw.sources import deltas
 from stardw.sources.jdbc import JdbcSource, push
 from stardw.sources.retail_parquet import RetailParquet
 from stardw.sources.snapshots import Warehouse
@@ -55,6 +57,8 @@ def parser() -> argparse.ArgumentParser:
     command("verify")
     command("log").add_argument("--last", type=int, default=20)
     command("push").add_argument("--jdbc", required=True)
+    command("compact").add_argument("--most", type=int, default=deltas.MOST_LOTS,
+                                    help="folders of a month beyond which it is written anew")
     command("wipe")
     command("expire").add_argument("--keep", type=int, default=7)
     return made
@@ -89,6 +93,8 @@ def main(argv: list[str] | None = None) -> None:
             meta.RunLog(warehouse).latest(args.last).show(args.last, truncate=False)
         case "push":
             push(warehouse, args.jdbc, **properties)
+        case "compact":
+            pipeline.compact(warehouse, most=args.most)
         case "wipe":
             pipeline.wipe(warehouse)
         case "expire":

@@ -1,10 +1,10 @@
-"""The sales fact: key lookups, derived amounts, rejects, and the idempotent reload."""
+"""The sales fact: key lookups, derived amounts, rejects."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stardw.functions import exprs as E
@@ -31,6 +31,12 @@ LOOKUPS = {
 }
 
 
+# What an order decides, and what its product does.
+OF_ORDER = ["dim_canal", "dim_geographie", "dim_employe", "dim_client"]
+OF_PRODUCT = ["dim_produit", "dim_fournisseur"]
+KEYS = [spec[3] for spec in LOOKUPS.values()]
+
+
 def _lookup(dim: DataFrame, line_column: str, natural: str, cle: str, name: str,
             current: bool) -> DataFrame:
     if current:
@@ -38,16 +44,36 @@ def _lookup(dim: DataFrame, line_column: str, natural: str, cle: str, name: str,
     return dim.select(F.col(natural).alias(line_column), F.col(cle).alias(name))
 
 
+def with_keys(rows: DataFrame, dims: Mapping[str, DataFrame], which: Sequence[str],
+              spread: Sequence[str], how: str = "left",
+              hot: Callable[[str], dict] | None = None) -> DataFrame:
+    """Add the looked-up keys of some dimensions to rows that ``spread`` tells apart.
+
+    Orders and products have them looked up before lines join them, so that lines are moved for
+    neither.
+    """
+    for dim in which:
+        column = LOOKUPS[dim][0]
+        rows = lookup_join(
+            rows, _lookup(dims[dim], *LOOKUPS[dim]), column, spread=spread, how=how,
+            hot=None if hot is None else lambda column=column: hot(column))
+    return rows
+
+
 def resolve_keys(lines: DataFrame, dims: Mapping[str, DataFrame], how: str = "inner",
                  ) -> DataFrame:
-    """Add the six looked-up keys; small dimensions first, so that they filter early."""
-    rows = lines
-    for dim, spec in LOOKUPS.items():
-        column = spec[0]
-        # Hot keys are looked for in the lines alone, which needs one column and no join.
-        rows = lookup_join(rows, _lookup(dims[dim], *spec), column, spread=LINE_KEY, how=how,
-                           hot=lambda column=column: hot_keys(lines, column))
-    return rows
+    """Lines with the six keys; those that were staged with them are not looked up again."""
+    if set(KEYS) <= set(lines.columns):
+        return lines.dropna(subset=KEYS) if how == "inner" else lines
+    # Hot keys are looked for in the lines alone, which needs one column and no join. Small
+    # dimensions come first, so that they filter early.
+    return with_keys(lines, dims, list(LOOKUPS), LINE_KEY, how,
+                     lambda column: hot_keys(lines, column))
+
+
+def lost(lines: DataFrame) -> dict[str, Column]:
+    """For each dimension, the lines staged with keys that it doesn't know, as an aggregate."""
+    return {dim: F.count_if(F.col(spec[3]).isNull()) for dim, spec in LOOKUPS.items()}
 
 
 def build_fact(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -70,7 +96,7 @@ def rejects(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     return (resolve_keys(lines, dims, how="left")
             .withColumn("manques", names)
             .filter(F.size("manques") > 0)
-            .select(*lines.columns, "manques"))
+            .select(*[c for c in lines.columns if c not in KEYS], "manques"))
 
 
 def reject_report(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
@@ -78,28 +104,3 @@ def reject_report(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     return (rejects(lines, dims)
             .select(F.explode("manques").alias("dimension"))
             .groupBy("dimension").agg(F.count(F.lit(1)).alias("nb_lignes")))
-
-
-def touched_months(existing: DataFrame, fresh: DataFrame, keys: DataFrame) -> list[int]:
-    """Months that a reload changes: those of the fresh rows, and those of rows that go.
-
-    ``keys`` are the lines that arrived, whether they gave a row or not. Their old rows are looked
-    for between the lowest and highest order number. Row groups are sorted by order number, so the
-    scan skips those of other orders.
-    """
-    low, high = keys.agg(F.min("commande_id"), F.max("commande_id")).first()
-    moved = (existing.select(*LINE_KEY, PARTITION)
-             .filter(F.col("commande_id").between(low, high))
-             .join(keys, LINE_KEY, "left_semi"))
-    months = moved.select(PARTITION).union(fresh.select(PARTITION)).distinct()
-    # As many values as the calendar has months.
-    return sorted(r[0] for r in months.collect())
-
-
-def upsert(existing: DataFrame, fresh: DataFrame, keys: DataFrame) -> DataFrame:
-    """``existing`` without the lines of ``keys``, and with every row of ``fresh``.
-
-    ``keys`` are all lines that arrived: one that no longer finds its dimensions leaves the fact.
-    """
-    kept = existing.join(keys.select(*LINE_KEY), LINE_KEY, "left_anti")
-    return kept.select(*fresh.columns).unionByName(fresh)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stardw.functions import labels as L
 from stardw.operators.fact import LINE_KEY
-from stardw.operators.ranking import number_by_range
+from stardw.operators.ranking import ranks_in_groups
 from stardw.operators.skew import hot_keys, lookup_join
 from stardw.session import cut_lineage
 
@@ -152,11 +152,8 @@ def sales_rep_ranks(dw: Tables) -> DataFrame:
     ranks = {"rang_pays": "org_pays", "rang_sexe": "sexe", "rang_age": "tranche_age",
              "rang_salaire": "tranche_salaire"}
     best_first = [F.desc("ca"), F.asc("employe_id")]
-    # By distributed sorts: a gender is half of the staff, too many for the window of one task.
-    ranked = base
-    for rank, by in ranks.items():
-        ranked = number_by_range(ranked, [by], best_first, rank)
-    return ranked.orderBy(*best_first)
+    # By a distributed sort: a gender is half of the staff, too many for the window of one task.
+    return ranks_in_groups(base, ranks, best_first).orderBy(*best_first)
 
 
 def customer_groups(dw: Tables) -> DataFrame:

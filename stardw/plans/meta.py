@@ -48,6 +48,8 @@ class RunLog:
         self.path = f"{warehouse.root}/_run_log"
         self._lock = threading.Lock()
         self._next: int | None = None
+        # Rows that the ended jobs of this load gave.
+        self.rows_out: dict[str, int | None] = {}
 
     def read(self) -> DataFrame:
         schema = schema_of("run_log")
@@ -80,6 +82,7 @@ class RunLog:
             self._append(run, "FAIL", str(problem))
             raise
         self._append(run, "SUCCESS", None)
+        self.rows_out[job] = run.rows_out
 
     def _append(self, run: Run, status: str, error: str | None) -> None:
         done = status == "SUCCESS"

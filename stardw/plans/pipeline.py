@@ -11,17 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stardw.operators import fact
-from stardw.operators.keys import highest_key
 from stardw.operators.scd import scd1_reload, scd2_first, scd2_step
 from stardw.plans import dimensions as D
 from stardw.plans import meta, staging
 from stardw.schemas import conform, schema_of
-from stardw.session import cut_lineage, local_rows
+from stardw.session import counted_cut, cut_lineage, local_rows
+from stardw.sources import deltas
 from stardw.sources.operational import OperationalSource
-from stardw.sources.snapshots import Warehouse, add_parts, replace_parts
+from stardw.sources.snapshots import Warehouse, add_parts
 
 # Jobs launched side by side; each is a Spark job of its own.
 PARALLEL_JOBS = 8
+LINES = "lignes_commande"
 # Part of a history: its current or its closed versions.
 VERSION_PART = "est_courant"
 # Folders of closed versions beyond which they are written as one.
@@ -49,18 +50,32 @@ class Staged:
     def __contains__(self, table: str) -> bool:
         return table in self.entries
 
+    def rows(self, table: str) -> int:
+        return self.entries[table]["rows"]
 
-def stage(warehouse: Warehouse, tables: dict[str, DataFrame]) -> Staged:
+    def observed(self, table: str) -> dict:
+        return self.entries[table].get("observed", {})
+
+
+def stage(warehouse: Warehouse, tables: dict[str, DataFrame], observe: dict | None = None) -> Staged:
     """Write staging tables, so that what follows reads each source once."""
     def write(table: str, df: DataFrame):
-        return lambda: warehouse.write(
-            f"staging/{table}", df.select(*staging.COLUMNS[table]))
+        return lambda: warehouse.write(f"staging/{table}", df, observe=observe)
 
     return Staged(warehouse, _side_by_side(
         warehouse.spark, {t: write(t, df) for t, df in tables.items()}))
 
 
-def date_entry(warehouse: Warehouse, run: meta.Run, lines: DataFrame,
+def stage_lines(staged: Staged, ops: OperationalSource, entries: dict, after: date | None = None,
+                only: int | None = None) -> DataFrame:
+    """Stage the order lines with the keys that the dimensions of ``entries`` give them."""
+    dims = {d: staged.warehouse.open(d, entries[d]) for d in fact.LOOKUPS}
+    lines = staging.order_lines(ops, after, only, dims)
+    staged.entries |= stage(staged.warehouse, {LINES: lines}, fact.lost(lines)).entries
+    return staged[LINES]
+
+
+def date_entry(warehouse: Warehouse, run: meta.Run, orders: DataFrame,
                 span: tuple[date, date] | None) -> dict:
     """The date dimension, grown by whole years when orders come from outside it.
 
@@ -73,7 +88,7 @@ def date_entry(warehouse: Warehouse, run: meta.Run, lines: DataFrame,
         known = dates = None
     if dates is None and span is not None:
         dates = conform(D.date_dimension(warehouse.spark, *span), "dim_date")
-    ordered = lines.select(F.col("date_commande").alias("jour"))
+    ordered = orders.select(F.col("date_commande").alias("jour"))
     if dates is None:
         days = D.date_attributes(D.whole_years(ordered, "jour"), "jour")
     else:
@@ -88,7 +103,7 @@ def date_entry(warehouse: Warehouse, run: meta.Run, lines: DataFrame,
             grown = conform(D.date_attributes(D.whole_years(both, "jour"), "jour"), "dim_date")
             days = dates.unionByName(grown.join(dates.select("cle_date"), "cle_date", "left_anti"))
     entry = warehouse.write("dim_date", conform(days, "dim_date"))
-    run.rows_in = run.rows_out = warehouse.open("dim_date", entry).count()
+    run.rows_in = run.rows_out = entry["rows"]
     return entry
 
 
@@ -105,8 +120,7 @@ def _overwritten_entries(warehouse: Warehouse, run: meta.Run, dim: str,
     keyed = rows.join(warehouse.open(map_name, map_entry), natural).select(
         cle, natural, *attributes)
     entry = warehouse.write(dim, conform(keyed, dim))
-    run.rows_in = rows.count()
-    run.rows_out = warehouse.open(dim, entry).count()
+    run.rows_in, run.rows_out = staged.rows(table), entry["rows"]
     return {dim: entry, map_name: map_entry}
 
 
@@ -119,17 +133,17 @@ def _historised_entries(warehouse: Warehouse, run: meta.Run, dim: str, staged: S
     if known is None:
         first = scd2_first(versions, natural, cle, as_of)
         entry = warehouse.write(dim, conform(first, dim), VERSION_PART)
-        before = 0
+        opened = entry["rows"]
     else:
         history = warehouse.open(dim, known)
-        current = history.filter("est_courant")
-        step = scd2_step(current, versions, natural, cle, as_of, highest_key(history, cle),
-                         cut=lambda df: cut_lineage(df, dim))
-        entry = warehouse.write(dim, conform(step, dim), VERSION_PART)
-        before = current.count()
-    run.rows_in = staged[table].count()
-    # Each opened version is one row more.
-    run.rows_out = warehouse.open(dim, entry).count() - before
+        highest = history.agg(F.coalesce(F.max(cle), F.lit(0))).first()[0]
+        step = scd2_step(history.filter("est_courant"), versions, natural, cle, as_of,
+                         F.lit(highest).cast("long"), cut=lambda df: cut_lineage(df, dim))
+        # Opened versions are those with new keys.
+        entry = warehouse.write(dim, conform(step, dim), VERSION_PART,
+                                observe={"opened": F.count_if(F.col(cle) > highest)})
+        opened = entry["observed"].get("opened") or 0
+    run.rows_in, run.rows_out = staged.rows(table), opened
     if known is not None:
         entry = add_parts(known, entry, "false")
         if len(entry["parts"].get("false", [])) > MOST_LOTS:
@@ -140,9 +154,12 @@ def _historised_entries(warehouse: Warehouse, run: meta.Run, dim: str, staged: S
     return {dim: entry}
 
 
-def load_dimensions(warehouse: Warehouse, log: meta.RunLog, staged: Staged, as_of: date,
-                    span: tuple[date, date] | None = None) -> dict:
-    """Entries of the seven dimensions and of the key maps, unpublished."""
+def load_dimensions(warehouse: Warehouse, log: meta.RunLog, staged: Staged, orders: DataFrame,
+                    as_of: date, span: tuple[date, date] | None = None) -> dict:
+    """Entries of the seven dimensions and of the key maps, unpublished.
+
+    ``orders`` are those to be loaded; the date dimension covers their days.
+    """
     def job(name, build):
         def do():
             with log.run(name) as run:
@@ -150,7 +167,7 @@ def load_dimensions(warehouse: Warehouse, log: meta.RunLog, staged: Staged, as_o
         return do
 
     work = {"dim_date": job("dim_date", lambda run: {"dim_date": date_entry(
-        warehouse, run, staged["lignes_commande"], span)})}
+        warehouse, run, orders, span)})}
     for dim in D.OVERWRITTEN:
         work[dim] = job(dim, lambda run, dim=dim: _overwritten_entries(
             warehouse, run, dim, staged))
@@ -173,40 +190,44 @@ def _check_dates(lines: DataFrame, dates: DataFrame) -> None:
 
 
 def fact_entry(warehouse: Warehouse, lines: DataFrame, dims, published: dict | None,
-               table: str = meta.FACT_JOB) -> tuple:
+               table: str = meta.FACT_JOB) -> tuple[dict, int]:
     """Entry of the fact with ``lines`` added or replaced, and the number of rows they gave.
 
-    A first load writes the fact rows once. A later load writes them apart, then rewrites only
-    the months they touch. A line that came before and finds its dimensions no longer goes.
+    ``lines`` have been written. A line that came before and finds its dimensions no longer goes.
     """
     fresh = conform(fact.build_fact(lines, dims), "fait_ventes")
     if published is None or not published["parts"]:
-        entry = warehouse.write(table, fresh, fact.PARTITION, fact.LINE_KEY[0])
-        return entry, warehouse.open(table, entry).count()
-    fresh = cut_lineage(fresh, "fact")
-    rows = fresh.count()
-    keys = lines.select(*fact.LINE_KEY)
-    if keys.isEmpty():
-        return published, 0
-    existing = warehouse.open(table, published)
-    touched = fact.touched_months(existing, fresh, keys)
-    months = existing.filter(F.col(fact.PARTITION).isin(touched))
-    entry = warehouse.write(table, fact.upsert(months, fresh, keys), fact.PARTITION,
-                            fact.LINE_KEY[0])
-    return replace_parts(published, entry, touched), rows
+        entry, made = deltas.first(warehouse, table, fresh, fact.PARTITION, fact.LINE_KEY)
+    else:
+        if "index" not in published:  # written before there was an index
+            published = deltas.indexed(warehouse, table, published, fact.LINE_KEY)
+        entry, made = deltas.load(warehouse, table, fresh, lines.select(*fact.LINE_KEY), published)
+    return entry, made["rows"]
 
 
 def load_fact(warehouse: Warehouse, log: meta.RunLog, lines: DataFrame, entries: dict,
-              table: str = meta.FACT_JOB) -> dict:
-    """Entries of the fact and of its high-water mark, unpublished."""
+              table: str = meta.FACT_JOB, *, n: int | None = None,
+              published: dict | None = None) -> dict:
+    """Entries of the fact and of its high-water mark, unpublished.
+
+    ``entries`` has the dimensions to look up in, ``published`` the fact and the marks that the load
+    adds to, by default the newest. Lines whose number ``n`` is known have been written.
+    """
+    if n is None:
+        lines, n = counted_cut(lines, "lignes")
+    if published is None:
+        published = warehouse.manifest()
     dims = {d: warehouse.open(d, entries[d]) for d in fact.LOOKUPS}
     with log.run(table) as run:
-        run.rows_in = lines.count()
+        run.rows_in = n
         dates = warehouse.open("dim_date", entries["dim_date"])
         _check_dates(lines, dates.select("date_complete"))
-        entry, run.rows_out = fact_entry(warehouse, lines, dims,
-                                         warehouse.manifest().get(table), table)
-        marks = (warehouse["watermark"] if "watermark" in warehouse
+        known = published.get(table)
+        if n or known is None:
+            entry, run.rows_out = fact_entry(warehouse, lines, dims, known, table)
+        else:
+            entry, run.rows_out = known, 0
+        marks = (warehouse.open("watermark", published["watermark"]) if "watermark" in published
                  else local_rows(warehouse.spark, [], schema_of("watermark")))
         highest = lines.agg(F.max("date_commande").alias("jour"))
         mark_entry = warehouse.write("watermark", conform(
@@ -214,6 +235,19 @@ def load_fact(warehouse: Warehouse, log: meta.RunLog, lines: DataFrame, entries:
     return {table: entry, "watermark": mark_entry}
 
 
+def compact(warehouse: Warehouse, table: str = meta.FACT_JOB, most: int = deltas.MOST_LOTS) -> bool:
+    """Write the months anew that small loads have left in many folders or with lists of lines gone.
+
+    False if there are none. A load that publishes meanwhile makes it fail; it can be run again.
+    """
+    base, published = warehouse.snapshot()
+    entry = published[table]
+    if "index" not in entry:
+        return False
+    made = deltas.compacted(warehouse, table, entry, most)
+    return made is not entry and warehouse.commit({table: made}, base)
+
+
 def run(ops: OperationalSource, warehouse: Warehouse, as_of: date, *,
         span: tuple[date, date] | None = None, lookback_days: int = 0) -> None:
     """Stage, load the dimensions side by side, load the fact, publish everything at once.
@@ -223,17 +257,23 @@ def run(ops: OperationalSource, warehouse: Warehouse, as_of: date, *,
     another one overtakes fails when it publishes, and publishes nothing.
     """
     log = meta.RunLog(warehouse)
-    base = warehouse.version()
+    base, published = warehouse.snapshot()
     after = meta.effective_watermark(meta.watermark(warehouse), lookback_days)
     with log.run("staging") as staging_run:
-        staged = stage(warehouse, staging.all_tables(ops, as_of, after))
-        staging_run.rows_in = staging_run.rows_out = staged["lignes_commande"].count()
-    entries = load_dimensions(warehouse, log, staged, as_of, span)
-    entries.update(load_fact(warehouse, log, staged["lignes_commande"], entries))
-    with log.run("publication") as published:
+        staged = stage(warehouse, staging.dimension_tables(ops, as_of))
+        entries = load_dimensions(warehouse, log, staged, ops.orders(after), as_of, span)
+        lines = stage_lines(staged, ops, entries, after)
+        n = staging_run.rows_in = staging_run.rows_out = staged.rows(LINES)
+    for dim, missed in staged.observed(LINES).items():
+        if missed:
+            # Lines that stay out of the fact since a dimension doesn't know their key.
+            with log.run(f"rejets {dim}") as rejected:
+                rejected.rows_in, rejected.rows_out = n, missed
+    made = load_fact(warehouse, log, lines, entries, n=n, published=published)
+    with log.run("publication") as publication:
         # The staging tables of the last run stay readable until they expire.
-        warehouse.commit({**entries, "staging": staged.entries}, base)
-        published.rows_in = published.rows_out = warehouse["fait_ventes"].count()
+        publication.rows_in = publication.rows_out = log.rows_out[meta.FACT_JOB]
+        warehouse.commit({**entries, **made, "staging": staged.entries}, base)
 
 
 def run_single_order(ops: OperationalSource, warehouse: Warehouse, as_of: date,
@@ -248,14 +288,16 @@ def run_single_order(ops: OperationalSource, warehouse: Warehouse, as_of: date,
         commande_id = staging.first_order(ops)
     log = meta.RunLog(warehouse, f"commande {commande_id}: ")
     with log.run("staging") as staging_run:
-        staged = stage(warehouse, staging.all_tables(ops, as_of, only=commande_id))
-        lines = staged["lignes_commande"]
-        staging_run.rows_in = staging_run.rows_out = lines.count()
-    entries = load_dimensions(warehouse, log, staged, as_of)
+        staged = stage(warehouse, staging.dimension_tables(ops, as_of))
+        entries = load_dimensions(warehouse, log, staged, ops.orders(only=commande_id), as_of)
+        lines = stage_lines(staged, ops, entries, only=commande_id)
+        staging_run.rows_in = staging_run.rows_out = staged.rows(LINES)
     dims = {d: warehouse.open(d, entries[d]) for d in fact.LOOKUPS}
     with log.run(meta.FACT_JOB) as run:
-        rows = cut_lineage(conform(fact.build_fact(lines, dims), "fait_ventes"), "commande")
-        run.rows_in, run.rows_out = staging_run.rows_out, rows.count()
+        rows, n = counted_cut(conform(fact.build_fact(lines, dims), "fait_ventes"), "commande")
+        run.rows_in, run.rows_out = staging_run.rows_out, n
+    # Nothing of what was staged for one order is published, so it goes.
+    warehouse.discard({**entries, "staging": staged.entries})
     return rows
 
 
@@ -265,9 +307,13 @@ def wipe(warehouse: Warehouse) -> None:
     maps = {f"cles_{dim}": local_rows(spark, [], f"{natural} bigint, {cle} bigint")
             for dim, (_, natural, cle) in D.OVERWRITTEN.items()}
     empty = {t: local_rows(spark, [], schema_of(t)) for t in [*D.TABLES, "watermark"]}
-    parts = {"fait_ventes": fact.PARTITION, **dict.fromkeys(D.HISTORISED, VERSION_PART)}
-    warehouse.commit({t: warehouse.write(t, df, parts.get(t))
-                      for t, df in {**empty, **maps}.items()})
+    base = warehouse.version()
+    parts = dict.fromkeys(D.HISTORISED, VERSION_PART)
+    facts = empty.pop(meta.FACT_JOB)
+    made = {t: warehouse.write(t, df, parts.get(t)) for t, df in {**empty, **maps}.items()}
+    made[meta.FACT_JOB] = deltas.first(warehouse, meta.FACT_JOB, facts, fact.PARTITION,
+                                       fact.LINE_KEY)[0]
+    warehouse.commit(made, base)
 
 
 def create_views(warehouse: Warehouse, prefix: str = "") -> None:

@@ -6,12 +6,14 @@ that order lines go through can meet hot keys and use the salted lookup join.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stardw.functions import exprs as E
+from stardw.operators import fact
 from stardw.operators.skew import hot_keys, lookup_join
 from stardw.session import cut_lineage
 from stardw.sources.operational import OperationalSource
@@ -137,11 +139,13 @@ def employees(ops: OperationalSource, as_of: date) -> DataFrame:
             .select(*COLUMNS["employe_full"]))
 
 
-def order_lines(ops: OperationalSource, after: date | None = None,
-                only: int | None = None) -> DataFrame:
+def order_lines(ops: OperationalSource, after: date | None = None, only: int | None = None,
+                dims: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Order lines with everything the fact needs to look up its keys.
 
-    ``after`` keeps the orders dated strictly later; ``only`` keeps one order.
+    ``after`` keeps the orders dated strictly later; ``only`` keeps one order. With ``dims`` the
+    lines also carry the six keys of the fact, null where a dimension doesn't know one: orders and
+    products look them up before lines join them.
     """
     client = ops["client"].select("client_id", F.col("ville_id").alias("cli_ville_id"))
     product = ops["produit"].select("produit_id", "fournisseur_id")
@@ -150,14 +154,25 @@ def order_lines(ops: OperationalSource, after: date | None = None,
         return dict if only is not None else found if after is None else (
             lambda: hot_keys(rows, key))
     # The client's place joins the orders, of which there are fewer than lines.
-    wanted, lines = ops.orders(after, only), ops.order_lines(after, only)
+    wanted = ops.orders(after, only)
     orders = lookup_join(wanted, client, "client_id", spread=["commande_id"],
                          hot=hot(ops.hot_clients, wanted, "client_id"))
+    if dims is not None:
+        def hot_order(column: str) -> dict:
+            found = ops.hot_clients if column == "client_id" else lambda: hot_keys(orders, column)
+            return hot(found, orders, column)()
+        orders = fact.with_keys(orders, dims, fact.OF_ORDER, ["commande_id"], hot=hot_order)
+        product = cut_lineage(fact.with_keys(
+            product, dims, fact.OF_PRODUCT, ["produit_id"]), "produits")
+    lines = ops.order_lines(after, only)
+
+    def hot_lines(key: str):
+        return dict if only is not None else lambda: ops.hot_lines(key, after)
     rows = lookup_join(lines, orders, "commande_id", spread=["numero_ligne", "produit_id"],
-                       hot=hot(ops.hot_orders, lines, "commande_id"))
+                       hot=hot_lines("commande_id"))
     rows = lookup_join(rows, product, "produit_id", spread=["commande_id", "numero_ligne"],
-                       hot=hot(ops.hot_products, lines, "produit_id"))
-    return rows.select(*COLUMNS["lignes_commande"])
+                       hot=hot_lines("produit_id"))
+    return rows.select(*COLUMNS["lignes_commande"], *(fact.KEYS if dims is not None else []))
 
 
 def first_order(ops: OperationalSource) -> int | None:
@@ -165,8 +180,7 @@ def first_order(ops: OperationalSource) -> int | None:
     return ops["commande"].agg(F.min("commande_id")).first()[0]
 
 
-def all_tables(ops: OperationalSource, as_of: date, after: date | None = None,
-               only: int | None = None) -> dict[str, DataFrame]:
+def dimension_tables(ops: OperationalSource, as_of: date) -> dict[str, DataFrame]:
     return {
         "geographie_full": geography(ops),
         "fournisseur_full": suppliers(ops),
@@ -174,5 +188,9 @@ def all_tables(ops: OperationalSource, as_of: date, after: date | None = None,
         "produit_full": products(ops),
         "client_full": clients(ops),
         "employe_full": employees(ops, as_of),
-        "lignes_commande": order_lines(ops, after, only),
     }
+
+
+def all_tables(ops: OperationalSource, as_of: date, after: date | None = None,
+               only: int | None = None) -> dict[str, DataFrame]:
+    return {**dimension_tables(ops, as_of), "lignes_commande": order_lines(ops, after, only)}

@@ -278,7 +278,8 @@ def dq_scd2(ops: OperationalSource) -> DataFrame:
 
 def fact_sales(ops: OperationalSource, dw: Warehouse) -> DataFrame:
     """The fact as a full load builds it from the staged lines and the published keys."""
-    return fact.build_fact(staging.order_lines(ops), {d: dw[d] for d in fact.LOOKUPS})
+    dims = {d: dw[d] for d in fact.LOOKUPS}
+    return fact.build_fact(staging.order_lines(ops, dims=dims), dims)
 
 
 def fact_rejects(ops: OperationalSource, dw: Warehouse) -> DataFrame:
@@ -287,7 +288,7 @@ def fact_rejects(ops: OperationalSource, dw: Warehouse) -> DataFrame:
     dims = {d: dw[d] for d in fact.LOOKUPS}
     dims["dim_client"] = dims["dim_client"].filter("groupe_client is not null")
     dims["dim_produit"] = dims["dim_produit"].filter("actif")
-    return fact.reject_report(staging.order_lines(ops), dims)
+    return fact.reject_report(staging.order_lines(ops, dims=dims), dims)
 
 
 def fact_reload_idempotent(ops: OperationalSource, dw: Warehouse) -> DataFrame:
@@ -297,8 +298,10 @@ def fact_reload_idempotent(ops: OperationalSource, dw: Warehouse) -> DataFrame:
         "quantite", (F.col("quantite") + 1).cast("decimal(12,3)")), "reprise")
     dims = {d: dw[d] for d in fact.LOOKUPS}
     dims["dim_produit"] = dims["dim_produit"].filter("actif")
-    fresh = cut_lineage(fact.build_fact(again, dims), "reprise")
-    loaded = fact.upsert(fact.upsert(dw["fait_ventes"], fresh, again), fresh, again)
+    entry = dw.manifest()[meta.FACT_JOB]
+    for _ in range(2):
+        entry, _ = pipeline.fact_entry(dw, again, dims, entry)
+    loaded = dw.open(meta.FACT_JOB, entry)
     return loaded.groupBy("cle_date").agg(
         F.count(F.lit(1)).alias("nb_lignes"), F.sum("quantite").alias("quantite"),
         F.sum("montant_net").alias("montant_net"))

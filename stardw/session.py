@@ -7,7 +7,8 @@ import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -66,6 +67,13 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted_cut(df: DataFrame, label: str = "cut") -> tuple[DataFrame, int]:
+    """The same, with the number of rows, which the writing job counts."""
+    seen = Observation()
+    cut = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return cut, seen.get.get("n", 0)
+
+
 def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType,
                ) -> DataFrame:
     """A few literal rows as part of the plan, so that Catalyst knows their size."""

@@ -64,6 +64,12 @@ class OperationalSource:
     def hot_orders(self) -> dict:
         return self._find_hot("orders", lambda: hot_keys(self["ligne_commande"], "commande_id"))
 
+    def hot_lines(self, key: str, after: date | None = None) -> dict:
+        """Keys that hold many of the lines after the mark."""
+        if after is not None:
+            return hot_keys(self.order_lines(after), key)
+        return self.hot_orders() if key == "commande_id" else self.hot_products()
+
     def hot_products(self) -> dict:
         return self._find_hot("products", lambda: hot_keys(self["ligne_commande"], "produit_id"))
 

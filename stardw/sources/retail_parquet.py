@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stardw.functions import labels as L
+from stardw.operators import skew
 from stardw.operators.ranking import number_by_range, number_in_groups
 from stardw.operators.skew import hot_keys
-from stardw.session import local_rows
+from stardw.session import counted_cut, local_rows
 from stardw.sources.operational import OperationalSource
 
 # Employees: at least so many, and one more for every so many orders.
@@ -53,6 +54,7 @@ class RetailParquet(OperationalSource):
         self.folder = folder.rstrip("/")
         self._raw: dict[str, DataFrame] = {}
         self._built: dict[str, DataFrame] = {}
+        self._selected: dict[date, tuple[DataFrame, int]] = {}
         super().__init__(self._build)
 
     def raw(self, name: str) -> DataFrame:
@@ -333,20 +335,36 @@ class RetailParquet(OperationalSource):
     def hot_products(self) -> dict:
         return self._find_hot("products", lambda: hot_keys(self.raw("lineitem"), "l_partkey"))
 
+    def _selected_lines(self, after: date) -> tuple[DataFrame, int]:
+        """The stored lines of the orders after the mark and their number, selected once."""
+        if after not in self._selected:
+            wanted = self._wanted_orders(after, None)
+            self._selected[after] = counted_cut(
+                self.raw("lineitem").select("l_orderkey", *LINE_ORDER).join(
+                    wanted.select(F.col("o_orderkey").alias("l_orderkey")),
+                    "l_orderkey", "left_semi"), "increment")
+        return self._selected[after]
+
+    def hot_lines(self, key: str, after: date | None = None) -> dict:
+        if after is None:
+            return super().hot_lines(key)
+        raw, n = self._selected_lines(after)
+        # Few lines have no key with many.
+        return {} if n < skew.HOT_MIN_ROWS else skew.hot_keys(
+            raw, {"commande_id": "l_orderkey", "produit_id": "l_partkey"}[key])
+
     def order_lines(self, after: date | None = None, only: int | None = None) -> DataFrame:
         """Order lines, renumbered per order since the stored line numbers repeat.
 
         Lines of other orders than those asked for leave before any is sorted or numbered.
         """
-        raw = self.raw("lineitem").select("l_orderkey", *LINE_ORDER)
         if only is not None:
+            raw = self.raw("lineitem").select("l_orderkey", *LINE_ORDER)
             raw, hot = raw.filter(F.col("l_orderkey") == only), []
         elif after is not None:
-            wanted = self._wanted_orders(after, None)
-            raw = raw.join(wanted.select(F.col("o_orderkey").alias("l_orderkey")),
-                           "l_orderkey", "left_semi")
-            hot = list(hot_keys(raw, "l_orderkey"))
+            raw, hot = self._selected_lines(after)[0], list(self.hot_lines("commande_id", after))
         else:
+            raw = self.raw("lineitem").select("l_orderkey", *LINE_ORDER)
             hot = list(self.hot_orders())
         numbered = number_in_groups(raw, "l_orderkey", LINE_ORDER, "numero_ligne", hot)
         return numbered.select(

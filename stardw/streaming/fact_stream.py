@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from stardw.plans import meta, pipeline
 from stardw.schemas import DDL
-from stardw.session import cut_lineage
-from stardw.sources.snapshots import Warehouse
+from stardw.session import counted_cut
+from stardw.sources.snapshots import Overtaken, Warehouse
 
 
 def read_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -17,21 +19,43 @@ def read_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) ->
             .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
 
 
+def stream_id(warehouse: Warehouse, checkpoint: str) -> str:
+    """The name that a stream keeps as long as its checkpoint."""
+    return json.loads(warehouse._read_text(f"{checkpoint}/metadata"))["id"]
+
+
+def load_batch(warehouse: Warehouse, log: meta.RunLog, lines: DataFrame, n: int,
+               batch: tuple[str, int], table: str) -> bool:
+    """Publish the ``n`` lines of a batch, once; False if they have been published.
+
+    A load that publishes meanwhile makes it start again from what that one published.
+    """
+    while True:
+        base, published = warehouse.snapshot()
+        if warehouse.holds(batch):
+            return False
+        made = pipeline.load_fact(warehouse, log, lines, published, table, n=n,
+                                  published=published)
+        try:
+            return warehouse.commit(made, base, batch)
+        except Overtaken:
+            warehouse.discard(made)
+
+
 def load_available(lines: DataFrame, warehouse: Warehouse, checkpoint: str,
                    table: str = meta.FACT_JOB) -> StreamingQuery:
     """Load what has arrived, batch by batch, then stop.
 
-    The checkpoint keeps track of the files read. A batch that runs again after a failure
-    replaces its own lines, so each line counts once. Keys come from the published dimensions.
+    The checkpoint keeps track of the files read, and the manifest of the batches published, so a
+    batch that runs again after a failure adds nothing. A line that comes again in a later batch
+    replaces the earlier one. Keys come from the published dimensions.
     """
     log = meta.RunLog(warehouse)
 
-    def load(batch: DataFrame, _batch_id: int) -> None:
-        arrived = cut_lineage(batch, "lot")
-        if arrived.isEmpty():
-            return
-        warehouse.commit(pipeline.load_fact(warehouse, log, arrived, warehouse.manifest(),
-                                            table))
+    def load(batch: DataFrame, number: int) -> None:
+        arrived, n = counted_cut(batch, "lot")
+        if n:
+            load_batch(warehouse, log, arrived, n, (stream_id(warehouse, checkpoint), number), table)
 
     return (lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

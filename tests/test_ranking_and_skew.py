@@ -31,6 +31,20 @@ def test_number_by_range_splits_one_large_group(spark):
     assert {r.x: r.n for r in numbered.collect()} == expected
 
 
+def test_ranks_in_groups_share_one_sort(spark):
+    rows = [(i, "x" if i % 10 else None, i % 3, (i * 7919) % 200) for i in range(500)]
+    df = spark.createDataFrame(rows, "i int, g string, h int, o int").repartition(7)
+    found = ranking.ranks_in_groups(df, {"rg": "g", "rh": "h"}, [F.desc("o"), F.asc("i")])
+    assert found.columns == ["i", "g", "h", "o", "rg", "rh"]
+    for column, rank in (("g", "rg"), ("h", "rh")):
+        wanted, seen = {}, {}
+        for r in sorted(rows, key=lambda r: (-r[3], r[0])):
+            value = r[1] if column == "g" else r[2]
+            seen[value] = wanted[r[0]] = seen.get(value, 0) + 1
+        assert {r.i: r[rank] for r in found.collect()} == wanted
+    assert ranking.ranks_in_groups(df.limit(0), {"rg": "g"}, [F.asc("i")]).count() == 0
+
+
 def test_number_by_range_of_identical_rows(spark):
     rows = spark.range(5000).select(F.lit(1).alias("g"), F.lit(2).alias("o"))
     numbers = [r.n for r in ranking.number_by_range(rows, ["g"], ["o"], "n").collect()]
