@@ -18,7 +18,6 @@ result; columns of the input with the name of a result are replaced.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -57,66 +56,96 @@ def targets(sizes: dict[str | None, int], *, weights: Sequence[int] = WEIGHTS,
 
 
 class Flow:
-    """Min-cost flow by shortest augmenting paths with potentials."""
+    """Flow by blocking flows of shortest paths. An arc is [to, capacity left, arc back]."""
 
     def __init__(self, nodes: int):
         self.arcs: list[list[list]] = [[] for _ in range(nodes)]
 
-    def arc(self, a: int, b: int, capacity: int, cost: int) -> list:
-        forth, back = [b, capacity, cost, None], [a, 0, -cost, None]
-        forth[3], back[3] = back, forth
+    def arc(self, a: int, b: int, capacity: int) -> list:
+        forth, back = [b, capacity, None], [a, 0, None]
+        forth[2], back[2] = back, forth
         self.arcs[a].append(forth)
         self.arcs[b].append(back)
         return forth
 
+    def _levels(self, source: int, sink: int) -> list[int]:
+        """Arcs from the source to each node, as far as the sink; -1 where it can't get."""
+        level = [-1] * len(self.arcs)
+        level[source], edge = 0, [source]
+        while edge and level[sink] < 0:
+            following = []
+            for a in edge:
+                for to, capacity, _ in self.arcs[a]:
+                    if capacity > 0 and level[to] < 0:
+                        level[to] = level[a] + 1
+                        following.append(to)
+            edge = following
+        return level
+
     def send(self, source: int, sink: int) -> None:
-        """As much as possible, at least cost. All costs at the start are 0 or more."""
-        n = len(self.arcs)
-        level = [0] * n
-        while True:
-            far, came = [None] * n, [None] * n
-            far[source] = 0
-            heap = [(0, source)]
-            while heap:
-                d, a = heapq.heappop(heap)
-                if d > far[a]:
+        """As much as possible, besides what flows already."""
+        while (level := self._levels(source, sink))[sink] > 0:
+            tried, path, at = [0] * len(self.arcs), [], source
+            while True:
+                if at == sink:
+                    amount = min(arc[1] for arc in path)
+                    for arc in path:
+                        arc[1] -= amount
+                        arc[2][1] += amount
+                    # Back to where the first full arc leaves from.
+                    full = next(i for i, arc in enumerate(path) if not arc[1])
+                    at = path[full][2][0]
+                    del path[full:]
                     continue
-                for arc in self.arcs[a]:
-                    if arc[1] > 0:
-                        to = d + arc[2] + level[a] - level[arc[0]]
-                        if far[arc[0]] is None or to < far[arc[0]]:
-                            far[arc[0]], came[arc[0]] = to, arc
-                            heapq.heappush(heap, (to, arc[0]))
-            if far[sink] is None:
-                return
-            most = max(d for d in far if d is not None)
-            level = [v + (most if d is None else d) for v, d in zip(level, far)]
-            path, at = [], sink
-            while at != source:
-                path.append(came[at])
-                at = came[at][3][0]
-            amount = min(arc[1] for arc in path)
-            for arc in path:
-                arc[1] -= amount
-                arc[3][1] += amount
+                arcs = self.arcs[at]
+                while tried[at] < len(arcs) and not (
+                        arcs[tried[at]][1] > 0 and level[arcs[tried[at]][0]] == level[at] + 1):
+                    tried[at] += 1
+                if tried[at] < len(arcs):
+                    path.append(arcs[tried[at]])
+                    at = path[-1][0]
+                elif at == source:
+                    break
+                else:
+                    at = path.pop()[2][0]
+                    tried[at] += 1
 
 
 def route(patterns: dict[tuple, int], quotas: dict, times: int = MOST_TIMES) -> dict[tuple, int]:
-    """Words to take of each pattern. The n-th time costs 2n - 1: a convex cost."""
-    names, keys = list(quotas), list(patterns)
+    """Words to take of each pattern, as many as the quotas can hold. The n-th time costs 2n - 1: a
+    convex cost.
+
+    All costs lie on the patterns' words, and a path that adds words never leaves the source twice,
+    so the least cost is that of the most words of the first time, then of the second, and so on:
+    one flow for each. A source that shares no pattern with another needs none.
+    """
+    shared = {s for k in patterns if len(k) > 1 for s in k}
+    taken = {k: min(round(quotas[s]), times * patterns[k]) for k in patterns
+             for s in k if len(k) == 1 and s not in shared}
+    keys = [k for k in patterns if k not in taken and k]
+    # Patterns of one source first, so that words of several are left to the others.
+    keys.sort(key=len)
+    names = [s for s in quotas if s in shared]
     at = {s: 1 + len(keys) + i for i, s in enumerate(names)}
     sink = 1 + len(keys) + len(names)
     flow = Flow(sink + 1)
+    ways = [[flow.arc(i, at[s], times * patterns[key]) for s in key] for i, key in enumerate(keys, 1)]
+    last = {at[s]: flow.arc(at[s], sink, round(quotas[s])) for s in names}
     supply = []
-    for i, key in enumerate(keys, 1):
-        supply.append([flow.arc(0, i, patterns[key], 2 * n + 1) for n in range(times)])
-        for s in key:
-            flow.arc(i, at[s], times * patterns[key], 0)
-    for s in names:
-        flow.arc(at[s], sink, round(quotas[s]), 0)
-    flow.send(0, sink)
-    return {key: times * patterns[key] - sum(a[1] for a in arcs)
-            for key, arcs in zip(keys, supply)}
+    for _ in range(times):
+        supply.append([flow.arc(0, i, patterns[key]) for i, key in enumerate(keys, 1)])
+        # What fits is sent straight on; the flow then finds what has to go another way.
+        for arc, out in zip(supply[-1], ways):
+            for way in out:
+                path = arc, way, last[way[0]]
+                amount = min(one[1] for one in path)
+                for one in path if amount else ():
+                    one[1] -= amount
+                    one[2][1] += amount
+        flow.send(0, sink)
+    for k, key in enumerate(keys):
+        taken[key] = times * patterns[key] - sum(arcs[k][1] for arcs in supply)
+    return taken
 
 
 def mix(docs: DataFrame, *, sources: str = "sources", text: str = "text", id_column: str = "doc_id",
