@@ -7,12 +7,14 @@ places where the test text goes on for ``window`` words or more. From there the
 word by word to its full length. The array of a shard lives only while its task runs; nothing is
 shuffled, and a lost task repeats its own shard alone.
 
-The test texts go to every task in parts of at most ``PART_BYTES``, one pass over the documents
-for each part, so they may be of any size.
+The test texts go to every task in parts of at most ``PART_BYTES``, so they may be of any size. Of
+several parts one is sent at a time: the documents are written with a number each, each part gets a
+job of its own that writes the hits by number, and these are put together by number at the end.
 
 Nulls, empty texts and texts without words have no words: they hit nothing and are never hit. An
 item shorter than the window is one window of all its words; an item without an id marks words but
-is not listed. Equal rows give equal results, an empty table gives an empty one, and columns of the
+is not listed. Ids may be of any type that has an order. A text of any length is read in whole. Of
+the longest matches of an item, the first in the document stands for the others. Equal rows give equal results, an empty table gives an empty one, and columns of the
 input that share a name with a result are replaced by it.
 """
 
@@ -25,19 +27,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from stardw.llm.cluster import prepare
 from stardw.llm.frames import narrowed, others, widened
 from stardw.llm.words import ALNUM, Words, blocks, covered, windows, words_of
+from stardw.session import cut_lineage, scratch_dir
 
 WINDOW = 10
 SHARD_BYTES = 2 << 20
 PART_BYTES = 16 << 20
 
-RESULTS = {"n_words": "long", "n_hit": "long", "hit_spans": "array<int>", "item_ids": "array<long>",
-           "longest": "array<struct<item_id:long,item_start:int,doc_start:int,words:int>>"}
-_LONGEST = pa.list_(pa.struct([("item_id", pa.int64()), ("item_start", pa.int32()),
-                               ("doc_start", pa.int32()), ("words", pa.int32())]))
+RESULTS = ["n_words", "n_hit", "hit_spans", "item_ids", "longest"]
+
+
+def _kinds(id_type: T.DataType) -> dict[str, T.DataType]:
+    """Types of ``RESULTS`` for items with ids of ``id_type``."""
+    longest = T.StructType([T.StructField("item_id", id_type), *[
+        T.StructField(n, T.IntegerType()) for n in ("item_start", "doc_start", "words")]])
+    return dict(zip(RESULTS, (T.LongType(), T.LongType(), T.ArrayType(T.IntegerType()),
+                              T.ArrayType(id_type), T.ArrayType(longest))))
 
 
 @dataclass
@@ -54,15 +64,15 @@ class Heads:
 class Test:
     """The test texts of one part as words, and their suffixes by the length of the head."""
 
+    ids: list
     h: np.ndarray
     item: np.ndarray
-    known: np.ndarray
     offset: np.ndarray
     left: np.ndarray
     heads: dict[int, Heads]
 
 
-def test_suffixes(items: list[tuple[int | None, str | None]], window: int) -> Test:
+def test_suffixes(items: list[tuple], window: int) -> Test:
     """Heads of all suffixes of ``window`` words, and the whole of each shorter item."""
     words = words_of(pa.array([text for _, text in items], pa.large_string()), ALNUM, fold=True)
     h, left, row, count = words.hashes(), words.left, words.row, words.count
@@ -79,9 +89,7 @@ def test_suffixes(items: list[tuple[int | None, str | None]], window: int) -> Te
         key, at = key[fresh], at[fresh]
         distinct, ptr = np.unique(key, return_index=True)
         heads[int(length)] = Heads(distinct, np.append(ptr, len(key)), at)
-    ids = np.array([i or 0 for i, _ in items], np.int64)
-    known = np.array([i is not None for i, _ in items], bool)
-    return Test(h, ids[row], known[row], offset, left, heads)
+    return Test([i for i, _ in items], h, row, offset, left, heads)
 
 
 def members(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,7 +116,7 @@ def search(words: Words, test: Test) -> tuple[np.ndarray, dict[int, list[tuple]]
     """Which words of a shard are hit, and for each row hit (item, item place, place, words)."""
     h, left, row = words.hashes(), words.left, words.row
     hit = np.zeros(len(h), bool)
-    by_row: dict[int, list[tuple]] = {}
+    by_row: dict[int, list] = {}
     for length, heads in test.heads.items():
         places = np.flatnonzero(left >= length)
         keys = windows(h, length)[places]
@@ -129,10 +137,10 @@ def search(words: Words, test: Test) -> tuple[np.ndarray, dict[int, list[tuple]]
         pair, at = members(heads.ptr[which], heads.ptr[which + 1])
         i, j = place[pair], heads.at[at]
         size = common_words(h, i, left, test.h, j, test.left, length)
-        for r, *match, known in zip(row[i].tolist(), test.item[j].tolist(), test.offset[j].tolist(),
-                                    (i - words.first[row[i]]).tolist(), size.tolist(),
-                                    test.known[j].tolist()):
-            by_row.setdefault(r, []).append(tuple(match) if known else None)
+        for r, item, *match in zip(row[i].tolist(), test.item[j].tolist(), test.offset[j].tolist(),
+                                   (i - words.first[row[i]]).tolist(), size.tolist()):
+            known = test.ids[item]
+            by_row.setdefault(r, []).append(None if known is None else (known, *match))
     return hit, by_row
 
 
@@ -147,37 +155,56 @@ def _merge(spans: list[int], more: list[int]) -> list[int]:
     return out
 
 
-def _searcher(sent, text: str):
+def _best(*found: list[tuple]) -> list[dict]:
+    """The longest match of each item, the first of equal ones, by item."""
+    best: dict = {}
+    for m in (m for matches in found for m in matches if m):
+        known = best.get(m[0])
+        if known is None or (m[3], -m[2], -m[1]) > (known[3], -known[2], -known[1]):
+            best[m[0]] = m
+    return [dict(zip(("item_id", "item_start", "doc_start", "words"), best[i])) for i in sorted(best)]
+
+
+def _searcher(sent, text: str, kinds: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = sent.value
         for batch in blocks(batches, text, SHARD_BYTES):
             words = words_of(batch.column(text), ALNUM, fold=True)
             hit, by_row = search(words, test)
-            spans = [s or [] for s in batch.column("hit_spans").to_pylist()]
-            longest = [m or [] for m in batch.column("longest").to_pylist()]
+            spans, longest = [[] for _ in range(batch.num_rows)], [[] for _ in range(batch.num_rows)]
             for r, found in by_row.items():
                 own = hit[words.first[r]:words.first[r + 1]]
                 edges = np.flatnonzero(np.diff(np.concatenate(([False], own, [False])).astype(int)))
-                spans[r] = _merge(spans[r], edges.tolist())
-                best = {m["item_id"]: tuple(m.values()) for m in longest[r]}
-                for m in found:
-                    if m and (m[0] not in best or m[3] > best[m[0]][3]):
-                        best[m[0]] = m
-                longest[r] = [dict(zip(("item_id", "item_start", "doc_start", "words"), m))
-                              for _, m in sorted(best.items())]
-            made = {
-                "n_words": pa.array(words.count, pa.int64()),
-                "n_hit": pa.array([sum(s[1::2]) - sum(s[::2]) for s in spans], pa.int64()),
-                "hit_spans": pa.array(spans, pa.list_(pa.int32())),
-                "item_ids": pa.array([[m["item_id"] for m in ms] for ms in longest],
-                                     pa.list_(pa.int64())),
-                "longest": pa.array(longest, _LONGEST)}
+                spans[r], longest[r] = edges.tolist(), _best(found)
+            values = (words.count, [sum(s[1::2]) - sum(s[::2]) for s in spans], spans,
+                      [[m["item_id"] for m in ms] for ms in longest], longest)
+            made = {n: pa.array(v, to_arrow_type(kinds[n])) for n, v in zip(RESULTS, values)}
             yield pa.RecordBatch.from_arrays(
                 [made.get(n, batch.column(i)) for i, n in enumerate(batch.schema.names)],
                 names=batch.schema.names)
     return run
 
 
+def _together(kinds: dict):
+    """Hits of one document from several parts, as rows of lists, made one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans, longest = [], []
+            for row in batch.select(["hit_spans", "longest"]).to_pylist():
+                one: list[int] = []
+                for more in row["hit_spans"]:
+                    one = _merge(one, more)
+                spans.append(one)
+                longest.append(_best(*[[tuple(m.values()) for m in ms] for ms in row["longest"]]))
+            values = (None, [sum(s[1::2]) - sum(s[::2]) for s in spans], spans,
+                      [[m["item_id"] for m in ms] for ms in longest], longest)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_row"), *[pa.array(v, to_arrow_type(kinds[n]))
+                                         for n, v in zip(RESULTS[1:], values[1:])]],
+                names=["_row", *RESULTS[1:]])
+    return run
+
+
 def matches(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, text: str = "text",
             part_bytes: int = PART_BYTES) -> DataFrame:
     """``docs`` with the columns of ``RESULTS``; ``items`` has ``item_id`` and ``text``.
@@ -187,17 +214,39 @@ def matches(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, text: st
     """
     spark = docs.sparkSession
     prepare(spark)
-    items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
+    items = items.select("item_id", F.col("text").cast("string").alias("text"))
+    kinds = _kinds(items.schema["item_id"].dataType)
     size = items.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
-    out = docs.select(*others(docs, RESULTS),
-                      *[F.lit(None).cast(t).alias(c) for c, t in RESULTS.items()])
-    for part in range(parts):
+
+    def searched(rows: DataFrame, part: int):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         test = test_suffixes([tuple(r) for r in own.toLocalIterator()], window)
         sent = spark.sparkContext.broadcast(test)
-        out = out.mapInArrow(_searcher(sent, text), out.schema)
-    return out
+        rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in kinds.items()})
+        return rows.mapInArrow(_searcher(sent, text, kinds), rows.schema), sent
+
+    kept = docs.select(*others(docs, RESULTS))
+    if parts == 1:
+        return searched(kept, 0)[0]
+    numbered = cut_lineage(kept.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    folder = scratch_dir(spark, "hits")
+    for part in range(parts):
+        found, sent = searched(numbered.select("_row", text), part)
+        # All documents with the first part, for their number of words; then those that are hit.
+        found = found.drop(text) if part == 0 else found.drop(text).filter("n_hit > 0")
+        found.write.parquet(f"{folder}/part={part}")
+        sent.unpersist()
+    hits = spark.read.schema(found.schema).parquet(folder).drop("part")
+    lists = hits.filter("n_hit > 0").groupBy("_row").agg(
+        F.collect_list("hit_spans").alias("hit_spans"), F.collect_list("longest").alias("longest"))
+    schema = T.StructType([found.schema["_row"], *[found.schema[n] for n in RESULTS[1:]]])
+    hits_of = lists.mapInArrow(_together(kinds), schema)
+    words = hits.filter("n_words IS NOT NULL").groupBy("_row").agg(F.max("n_words").alias("n_words"))
+    none = {n: F.lit(0).cast("long") if n == "n_hit" else F.array().cast(kinds[n]) for n in RESULTS[1:]}
+    return (numbered.join(words, "_row").join(hits_of, "_row", "left")
+            .withColumns({n: F.coalesce(F.col(n), empty) for n, empty in none.items()})
+            .select(*kept.columns, *RESULTS))
 
 
 def remove(docs: DataFrame, items: DataFrame, *, window: int = WINDOW) -> DataFrame:

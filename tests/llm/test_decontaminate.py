@@ -64,3 +64,21 @@ def test_remove_and_empty_tables(spark, docs, nothing, items):
     assert kept.count() == docs.count() - hit
     assert remove(nothing, table).count() == 0
     assert remove(docs, table.limit(0)).count() == docs.count()
+
+
+def test_items_with_ids_of_text_and_many_parts(spark, docs, items):  # noqa: F811
+    """One part is sent at a time, whatever the number of parts; ids keep their type."""
+    table = spark.createDataFrame([(None if i is None else f"item {i:03d}", t) for i, t in items], "item_id string, text string")
+    whole = matches(docs, table).collect()
+    df = matches(docs, table, part_bytes=40)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted(map(str, df.collect())) == sorted(map(str, whole))
+    assert any(i.startswith("item 0") for r in whole for i in r.item_ids)
+
+
+def test_a_very_long_text(spark):
+    text = " ".join(f"w{i % 70000}" for i in range(400_000))
+    docs = spark.createDataFrame([(1, text), (2, "x" * 2_000_000)], "doc_id long, text string")  # noqa: F811
+    items = spark.createDataFrame([(7, " ".join(f"w{i}" for i in range(69_990, 70_000)))], "item_id long, text string")  # noqa: F811
+    found = {r.doc_id: (r.n_words, r.n_hit, list(r.item_ids)) for r in matches(docs, items).collect()}
+    assert found == {1: (400_000, 50, [7]), 2: (1, 0, [])}

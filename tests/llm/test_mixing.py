@@ -1,4 +1,6 @@
+import itertools
 import random
+import time
 
 import pytest
 
@@ -26,6 +28,62 @@ def test_flow_prefers_fresh_words_and_meets_quotas():
     assert all(taken[p] <= 2 * n for p, n in patterns.items())
 
 
+def exhaustive(patterns, quotas, times):
+    """The most words that fit and what they cost at least, by trying every split."""
+    names = list(quotas)
+    found = {tuple(round(q) for q in quotas.values()): 0}
+
+    def cost(used, size):
+        return sum((2 * n + 1) * min(size, max(0, used - n * size)) for n in range(times))
+    for key, size in patterns.items():
+        after = {}
+
+        def split(places, used, left, paid):
+            if not places:
+                total = paid + cost(used, size)
+                after[tuple(left)] = min(total, after.get(tuple(left), total))
+                return
+            for amount in range(min(left[places[0]], times * size - used) + 1):
+                rest = [n - amount * (i == places[0]) for i, n in enumerate(left)]
+                split(places[1:], used + amount, rest, paid)
+        for left, paid in found.items():
+            split([names.index(s) for s in key], 0, list(left), paid)
+        found = after
+    least = min(map(sum, found))
+    return least, min(c for left, c in found.items() if sum(left) == least), cost
+
+
+def test_flow_like_every_split():
+    rng = random.Random(1)
+    for _ in range(250):
+        names, times = "abc"[:rng.randint(1, 3)], rng.randint(1, 3)
+        patterns = {k: rng.randint(0, 3) for n in range(1, len(names) + 1)
+                    for k in itertools.combinations(names, n) if rng.random() < 0.7}
+        quotas = {s: rng.randint(0, 6) for s in names}
+        taken = M.route(patterns, quotas, times)
+        left, paid, cost = exhaustive(patterns, quotas, times)
+        assert sum(quotas.values()) - sum(taken.values()) == left
+        assert sum(cost(taken[k], n) for k, n in patterns.items()) == paid
+
+
+@pytest.mark.parametrize("sources,alone", [(100_000, 100_000), (60_000, 90_000), (3000, 0)])
+def test_flow_of_many_patterns(sources, alone):
+    rng, patterns, sizes = random.Random(2), {}, {}
+    while len(patterns) < 100_000:
+        n = 1 if len(patterns) < min(alone, sources) else rng.randint(2, 3)
+        key = (f"s{len(patterns)}",) if n == 1 else tuple(sorted(f"s{rng.randrange(sources)}" for _ in range(n)))
+        patterns[tuple(dict.fromkeys(key))] = rng.randint(1, 1000)
+    for key, n in patterns.items():
+        for s in key:
+            sizes[s] = sizes.get(s, 0) + n
+    quotas = M.targets(sizes)
+    begin = time.monotonic()
+    taken = M.route(patterns, quotas)
+    assert time.monotonic() - begin < 60
+    assert all(0 <= taken[k] <= 2 * n for k, n in patterns.items())
+    assert sum(taken.values()) <= sum(map(round, quotas.values()))
+
+
 def test_sources_come_to_their_targets(spark):
     rng = random.Random(5)
     rows = [(i, rng.choice(["x", "y", "y", "z", None]), prose(rng, rng.randint(1, 30)))
