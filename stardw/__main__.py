@@ -8,7 +8,7 @@
     push    copy the published tables to a database
     compact write the months anew that small loads have left in many folders
     wipe    publish every table empty
-    expire  delete folders that recent publications do not name
+    expire  delete folders that recent publications do not name, and what dead drivers left
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pathlib import Path
 
 from stardw.operators import quality
 from stardw.plans import analytics, meta, pipeline, verify
-from stardw.session import build_session
+from stardw.session import build_session, sweep
 from stardw.sources import deltas
 from stardw.sources.jdbc import JdbcSource, push
 from stardw.sources.retail_parquet import RetailParquet
@@ -98,7 +98,7 @@ def main(argv: list[str] | None = None) -> None:
         case "wipe":
             pipeline.wipe(warehouse)
         case "expire":
-            print("\n".join(warehouse.expire(args.keep)))
+            print("\n".join([*warehouse.expire(args.keep), *sweep(spark)]))
 
 
 if __name__ == "__main__":

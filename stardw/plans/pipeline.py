@@ -15,7 +15,8 @@ from stardw.operators.scd import scd1_reload, scd2_first, scd2_step
 from stardw.plans import dimensions as D
 from stardw.plans import meta, staging
 from stardw.schemas import conform, schema_of
-from stardw.session import counted_cut, cut_lineage, local_rows
+from stardw.session import (counted_cut, cut_lineage, local_rows, passing_scratch,
+                            same_scratch)
 from stardw.sources import deltas
 from stardw.sources.operational import OperationalSource
 from stardw.sources.snapshots import Warehouse, add_parts
@@ -32,7 +33,7 @@ MOST_LOTS = 16
 def _side_by_side(spark: SparkSession, work: dict) -> dict:
     """Run independent loads together; the first failure is raised after all have ended."""
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
-        jobs = {name: pool.submit(inheritable_thread_target(spark)(do))
+        jobs = {name: pool.submit(inheritable_thread_target(spark)(same_scratch(do)))
                 for name, do in work.items()}
     return {name: job.result() for name, job in jobs.items()}
 
@@ -256,7 +257,12 @@ def run(ops: OperationalSource, warehouse: Warehouse, as_of: date, *,
     dimension on the first load; by default it covers the years of the staged orders. A load that
     another one overtakes fails when it publishes, and publishes nothing.
     """
-    log = meta.RunLog(warehouse)
+    with passing_scratch(warehouse.spark):
+        _run(ops, warehouse, meta.RunLog(warehouse), as_of, span, lookback_days)
+
+
+def _run(ops: OperationalSource, warehouse: Warehouse, log: meta.RunLog, as_of: date,
+         span: tuple[date, date] | None, lookback_days: int) -> None:
     base, published = warehouse.snapshot()
     after = meta.effective_watermark(meta.watermark(warehouse), lookback_days)
     with log.run("staging") as staging_run:

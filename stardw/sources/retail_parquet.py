@@ -15,7 +15,7 @@ from stardw.functions import labels as L
 from stardw.operators import skew
 from stardw.operators.ranking import number_by_range, number_in_groups
 from stardw.operators.skew import hot_keys
-from stardw.session import counted_cut, local_rows
+from stardw.session import counted_cut, lasting_scratch, local_rows
 from stardw.sources.operational import OperationalSource
 
 # Employees: at least so many, and one more for every so many orders.
@@ -82,7 +82,8 @@ class RetailParquet(OperationalSource):
         """Small facts about a table, found once per session and state of its files."""
         known = (*self.state(table), what)
         if known not in _facts_known:
-            _facts_known[known] = find()
+            with lasting_scratch():
+                _facts_known[known] = find()
         return _facts_known[known]
 
     def _numbered_labels(self, table: str, column: str, id_name: str, name: str) -> DataFrame:
@@ -339,10 +340,10 @@ class RetailParquet(OperationalSource):
         """The stored lines of the orders after the mark and their number, selected once."""
         if after not in self._selected:
             wanted = self._wanted_orders(after, None)
-            self._selected[after] = counted_cut(
-                self.raw("lineitem").select("l_orderkey", *LINE_ORDER).join(
-                    wanted.select(F.col("o_orderkey").alias("l_orderkey")),
-                    "l_orderkey", "left_semi"), "increment")
+            chosen = self.raw("lineitem").select("l_orderkey", *LINE_ORDER).join(
+                wanted.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+            with lasting_scratch():
+                self._selected[after] = counted_cut(chosen, "increment")
         return self._selected[after]
 
     def hot_lines(self, key: str, after: date | None = None) -> dict:

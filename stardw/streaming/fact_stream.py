@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stardw.plans import meta, pipeline
 from stardw.schemas import DDL
-from stardw.session import counted_cut
+from stardw.session import counted_cut, passing_scratch
 from stardw.sources.snapshots import Overtaken, Warehouse
 
 
@@ -53,9 +53,11 @@ def load_available(lines: DataFrame, warehouse: Warehouse, checkpoint: str,
     log = meta.RunLog(warehouse)
 
     def load(batch: DataFrame, number: int) -> None:
-        arrived, n = counted_cut(batch, "lot")
-        if n:
-            load_batch(warehouse, log, arrived, n, (stream_id(warehouse, checkpoint), number), table)
+        with passing_scratch(warehouse.spark):
+            arrived, n = counted_cut(batch, "lot")
+            if n:
+                load_batch(warehouse, log, arrived, n, (stream_id(warehouse, checkpoint), number),
+                           table)
 
     return (lines.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
