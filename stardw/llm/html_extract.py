@@ -7,10 +7,12 @@ points is the article; its siblings stay when they score near it or are plain pr
 
 Elements that are never article text (navigation, scripts, …) are left out, at any depth. A form,
 or an element whose class, id or role names a part beside the article, is left out if it holds
-under half of the page's points; the page's own container holds more and only scores lower, and so
-does a form that wraps the page. A word of the article as a whole class or id ("post tag-legal")
+under half of the page's points, or if there is prose enough outside all such parts: one paragraph
+beside reader comments, two beside others. The page's own container, with nothing much outside,
+only scores lower, and so does a form that wraps the page. A word of the article as a whole class or id ("post tag-legal")
 overrules the others, and "has-sidebar" or "tag-legal" tell of something else than the element. If
-all text would go, these elements stay. Within a block white space is one space; blocks are joined
+all text would go, these elements stay. Lists and tables that are mostly links go, but for those that
+follow prose of the article in the same container. Within a block white space is one space; blocks are joined
 in page order by line feeds.
 
 Each page is parsed alone with bounded state, in one pass over its tags, so malformed or very long
@@ -63,6 +65,11 @@ HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEADS = frozenset("header masthead".split())
 # "entry-header" is the head of the entry, not of the page.
 HEADED = frozenset("article entry post story".split())
+# Words of reader comments.
+COMMENTS = frozenset("comment comments commentlist disqus discussion replies reply respond".split())
+# Letters of a paragraph that is prose, and paragraphs of prose outside that make a part one beside.
+PROSE = 60
+BESIDE_COMMENTS, BESIDE_OTHERS = 1, 2
 # An element beside the article holds less than this share of the points; others score so much lower.
 MINOR, LOWERED = 0.5, 0.75
 
@@ -76,7 +83,7 @@ _SPACE = re.compile(r"\s+")
 
 class Node:
     __slots__ = ("tag", "parent", "beside", "named", "points", "letters", "linked", "depth", "link",
-                 "suspect", "weight")
+                 "suspect", "comments", "weight")
 
     def __init__(self, tag: str, parent: Node | None, attributes: str = ""):
         self.tag, self.parent = tag, parent
@@ -103,6 +110,7 @@ class Node:
             beside -= HEADS
         self.suspect = tag == "form" or (bool(beside) and not whole & ARTICLE and tag not in (
             "html", "body", "article", "main"))
+        self.comments = self.suspect and bool(beside & COMMENTS)
         inside = parent is not None and parent.beside
         self.beside = inside or tag in SKIPPED or (
             tag not in ("html", "body", "article", "main")
@@ -224,13 +232,26 @@ def _points(text: str) -> float:
     return 1 + text.count(",") + text.count("،") + text.count("、") + min(len(text) / 100, 3.0)
 
 
+def _is_prose(holder: Node, pieces: Pieces, text: str) -> bool:
+    """A paragraph of some length that is not mostly links."""
+    if holder.tag not in PARAGRAPHS or len(text) < PROSE:
+        return False
+    linked = sum(len(t) for at, t in pieces if at.link)
+    return linked < 0.25 * sum(len(t) for _, t in pieces)
+
+
 def _without_minor_parts(nodes: list[Node], blocks_: list[tuple[Node, Pieces]],
                          ) -> list[tuple[Node, Pieces]]:
     """The blocks outside suspect elements of a minor share of the points; marks those elements."""
     total = 0.0
-    for _, pieces in blocks_:
+    doubtful = {nodes[0]: False}
+    for node in nodes[1:]:
+        doubtful[node] = doubtful[node.parent] or node.suspect
+    prose = 0
+    for holder, pieces in blocks_:
         text = _text(pieces)
         if text:
+            prose += _is_prose(holder, pieces, text) and not any(doubtful[p] for p, _ in pieces)
             points, size = _points(text), sum(len(t) for _, t in pieces)
             total += points
             for node, piece in pieces:
@@ -240,7 +261,9 @@ def _without_minor_parts(nodes: list[Node], blocks_: list[tuple[Node, Pieces]],
             node.parent.weight += node.weight
     minor = {nodes[0]: False}
     for node in nodes[1:]:
-        minor[node] = minor[node.parent] or node.suspect and node.weight < MINOR * total
+        enough = BESIDE_COMMENTS if node.comments else BESIDE_OTHERS
+        minor[node] = minor[node.parent] or node.suspect and (
+            node.weight < MINOR * total or prose >= enough and node.tag != "form")
     left = [(holder, [p for p in pieces if not minor[p[0]]]) for holder, pieces in blocks_]
     if not any(_text(pieces) for _, pieces in left):
         return blocks_
@@ -254,7 +277,13 @@ def main_text(page: str) -> str:
     nodes, blocks_ = parse(page)
     if any(node.suspect for node in nodes):
         blocks_ = _without_minor_parts(nodes, blocks_)
-    texts = [(holder, text) for holder, pieces in blocks_ if (text := _text(pieces))]
+    filled = [(holder, pieces, text) for holder, pieces in blocks_ if (text := _text(pieces))]
+    texts = [(holder, text) for holder, _, text in filled]
+    # By container: its first block of prose.
+    first_prose: dict[Node, int] = {}
+    for i, (holder, pieces, text) in enumerate(filled):
+        if holder.parent and holder.parent.tag != "body" and _is_prose(holder, pieces, text):
+            first_prose.setdefault(holder.parent, i)
     for _, pieces in blocks_:
         for at, text in pieces:
             if not text.isspace():
@@ -296,18 +325,18 @@ def main_text(page: str) -> str:
                 if near or prose:
                     tops.append(node)
 
-    def listed(node: Node, top: Node) -> bool:
-        """Whether a block stands in a list or table that is mostly links."""
+    def listed(i: int, node: Node, top: Node) -> bool:
+        """Whether a block stands in a list or table that is mostly links and follows no prose."""
         while node is not top and node.parent:
             if node.tag in ("ul", "ol", "table", "dl") and plain(node) < 0.5:
-                return True
+                return first_prose.get(node.parent, i) >= i
             node = node.parent
         return False
 
     kept = []
-    for holder, text in texts:
+    for i, (holder, text) in enumerate(texts):
         top = next((t for t in tops if _inside(holder, t)), None)
-        if top and not listed(holder, top):
+        if top and not listed(i, holder, top):
             kept.append(text)
     return "\n".join(kept)
 

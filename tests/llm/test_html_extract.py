@@ -62,7 +62,8 @@ def test_wrappers_of_the_article_stay(wrapper):
 def test_an_article_shorter_than_its_comments_stays(wrapper):
     page = f"""<body><{wrapper}><h1>Title</h1><p>{LONG * 2}</p><p>{LONG}</p></div>
       <div class='comments'>{f"<p>{LONG}</p>" * 3}</div></body>"""
-    assert main_text(page).startswith("Title\n" + LONG.strip())
+    line = LONG.strip()
+    assert main_text(page) == "\n".join(["Title", f"{line} {line}", line])
 
 
 def test_a_page_of_parts_beside_has_text():
@@ -73,3 +74,28 @@ def test_a_page_of_parts_beside_has_text():
 def test_inline_parts_beside_go():
     page = f"<div class=post><p>{LONG * 2}<span class='share'>Share this</span> end</p><p>{LONG}</p></div>"
     assert "Share" not in main_text(page) and "end\n" in main_text(page)
+
+
+LINE = LONG.strip()
+
+
+def test_link_lists_inside_the_article_stay():
+    page = f"""<body><ul><li><a href=0>Home</a></ul><div class=content><ul><li><a href=1>Contents</a></ul><p>{LONG * 2}</p>
+      <ul><li><a href=2>First source</a><li><a href=3>Second source</a></ul><p>{LONG}</p></div>
+      <ul><li><a href=4>Imprint</a></ul></body>"""
+    assert main_text(page) == "\n".join([f"{LINE} {LINE}", "First source", "Second source", LINE])
+
+
+@pytest.mark.parametrize("article", ["div class=x", "div class=content", "div id='main' class='with-comments'"])
+@pytest.mark.parametrize("beside, paragraphs", [
+    ("<div id=comments><ol>{}</ol></div>", "<li><p>{}</p></li>"), ("<div class=comments>{}</div>", "<div class=c><p>{}</p></div>"),
+    ("<div class=sidebar>{}</div>", "<p>{}</p>"), ("<div class='related widget'>{}</div>", "<div><h3>Other</h3><p>{}</p></div>")])
+def test_long_parts_beside_never_win(article, beside, paragraphs):
+    page = f"<body><{article}><p>{LONG * 2}</p><p>{LONG}</p></div>" + beside.format(
+        paragraphs.format(LONG * 2) * 12) + "</body>"
+    assert main_text(page) == f"{LINE} {LINE}\n{LINE}"
+
+
+def test_one_paragraph_beside_long_comments():
+    page = f"<body><div class=x><p>{LONG * 2}</p></div><div id=comments>{f'<p>{LONG}</p>' * 9}</div></body>"
+    assert main_text(page) == f"{LINE} {LINE}"
