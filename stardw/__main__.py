@@ -18,8 +18,7 @@ import json
 from datetime import UTC, date, datetime
 from pathlib import Path
 
-from stardw.operators import quality
-from stardw.plans import analytics, meta, pipeline, verify
+from stardw.plans import analytics, controls, meta, pipeline, verify
 from stardw.session import build_session, sweep
 from stardw.sources import deltas
 from stardw.sources.jdbc import JdbcSource, push
@@ -87,7 +86,7 @@ def main(argv: list[str] | None = None) -> None:
             analytics.QUESTIONS[args.question](warehouse, *values).show(100, truncate=False)
         case "verify":
             for report in (verify.row_counts, verify.contracts, verify.top_reps,
-                           quality.fact_orphans, quality.unique_keys):
+                           controls.fact_orphans, controls.unique_keys):
                 report(warehouse).show(100, truncate=False)
         case "log":
             meta.RunLog(warehouse).latest(args.last).show(args.last, truncate=False)

@@ -13,7 +13,7 @@ from stardw.operators import fact
 from stardw.sources.operational import OperationalSource
 
 
-def _report(rows: Sequence[DataFrame]) -> DataFrame:
+def report(rows: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
@@ -23,8 +23,15 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str,
     row of the join; NULL keys refer to nothing and are no orphans."""
     held = child.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
         F.count(F.lit(1)).alias("_n"))
-    known = parent.select(F.col(parent_key).alias("_k"))
-    lost = held.join(known, "_k", "left_anti")
+    return lost_keys(held, "_k", "_n", parent, parent_key, check)
+
+
+def lost_keys(held: DataFrame, key: str, n: str, parent: DataFrame, parent_key: str,
+              check: str) -> DataFrame:
+    """The same from keys and how many rows hold each; a key may have several counts."""
+    counts = held.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
+        F.sum(n).alias("_n"))
+    lost = counts.join(parent.select(F.col(parent_key).alias("_k")), "_k", "left_anti")
     return lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("nb_lignes"),
                     F.count(F.lit(1)).alias("nb_cles")).select(
                         F.lit(check).alias("controle"), "nb_lignes", "nb_cles")
@@ -36,13 +43,13 @@ def fact_orphans(dw: Mapping[str, DataFrame]) -> DataFrame:
     checks = [orphans(sales, "cle_date", dw["dim_date"], "cle_date", "fait_ventes.cle_date")]
     for dim, (_, _, cle, name, _) in fact.LOOKUPS.items():
         checks.append(orphans(sales, name, dw[dim], cle, f"fait_ventes.{name}"))
-    return _report(checks)
+    return report(checks)
 
 
 def source_orphans(ops: OperationalSource) -> DataFrame:
     """Foreign keys of the order tables."""
     lines, orders = ops.unnumbered_lines(), ops["commande"]
-    return _report([
+    return report([
         orphans(lines, "commande_id", orders, "commande_id", "ligne_commande.commande_id"),
         orphans(lines, "produit_id", ops["produit"], "produit_id", "ligne_commande.produit_id"),
         orphans(orders, "client_id", ops["client"], "client_id", "commande.client_id"),
@@ -53,24 +60,33 @@ def source_orphans(ops: OperationalSource) -> DataFrame:
 
 def duplicates(df: DataFrame, key: Sequence[str], check: str) -> DataFrame:
     """Keys held by several rows, and the rows beyond the first of each."""
-    repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    return repeated.agg(F.count(F.lit(1)).alias("nb_cles"),
-                        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("nb_lignes")).select(
-                            F.lit(check).alias("controle"), "nb_lignes", "nb_cles")
+    return beyond_first(df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), "_n", check)
 
 
-def unique_keys(dw: Mapping[str, DataFrame]) -> DataFrame:
-    """Natural keys of the dimensions and the line key of the fact."""
+def beyond_first(counts: DataFrame, n: str, check: str) -> DataFrame:
+    """The same from the number of rows of each key."""
+    return counts.filter(F.col(n) > 1).agg(
+        F.count(F.lit(1)).alias("nb_cles"),
+        F.coalesce(F.sum(F.col(n) - 1), F.lit(0)).alias("nb_lignes")).select(
+            F.lit(check).alias("controle"), "nb_lignes", "nb_cles")
+
+
+def dimension_keys(dw: Mapping[str, DataFrame]) -> DataFrame:
+    """Natural keys of the dimensions, of the current versions where there are more."""
     checks = [("dim_date", ["cle_date"], dw["dim_date"]),
               ("dim_canal", ["canal_id"], dw["dim_canal"]),
               ("dim_geographie", ["ville_id"], dw["dim_geographie"]),
               ("dim_fournisseur", ["fournisseur_id"], dw["dim_fournisseur"]),
               ("dim_produit", ["produit_id"], dw["dim_produit"]),
               ("dim_client", ["client_id"], dw["dim_client"].filter("est_courant")),
-              ("dim_employe", ["employe_id"], dw["dim_employe"].filter("est_courant")),
-              ("fait_ventes", fact.LINE_KEY, dw["fait_ventes"])]
-    return _report([duplicates(df, key, f"{table}({', '.join(key)})")
-                    for table, key, df in checks])
+              ("dim_employe", ["employe_id"], dw["dim_employe"].filter("est_courant"))]
+    return report([duplicates(df, key, f"{table}({', '.join(key)})") for table, key, df in checks])
+
+
+def unique_keys(dw: Mapping[str, DataFrame]) -> DataFrame:
+    """Natural keys of the dimensions and the line key of the fact."""
+    return dimension_keys(dw).unionByName(duplicates(
+        dw["fait_ventes"], fact.LINE_KEY, f"fait_ventes({', '.join(fact.LINE_KEY)})"))
 
 
 def violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -103,7 +119,7 @@ def source_ranges(ops: OperationalSource) -> DataFrame:
             "cout_unitaire": c("cout_unitaire") >= 0,
             "pct_remise": c("pct_remise").between(0, 1)}),
     }
-    return _report([violations(df, {f"{table}.{name}": rule for name, rule in rules.items()})
+    return report([violations(df, {f"{table}.{name}": rule for name, rule in rules.items()})
                     for table, (df, rules) in tables.items()])
 
 
@@ -128,4 +144,4 @@ def history_faults(history: DataFrame, natural_key: str, cle: str) -> DataFrame:
     several = duplicates(history.filter("est_courant"), [natural_key],
                          "plusieurs_courantes").select("controle", "nb_lignes")
     twice = duplicates(history, [cle], "cle_en_double").select("controle", "nb_lignes")
-    return _report([rows, several, twice])
+    return report([rows, several, twice])

@@ -43,7 +43,7 @@ def rank_by_key(rows: DataFrame, key: str, out: str) -> DataFrame:
             .drop("_block", "_pos", "_start"))
 
 
-def _placed(rows: DataFrame, by: Sequence[Column]) -> DataFrame:
+def placed_in_order(rows: DataFrame, by: Sequence[Column]) -> DataFrame:
     """The rows in the order ``by``, written with their place: ``_part`` and ``_id`` in it."""
     # The fixed-seed number splits long runs of equal rows, whose mutual order is free.
     return cut_lineage(
@@ -63,7 +63,7 @@ def number_by_range(rows: DataFrame, group: Sequence[str], order: Sequence[Colum
     the shared folder with their place in their partition. Each (partition, group) then needs
     only a start: the number of rows of the group in earlier partitions.
     """
-    placed = _placed(rows, [F.col(g) for g in group] + [
+    placed = placed_in_order(rows, [F.col(g) for g in group] + [
         F.col(o) if isinstance(o, str) else o for o in order])
     pieces = placed.groupBy(*group, "_part").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
@@ -89,7 +89,7 @@ def ranks_in_groups(rows: DataFrame, ranks: Mapping[str, str], order: Sequence[C
     partitions give. The numbers in the partition take one shuffle by partition for all groups, and
     the starts are one row for each partition, so the groups may be of any size but must be few.
     """
-    placed = _placed(rows, order)
+    placed = placed_in_order(rows, order)
 
     def named(rank: str, group: str) -> Column:
         # A text for each group, also for none.

@@ -11,23 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stardw.operators import fact
-from stardw.operators.scd import scd1_reload, scd2_first, scd2_step
+from stardw.operators.scd import scd1_reload
 from stardw.plans import dimensions as D
 from stardw.plans import meta, staging
 from stardw.schemas import conform, schema_of
-from stardw.session import (counted_cut, cut_lineage, local_rows, passing_scratch,
-                            same_scratch)
-from stardw.sources import deltas
+from stardw.session import counted_cut, local_rows, passing_scratch, same_scratch
+from stardw.sources import deltas, histories
 from stardw.sources.operational import OperationalSource
-from stardw.sources.snapshots import Warehouse, add_parts
+from stardw.sources.snapshots import Warehouse
 
 # Jobs launched side by side; each is a Spark job of its own.
 PARALLEL_JOBS = 8
 LINES = "lignes_commande"
-# Part of a history: its current or its closed versions.
-VERSION_PART = "est_courant"
-# Folders of closed versions beyond which they are written as one.
-MOST_LOTS = 16
 
 
 def _side_by_side(spark: SparkSession, work: dict) -> dict:
@@ -127,31 +122,11 @@ def _overwritten_entries(warehouse: Warehouse, run: meta.Run, dim: str,
 
 def _historised_entries(warehouse: Warehouse, run: meta.Run, dim: str, staged: Staged,
                         as_of: date) -> dict:
-    """Current versions are compared and written anew; closed ones are only added to."""
     table, natural, cle = D.HISTORISED[dim]
     versions = D.VERSIONS[dim](staged[table], as_of)
-    known = warehouse.manifest().get(dim)
-    if known is None:
-        first = scd2_first(versions, natural, cle, as_of)
-        entry = warehouse.write(dim, conform(first, dim), VERSION_PART)
-        opened = entry["rows"]
-    else:
-        history = warehouse.open(dim, known)
-        highest = history.agg(F.coalesce(F.max(cle), F.lit(0))).first()[0]
-        step = scd2_step(history.filter("est_courant"), versions, natural, cle, as_of,
-                         F.lit(highest).cast("long"), cut=lambda df: cut_lineage(df, dim))
-        # Opened versions are those with new keys.
-        entry = warehouse.write(dim, conform(step, dim), VERSION_PART,
-                                observe={"opened": F.count_if(F.col(cle) > highest)})
-        opened = entry["observed"].get("opened") or 0
+    entry, opened = histories.load(warehouse, dim, versions, natural, cle, as_of,
+                                   warehouse.manifest().get(dim))
     run.rows_in, run.rows_out = staged.rows(table), opened
-    if known is not None:
-        entry = add_parts(known, entry, "false")
-        if len(entry["parts"].get("false", [])) > MOST_LOTS:
-            # The folders of closed versions become one again.
-            closed = warehouse.open(dim, entry).filter(~F.col("est_courant"))
-            whole = warehouse.write(dim, closed, VERSION_PART)
-            entry = {**entry, "parts": {**entry["parts"], **whole["parts"]}}
     return {dim: entry}
 
 
@@ -314,7 +289,7 @@ def wipe(warehouse: Warehouse) -> None:
             for dim, (_, natural, cle) in D.OVERWRITTEN.items()}
     empty = {t: local_rows(spark, [], schema_of(t)) for t in [*D.TABLES, "watermark"]}
     base = warehouse.version()
-    parts = dict.fromkeys(D.HISTORISED, VERSION_PART)
+    parts = dict.fromkeys(D.HISTORISED, histories.CURRENT)
     facts = empty.pop(meta.FACT_JOB)
     made = {t: warehouse.write(t, df, parts.get(t)) for t, df in {**empty, **maps}.items()}
     made[meta.FACT_JOB] = deltas.first(warehouse, meta.FACT_JOB, facts, fact.PARTITION,

@@ -18,9 +18,11 @@ from pyspark.sql import types as T
 from stardw.functions import exprs as E
 from stardw.functions import labels as L
 from stardw.operators import fact, keys, quality, scd, tables
-from stardw.plans import analytics, dimensions, meta, pipeline, pricing, staging, verify
+from stardw.plans import (analytics, controls, dimensions, meta, pipeline, pricing, staging,
+                          verify)
 from stardw.schemas import conform
 from stardw.session import cut_lineage, scratch_dir
+from stardw.sources import histories
 from stardw.sources.delimited import bulk_lines
 from stardw.sources.operational import OperationalSource
 from stardw.sources.retail_parquet import RetailParquet
@@ -98,21 +100,24 @@ def second_employees(ops: OperationalSource) -> OperationalSource:
                  .withColumn("salaire", raised))
 
 
-def _two_loads(versions: Callable[[int], DataFrame], natural: str, cle: str, first: date,
-               second: date) -> DataFrame:
-    """The history after two loads. What each load stages and leaves is written, as the pipeline
-    does, so that the second starts from a stored history."""
-    before = cut_lineage(scd.scd2_merge(
-        None, cut_lineage(versions(1), "lot1"), natural, cle, first), cle)
-    return scd.scd2_merge(before, cut_lineage(versions(2), "lot2"), natural, cle, second,
-                          cut=cut_lineage)
+def _two_loads(versions: Callable[[int], DataFrame], dim: str, first: date, second: date,
+               ) -> DataFrame:
+    """The history after two loads, each stored as the pipeline stores it."""
+    spark = SparkSession.active()
+    made = Warehouse(spark, scratch_dir(spark, "historique"))
+    _, natural, cle = dimensions.HISTORISED[dim]
+    entry = None
+    for load, day in ((1, first), (2, second)):
+        entry, _ = histories.load(made, dim, cut_lineage(versions(load), "lot"), natural, cle, day,
+                                  entry)
+    return made.open(dim, entry)
 
 
 def client_history(ops: OperationalSource, first: date, second: date) -> DataFrame:
     def versions(load: int) -> DataFrame:
         arrived, day = (first_clients(ops), first) if load == 1 else (second_clients(ops), second)
         return dimensions.client_versions(staging.clients(arrived), day)
-    return _two_loads(versions, "client_id", "cle_client", first, second)
+    return _two_loads(versions, "dim_client", first, second)
 
 
 def employee_history(ops: OperationalSource, first: date, second: date) -> DataFrame:
@@ -120,7 +125,7 @@ def employee_history(ops: OperationalSource, first: date, second: date) -> DataF
         arrived, day = ((first_employees(ops), first) if load == 1
                         else (second_employees(ops), second))
         return dimensions.employee_versions(staging.employees(arrived, day), day)
-    return _two_loads(versions, "employe_id", "cle_employe", first, second)
+    return _two_loads(versions, "dim_employe", first, second)
 
 
 # --- queries of the operational tables -----------------------------------------------------------
@@ -249,14 +254,14 @@ def dq_duplicates(ops: OperationalSource, dw: Warehouse) -> DataFrame:
     """Line numbers as stored repeat; the keys of the warehouse must not."""
     stored = quality.duplicates(ops.raw("lineitem"), ["l_orderkey", "l_linenumber"],
                                 "lineitem(l_orderkey, l_linenumber)")
-    return quality.unique_keys(dw).unionByName(stored)
+    return controls.unique_keys(dw).unionByName(stored)
 
 
 def dq_orphans(ops: OperationalSource, dw: Warehouse) -> DataFrame:
     """Foreign keys, and those of orders whose client a first load does not hold."""
     lost = quality.orphans(ops["commande"], "client_id", first_clients(ops)["client"],
                            "client_id", "commande.client_id au premier lot")
-    return quality.fact_orphans(dw).unionByName(quality.source_orphans(ops)).unionByName(lost)
+    return controls.fact_orphans(dw).unionByName(quality.source_orphans(ops)).unionByName(lost)
 
 
 def dq_scd2(ops: OperationalSource) -> DataFrame:
@@ -266,7 +271,6 @@ def dq_scd2(ops: OperationalSource) -> DataFrame:
             ("client", client_history(ops, FIRST_LOAD, SECOND_LOAD), "client_id", "cle_client"),
             ("employe", employee_history(ops, FIRST_LOAD, SECOND_LOAD), "employe_id",
              "cle_employe")]:
-        history = cut_lineage(history, "versions")
         faults = quality.history_faults(history, natural, cle)
         versions = history.agg(F.count(F.lit(1)).alias("nb_lignes")).select(
             F.lit("versions").alias("controle"), "nb_lignes")

@@ -200,7 +200,7 @@ class Warehouse:
 
     # --- tables ------------------------------------------------------------------------------
 
-    def write(self, table: str, df: DataFrame, partition: str | None = None,
+    def write(self, table: str, df: DataFrame, partition: str | list[str] | None = None,
               order: str | None = None, observe: dict[str, Column] | None = None) -> dict:
         """Write a new folder for ``table`` and give its entry, still unpublished.
 
@@ -211,26 +211,31 @@ class Warehouse:
         lot = f"lot={uuid.uuid4().hex[:12]}"
         path = f"{self.root}/{table}/{lot}"
         schema = df.schema.jsonValue()
+        levels = [partition] if isinstance(partition, str) else partition or []
         if order is not None:
             # Rebalancing splits a part that is too large for one task and joins small ones.
-            df = df.hint("rebalance", partition).sortWithinPartitions(partition, order)
+            df = df.hint("rebalance", *levels).sortWithinPartitions(*levels, order)
         seen = Observation()
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"),
                         *[c.alias(name) for name, c in (observe or {}).items()])
-        if partition is None:
+        if not levels:
             df.write.mode("error").parquet(path)
         else:
-            df.write.mode("error").partitionBy(partition).parquet(path)
+            df.write.mode("error").partitionBy(*levels).parquet(path)
         # A plan that turns out to be empty while it runs counts nothing.
         found = dict(seen.get)
         entry = {"schema": schema, "rows": found.pop("rows", 0)}
         if observe:
             entry["observed"] = found
-        if partition is None:
+        if not levels:
             return {**entry, "lot": lot}
-        names = [n for n in self._list(path) if n.startswith(f"{partition}=")]
-        return {**entry, "partition": partition,
-                "parts": {n.split("=")[1]: [lot] for n in names}}
+        names = [""]
+        for level in levels:
+            names = [f"{above}/{n}" for above in names for n in self._list(f"{path}{above}")
+                     if n.startswith(f"{level}=")]
+        # A part is named by its value, and by the folders below that if there are more levels.
+        return {**entry, "partition": levels[0],
+                "parts": {n.removeprefix(f"/{levels[0]}="): [lot] for n in names}}
 
     def open(self, table: str, entry: dict) -> DataFrame:
         """The DataFrame of an entry, published or not. Written folders never change, so their
@@ -256,9 +261,3 @@ class Warehouse:
         paths = [f"{base}/{lot}/{partition}={value}" for value, lots in sorted(parts.items())
                  for lot in lots]
         return self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
-
-
-def add_parts(old: dict, new: dict, part: str) -> dict:
-    """Entry of ``new`` in which ``part`` also keeps the folders it has in ``old``."""
-    lots = [*old["parts"].get(part, []), *new["parts"].get(part, [])]
-    return {**new, "parts": {**new["parts"], **({part: lots} if lots else {})}}

@@ -1,12 +1,16 @@
 from datetime import date
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import retail
 from stardw.operators import quality, scd
 from stardw.plans import dimensions, staging
-from stardw.session import local_rows
+from stardw.schemas import conform
+from stardw.session import local_rows, scratch_dir
+from stardw.sources import histories
+from stardw.sources.snapshots import Warehouse
 
 DAY1, DAY2, DAY3 = date(2001, 11, 30), date(2001, 12, 31), date(2002, 1, 31)
 
@@ -105,3 +109,60 @@ def test_history_follows_a_plain_model(spark, batches):
     assert {k: sorted(v, key=str) for k, v in got.items()} == {
         k: sorted(v, key=str) for k, v in versions.items()}
     assert len({r.cle for r in history.collect()}) == history.count()
+
+
+def stored(spark, rows):
+    schema = "client_id bigint, nom_complet string, hash_ligne string"
+    staged = local_rows(spark, [(k, v, v) for k, v in rows.items()], schema)
+    return staged.select("client_id", "nom_complet", *[
+        F.lit(None).cast(t).alias(c) for c, t in [
+            ("sexe", "string"), ("tranche_age", "string"), ("groupe_client", "string"),
+            ("a_carte_fidelite", "boolean"), ("nom_ville", "string"), ("nom_pays", "string"),
+            ("nom_continent", "string")]], "hash_ligne")
+
+
+def play(spark, store, loads, bits):
+    """The history stored by ranges, and the same by one merge a load."""
+    entry, whole, days = None, None, []
+    for n, rows in enumerate(loads):
+        day = date(2001, 1, 1 + n)
+        before = entry
+        entry, opened = histories.load(store, "dim_client", stored(spark, rows), "client_id", "cle_client", day, entry, bits=bits)
+        whole = scd.scd2_merge(whole, stored(spark, rows), "client_id", "cle_client", day)
+        days.append((before, entry, opened))
+    return entry, whole, days
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck), phases=[Phase.generate])
+@given(loads=st.lists(st.dictionaries(st.integers(0, 30), st.sampled_from("abc"), min_size=1, max_size=10), min_size=2, max_size=3))
+def test_ranges_like_a_whole_merge(spark, loads):
+    store = Warehouse(spark, scratch_dir(spark, "h"))
+    entry, whole, days = play(spark, store, loads, bits=3)
+    columns = ["client_id", "nom_complet", "effectif_du", "effectif_au", "est_courant", "cle_client"]
+    assert sorted(map(str, store.open("dim_client", entry).select(*columns).collect())) == sorted(map(str, whole.select(*columns).collect()))
+    assert sum(opened for *_, opened in days) == whole.count()
+
+
+def test_a_load_that_changes_one_client_rewrites_one_range(spark, store):
+    rows = {k: "a" for k in range(40)}
+    entry, _, days = play(spark, store, [rows, rows, rows | {17: "b"}, {k: v for k, v in rows.items() if k != 3} | {17: "b"}], bits=3)
+    (_, first, n), (_, same, none), (_, one, opened), (_, vanished, gone) = days
+    assert (n, none, opened, gone) == (40, 0, 1, 0) and same == first
+    changed = {p for p in one["parts"] if one["parts"][p] != same["parts"].get(p)}
+    assert changed == {"true/tranche=2", "false/tranche=2"}
+    # Client 3 has vanished: his range is looked at, and his version stays.
+    assert {p for p in vanished["parts"] if vanished["parts"][p] != one["parts"].get(p)} == {"true/tranche=0"}
+    history = store.open("dim_client", vanished)
+    assert history.filter("est_courant").count() == 40 and history.count() == 41
+    plan = history.filter("est_courant")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(est_courant" in plan
+
+
+def test_a_history_written_without_ranges(spark, store):
+    rows = {k: "a" for k in range(20)}
+    first = scd.scd2_merge(None, stored(spark, rows), "client_id", "cle_client", DAY1)
+    second = scd.scd2_merge(first, stored(spark, rows | {4: "b"}), "client_id", "cle_client", DAY2)
+    old = store.write("dim_client", conform(second, "dim_client"), "est_courant")
+    entry, opened = histories.load(store, "dim_client", stored(spark, rows | {4: "b", 9: "c"}), "client_id", "cle_client", DAY3, old, bits=3)
+    history = store.open("dim_client", entry)
+    assert opened == 1 and history.count() == 22 and history.filter("est_courant").count() == 20
