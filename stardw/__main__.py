@@ -54,6 +54,7 @@ def parser() -> argparse.ArgumentParser:
     ask.add_argument("question", choices=sorted(analytics.QUESTIONS))
     ask.add_argument("arguments", nargs="*", help="e.g. a country and a year, or a group")
     command("verify")
+    command("skipped", source=True)
     command("log").add_argument("--last", type=int, default=20)
     command("push").add_argument("--jdbc", required=True)
     command("compact").add_argument("--most", type=int, default=deltas.MOST_LOTS,
@@ -88,6 +89,9 @@ def main(argv: list[str] | None = None) -> None:
             for report in (verify.row_counts, verify.contracts, verify.top_reps,
                            controls.fact_orphans, controls.unique_keys):
                 report(warehouse).show(100, truncate=False)
+        case "skipped":
+            controls.skipped_orders(source(), warehouse).orderBy("date_commande").show(
+                10_000, truncate=False)
         case "log":
             meta.RunLog(warehouse).latest(args.last).show(args.last, truncate=False)
         case "push":

@@ -58,6 +58,35 @@ def source_orphans(ops: OperationalSource) -> DataFrame:
     ])
 
 
+# Child, its column, parent and the parent's key, for the references below the order tables.
+REFERENCES = [
+    ("pays", "continent_id", "continent", "continent_id"),
+    ("region", "pays_id", "pays", "pays_id"), ("ville", "region_id", "region", "region_id"),
+    ("org_compagnie", "org_pays_id", "org_pays", "org_pays_id"),
+    ("org_departement", "org_compagnie_id", "org_compagnie", "org_compagnie_id"),
+    ("org_section", "org_departement_id", "org_departement", "org_departement_id"),
+    ("org_groupe", "org_section_id", "org_section", "org_section_id"),
+    ("employe", "org_groupe_id", "org_groupe", "org_groupe_id"),
+    ("employe", "manager_id", "employe", "employe_id"),
+    ("contrat_employe", "employe_id", "employe", "employe_id"),
+    ("fournisseur", "pays_id", "pays", "pays_id"),
+    ("categorie_produit", "ligne_produit_id", "ligne_produit", "ligne_produit_id"),
+    ("groupe_produit", "categorie_produit_id", "categorie_produit", "categorie_produit_id"),
+    ("produit", "groupe_produit_id", "groupe_produit", "groupe_produit_id"),
+    ("produit", "fournisseur_id", "fournisseur", "fournisseur_id"),
+    ("historique_prix", "produit_id", "produit", "produit_id"),
+    ("remise_produit", "produit_id", "produit", "produit_id"),
+    ("client", "groupe_client_id", "groupe_client", "groupe_client_id"),
+    ("client", "ville_id", "ville", "ville_id"),
+    ("carte_fidelite", "client_id", "client", "client_id")]
+
+
+def model_orphans(ops: OperationalSource) -> DataFrame:
+    """Foreign keys of all tables but those of the orders."""
+    return report([orphans(ops[child], key, ops[parent], parent_key, f"{child}.{key}")
+                   for child, key, parent, parent_key in REFERENCES])
+
+
 def duplicates(df: DataFrame, key: Sequence[str], check: str) -> DataFrame:
     """Keys held by several rows, and the rows beyond the first of each."""
     return beyond_first(df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), "_n", check)

@@ -97,6 +97,16 @@ BLOCKS = {
                            (3, 'Informatique'), (4, 'Ressources Humaines'),
                            (5, 'Logistique')) d(k, nom)
         cross join (values (0, 'Groupe A — '), (1, 'Groupe B — ')) g(k, nom)""",
+    "ops_org_pays": "select r_regionkey org_pays_id from region",
+    "ops_org_compagnie": "select r_regionkey org_compagnie_id, r_regionkey org_pays_id from region",
+    "ops_org_departement": """
+        select r_regionkey * 6 + k org_departement_id, r_regionkey org_compagnie_id
+        from region cross join range(6) t(k)""",
+    "ops_org_section": """
+        select org_departement_id org_section_id, org_departement_id from ops_org_departement""",
+    "ops_org_groupe": """
+        select org_section_id * 2 + k org_groupe_id, org_section_id
+        from ops_org_section cross join range(2) t(k)""",
     "ops_employe": """
         select e employe_id, 'Emp' nom, 'E' || e prenom,
                case when e % 2 = 0 then 'F' else 'M' end sexe,
@@ -662,6 +672,43 @@ QUERIES = {
                  "canal_id"),
         _orphans("commande.client_id au premier lot", "ops_commande", "client_id",
                  "client_lot1", "client_id")]),
+    "dq_model_orphans": " union all ".join([
+        *[_orphans(f"{child}.{key}", f"ops_{child}", key, f"ops_{parent}", parent_key)
+          for child, key, parent, parent_key in [
+              ("pays", "continent_id", "continent", "continent_id"),
+              ("region", "pays_id", "pays", "pays_id"),
+              ("ville", "region_id", "region", "region_id"),
+              ("org_compagnie", "org_pays_id", "org_pays", "org_pays_id"),
+              ("org_departement", "org_compagnie_id", "org_compagnie", "org_compagnie_id"),
+              ("org_section", "org_departement_id", "org_departement", "org_departement_id"),
+              ("org_groupe", "org_section_id", "org_section", "org_section_id"),
+              ("employe", "org_groupe_id", "org_groupe", "org_groupe_id"),
+              ("employe", "manager_id", "employe", "employe_id"),
+              ("contrat_employe", "employe_id", "employe", "employe_id"),
+              ("fournisseur", "pays_id", "pays", "pays_id"),
+              ("categorie_produit", "ligne_produit_id", "ligne_produit", "ligne_produit_id"),
+              ("groupe_produit", "categorie_produit_id", "categorie_produit",
+               "categorie_produit_id"),
+              ("produit", "groupe_produit_id", "groupe_produit", "groupe_produit_id"),
+              ("produit", "fournisseur_id", "fournisseur", "fournisseur_id"),
+              ("historique_prix", "produit_id", "produit", "produit_id"),
+              ("remise_produit", "produit_id", "produit", "produit_id"),
+              ("client", "groupe_client_id", "groupe_client", "groupe_client_id"),
+              ("client", "ville_id", "ville", "ville_id"),
+              ("carte_fidelite", "client_id", "client", "client_id")]],
+        _orphans("carte_fidelite.client_id au premier lot", "ops_carte_fidelite", "client_id",
+                 "client_lot1", "client_id"),
+        _orphans("contrat_employe.employe_id au premier lot", "ops_contrat_employe", "employe_id",
+                 "(select employe_id from ops_employe where employe_id % 25 <> 9)",
+                 "employe_id")]),
+    "skipped_orders": """
+        with marque as (select max(date_commande) jour from stg_lignes)
+        select date_commande, count(*) nb_commandes,
+               cast(any_value(jour) - date_commande as bigint) jours_avant_marque
+        from ops_commande, marque
+        where date_commande <= jour and commande_id not in (
+          select commande_id from fait where commande_id % 11 <> 3)
+        group by date_commande""",
     "dq_duplicates": " union all ".join([
         _duplicates("dim_date(cle_date)", "d_date", "cle_date"),
         _duplicates("dim_canal(canal_id)", "ops_canal_vente", "canal_id"),

@@ -13,6 +13,7 @@ time may both read a month; the later one's ledger counts.
 from __future__ import annotations
 
 import json
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from stardw.operators import fact, quality
 from stardw.plans import meta
 from stardw.session import local_rows
 from stardw.sources import deltas
+from stardw.sources.operational import OperationalSource
 from stardw.sources.snapshots import Overtaken, Warehouse
 
 FOLDER = "_controles"
@@ -115,6 +117,35 @@ class Ledger:
         return quality.beyond_first(found, "n", f"{self.table}({', '.join(fact.LINE_KEY)})")
 
 
+def orders_held(warehouse: Warehouse, entry: dict, table: str = meta.FACT_JOB) -> DataFrame:
+    """Numbers of the orders in the fact, from the index of orders. An index may name orders whose
+    lines have all gone since."""
+    schema = T.StructType.fromJson(entry["schema"])
+    return warehouse.parts(
+        deltas._index(table), entry["index"]["parts"], deltas.BUCKET,
+        deltas._index_schema(fact.LINE_KEY, "mois_cle", schema)).select("commande_id")
+
+
+def skipped_orders(ops: OperationalSource, warehouse: Warehouse, mark: date | None = None,
+                   entry: dict | None = None, table: str = meta.FACT_JOB) -> DataFrame:
+    """Orders at or below the high-water mark that the fact does not hold, by day.
+
+    They arrived after their day had been loaded, or have no line whose dimensions are known. The
+    first day tells the ``lookback_days`` that a load needs to take them. Only two columns of the
+    orders and the index are read, not the fact.
+    """
+    mark = meta.watermark(warehouse) if mark is None else mark
+    entry = warehouse.manifest()[table] if entry is None else entry
+    orders = ops["commande"].select("commande_id", "date_commande").filter(
+        F.col("date_commande") <= F.lit(mark))
+    if entry["parts"]:
+        held = (orders_held(warehouse, entry, table) if "index" in entry
+                else warehouse.open(table, entry).select("commande_id"))
+        orders = orders.join(held, "commande_id", "left_anti")
+    return (orders.groupBy("date_commande").agg(F.count(F.lit(1)).alias("nb_commandes"))
+            .withColumn("jours_avant_marque", F.date_diff(F.lit(mark), "date_commande")))
+
+
 def fact_orphans(warehouse: Warehouse) -> DataFrame:
     return Ledger(warehouse).orphans()
 

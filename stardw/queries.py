@@ -311,6 +311,24 @@ def fact_reload_idempotent(ops: OperationalSource, dw: Warehouse) -> DataFrame:
         F.sum("montant_net").alias("montant_net"))
 
 
+def skipped_orders(ops: OperationalSource, dw: Warehouse) -> DataFrame:
+    """What the first load has left out when every eleventh order arrives after it."""
+    table = f"fait_tardif_{uuid.uuid4().hex[:8]}"
+    dims = {d: dw[d] for d in fact.LOOKUPS}
+    arrived = staging.order_lines(ops, dims=dims).filter("commande_id % 11 <> 3")
+    entry, _ = pipeline.fact_entry(dw, arrived, dims, None, table)
+    return controls.skipped_orders(ops, dw, meta.watermark(dw), entry, table)
+
+
+def dq_model_orphans(ops: OperationalSource) -> DataFrame:
+    """References below the orders, and those to clients and employees a first load does not hold."""
+    return quality.model_orphans(ops).unionByName(quality.orphans(
+        ops["carte_fidelite"], "client_id", first_clients(ops)["client"], "client_id",
+        "carte_fidelite.client_id au premier lot")).unionByName(quality.orphans(
+            ops["contrat_employe"], "employe_id", first_employees(ops)["employe"], "employe_id",
+            "contrat_employe.employe_id au premier lot"))
+
+
 def order_total_batch(ops: OperationalSource) -> DataFrame:
     """Order totals recomputed for every fifth order; the others keep none."""
     batch = ops["commande"].filter("commande_id % 5 = 0").select("commande_id")
@@ -432,6 +450,7 @@ OF_SOURCE: dict[str, Callable[[OperationalSource], DataFrame]] = {
     "scalar_date_ops": scalar_date_ops,
     "scalar_math_ops": scalar_math_ops,
     "dq_ranges": quality.source_ranges,
+    "dq_model_orphans": dq_model_orphans,
     "dq_scd2": dq_scd2,
 }
 
@@ -444,6 +463,7 @@ OF_BOTH: dict[str, Callable[[OperationalSource, Warehouse], DataFrame]] = {
     "stream_fact_load": stream_fact_load,
     "dq_orphans": dq_orphans,
     "dq_duplicates": dq_duplicates,
+    "skipped_orders": skipped_orders,
 }
 
 OF_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {

@@ -16,6 +16,8 @@ def test_load_and_ask(spark, capsys):
     assert "commande 5: fait_ventes" in capsys.readouterr().out
     command.main([*root, "verify"])
     assert "fait_ventes(commande_id, numero_ligne)" in capsys.readouterr().out
+    command.main([*root, "skipped", "--parquet", TESTDATA])
+    assert "jours_avant_marque" in capsys.readouterr().out
     command.main([*root, "wipe"])
     command.main([*root, "expire", "--keep", "1"])
     assert "_manifest/" in capsys.readouterr().out

@@ -82,3 +82,32 @@ def test_an_empty_fact(spark, store, before):
     assert rows(controls.fact_orphans(store)) == rows(quality.fact_orphans(store))
     assert rows(controls.unique_keys(store)) == rows(quality.unique_keys(store))
     assert meta.FACT_JOB in store
+
+
+def test_orders_that_arrive_late_are_listed(spark, store):
+    ops = retail.source(spark)
+    early = retail.source(spark, commande=[o for o in retail.base_rows()["commande"] if o[0] != 2])
+    pipeline.run(early, store, AS_OF)
+    # Order 2 is of 1999 and comes when all days up to the end of 2000 have been loaded.
+    assert rows(controls.skipped_orders(early, store)) == []
+    found = controls.skipped_orders(ops, store).collect()
+    assert [tuple(r) for r in found] == [(date(1999, 1, 1), 1, 730)]
+    pipeline.run(ops, store, AS_OF)
+    assert len(controls.skipped_orders(ops, store).collect()) == 1
+    pipeline.run(ops, store, AS_OF, lookback_days=1 + found[0].jours_avant_marque)
+    assert rows(controls.skipped_orders(ops, store)) == []
+    # Nothing loaded yet: nothing is at or below the mark.
+    pipeline.wipe(store)
+    assert rows(controls.skipped_orders(ops, store)) == []
+
+
+def test_references_of_the_whole_model(spark):
+    found = {r.controle: (r.nb_lignes, r.nb_cles) for r in quality.model_orphans(retail.source(spark)).collect()}
+    assert len(found) == len(quality.REFERENCES) and set(found.values()) == {(0, 0)}
+    broken = retail.base_rows()
+    broken["ville"].append((3, "Ailleurs", None, 77))
+    broken["contrat_employe"] += [(8, 99, date(1990, 1, 1), None, "CDI"), (9, 99, date(1991, 1, 1), None, "CDI")]
+    found = {r.controle: (r.nb_lignes, r.nb_cles) for r in quality.model_orphans(
+        retail.source(spark, ville=broken["ville"], contrat_employe=broken["contrat_employe"])).collect()}
+    assert {k: v for k, v in found.items() if v != (0, 0)} == {
+        "ville.region_id": (1, 1), "contrat_employe.employe_id": (2, 1)}

@@ -1,8 +1,10 @@
 from datetime import date
 
 import retail
+from conftest import TESTDATA
 from stardw.operators import tables
 from stardw.plans import pricing, staging
+from stardw.sources.retail_parquet import RetailParquet
 
 AS_OF = date(2001, 12, 31)
 
@@ -101,3 +103,24 @@ def test_sales_department(spark):
 def test_price_view(spark):
     retail.source(spark).price_view()
     assert spark.sql("select count(*) from v_prix_produit_a where produit_id = 10").first()[0] == 2
+
+
+def test_lines_are_shuffled_by_order_and_by_product_once(spark, capsys):
+    """Numbering and the join with orders share one partitioning, with broadcasts off."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staging.order_lines(RetailParquet(spark, TESTDATA)).explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    plan = capsys.readouterr().out.splitlines()
+    scan = next(i for i, line in enumerate(plan) if "FileScan" in line and "l_orderkey" in line)
+    # What lies above the scan of the lines: the lines further left than it, each of them once.
+    above, depth = [], plan[scan].index("FileScan")
+    for line in reversed(plan[:scan]):
+        at = len(line) - len(line.lstrip(" :+-"))
+        if at < depth:
+            above.append(line)
+            depth = at
+    keys = [line.split("hashpartitioning(")[1].split("#")[0] for line in above if "Exchange hash" in line]
+    assert keys == ["l_orderkey", "produit_id"]
