@@ -1,15 +1,19 @@
 """Quality classifier without labels: heuristics vote, EM weighs them, a hashed scorer learns.
 
-1. Every whole text gets the votes of overlapping heuristic labellers: good, bad or none.
+1. Every whole text gets the votes of overlapping heuristic labellers: good, bad or none. They look
+   at its length, words, symbols, repetition, lines, letters and capitals. What can't be told of a
+   text (where words end in scripts without spaces, capitals in scripts without them) is no vote.
 2. Expectation-maximisation estimates how often each labeller votes what on good and on bad texts
    (they are taken as independent given the truth). It needs no texts, only how often each pattern
-   of votes occurs: at most ``3 ** labellers`` rows, counted over all documents.
+   of votes occurs, counted over all documents. Patterns are few, however many documents there are:
+   at most ``3 ** labellers`` for each of the sets of labellers that can be told together.
 3. The posterior of its pattern labels each text of a bounded sample, and a logistic scorer over
    hashed features is fitted to them: byte trigrams, and the steps of the statistics the labellers
-   look at. The sample are the ``SAMPLE`` distinct texts of least hash, of any length, each whole
-   and once, however often it is copied. Their features are made in the tasks. The driver holds
-   those of the first texts by hash that come to ``SAMPLE_CELLS`` features: all of them, unless
-   texts of over about 20 KB prevail; of the longest possible texts at least 488.
+   look at. A text counts the less the fewer labellers vote on it, so the scorer judges these by
+   what it learnt of the others. The sample are the ``sample`` distinct texts of least hash, of any
+   length, each whole and once, however often it is copied. Their features are made in the tasks.
+   The driver holds those of the first texts by hash that come to ``sample_cells`` features: all of
+   them, unless texts of over about 20 KB prevail; of the longest possible texts at least 488.
 4. The scorer judges all documents. It carries what the labellers agree on over to texts on which
    they are silent.
 
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from stardw.llm.cluster import prepare
 from stardw.llm.frames import others
 from stardw.llm.quality_rules import _per_row, _seen_before, base_counts
-from stardw.llm.words import blocks, mix, raw_bytes, words_of
+from stardw.llm.words import Words, blocks, mix, raw_bytes, words_of
 from stardw.session import cut_lineage
 
 BITS = 15
@@ -49,18 +53,52 @@ LABELLERS = {
     "dup_lines": (None, 0.0, 0.01, 0.25),
     "distinct": (0.12, 0.30, 1.0, None),
     "line_ends": (0.30, 0.70, 1.0, None),
-    "letters": (0.70, 0.85, 1.0, None)}
+    "letters": (0.70, 0.85, 1.0, None),
+    "worded": (0.80, 0.95, 1.0, None),
+    "capitals": (None, 0.0, 0.20, 0.50)}
 # Steps of the statistics as features.
 _STEPS = np.array([0, 0.002, 0.01, 0.03, 0.08, 0.15, 0.3, 0.5, 0.7, 0.85, 1.5, 3, 5, 8, 14, 50, 80,
                    200, 1000, 20_000, 100_000])
 _END = np.isin(np.arange(256), np.frombuffer(b".!?:\")", np.uint8))
+# The bytes of other marks that end a line, the last three of each as one number.
+_MARKS = np.array([int.from_bytes(m.encode()[-3:], "big") for m in (
+    "…", "”", "’", "。", "！", "？", "」", "』", "）", "।", "።", "។")])
+_SHORT_MARKS = np.array([int.from_bytes(m.encode(), "big") for m in ("»", "؟", "۔", "։")])
 _LETTER = np.isin(np.arange(256), np.frombuffer(
     b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", np.uint8)) | (np.arange(256) >= 0x80)
+_CAPITAL = (np.arange(256) >= 0x41) & (np.arange(256) <= 0x5A)
+_CASED = _CAPITAL | ((np.arange(256) >= 0x61) & (np.arange(256) <= 0x7A))
 _LINE = np.arange(256) != 0x0A
+UNTOLD = 2
+# Characters of scripts without spaces between words that make about one word.
+CHARS_A_WORD = 2
+
+
+def _unspaced(data: np.ndarray) -> np.ndarray:
+    """First bytes of Han, Kana, Thai, Lao, Khmer and Burmese characters."""
+    second = np.append(data[1:], np.uint8(0))
+    return (((data >= 0xE3) & (data <= 0xE9))
+            | ((data == 0xE0) & (second >= 0xB8) & (second <= 0xBB))
+            | ((data == 0xE1) & (((second >= 0x80) & (second <= 0x82))
+                                 | (second == 0x9E) | (second == 0x9F))))
+
+
+def _ended(lines: Words) -> np.ndarray:
+    """Which lines end with a mark that ends sentences or clauses."""
+    at = lines.end - 1
+    last = lines.data[at].astype(np.int64)
+    before = np.where(at > lines.start, lines.data[np.maximum(at - 1, 0)], 0).astype(np.int64)
+    third = np.where(at > lines.start + 1, lines.data[np.maximum(at - 2, 0)], 0).astype(np.int64)
+    two = before << 8 | last
+    return _END[lines.data[at]] | np.isin(two, _SHORT_MARKS) | np.isin(third << 16 | two, _MARKS)
 
 
 def statistics(texts: pa.Array) -> np.ndarray:
-    """One row for each text, one column for each of ``LABELLERS``."""
+    """One row for each text, one column for each of ``LABELLERS``; NaN where one can't be told.
+
+    Where most letters are of scripts without spaces, words are counted by their characters, and
+    what depends on where words end is not told; nor is what no line or letter shows.
+    """
     base = base_counts(texts)
     words, lines = words_of(texts), words_of(texts, _LINE)
     rows = len(texts)
@@ -68,18 +106,29 @@ def statistics(texts: pa.Array) -> np.ndarray:
     order, same = _seen_before(words.hashes(), words.row)
     distinct = np.bincount(words.row[order][~same], minlength=rows)
     inked = np.maximum(np.bincount(lines.row, minlength=rows), 1)
-    ended = np.bincount(lines.row[_END[lines.data[lines.end - 1]]] if len(lines.end) else
-                        lines.row, minlength=rows)
+    ended = np.bincount(lines.row[_ended(lines)], minlength=rows)
     chars = np.maximum(base["word_chars"], 1)
-    letters = _per_row(_LETTER[words.data] & ((words.data & 0xC0) != 0x80), words.bounds)
+    letter = _LETTER[words.data]
+    letters = _per_row(letter & ((words.data & 0xC0) != 0x80), words.bounds)
+    in_word = np.concatenate(([0], np.cumsum(letter, dtype=np.int64)))
+    worded = np.bincount(words.row[in_word[words.end] > in_word[words.start]], minlength=rows)
+    unspaced = _per_row(_unspaced(words.data), words.bounds)
+    dense = 2 * unspaced > np.maximum(letters, 1)
+    cased = _per_row(_CASED[words.data], words.bounds)
+    capitals = _per_row(_CAPITAL[words.data], words.bounds)
+    def unless(skipped: np.ndarray, values: np.ndarray) -> np.ndarray:
+        return np.where(skipped, np.nan, values)
     return np.stack([
-        base["n_words"], base["word_chars"] / n, base["n_symbols"] / chars,
-        base["n_repeat_words"] / n, base["n_dup_lines"] / inked, distinct / n, ended / inked,
-        letters / chars], axis=1).astype(float)
+        np.where(dense, base["n_words"] + unspaced // CHARS_A_WORD, base["n_words"]),
+        unless(dense, base["word_chars"] / n), base["n_symbols"] / chars,
+        unless(dense, base["n_repeat_words"] / n), base["n_dup_lines"] / inked,
+        unless(dense, distinct / n), unless(dense & (ended == 0), ended / inked), letters / chars,
+        worded / n, unless(2 * cased <= letters, capitals / np.maximum(cased, 1))],
+        axis=1).astype(float)
 
 
 def votes(stats: np.ndarray) -> np.ndarray:
-    """1 good, -1 bad, 0 none, for each text and labeller."""
+    """1 good, -1 bad, 0 none, ``UNTOLD`` without the statistic, for each text and labeller."""
     out = np.zeros(stats.shape, np.int8)
     for j, (low, good, to, high) in enumerate(LABELLERS.values()):
         x = stats[:, j]
@@ -88,6 +137,7 @@ def votes(stats: np.ndarray) -> np.ndarray:
             out[x < low, j] = -1
         if high is not None:
             out[x > high, j] = -1
+        out[np.isnan(x), j] = UNTOLD
     return out
 
 
@@ -99,7 +149,9 @@ class Labels:
     table: np.ndarray  # labeller, truth (bad, good), vote (-1, 0, 1)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        seen = np.log(self.table[np.arange(votes.shape[1]), :, votes.astype(int) + 1]).sum(axis=1)
+        told = np.where(votes == UNTOLD, 0, votes).astype(int)
+        seen = np.log(self.table[np.arange(votes.shape[1]), :, told + 1])
+        seen = (seen * (votes != UNTOLD)[:, :, None]).sum(axis=1)
         odds = seen[:, 1] - seen[:, 0] + np.log(self.prior) - np.log1p(-self.prior)
         return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
@@ -107,7 +159,8 @@ class Labels:
 def expectation_maximisation(patterns: np.ndarray, times: np.ndarray,
                              rounds: int = ROUNDS) -> Labels:
     """Accuracies of the labellers from how often each pattern of votes occurs."""
-    good = np.clip(0.5 + patterns.sum(axis=1) / (2 * patterns.shape[1]), 0.05, 0.95)
+    told = np.where(patterns == UNTOLD, 0, patterns)
+    good = np.clip(0.5 + told.sum(axis=1) / (2 * patterns.shape[1]), 0.05, 0.95)
     good[(patterns < 0).any(axis=1)] = 0.25
     found = None
     for _ in range(rounds):
@@ -156,11 +209,12 @@ def _cells(grams: np.ndarray, steps: np.ndarray, bits: int) -> tuple[np.ndarray,
     return at.astype(np.int32), x[at].astype(np.float32)
 
 
-def fit(cells: np.ndarray, values: np.ndarray, sizes: np.ndarray, good: np.ndarray, bits: int,
-        epochs: int = EPOCHS) -> np.ndarray:
+def fit(cells: np.ndarray, values: np.ndarray, sizes: np.ndarray, good: np.ndarray,
+        told: np.ndarray, bits: int, epochs: int = EPOCHS) -> np.ndarray:
     """Weights of a logistic scorer, by gradient steps over the whole sample.
 
-    ``cells`` and ``values`` are the features of all texts end to end, ``sizes`` of each text.
+    ``cells`` and ``values`` are the features of all texts end to end, ``sizes`` of each text;
+    ``told`` is how much a text counts.
     """
     size = 1 << bits
     ends = np.cumsum(sizes)
@@ -172,11 +226,12 @@ def fit(cells: np.ndarray, values: np.ndarray, sizes: np.ndarray, good: np.ndarr
                       np.cumsum(sizes[at:to]) - sizes[at:to]))
         at = to
     weights, squares = np.zeros(size + 1), np.full(size + 1, 1e-6)
+    told = told / max(told.sum(), 1e-9)
     for _ in range(epochs):
         slope = DECAY * weights
         for texts, span, starts in parts:
             z = np.add.reduceat(values[span] * weights[cells[span]], starts) + weights[-1]
-            error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - good[texts]) / len(sizes)
+            error = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - good[texts]) * told[texts]
             slope[:-1] += np.bincount(cells[span], values[span] * np.repeat(error, sizes[texts]), size)
             slope[-1] += error.sum()
         squares += slope ** 2
@@ -214,7 +269,13 @@ def _sampler(bits: int):
     return run
 
 
-def _fitted(keyed: DataFrame, voted: DataFrame, labels: Labels, bits: int, sample: int) -> np.ndarray:
+def told_by(votes: np.ndarray) -> np.ndarray:
+    """How much a text teaches: the square of the share of labellers that vote on it."""
+    return (np.isin(votes, (-1, 1)).mean(axis=1)) ** 2
+
+
+def _fitted(keyed: DataFrame, voted: DataFrame, labels: Labels, bits: int, sample: int,
+            sample_cells: int) -> np.ndarray:
     """Weights from the sample of distinct texts."""
     least = voted.groupBy("hash").agg(F.min("votes").alias("votes")).orderBy("hash").limit(
         sample).collect()
@@ -227,7 +288,7 @@ def _fitted(keyed: DataFrame, voted: DataFrame, labels: Labels, bits: int, sampl
     taken, total = [], 0
     for r in made.groupBy("hash").agg(F.max("size").alias("size")).orderBy("hash").collect():
         total += r["size"]
-        if taken and total > SAMPLE_CELLS:
+        if taken and total > sample_cells:
             break
         taken.append(r["hash"])
     found = {r["hash"]: (np.frombuffer(r["cells"], np.int32), np.frombuffer(r["values"], np.float32))
@@ -236,7 +297,8 @@ def _fitted(keyed: DataFrame, voted: DataFrame, labels: Labels, bits: int, sampl
     cells, values = (np.concatenate([found[h][i] for h in taken]) for i in (0, 1))
     sizes = np.array([len(found[h][0]) for h in taken])
     found.clear()
-    return fit(cells, values, sizes, labels.posterior(np.stack([known[h] for h in taken])), bits)
+    own = np.stack([known[h] for h in taken])
+    return fit(cells, values, sizes, labels.posterior(own), told_by(own), bits)
 
 
 def _scorer(sent, bits: int):
@@ -255,7 +317,7 @@ def _scorer(sent, bits: int):
 
 
 def judge(docs: DataFrame, *, text: str = "text", bits: int = BITS, sample: int = SAMPLE,
-          ) -> DataFrame:
+          sample_cells: int = SAMPLE_CELLS) -> DataFrame:
     """``docs`` without the text, with ``score`` (that of a good text), ``weak_label`` (posterior
     of its votes) and ``kept``."""
     spark = docs.sparkSession
@@ -272,7 +334,7 @@ def judge(docs: DataFrame, *, text: str = "text", bits: int = BITS, sample: int
     times = np.array([r["n"] for r in counted], float)
     labels = expectation_maximisation(patterns, times)
 
-    weights = _fitted(keyed, voted, labels, bits, sample)
+    weights = _fitted(keyed, voted, labels, bits, sample, sample_cells)
     sent = spark.sparkContext.broadcast((weights, labels))
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema if f.name != "text"]
     return (keyed.mapInArrow(_scorer(sent, bits), ", ".join([*types, "score double", "weak_label double"]))
