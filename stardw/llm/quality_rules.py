@@ -1,8 +1,9 @@
-"""Quality rules: how well a public vocabulary fits a text, within bands of its language.
+"""Quality rules: how well public vocabularies fit a text, within bands of its language.
 
 A vocabulary cuts prose of a language into pieces in much the same way: so many characters a
 token, so few single bytes, so much variety among the tokens. Text that is cut far otherwise is
-rarely prose. The three measures are taken of every whole text. Bands are fences of the same
+rarely prose. The three measures are taken of every whole text by each vocabulary, and all must be
+within their bands. Bands are fences of the same
 language (two-letter code, else the script most of its letters are of), for variety also of the
 same length by powers of two. There are at most 676 codes, the scripts of ``SCRIPTS`` and 40
 lengths, so the table of bands has a bound; it is made on the driver and broadcast.
@@ -40,7 +41,8 @@ from stardw.llm.vocabularies import Vocabulary
 from stardw.llm.words import NOT_SPACE, blocks, covered, mix, windows, words_of
 from stardw.session import cut_lineage, local_rows
 
-VOCABULARIES = ("piece_bpe_32k.model",)
+# One of pieces with bytes to fall back on, one of bytes for many languages.
+VOCABULARIES = ("piece_bpe_32k.model", "byte_bpe_multi_50k.tiktoken")
 MIN_WORDS = 50
 LEAST = 100
 # Fences lie this many widths of the shortest half below and above it. Short pieces, single

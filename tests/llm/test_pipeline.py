@@ -8,13 +8,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-import public_tokenizers
 from corpora import WORD, prose
 from stardw.llm import mixing, quality_rules as Q
+from stardw.llm.vocabularies import Vocabulary
 
 FOLD = {i: i + 32 for i in range(65, 91)}
 BENCH_WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -54,25 +53,28 @@ def planted():
 # --- the five stages, plainly -------------------------------------------------------------------
 
 def measured(rows):
-    encoder = sentencepiece.SentencePieceProcessor(model_file=str(public_tokenizers.path("piece_bpe_32k.model")))
+    vocabularies = [Vocabulary.public(name) for name in Q.VOCABULARIES]
     for row in rows:
         text = row[1] or ""
-        ids = encoder.encode(text)
-        n, times = len(ids), Counter(ids)
         words = WORD.findall(text)
         grams = Counter(zip(words, words[1:], words[2:]))
         again = {j for i, g in enumerate(zip(words, words[1:], words[2:])) if grams[g] > 1
                  for j in range(i, i + 3)}
-        yield {"row": row, "text": text, "group": row[2], "length": int(math.log2(max(n, 1))),
-               "source": row[3] or "", "failed": len(words) < 50 or 100 * len(again) > 50 * len(words),
-               "chars_per_token": len(text) / n if n else 0.0,
-               "byte_share": sum(encoder.is_byte(i) for i in ids) / n if n else 0.0,
-               "entropy": math.log2(n) - sum(t * math.log2(t) for t in times.values()) / n if n else 0.0}
+        made = {"row": row, "text": text, "group": row[2], "source": row[3] or "",
+                "failed": len(words) < 50 or 100 * len(again) > 50 * len(words)}
+        for v, vocabulary in enumerate(vocabularies):
+            ids = vocabulary.encode([text])[0]
+            n, times = len(ids), Counter(ids)
+            made.setdefault("length", int(math.log2(max(n, 1))))
+            made["chars_per_token", v] = len(text) / n if n else 0.0
+            made["byte_share", v] = sum(bool(vocabulary.bytes_only[i]) for i in ids) / n if n else 0.0
+            made["entropy", v] = math.log2(n) - sum(t * math.log2(t) for t in times.values()) / n if n else 0.0
+        yield made
 
 
 def half(texts, metric):
     """The shortest half of the votes of some texts."""
-    step, bins = Q.STEP[metric], []
+    step, bins = Q.STEP[metric[0]], []
     of = Counter(t["source"] for t in texts)
     tally = Counter((t["source"], math.floor(t[metric] / step + 0.5)) for t in texts)
     for (source, at), n in tally.items():
@@ -90,8 +92,8 @@ def good(rows):
     all_ = list(measured(rows))
     texts = list({(t["group"], t["text"]): t for t in sorted(all_, key=lambda t: t["source"], reverse=True)}.values())
     inside = {id(t): not t["failed"] for t in all_}
-    for metric in Q.METRICS:
-        by_length = metric in Q.BY_LENGTH
+    for metric in [(m, v) for v in range(len(Q.VOCABULARIES)) for m in Q.METRICS]:
+        by_length = metric[0] in Q.BY_LENGTH
         cell = (lambda t: (t["group"], t["length"])) if by_length else (lambda t: t["group"])
         cells = defaultdict(list)
         for t in texts:
@@ -103,8 +105,8 @@ def good(rows):
         def about(low, high):
             middle, width = (low + high) / 2, high - low
             if large:
-                width = min(max(width, typical), max(Q.WIDEST * typical, Q.LEAST_WIDTH[metric]))
-            below, above = (max(r * width, Q.LEAST_WIDTH[metric]) for r in Q.REACH[metric])
+                width = min(max(width, typical), max(Q.WIDEST * typical, Q.LEAST_WIDTH[metric[0]]))
+            below, above = (max(r * width, Q.LEAST_WIDTH[metric[0]]) for r in Q.REACH[metric[0]])
             return middle - width / 2 - below, middle + width / 2 + above
         for t in all_:
             k = cell(t)
