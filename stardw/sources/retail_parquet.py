@@ -307,12 +307,15 @@ class RetailParquet(OperationalSource):
         return used.distinct().join(channels, "canal_id").select(
             "canal_id", "code_canal", "nom_canal")
 
+    @staticmethod
+    def _later(after: date) -> Column:
+        """As a bound on the stored timestamp, so that it reaches the scan."""
+        return F.col("o_orderdate") >= F.lit(after + timedelta(days=1)).cast("timestamp_ntz")
+
     def _wanted_orders(self, after: date | None, only: int | None) -> DataFrame:
         raw = self.raw("orders")
         if after is not None:
-            # As a bound on the stored timestamp, so that it reaches the scan.
-            following = F.lit(after + timedelta(days=1)).cast("timestamp_ntz")
-            raw = raw.filter(F.col("o_orderdate") >= following)
+            raw = raw.filter(self._later(after))
         if only is not None:
             raw = raw.filter(F.col("o_orderkey") == only)
         return raw
@@ -346,8 +349,16 @@ class RetailParquet(OperationalSource):
                 self._selected[after] = counted_cut(chosen, "increment")
         return self._selected[after]
 
+    def _takes_most(self, after: date) -> bool:
+        """Whether most orders come after the mark, as before a first load. Their lines are then not
+        selected and written first: that moves and stores most lines once more."""
+        def find() -> bool:
+            wanted = F.count_if(self._later(after))
+            return bool(self.raw("orders").agg(2 * wanted > F.count(F.lit(1))).first()[0])
+        return self._once("orders", f"most after {after}", find)
+
     def hot_lines(self, key: str, after: date | None = None) -> dict:
-        if after is None:
+        if after is None or self._takes_most(after):
             return super().hot_lines(key)
         raw, n = self._selected_lines(after)
         # Few lines have no key with many.
@@ -357,17 +368,22 @@ class RetailParquet(OperationalSource):
     def order_lines(self, after: date | None = None, only: int | None = None) -> DataFrame:
         """Order lines, renumbered per order since the stored line numbers repeat.
 
-        Lines of other orders than those asked for leave before any is sorted or numbered.
+        Lines of other orders than those asked for leave before any is sorted or numbered, or when
+        that is done if they are the fewer.
         """
+        most = only is None and after is not None and self._takes_most(after)
         if only is not None:
             raw = self.raw("lineitem").select("l_orderkey", *LINE_ORDER)
             raw, hot = raw.filter(F.col("l_orderkey") == only), []
-        elif after is not None:
+        elif after is not None and not most:
             raw, hot = self._selected_lines(after)[0], list(self.hot_lines("commande_id", after))
         else:
             raw = self.raw("lineitem").select("l_orderkey", *LINE_ORDER)
             hot = list(self.hot_orders())
         numbered = number_in_groups(raw, "l_orderkey", LINE_ORDER, "numero_ligne", hot)
+        if most:
+            numbered = numbered.join(self._wanted_orders(after, None).select(
+                F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
         return numbered.select(
             F.col("l_orderkey").alias("commande_id"),
             F.col("numero_ligne").cast("int").alias("numero_ligne"),

@@ -1,5 +1,7 @@
 from datetime import date
 
+from pyspark.sql import functions as F
+
 import retail
 from conftest import TESTDATA
 from stardw.operators import tables
@@ -124,3 +126,23 @@ def test_lines_are_shuffled_by_order_and_by_product_once(spark, capsys):
             depth = at
     keys = [line.split("hashpartitioning(")[1].split("#")[0] for line in above if "Exchange hash" in line]
     assert keys == ["l_orderkey", "produit_id"]
+
+
+def test_a_mark_before_most_orders_selects_no_lines(spark, tmp_path):
+    days = [None, date(1800, 1, 1), *[date(1997, 1, d) for d in range(1, 6)]]
+    spark.createDataFrame([(k, d) for k, d in enumerate(days)], "o_orderkey long, o_orderdate date").withColumn(
+        "o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(k, 1, 10 + n, 1, 1000.0, 2.0, 0.0, 0.0, "N", "O", date(1997, 2, 1)) for k in [*range(7), 99]
+             for n in range(2)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, "
+                          "l_extendedprice double, l_quantity double, l_discount double, l_tax double, "
+                          "l_returnflag string, l_linestatus string, l_shipdate date").write.parquet(
+                              f"{tmp_path}/lineitem.parquet")
+    source = RetailParquet(spark, str(tmp_path))
+
+    def found(after):
+        return sorted((r.commande_id, r.numero_ligne) for r in source.order_lines(after).collect())
+    assert found(date(1900, 1, 1)) == [(k, n) for k in range(2, 7) for n in (1, 2)]
+    assert not source._selected
+    assert found(date(1997, 1, 3)) == [(k, n) for k in (5, 6) for n in (1, 2)]
+    assert list(source._selected) == [date(1997, 1, 3)]
