@@ -76,16 +76,28 @@ def lost(lines: DataFrame) -> dict[str, Column]:
     return {dim: F.count_if(F.col(spec[3]).isNull()) for dim, spec in LOOKUPS.items()}
 
 
-def build_fact(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    """Fact rows of staged order lines. A line with a key that no dimension knows is left out."""
-    amounts = E.measures(F.col("quantite"), F.col("prix_unitaire"), F.col("cout_unitaire"),
-                         F.col("pct_remise"))
+def keyed(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Fact rows of staged order lines without their amounts. A line with a key that no dimension
+    knows is left out."""
     rows = (resolve_keys(lines, dims)
             .withColumn("cle_date", E.date_key(F.col("date_commande")))
             .withColumn("cle_canal", F.col("cle_canal").cast("smallint"))
-            .withColumn("numero_ligne", F.col("numero_ligne").cast("int"))
-            .withColumns(amounts))
-    return rows.select(*COLUMNS, E.month_key(F.col("cle_date")).alias(PARTITION))
+            .withColumn("numero_ligne", F.col("numero_ligne").cast("int")))
+    return rows.select(*[c for c in COLUMNS if c not in MEASURES],
+                       E.month_key(F.col("cle_date")).alias(PARTITION))
+
+
+def with_amounts(rows: DataFrame) -> DataFrame:
+    """Rows of :func:`keyed` as fact rows. Each amount follows from its own row, so it need not be
+    moved with it."""
+    return rows.withColumns(E.measures(
+        F.col("quantite"), F.col("prix_unitaire"), F.col("cout_unitaire"),
+        F.col("pct_remise"))).select(*COLUMNS, PARTITION)
+
+
+def build_fact(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Fact rows of staged order lines. A line with a key that no dimension knows is left out."""
+    return with_amounts(keyed(lines, dims))
 
 
 def rejects(lines: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:

@@ -165,19 +165,25 @@ def _check_dates(lines: DataFrame, dates: DataFrame) -> None:
                          f"from {outside['d']}")
 
 
+def _finished(rows: DataFrame) -> DataFrame:
+    return conform(fact.with_amounts(rows), "fait_ventes")
+
+
 def fact_entry(warehouse: Warehouse, lines: DataFrame, dims, published: dict | None,
                table: str = meta.FACT_JOB) -> tuple[dict, int]:
     """Entry of the fact with ``lines`` added or replaced, and the number of rows they gave.
 
     ``lines`` have been written. A line that came before and finds its dimensions no longer goes.
     """
-    fresh = conform(fact.build_fact(lines, dims), "fait_ventes")
+    fresh = fact.keyed(lines, dims)
     if published is None or not published["parts"]:
-        entry, made = deltas.first(warehouse, table, fresh, fact.PARTITION, fact.LINE_KEY)
+        entry, made = deltas.first(warehouse, table, fresh, fact.PARTITION, fact.LINE_KEY,
+                                   finish=_finished)
     else:
         if "index" not in published:  # written before there was an index
             published = deltas.indexed(warehouse, table, published, fact.LINE_KEY)
-        entry, made = deltas.load(warehouse, table, fresh, lines.select(*fact.LINE_KEY), published)
+        entry, made = deltas.load(warehouse, table, fresh, lines.select(*fact.LINE_KEY), published,
+                                  finish=_finished)
     return entry, made["rows"]
 
 

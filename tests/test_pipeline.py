@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 import retail
 from stardw.operators import fact, quality
@@ -344,3 +345,20 @@ def test_closed_versions_are_added_to_and_never_rewritten(spark, store):
         "nb_lignes > 0").count() == 0
     plan = store["dim_client"].filter("est_courant")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(est_courant" in plan
+
+
+def test_amounts_are_not_moved_with_the_lines(spark, store):
+    """What is worked out from a row is added after rows are brought together by month."""
+    seen = []
+
+    def finish(rows):
+        seen.append(rows.columns)
+        return rows.withColumn("double", F.col("x") * 2)
+    entry = store.write("t", spark.range(6).selectExpr("id x", "cast(id % 2 as int) mois_cle"), "mois_cle",
+                        "x", finish=finish)
+    assert seen == [["x", "mois_cle"]] and entry["rows"] == 6
+    assert sorted((r.x, r.double) for r in store.open("t", entry).collect()) == [(i, 2 * i) for i in range(6)]
+    assert not set(fact.MEASURES) & set(fact.keyed(
+        spark.createDataFrame([], ", ".join(f"{c} long" for c in [
+            "commande_id", "numero_ligne", "quantite", "prix_unitaire", "cout_unitaire", "pct_remise",
+            *fact.KEYS]) + ", date_commande date"), {}).columns)
