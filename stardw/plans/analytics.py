@@ -232,9 +232,10 @@ def eta_squared(dw: Tables) -> DataFrame:
     channels = dw["dim_canal"].select("cle_canal", F.col("code_canal").alias("canal"))
     clients = dw["dim_client"].select("cle_client", "groupe_client")
     lines = sales = dw["fait_ventes"]
-    for dim, key in [(channels, "cle_canal"), (places, "cle_geographie_client"),
-                     (employees, "cle_employe"), (products, "cle_produit"),
-                     (clients, "cle_client")]:
+    # The large dimensions first: lines are moved for these, with no text but one of the first.
+    for dim, key in [(clients, "cle_client"), (products, "cle_produit"),
+                     (channels, "cle_canal"), (places, "cle_geographie_client"),
+                     (employees, "cle_employe")]:
         lines = lookup_join(lines, dim, key, spread=LINE_KEY,
                             hot=lambda key=key: hot_keys(sales, key))
     variables = ["ligne_produit", "categorie_produit", "groupe_client", "canal", "sexe_emp",

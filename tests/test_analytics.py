@@ -112,3 +112,15 @@ def test_customer_groups_count_the_missing_group(dw):
     rows = {r.groupe_client: r for r in analytics.customer_groups(dw).collect()}
     assert set(rows) == {"Bronze", "Or", None} and rows["Bronze"].nb_clients == 1
     assert float(rows["Bronze"].panier_moyen_ligne) == round((29.28 + 20 + 8) / 3, 2)
+
+
+def test_eta_squared_moves_lines_without_the_texts_of_small_dimensions(spark, dw):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = analytics.eta_squared(dw)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    joined = [line.split("(")[1].split("#")[0] for line in plan.splitlines() if "Join Inner" in line]
+    # The innermost joins come last in the plan, and first when it runs.
+    assert joined[-2:] == ["cle_produit", "cle_client"]
