@@ -51,7 +51,7 @@ from stardw.llm.words import blocks, mix, words_of
 from stardw.session import cut_lineage
 
 # One for each order from 2 on.
-MU = (50.0,)
+MU = (50.0, 50.0)
 BLOCK_TEXT = 12 << 20
 # Shards are as many as the packed text needs for each to have about so many bytes of it.
 LEAST_SHARDS = 16
@@ -440,11 +440,22 @@ def _adder(sent: Sequence, bits: int, total: int, distinct: int):
 
 # --- Jobs -----------------------------------------------------------------------------------
 
+def _cut(rows: DataFrame, label: str) -> DataFrame:
+    """``cut_lineage``, after which the shuffled rows that it was made from leave the disk."""
+    conf, name = rows.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        return cut_lineage(rows, label)
+    finally:
+        conf.set(name, before)
+
+
 def _packed_blocks(docs: DataFrame, held_out, text: str, id_column: str, block_text: int) -> DataFrame:
     prepare(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"),
                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    return cut_lineage(rows.mapInArrow(_packer(block_text), _block_columns(
+    return _cut(rows.mapInArrow(_packer(block_text), _block_columns(
         docs.schema[id_column].dataType.simpleString())), "blocks")
 
 
@@ -510,7 +521,7 @@ def _learnt(packs: DataFrame, mu: Sequence[float], shard_bytes: int, learning: b
         F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0)),
         F.coalesce(F.sum(F.octet_length("words") + F.octet_length("tokens")), F.lit(0))).first()
     bits = (max(LEAST_SHARDS, -(-size // shard_bytes)) - 1).bit_length()
-    counts = cut_lineage(_at_shards(packs.mapInArrow(_word_asker(bits), _ASK), bits).mapInArrow(
+    counts = _cut(_at_shards(packs.mapInArrow(_word_asker(bits), _ASK), bits).mapInArrow(
         _word_counter(learning, False), _ANSWER), "words")
     sums = counts.filter("block IS NULL")
     total, distinct = sums.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
@@ -527,7 +538,7 @@ def _learnt(packs: DataFrame, mu: Sequence[float], shard_bytes: int, learning: b
         found = _at_shards(packs.mapInArrow(_asker(order, sent, bits), _ASK), bits).mapInArrow(
             _trie_searcher(sent, one, None if last else often, learning, False), _ANSWER)
         if learning or not last:
-            found = cut_lineage(found, "ngrams")
+            found = _cut(found, "ngrams")
         model.hot.append(sent)
         model.tries.append(found.filter("block IS NULL"))
         answers.append(found)

@@ -155,3 +155,11 @@ def test_codes():
     assert np.abs(np.log10(back[1:]) - np.log10(p[1:])).max() <= L.QUANTUM / 2 + 1e-9
     for a in (np.array([], np.uint32), np.arange(300, dtype=np.uint64) * 2**40):
         assert (L.unpacked(L.packed(a), a.dtype) == a).all()
+
+
+def test_the_query_scores_with_trigrams(spark, docs, tmp_path):  # noqa: F811
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = L.op9_lm_scoring(spark, str(tmp_path)).collect()
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    out = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
+    alike(found, brute(rows, (50.0, 50.0), out), 2)
