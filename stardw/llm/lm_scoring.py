@@ -14,14 +14,16 @@ every document its log10 probability. Neither counts nor model are ever whole in
    successors as rising sequences in Elias-Fano code, with a quantised probability for each
    successor and weight for each context, in a memory-mapped file. All n-grams sent, learnt or not,
    are then sought there, each among the successors of its context, and answered by code and weight.
-4. The answers meet their block again, and each document's tokens are added up.
+4. The answers, written once for each order, meet their block again, and each document's tokens
+   are added up.
 
 ``learn`` stops after building and keeps counts and tries as two written tables, one row a shard;
 ``Model.score`` sends the n-grams of any documents to the stored shards. ``score`` does both at once
 for one table, which spares a second shuffle of the training n-grams; scores are the same.
 
 A block sends an n-gram once however often it holds it, so a frequent one costs one entry of each
-block. Contexts with more than a quarter of a shard's usual tokens are spread over all shards by
+block. Its n-grams are sorted, sent and added up by shard, so that beside a few numbers for each of
+its tokens a task holds what one shard gets. Contexts with more than a quarter of a shard's usual tokens are spread over all shards by
 their successors; their counts are known from the order below. A lost task repeats its own block or
 shard. Words and contexts are told apart by 48 bits of their hashes.
 
@@ -90,6 +92,37 @@ def unpacked(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, n).T).reshape(-1).view(kind)
 
 
+def joined(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+
+
+def parted(data: bytes) -> list[bytes]:
+    parts, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at:at + 8], "little")
+        parts.append(data[at + 8:at + 8 + n])
+        at += 8 + n
+    return parts
+
+
+def rising(a: np.ndarray) -> bytes:
+    """Integers in order, by their steps."""
+    return packed(np.diff(a, prepend=a.dtype.type(0)))
+
+
+def risen(data: bytes, kind: type) -> np.ndarray:
+    return np.cumsum(unpacked(data, kind), dtype=kind)
+
+
+def _heads(*by: np.ndarray) -> np.ndarray:
+    """Where a new run of equal entries begins."""
+    fresh = np.zeros(len(by[0]), bool)
+    fresh[:1] = True
+    for a in by:
+        fresh[1:] |= a[1:] != a[:-1]
+    return fresh
+
+
 # --- Blocks -------------------------------------------------------------------------------
 
 def _block_columns(id_type: str) -> str:
@@ -99,15 +132,22 @@ def _block_columns(id_type: str) -> str:
 
 def _pack(block: int, ids: list[pa.Array], held: list, sizes: list, tokens: list) -> pa.RecordBatch:
     h = np.concatenate(tokens)
-    words, place, times = np.unique(h, return_inverse=True, return_counts=True)
-    order = np.argsort(-times, kind="stable")
-    rank = np.empty(len(words), np.int64)
-    rank[order] = np.arange(len(words))
+    tokens.clear()
+    order = np.argsort(h)
+    h = h[order]
+    fresh = _heads(h)
+    words, times = h[fresh], np.diff(np.append(np.flatnonzero(fresh), len(h)))
+    del h
+    by_times = np.argsort(-times, kind="stable")
+    rank = np.empty(len(words), np.uint32)
+    rank[by_times] = np.arange(len(words), dtype=np.uint32)
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.repeat(rank, times)
     return pa.RecordBatch.from_arrays(
         [pa.array([block]), pa.ListArray.from_arrays([0, sum(map(len, ids))], pa.concat_arrays(ids)),
          pa.array([held], pa.list_(pa.bool_())), pa.array([sizes], pa.list_(pa.int32())),
-         pa.array([packed(words[order])], pa.binary()),
-         pa.array([packed(rank[place].astype(np.uint32))], pa.binary())],
+         pa.array([packed(words[by_times])], pa.binary()),
+         pa.array([packed(place)], pa.binary())],
         names=["block", "ids", "held", "sizes", "words", "tokens"])
 
 
@@ -134,40 +174,59 @@ def _packer(limit: int):
     return run
 
 
+# Tokens that are worked on at once where that takes several arrays.
+_STEP = 1 << 17
+
+
 class Block:
     def __init__(self, row: dict):
         self.name, self.ids = row["block"], row["ids"]
         self.words = unpacked(row["words"], np.uint64)
-        self.tokens = unpacked(row["tokens"], np.uint32).astype(np.int64)
+        self.tokens = unpacked(row["tokens"], np.uint32)
         self.sizes = np.array(row["sizes"], np.int64)
         self.held = np.array(row["held"], bool)
+        self.starts = np.cumsum(self.sizes) - self.sizes
         self.learnt = np.repeat(~self.held, self.sizes)
 
-    def _follows(self, place: np.ndarray, begin: int) -> np.ndarray:
-        """What ``place`` is for the token before; ``begin`` for the first tokens of texts."""
-        before = np.concatenate(([begin], place[:-1]))
-        before[np.cumsum(self.sizes)[:-1]] = begin
-        return before
-
-    def ngrams(self, order: int, hot: np.ndarray, bits: int) -> tuple[np.ndarray, ...]:
-        """Distinct n-grams by (shard, context, word): these three, and the n-gram of each token."""
-        n = len(self.words)
-        short = np.append(self.words, _BEGIN) >> _SHORT
-        context, before = short, self._follows(self.tokens, n)
+    def _named(self, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """Names of each token's context and of its word."""
+        begin = _BEGIN >> _SHORT
+        word = (self.words >> _SHORT)[self.tokens]
+        context = np.concatenate((word[:1], word[:-1]))
+        context[self.starts] = begin
         for _ in range(order - 2):
-            pair, place = np.unique(before * (n + 1) + self.tokens, return_inverse=True)
-            longer = extended(context[pair // (n + 1)], short[pair % (n + 1)])
-            context = np.append(longer, extended(context[-1:], short[-1:]))
-            before = self._follows(place, len(pair))
-        context, rank = np.unique(context, return_inverse=True)
-        word, word_rank = np.unique(short[:-1], return_inverse=True)
-        key, place = np.unique(rank[before] * n + word_rank[self.tokens], return_inverse=True)
-        context, word = context[key // n], word[key % n]
-        shard = shard_of(context, word, hot, bits)
+            begin = extended(np.array([begin]), np.array([_BEGIN >> _SHORT]))[0]
+            # From the end, as each takes the place of the one after it.
+            for to in range(len(word), 1, -_STEP):
+                at = max(1, to - _STEP)
+                context[at:to] = extended(context[at - 1:to - 1], word[at - 1:to - 1])
+            context[self.starts] = begin
+        return context, word
+
+    def ngrams(self, order: int, hot: np.ndarray, bits: int) -> Iterator[tuple]:
+        """Shard after shard its number, the context and word of the block's distinct n-grams by
+        (context, word), and the tokens that have them with the place there of each.
+
+        Only the tokens of one shard are sorted at once.
+        """
+        context, word = self._named(order)
+        shard = np.empty(len(word), np.uint16 if bits <= 16 else np.uint32)
+        for at in range(0, len(word), _STEP):
+            own = slice(at, at + _STEP)
+            shard[own] = shard_of(context[own], word[own], hot, bits)
         order_ = np.argsort(shard, kind="stable")
-        to = np.empty(len(order_), np.int64)
-        to[order_] = np.arange(len(order_))
-        return shard[order_], context[order_], word[order_], to[place]
+        ends = np.cumsum(np.bincount(shard))
+        del shard
+        at = 0
+        for s, to in enumerate(ends.tolist()):
+            if at < to:
+                tokens = order_[at:to]
+                c, w = context[tokens], word[tokens]
+                own = np.lexsort((w, c))
+                c, w = c[own], w[own]
+                fresh = _heads(c, w)
+                yield s, c[fresh], w[fresh], tokens[own], np.cumsum(fresh) - 1
+            at = to
 
 
 def extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -175,17 +234,26 @@ def extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(mix(context) + word * _ODD) >> _SHORT
 
 
+def _among(names: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``names`` are in the sorted list ``hot``, and their places there."""
+    if not len(hot):
+        return np.zeros(len(names), bool), np.zeros(len(names), np.int64)
+    at = np.searchsorted(hot, names)
+    at[at == len(hot)] = 0
+    return hot[at] == names, at
+
+
 def shard_of(context: np.ndarray, word: np.ndarray, hot: np.ndarray, bits: int) -> np.ndarray:
     """Shards of n-grams: by context, those of hot contexts by their word too."""
     name = mix(context)
-    spread = np.isin(context, hot)
+    spread, _ = _among(context, hot)
     name[spread] = mix(name[spread] ^ mix(word[spread] * _ODD))
     return (name >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _shards(shard: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(shard, from, to) of a sorted list of shards."""
-    heads = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
+    heads = np.flatnonzero(_heads(shard))
     yield from zip(shard[heads].tolist(), heads.tolist(), [*heads[1:].tolist(), len(shard)])
 
 
@@ -274,53 +342,66 @@ def _word_counter(learning: bool, stored: bool):
 
 # --- N-grams --------------------------------------------------------------------------------
 
+# Bytes of rows that leave a task at once.
+_SENT = 1 << 20
+
+
 def _asker(order: int, sent, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = sent.value[0]
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row)
-                shard, context, word, place = block.ngrams(order, hot, bits)
-                times = np.bincount(place[block.learnt], minlength=len(shard))
-                out = []
-                for s, i, j in _shards(shard):
-                    own = context[i:j]
-                    heads = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-                    runs = np.diff(np.append(heads, j - i)).astype(np.uint32)
-                    contexts = packed(own[heads])
-                    out.append({"shard": s, "block": block.name,
-                                "a": len(contexts).to_bytes(8, "little") + contexts + packed(runs),
-                                "b": _words_and_times(word[i:j], times[i:j])})
-                yield pa.RecordBatch.from_pylist(out, schema=_ASKED)
+                out, size = [], 0
+                for s, context, word, tokens, place in block.ngrams(order, hot, bits):
+                    times = np.bincount(place[block.learnt[tokens]], minlength=len(word))
+                    out.append({"shard": s, "block": block.name, "a": _contexts(context),
+                                "b": _words_and_times(word, times)})
+                    size += len(out[-1]["a"]) + len(out[-1]["b"])
+                    if size >= _SENT:
+                        yield pa.RecordBatch.from_pylist(out, schema=_ASKED)
+                        out, size = [], 0
+                if out:
+                    yield pa.RecordBatch.from_pylist(out, schema=_ASKED)
     return run
 
 
-def _words_and_times(word: np.ndarray, times: np.ndarray) -> bytes:
-    words = packed(word)
-    return len(words).to_bytes(8, "little") + words + packed(times.astype(np.uint64))
+def _contexts(context: np.ndarray) -> bytes:
+    """The distinct contexts, and how many n-grams each has."""
+    heads = np.flatnonzero(_heads(context))
+    return joined(rising(context[heads]), packed(np.diff(np.append(heads, len(context))).astype(np.uint32)))
 
 
-def _two(data: bytes, first: type, second: type) -> tuple[np.ndarray, np.ndarray]:
-    n = int.from_bytes(data[:8], "little")
-    return unpacked(data[8:8 + n], first), unpacked(data[8 + n:], second)
+def _words_and_times(word: np.ndarray, times: np.ndarray) -> bytes:
+    """The distinct words, the place there of each n-gram's word, and its times."""
+    words, place = np.unique(word, return_inverse=True)
+    return joined(rising(words), packed(place.astype(np.uint32)), packed(times.astype(np.uint32)))
 
 
 def _merged(rows: list[dict]) -> tuple[np.ndarray, ...]:
     """The distinct n-grams of all rows by (context, word): these and how often training documents
     have them; the place there of each n-gram of each row, and the sizes of the rows."""
-    parts = []
+    sizes = []
     for r in rows:
-        contexts, runs = _two(r["a"], np.uint64, np.uint32)
-        parts.append((np.repeat(contexts, runs), *_two(r["b"], np.uint64, np.uint64)))
-    sizes = [len(p[0]) for p in parts]
-    context, word, times = (np.concatenate(p) for p in zip(*parts))
-    del parts
+        r["b"] = parted(r["b"])
+        sizes.append(int.from_bytes(r["b"][2][:8], "little"))
+    context, word = (np.empty(sum(sizes), np.uint64) for _ in range(2))
+    times = np.empty(len(word), np.uint32)
+    done = 0
+    for r, size in zip(rows, sizes):
+        (contexts, runs), (words, place, n) = parted(r.pop("a")), r.pop("b")
+        own = slice(done, done + size)
+        context[own] = np.repeat(risen(contexts, np.uint64), unpacked(runs, np.uint32))
+        word[own] = risen(words, np.uint64)[unpacked(place, np.uint32)]
+        times[own] = unpacked(n, np.uint32)
+        done += size
     order = np.lexsort((word, context))
-    context, word = context[order], word[order]
-    fresh = np.concatenate(([True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])))
-    place = np.empty(len(order), np.int64)
-    place[order] = np.cumsum(fresh) - 1
-    total = np.add.reduceat(times[order].astype(np.int64), np.flatnonzero(fresh))
+    context, word, times = context[order], word[order], times[order]
+    fresh = _heads(context, word)
+    place = np.empty(len(order), np.uint32)
+    place[order] = np.cumsum(fresh, dtype=np.uint32) - np.uint32(1)
+    del order
+    total = np.add.reduceat(times, np.flatnonzero(fresh), dtype=np.int64)
     return context[fresh], word[fresh], total, place, sizes
 
 
@@ -332,11 +413,9 @@ def _built(context: np.ndarray, word: np.ndarray, total: np.ndarray, hot: np.nda
     if not len(total):
         return Trie.of(context, word, total, total)
     # How often each context comes: its successors' sum, or as known where it is spread.
-    heads = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+    heads = np.flatnonzero(_heads(context))
     seen = np.add.reduceat(total, heads).astype(float)
-    known = np.searchsorted(hot, context[heads])
-    known[known == len(hot)] = 0
-    spread = hot[known] == context[heads]
+    spread, known = _among(context[heads], hot)
     seen[spread] = hot_times[known[spread]]
     seen = np.repeat(seen, np.diff(np.append(heads, len(context))))
     return Trie.of(context, word, quantised(total / (seen + mu)), quantised(mu / (seen + mu)))
@@ -375,9 +454,7 @@ def _trie_searcher(sent, mu: float, often: int | None, learning: bool, stored: b
                     path.write_bytes(trie)
                     found, weight = Trie.mapped(path).search(context, word, _CERTAIN)
                 # A spread context may have no learnt successor in this shard.
-                at = np.searchsorted(hot, context)
-                at[at == len(hot)] = 0
-                spread = hot[at] == context
+                spread, at = _among(context, hot)
                 weight[spread] = hot_weights[at[spread]]
                 done = 0
                 for row, size in zip(rows, sizes):
@@ -403,28 +480,29 @@ def _adder(sent: Sequence, bits: int, total: int, distinct: int):
         def solve(id_type: pa.DataType) -> pa.RecordBatch:
             block = Block(held[0])
             by_order = {k: [r for r in held if r["kind"] == k] for k in range(1, len(sent) + 2)}
-            times = np.concatenate([unpacked(r["a"], np.int64) for r in by_order[1]])
-            by_hash = np.empty(len(block.words), np.int64)
-            by_hash[np.argsort(block.words)] = times
-            times = by_hash[block.tokens]
+            times = np.empty(len(block.words), np.int64)
+            times[np.argsort(block.words)] = np.concatenate(
+                [unpacked(r["a"], np.int64) for r in by_order[1]])
             base = (times + 1) / (total + distinct + 1)
-            p = base
+            starts = block.starts
+            n_known = np.add.reduceat((times > 0)[block.tokens], starts, dtype=np.int64)
+            base_score = np.add.reduceat(np.log10(base)[block.tokens], starts)
+            p = base[block.tokens]
             for k, hot in enumerate(sent, 2):
-                shard, _, _, place = block.ngrams(k, hot.value[0], bits)
-                code, weight = (np.concatenate([unpacked(r[c], np.uint8) for r in by_order[k]])
-                                for c in ("a", "b"))
-                if len(code) != len(shard):
-                    raise RuntimeError(f"block {block.name}: {len(code)} of {len(shard)} answers")
-                p = probability(code)[place] + probability(weight)[place] * p
-            p = np.minimum(p, 1.0)  # the codes are rounded
-            starts = np.concatenate(([0], np.cumsum(block.sizes)[:-1]))
+                found = {r["shard"]: r for r in by_order.pop(k)}
+                for s, context, _, tokens, place in block.ngrams(k, hot.value[0], bits):
+                    row = found.pop(s, None)
+                    code, weight = (unpacked(row[c], np.uint8) if row else () for c in ("a", "b"))
+                    if not len(code) == len(weight) == len(context):
+                        raise RuntimeError(f"block {block.name}: {len(code)} of {len(context)} "
+                                           f"answers of shard {s}")
+                    p[tokens] = probability(code)[place] + probability(weight)[place] * p[tokens]
+            np.log10(np.minimum(p, 1.0, out=p), out=p)  # the codes are rounded
             n = len(starts)
             return pa.RecordBatch.from_arrays(
                 [pa.array(block.ids, id_type), pa.array(block.held), pa.array(block.sizes),
-                 pa.array(np.add.reduceat((times > 0).astype(np.int64), starts)),
-                 pa.array(np.full(n, total, np.int64)),
-                 pa.array(np.add.reduceat(np.log10(base), starts)),
-                 pa.array(np.add.reduceat(np.log10(p), starts))],
+                 pa.array(n_known), pa.array(np.full(n, total, np.int64)), pa.array(base_score),
+                 pa.array(np.add.reduceat(p, starts))],
                 names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
         for batch in batches:
             id_type = batch.schema.field("ids").type.value_type
@@ -505,7 +583,8 @@ def _added(packs: DataFrame, answers: Sequence[DataFrame], model: Model, id_colu
     for k, rows in enumerate(answers, 1):
         kinds = kinds.unionByName(rows.filter("block IS NOT NULL").select(
             "block", F.lit(k).alias("kind"), "shard", "a", "b"), allowMissingColumns=True)
-    together = kinds.repartition("block").sortWithinPartitions("block", "kind", "shard")
+    # As many tasks as blocks, so that what a task reads doesn't grow with the table.
+    together = kinds.repartition(max(1, packs.count()), "block").sortWithinPartitions("block", "kind", "shard")
     id_type = packs.schema["ids"].dataType.elementType.simpleString()
     return together.mapInArrow(
         _adder(model.hot, model.bits, model.total, model.distinct),
@@ -535,10 +614,8 @@ def _learnt(packs: DataFrame, mu: Sequence[float], shard_bytes: int, learning: b
                 .filter(F.col("n") > often).collect())
         sent = _hot(spark, many, begin, texts, order == 2)
         last = order == len(mu) + 1
-        found = _at_shards(packs.mapInArrow(_asker(order, sent, bits), _ASK), bits).mapInArrow(
-            _trie_searcher(sent, one, None if last else often, learning, False), _ANSWER)
-        if learning or not last:
-            found = _cut(found, "ngrams")
+        found = _cut(_at_shards(packs.mapInArrow(_asker(order, sent, bits), _ASK), bits).mapInArrow(
+            _trie_searcher(sent, one, None if last else often, learning, False), _ANSWER), "ngrams")
         model.hot.append(sent)
         model.tries.append(found.filter("block IS NULL"))
         answers.append(found)

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -163,3 +164,61 @@ def test_the_query_scores_with_trigrams(spark, docs, tmp_path):  # noqa: F811
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     out = [i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
     alike(found, brute(rows, (50.0, 50.0), out), 2)
+
+
+class Sent:
+    """What a broadcast gives: no hot contexts but one."""
+
+    value = np.array([1], np.uint64), np.array([1.0])
+
+
+def zipf_block(tokens):
+    """A packed block of so many words, some frequent and some rare, in texts of 100."""
+    h = L.mix(np.random.default_rng(tokens).zipf(1.2, tokens).astype(np.uint64))
+    n = tokens // 100
+    return L._pack(0, [L.pa.array(range(n))], [i % 7 == 2 for i in range(n)], [100] * n, [h])
+
+
+def test_a_block_takes_little_memory_and_sends_its_ngrams_piece_by_piece():
+    """An asker held all n-grams of a block several times over, and sent them at once."""
+    tokens = 400_000
+    block = zipf_block(tokens)
+    tracemalloc.start()
+    sent, most = 0, 0
+    for batch in L._asker(3, Sent, 7)(iter([block])):
+        sent, most = sent + batch.nbytes, max(most, batch.nbytes)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 60 * tokens
+    assert most < 2 * L._SENT < sent
+
+
+def test_what_is_asked_is_compact():
+    """Words of a shard are named once, names in order by their steps."""
+    block = zipf_block(400_000)
+    rows = [r for b in L._asker(2, Sent, 4)(iter([block])) for r in b.to_pylist()]
+    own = [L._merged([dict(r)]) for r in rows]
+    assert sum(len(r["a"]) + len(r["b"]) for r in rows) < 6.5 * sum(len(m[0]) for m in own)
+    packed = L.Block(block.to_pylist()[0])
+    assert sum(int(m[2].sum()) for m in own) == packed.learnt.sum()
+    for row, (context, word, _, place, sizes) in zip(rows, own):
+        pairs = list(zip(context.tolist(), word.tolist()))
+        assert pairs == sorted(set(pairs)) and (place == np.arange(sizes[0])).all()
+        assert (L.shard_of(context, word, Sent.value[0], 4) == row["shard"]).all()
+
+
+def test_all_answers_are_written_so_that_no_shuffled_ngrams_stay(spark, docs):  # noqa: F811
+    """The answers of the last order were still shuffled n-grams when the blocks met them."""
+    packs = L._packed_blocks(docs, held(), "text", "doc_id", 3000)
+    _, answers = L._learnt(packs, (50.0, 5.0), L.SHARD_BYTES, False)
+    plans = [a._jdf.queryExecution().optimizedPlan().toString() for a in answers]
+    assert len(plans) == 3 and not any("MapInArrow" in p or "Repartition" in p for p in plans)
+
+
+def test_blocks_meet_their_answers_in_as_many_tasks_as_there_are_blocks(spark, docs):  # noqa: F811
+    """By the session's number of partitions the blocks of a task were more the larger the table."""
+    blocks = L._packed_blocks(docs, held(), "text", "doc_id", 3000).count()
+    found = L.score(docs, held(), block_text=3000)
+    assert blocks != int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "RepartitionByExpression [block" in (plan := found._jdf.queryExecution().optimizedPlan().toString())
+    assert f", {blocks}\n" in plan
